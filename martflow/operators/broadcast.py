@@ -1,0 +1,52 @@
+"""Broadcast behind a proven size bound.
+
+The static, estimate-based broadcast is switched off by the session defaults
+(``spark.sql.autoBroadcastJoinThreshold = -1``), so a side is broadcast in two
+ways only:
+
+* here, after counting it with a limit: ``limit(n + 1).count()`` reads at most
+  ``n + 1`` rows per partition and proves ``rows <= n``; ``n`` is derived from a
+  byte budget and the schema's row width;
+* by AQE at run time, from the measured size of a finished shuffle stage
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+
+Beyond the bound the join stays a shuffle join; AQE may still split skewed
+partitions of it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_OVERHEAD = 16
+
+
+# Per-type width guesses in bytes (Spark's own defaults, strings padded).
+_WIDTHS = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
+           T.DateType: 4, T.FloatType: 4, T.LongType: 8, T.DoubleType: 8,
+           T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
+           T.StringType: 32}
+
+
+def row_width(df: DataFrame) -> int:
+    """Rough in-memory row size from the schema (8-byte slot per field + data)."""
+    return _ROW_OVERHEAD + sum(8 + _WIDTHS.get(type(f.dataType), 64) for f in df.schema.fields)
+
+
+def max_rows_for(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    return max(1, max_bytes // row_width(df))
+
+
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its size is proven under the budget, else ``df``."""
+    bound = max_rows if max_rows is not None else max_rows_for(df, max_bytes)
+    return F.broadcast(df) if is_bounded(df, bound) else df

@@ -67,25 +67,31 @@ def is_leader(value: str = "total_sales", top: str = "leader_total") -> Column:
     return (F.col(value) == F.col(top)) | F.col(top).isNull()
 
 
+def with_leader(totals: DataFrame, group: list[str], value: str = "total_sales") -> DataFrame:
+    """Each row with its group's max (``leader_total``); NULL group keys are a
+    group of their own, as in a window, so the join is null-safe."""
+    leaders = group_leaders(totals, group, value)
+    leaders = leaders.select(*[F.col(g).alias(f"__g_{g}") for g in group], "leader_total")
+    cond = [totals[g].eqNullSafe(leaders[f"__g_{g}"]) for g in group]
+    return totals.join(leaders, cond, "inner").drop(*[f"__g_{g}" for g in group])
+
+
 def top_incentive(totals: DataFrame, group: list[str], value: str = "total_sales",
                   rate: str = INCENTIVE_RATE, places: int = INCENTIVE_PLACES,
                   out: str = "incentive") -> DataFrame:
     """Leaders of each group get round(value * rate, places); others 0."""
-    leaders = group_leaders(totals, group, value)
     pay = F.when(is_leader(value), rate_of(value, rate, places)).otherwise(F.lit(0))
-    return (totals.join(leaders, group, "inner")
+    return (with_leader(totals, group, value)
             .withColumn(out, pay.cast(totals.schema[value].dataType))
             .drop("leader_total"))
 
 
 def top_sellers(totals: DataFrame, group: list[str], value: str = "total_sales") -> DataFrame:
     """Top-1-with-ties per group (rank() <= 1), via the grouped max."""
-    leaders = group_leaders(totals, group, value)
-    return (totals.join(leaders, group, "inner")
-            .where(is_leader(value)).drop("leader_total"))
+    return with_leader(totals, group, value).where(is_leader(value)).drop("leader_total")
 
 
-def rank_window(totals: DataFrame, group: list[str], value: str = "total_sales",
+def rank_within(totals: DataFrame, group: list[str], value: str = "total_sales",
                 out: str = "rnk") -> DataFrame:
     """rank() over (group ORDER BY value DESC NULLS LAST)."""
     w = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last())
@@ -155,8 +161,12 @@ def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
 
 def customer_detail(enriched: DataFrame) -> DataFrame:
     """The customer detail mart: 8 columns per enriched row."""
-    return enriched.select("customer_id", "customer_first_name", "customer_last_name",
-                           "customer_address", "customer_pincode", "customer_phone_number",
+    return enriched.select("customer_id",
+                           F.col("customer_first_name").alias("first_name"),
+                           F.col("customer_last_name").alias("last_name"),
+                           F.col("customer_address").alias("address"),
+                           F.col("customer_pincode").alias("pincode"),
+                           F.col("customer_phone_number").alias("phone_number"),
                            "sales_date", "total_cost")
 
 
@@ -187,3 +197,18 @@ def full_specs(customer: DataFrame, store: DataFrame, team: DataFrame) -> list[D
 def star_enrich(fact: DataFrame, customer: DataFrame, store: DataFrame,
                 team: DataFrame) -> DataFrame:
     return star_join(fact, full_specs(customer, store, team))
+
+
+def manager_rollup(fact: DataFrame, team: DataFrame) -> DataFrame:
+    """Sales rolled up to each seller's manager (the team's self-reference).
+
+    Sellers are totalled first (partial aggregation: one row per seller per
+    map task), then joined to the team; re-summing after the join keeps the
+    fan-out of a duplicated team key. members = distinct sellers with sales.
+    """
+    per_seller = period_total(fact, ["sales_person_id"], out="seller_total")
+    t = team.select(F.col("id").alias("__team_id"), "manager_id")
+    return (per_seller.join(t, per_seller.sales_person_id == t["__team_id"], "inner")
+            .groupBy("manager_id")
+            .agg(F.sum("seller_total").alias("team_total"),
+                 F.countDistinct("sales_person_id").alias("members")))

@@ -12,6 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.functions import columns as fn
+from martflow.operators import enrich as E
+from martflow.operators import manifest as MF
 from martflow.operators import marts as M
 from martflow.sources import testbed as tb
 from martflow.sources.tables import Tables
@@ -49,3 +52,226 @@ def customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = M.customer_mart(fact, cust, store, team)
     return out.select("customer_id", "full_name", "address", "phone_number",
                       "sales_date_month", _dbl("total_sales"))
+
+
+def _str(c: str) -> F.Column:
+    return F.col(c).cast("string").alias(c)
+
+
+# ------------------------------------------------------- totals
+
+@query
+def customer_month_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    out = M.customer_month_totals(M.enriched_keys(fact, cust, store, team))
+    return out.select("customer_id", "sales_date_month", _dbl("total_sales"))
+
+
+@query
+def customer_month_total_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original form: window sum per (customer, month) + DISTINCT."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    e = M.with_month(M.enriched_keys(fact, cust, store, team), out="sales_date_month")
+    out = M.period_total_window(e, ["customer_id", "sales_date_month"], [])
+    return out.select("customer_id", "sales_date_month", _dbl("total_sales"))
+
+
+@query
+def sales_month_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    out = M.sales_month_totals(M.enriched_keys(fact, cust, store, team))
+    return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"))
+
+
+@query
+def sales_month_total_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    e = M.with_month(M.enriched_keys(fact, cust, store, team))
+    out = M.period_total_window(e, ["store_id", "sales_person_id", "sales_month"], [])
+    return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"))
+
+
+# ------------------------------------------------------- ranking
+
+@query
+def seller_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    totals = M.sales_month_totals(M.enriched_keys(fact, cust, store, team))
+    out = M.rank_within(totals, ["store_id", "sales_month"])
+    return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"),
+                      F.col("rnk").cast("long").alias("rnk"))
+
+
+@query
+def top_seller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    totals = M.sales_month_totals(M.enriched_keys(fact, cust, store, team))
+    out = M.top_sellers(totals, ["store_id", "sales_month"])
+    return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"))
+
+
+# ------------------------------------------------------- joins
+
+def _fact_cols():
+    return ["order_id", "line_number", "customer_id", "store_id", "sales_person_id",
+            _str("sales_date"), _dbl("total_cost")]
+
+
+@query
+def join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fact x customer (pre-filtered to one segment): unmatched facts drop."""
+    _, fact, cust, _s, _t = _star(spark, sf_dir)
+    spec = E.DimSpec("customer", cust.where(F.col("phone_number") == "BUILDING"),
+                     "customer_id", "customer_id",
+                     {"first_name": "first_name", "last_name": "last_name", "address": "address"})
+    return E.join_dim(fact, spec).select(*_fact_cols(), "first_name", "last_name", "address")
+
+
+@query
+def join_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, _c, store, _t = _star(spark, sf_dir)
+    spec = E.DimSpec("store", store.where(F.col("store_manager_name") == "ASIA"),
+                     "store_id", "id", {"store_manager_name": "store_manager_name",
+                                        "store_address": "address"})
+    return E.join_dim(fact, spec).select(*_fact_cols(), "store_manager_name", "store_address")
+
+
+@query
+def join_sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, _c, _s, team = _star(spark, sf_dir)
+    spec = E.DimSpec("team", team.where(F.col("is_manager") == "N"), "sales_person_id", "id",
+                     {"sales_person_first_name": "first_name",
+                      "sales_person_last_name": "last_name", "manager_id": "manager_id"})
+    return E.join_dim(fact, spec).select(*_fact_cols(), "sales_person_first_name",
+                                         "sales_person_last_name", "manager_id")
+
+
+@query
+def join_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product join the original only promised: fact x part on the part
+    key (names repeat across parts), with the list value of the line."""
+    t, fact, _c, _s, _t = _star(spark, sf_dir)
+    prod = tb.product_dim(t).where(F.col("type") == "ECONOMY")
+    spec = E.DimSpec("product", prod, "product_id", "id",
+                     {"product_name": "name", "current_price": "current_price"})
+    out = E.join_dim(fact, spec)
+    return out.select(*_fact_cols(), "product_id", "product_name", _dbl("current_price"),
+                      F.col("quantity").cast("long").alias("quantity"),
+                      (F.col("current_price") * F.col("quantity")).cast("double").alias("list_total"))
+
+
+@query
+def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    e = M.star_enrich(fact, cust, store, team)
+    return e.select(*_fact_cols(), "sales_person_first_name", "sales_person_last_name",
+                    "manager_id", "is_manager", "sales_person_address", "sales_person_pincode",
+                    "store_manager_name", "customer_first_name", "customer_last_name",
+                    "customer_address", "customer_pincode", "customer_phone_number")
+
+
+@query
+def orphan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per dimension, fact rows an inner join would silently drop."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    specs = [
+        E.DimSpec("customer", cust.where(F.col("phone_number") == "BUILDING"),
+                  "customer_id", "customer_id"),
+        E.DimSpec("store", store.where(F.col("store_manager_name") == "ASIA"), "store_id", "id"),
+        E.DimSpec("team", team.where(F.col("is_manager") == "N"), "sales_person_id", "id"),
+    ]
+    return E.orphan_report(fact, specs)
+
+
+@query
+def manager_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, _c, _s, team = _star(spark, sf_dir)
+    out = M.manager_rollup(fact, team)
+    return out.select("manager_id", _dbl("team_total"), "members")
+
+
+@query
+def dim_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicated dimension keys (would fan facts out); part names are not
+    unique in the test data, so that check reports rows."""
+    t, _f, cust, store, team = _star(spark, sf_dir)
+    prod = tb.product_dim(t)
+    checks = [("customer.customer_id", cust, "customer_id"), ("store.id", store, "id"),
+              ("sales_team.id", team, "id"), ("product.id", prod, "id"),
+              ("product.name", prod, "name")]
+    out = None
+    for name, df, key in checks:
+        part = (E.dim_key_uniqueness(df, key)
+                .select(F.lit(name).alias("dimension"), F.col("key").cast("string").alias("key"),
+                        "copies"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ------------------------------------------------------- projections
+
+@query
+def customer_mart_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    out = M.customer_detail(M.star_enrich(fact, cust, store, team))
+    return out.select(*[c for c in out.columns if c not in ("sales_date", "total_cost")],
+                      _str("sales_date"), _dbl("total_cost"))
+
+
+@query
+def sales_mart_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    out = M.sales_detail(M.star_enrich(fact, cust, store, team))
+    return out.select(*[c for c in out.columns if c not in ("sales_date", "total_cost")],
+                      _str("sales_date"), _dbl("total_cost"))
+
+
+# ------------------------------------------------------- scalar and distinct
+
+@query
+def month_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = Tables(spark, sf_dir).orders
+    return o.select("o_orderkey", fn.month_key(F.to_date("o_orderdate")).alias("sales_month"))
+
+
+@query
+def full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tb.customer_dim(Tables(spark, sf_dir))
+    return c.select("customer_id", fn.full_name("first_name", "last_name").alias("full_name"))
+
+
+@query
+def distinct_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DISTINCT over the projected seller attributes of every enriched row."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    e = M.with_month(M.star_enrich(fact, cust, store, team))
+    return e.select("store_id", "sales_person_id",
+                    fn.full_name("sales_person_first_name", "sales_person_last_name")
+                    .alias("full_name"), "sales_month").distinct()
+
+
+# ------------------------------------------------------- manifest
+
+_MANIFEST_ORDER = {"order": ("event_ts", "event_id")}
+
+
+@query
+def manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = tb.manifest_log(Tables(spark, sf_dir))
+    out = MF.latest(log, **_MANIFEST_ORDER)
+    return out.select("file_name", "status", _str("event_ts"))
+
+
+@query
+def active_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files left in state 'A' (a run picked them up and never committed)."""
+    log = tb.manifest_log(Tables(spark, sf_dir))
+    return MF.active(log, **_MANIFEST_ORDER).select("file_name").distinct()
+
+
+@query
+def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate drops (one per customer) minus files already committed."""
+    t = Tables(spark, sf_dir)
+    candidates = t.customer.select(F.col("c_custkey").cast("string").alias("file_name"))
+    return MF.pending(candidates, tb.manifest_log(t), **_MANIFEST_ORDER)

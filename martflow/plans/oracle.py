@@ -82,3 +82,174 @@ select t.customer_id, c.first_name || ' ' || c.last_name as full_name, c.address
        t.sales_date_month, cast(t.total_sales as double) as total_sales
 from totals t join cust c on t.customer_id = c.customer_id
 """
+
+_TOTALS_C = """
+ctot as (
+  select customer_id, substring(cast(sales_date as varchar), 1, 7) as sales_date_month,
+         sum(total_cost) as total_sales
+  from enriched group by 1, 2
+)"""
+
+_TOTALS_S = """
+stot as (
+  select store_id, sales_person_id, substring(cast(sales_date as varchar), 1, 7) as sales_month,
+         sum(total_cost) as total_sales
+  from enriched group by 1, 2, 3
+)"""
+
+ORACLE["customer_month_total"] = _with(_LINES, _DIMS, _ENRICHED, _TOTALS_C) + """
+select customer_id, sales_date_month, cast(total_sales as double) as total_sales from ctot
+"""
+ORACLE["customer_month_total_window"] = ORACLE["customer_month_total"]
+
+ORACLE["sales_month_total"] = _with(_LINES, _DIMS, _ENRICHED, _TOTALS_S) + """
+select store_id, sales_person_id, sales_month, cast(total_sales as double) as total_sales from stot
+"""
+ORACLE["sales_month_total_window"] = ORACLE["sales_month_total"]
+
+ORACLE["seller_rank"] = _with(_LINES, _DIMS, _ENRICHED, _TOTALS_S) + """
+select store_id, sales_person_id, sales_month, cast(total_sales as double) as total_sales,
+       cast(rank() over (partition by store_id, sales_month order by total_sales desc nulls last)
+            as bigint) as rnk
+from stot
+"""
+
+ORACLE["top_seller"] = _with(_LINES, _DIMS, _ENRICHED, _TOTALS_S) + """
+select store_id, sales_person_id, sales_month, cast(total_sales as double) as total_sales
+from stot
+qualify rank() over (partition by store_id, sales_month order by total_sales desc nulls last) = 1
+"""
+
+_FACT_COLS = """l.order_id, l.line_number, l.customer_id, l.store_id, l.sales_person_id,
+       cast(l.sales_date as varchar) as sales_date, cast(l.total_cost as double) as total_cost"""
+
+ORACLE["join_customer"] = _with(_LINES, _DIMS) + f"""
+select {_FACT_COLS}, c.first_name, c.last_name, c.address
+from lines l join cust c on l.customer_id = c.customer_id
+where c.phone_number = 'BUILDING'
+"""
+
+ORACLE["join_store"] = _with(_LINES, _DIMS) + f"""
+select {_FACT_COLS}, s.store_manager_name, s.address as store_address
+from lines l join store s on l.store_id = s.id
+where s.store_manager_name = 'ASIA'
+"""
+
+ORACLE["join_sales_team"] = _with(_LINES, _DIMS) + f"""
+select {_FACT_COLS}, t.first_name as sales_person_first_name,
+       t.last_name as sales_person_last_name, t.manager_id
+from lines l join team t on l.sales_person_id = t.id
+where t.is_manager = 'N'
+"""
+
+ORACLE["join_product"] = _with(_LINES) + f"""
+select {_FACT_COLS}, l.product_id, p.p_name as product_name,
+       cast(cast(p.p_retailprice as decimal(10,2)) as double) as current_price,
+       cast(l.quantity as bigint) as quantity,
+       cast(cast(p.p_retailprice as decimal(10,2)) * l.quantity as double) as list_total
+from lines l join part p on l.product_id = p.p_partkey
+where p.p_type = 'ECONOMY'
+"""
+
+ORACLE["star_enrich"] = _with(_LINES, _DIMS) + f"""
+select {_FACT_COLS},
+       t.first_name as sales_person_first_name, t.last_name as sales_person_last_name,
+       t.manager_id, t.is_manager, t.address as sales_person_address,
+       t.pincode as sales_person_pincode, s.store_manager_name,
+       c.first_name as customer_first_name, c.last_name as customer_last_name,
+       c.address as customer_address, c.pincode as customer_pincode,
+       c.phone_number as customer_phone_number
+from lines l join team t on l.sales_person_id = t.id
+             join store s on l.store_id = s.id
+             join cust c on l.customer_id = c.customer_id
+"""
+
+ORACLE["orphan_facts"] = _with(_LINES, _DIMS) + """
+select 'customer' as dimension, count(*) as orphan_rows from lines l
+where not exists (select 1 from cust c where c.customer_id = l.customer_id and c.phone_number = 'BUILDING')
+union all
+select 'store', count(*) from lines l
+where not exists (select 1 from store s where s.id = l.store_id and s.store_manager_name = 'ASIA')
+union all
+select 'team', count(*) from lines l
+where not exists (select 1 from team t where t.id = l.sales_person_id and t.is_manager = 'N')
+"""
+
+ORACLE["manager_rollup"] = _with(_LINES, _DIMS) + """
+select t.manager_id, cast(sum(l.total_cost) as double) as team_total,
+       count(distinct l.sales_person_id) as members
+from lines l join team t on l.sales_person_id = t.id
+group by t.manager_id
+"""
+
+ORACLE["dim_key_uniqueness"] = _with(_DIMS) + """
+select 'customer.customer_id' as dimension, cast(customer_id as varchar) as key, count(*) as copies
+from cust group by customer_id having count(*) > 1
+union all
+select 'store.id', cast(id as varchar), count(*) from store group by id having count(*) > 1
+union all
+select 'sales_team.id', cast(id as varchar), count(*) from team group by id having count(*) > 1
+union all
+select 'product.id', cast(p_partkey as varchar), count(*) from part group by p_partkey having count(*) > 1
+union all
+select 'product.name', p_name, count(*) from part group by p_name having count(*) > 1
+"""
+
+ORACLE["customer_mart_projection"] = _with(_LINES, _DIMS) + """
+select l.customer_id, c.first_name, c.last_name, c.address, c.pincode, c.phone_number,
+       cast(l.sales_date as varchar) as sales_date, cast(l.total_cost as double) as total_cost
+from lines l join team t on l.sales_person_id = t.id
+             join store s on l.store_id = s.id
+             join cust c on l.customer_id = c.customer_id
+"""
+
+ORACLE["sales_mart_projection"] = _with(_LINES, _DIMS) + """
+select l.store_id, l.sales_person_id, t.first_name as sales_person_first_name,
+       t.last_name as sales_person_last_name, s.store_manager_name, t.manager_id, t.is_manager,
+       t.address as sales_person_address, t.pincode as sales_person_pincode,
+       substring(cast(l.sales_date as varchar), 1, 7) as sales_month,
+       cast(l.sales_date as varchar) as sales_date, cast(l.total_cost as double) as total_cost
+from lines l join team t on l.sales_person_id = t.id
+             join store s on l.store_id = s.id
+             join cust c on l.customer_id = c.customer_id
+"""
+
+ORACLE["month_key"] = """
+select o_orderkey, strftime(cast(o_orderdate as date), '%Y-%m') as sales_month from orders
+"""
+
+ORACLE["full_name"] = """
+select c_custkey as customer_id,
+       split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) as full_name
+from customer
+"""
+
+ORACLE["distinct_attributes"] = _with(_LINES, _DIMS, _ENRICHED) + """
+select distinct e.store_id, e.sales_person_id, t.first_name || ' ' || t.last_name as full_name,
+       substring(cast(e.sales_date as varchar), 1, 7) as sales_month
+from enriched e join team t on e.sales_person_id = t.id
+"""
+
+_MANIFEST = """
+mlog as (
+  select cast(user_id as varchar) as file_name,
+         case when event_type = 'purchase' then 'I' else 'A' end as status, ts, event_id
+  from events
+),
+mlatest as (
+  select file_name, arg_max(status, row(ts, event_id)) as status, max(ts) as event_ts
+  from mlog group by file_name
+)"""
+
+ORACLE["manifest_latest"] = _with(_MANIFEST) + """
+select file_name, status, cast(event_ts as varchar) as event_ts from mlatest
+"""
+
+ORACLE["active_files"] = _with(_MANIFEST) + """
+select distinct file_name from mlatest where status = 'A'
+"""
+
+ORACLE["new_files_only"] = _with(_MANIFEST) + """
+select cast(c_custkey as varchar) as file_name from customer
+where cast(c_custkey as varchar) not in (select file_name from mlatest where status = 'I')
+"""

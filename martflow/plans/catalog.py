@@ -12,7 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.contracts import SALES_FACT
 from martflow.functions import columns as fn
+from martflow.operators import conform as C
+from martflow.operators import validate as V
+from martflow.sources import files as FS
 from martflow.operators import enrich as E
 from martflow.operators import manifest as MF
 from martflow.operators import marts as M
@@ -21,6 +25,9 @@ from martflow.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# the typed contract without the folded column: a plain drop's read schema
+SALES_FACT_CSV = type(SALES_FACT)(SALES_FACT.fields[:-1])
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
@@ -275,3 +282,111 @@ def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     candidates = t.customer.select(F.col("c_custkey").cast("string").alias("file_name"))
     return MF.pending(candidates, tb.manifest_log(t), **_MANIFEST_ORDER)
+
+
+# ------------------------------------------------------- ingestion
+
+def _drop(spark: SparkSession, sf_dir: str):
+    """(drop root, listing with ``accepted``, header check of accepted files)."""
+    t = Tables(spark, sf_dir)
+    root = tb.sales_drop(t)
+    listing = V.split_by_extension(FS.list_files(spark, root))
+    headers = FS.read_headers(listing.where("accepted"))
+    checked = V.check_headers(headers).join(listing.select("path", "drop"), "path", "inner")
+    return root, listing, checked
+
+
+def _array_text(c: str) -> F.Column:
+    return F.array_join(F.col(c), ",").alias(c)
+
+
+@query
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders and extensions of the drop, and whether each kind is accepted."""
+    _, listing, _ = _drop(spark, sf_dir)
+    return listing.select("drop", "extension", "accepted").distinct()
+
+
+@query
+def header_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct header lines per drop folder (CSV files only)."""
+    _, _, checked = _drop(spark, sf_dir)
+    return checked.select("drop", "header", F.size("columns").alias("n_columns")).distinct()
+
+
+@query
+def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mandatory-column check per drop: missing and extra names, validity."""
+    _, _, checked = _drop(spark, sf_dir)
+    return checked.select("drop", "valid", _array_text("missing"), _array_text("extras")).distinct()
+
+
+@query
+def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected files by reason, with their data lines counted (header lines
+    excluded)."""
+    _, listing, checked = _drop(spark, sf_dir)
+    report = V.quarantine_report(listing, checked)
+    paths = [r.path for r in report.select("path").collect()]
+    lines = V.quarantine_lines(spark, report, paths)
+    heads = checked.select("path", "header")
+    data = (lines.join(heads, "path", "left")
+            .where(F.col("header").isNull() | (F.col("line") != F.col("header"))))
+    per_drop = report.select("path", "drop", "missing").join(data, "path", "inner")
+    return (per_drop.groupBy("drop", "reason", _array_text("missing"))
+            .agg(F.count(F.lit(1)).alias("data_rows")))
+
+
+@query
+def bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose text does not cast to the contract (kept, not dropped)."""
+    _, _, checked = _drop(spark, sf_dir)
+    _, bad = C.conform(spark, checked)
+    return bad.select("drop", F.col("customer_id").cast("long").alias("customer_id"),
+                      F.col("sales_person_id").cast("long").alias("sales_person_id"),
+                      "sales_date", _array_text("bad_columns"))
+
+
+def _good(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, checked = _drop(spark, sf_dir)
+    good, _ = C.conform(spark, checked)
+    return good
+
+
+@query
+def fold_extra_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed rows of every valid file; extras folded into one column."""
+    good = _good(spark, sf_dir)
+    return good.select("drop", "customer_id", "store_id", "product_name", _str("sales_date"),
+                       "sales_person_id", _dbl("price"), "quantity", _dbl("total_cost"),
+                       "additional_column")
+
+
+@query
+def conform_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union of the header variants, per drop: rows and money."""
+    good = _good(spark, sf_dir)
+    return (good.groupBy("drop")
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum("total_cost").cast("double").alias("total_cost"),
+                 F.count("additional_column").alias("with_extras")))
+
+
+@query
+def csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plain-contract folder read with the typed contract schema directly
+    (no inference), summed per store."""
+    root, _, _ = _drop(spark, sf_dir)
+    df = (spark.read.schema(SALES_FACT_CSV).option("header", "true")
+          .option("mode", "FAILFAST").csv(f"{root}/medium"))
+    return (df.groupBy("store_id")
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum("quantity").alias("quantity"),
+                 F.sum("total_cost").cast("double").alias("total_cost")))
+
+
+@query
+def total_cost_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """total_cost against list price * quantity, per store (report only)."""
+    rows = tb.sales_drop_rows(Tables(spark, sf_dir))
+    return V.total_cost_check(rows, ["store_id"])

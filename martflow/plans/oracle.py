@@ -253,3 +253,98 @@ ORACLE["new_files_only"] = _with(_MANIFEST) + """
 select cast(c_custkey as varchar) as file_name from customer
 where cast(c_custkey as varchar) not in (select file_name from mlatest where status = 'I')
 """
+
+# ---------------------------------------------------------------- drops
+# The drop design (one folder per order priority) restated in SQL.
+_DROPROWS = """
+droprows as (
+  select o_custkey as customer_id, cast(s_nationkey as bigint) as store_id,
+         p_name as product_name, cast(o_orderdate as date) as sales_date,
+         l_suppkey as sales_person_id, cast(p_retailprice as decimal(18,2)) as price,
+         cast(l_quantity as integer) as quantity,
+         cast(l_extendedprice as decimal(18,2)) as total_cost,
+         l_linestatus, l_returnflag,
+         case o_orderpriority when '1-URGENT' then 'urgent' when '2-HIGH' then 'high'
+              when '3-MEDIUM' then 'medium' when '4-NOT SPECIFIED' then 'unspecified'
+              when '5-LOW' then 'low' end as "drop"
+  from lineitem join orders on l_orderkey = o_orderkey
+                join supplier on l_suppkey = s_suppkey
+                join part on l_partkey = p_partkey
+)"""
+
+_CONTRACT = "customer_id,store_id,product_name,sales_date,sales_person_id,price,quantity,total_cost"
+
+ORACLE["file_listing"] = _with(_DROPROWS) + """
+select distinct "drop",
+       case when "drop" = 'low' then '.json' else '.csv' end as extension,
+       "drop" <> 'low' as accepted
+from droprows
+"""
+
+ORACLE["header_inventory"] = _with(_DROPROWS) + f"""
+select distinct "drop",
+  case "drop"
+    when 'urgent' then 'customer_id,store_id,product_name,sales_date,sales_person_id,quantity,total_cost'
+    when 'high' then '{_CONTRACT},l_linestatus,l_returnflag'
+    when 'medium' then '{_CONTRACT}'
+    when 'unspecified' then 'L_RETURNFLAG,L_LINESTATUS,TOTAL_COST,QUANTITY,PRICE,SALES_PERSON_ID,SALES_DATE,PRODUCT_NAME,STORE_ID,CUSTOMER_ID'
+  end as header,
+  case "drop" when 'urgent' then 7 when 'medium' then 8 else 10 end as n_columns
+from droprows where "drop" <> 'low'
+"""
+
+ORACLE["schema_check"] = _with(_DROPROWS) + """
+select distinct "drop", "drop" <> 'urgent' as valid,
+       case when "drop" = 'urgent' then 'price' else '' end as missing,
+       case when "drop" in ('high', 'unspecified') then 'l_linestatus,l_returnflag' else '' end
+         as extras
+from droprows where "drop" <> 'low'
+"""
+
+ORACLE["quarantine_split"] = _with(_DROPROWS) + """
+select "drop", case when "drop" = 'low' then 'extension' else 'missing columns' end as reason,
+       case when "drop" = 'urgent' then 'price' end as missing, count(*) as data_rows
+from droprows where "drop" in ('urgent', 'low') group by 1, 2, 3
+"""
+
+ORACLE["bad_rows"] = _with(_DROPROWS) + """
+select "drop", customer_id, sales_person_id, strftime(sales_date, '%d/%m/%Y') as sales_date,
+       'sales_date' as bad_columns
+from droprows where "drop" = 'high' and l_returnflag = 'R'
+"""
+
+_GOOD = """
+good as (
+  select *, case when "drop" in ('high', 'unspecified')
+                 then l_linestatus || ', ' || l_returnflag end as additional_column
+  from droprows
+  where "drop" in ('high', 'medium', 'unspecified')
+    and not ("drop" = 'high' and l_returnflag = 'R')
+)"""
+
+ORACLE["fold_extra_columns"] = _with(_DROPROWS, _GOOD) + """
+select "drop", customer_id, store_id, product_name, cast(sales_date as varchar) as sales_date,
+       sales_person_id, cast(price as double) as price, quantity,
+       cast(total_cost as double) as total_cost, additional_column
+from good
+"""
+
+ORACLE["conform_union"] = _with(_DROPROWS, _GOOD) + """
+select "drop", count(*) as rows, cast(sum(total_cost) as double) as total_cost,
+       count(additional_column) as with_extras
+from good group by 1
+"""
+
+ORACLE["csv_roundtrip_scan"] = _with(_DROPROWS) + """
+select store_id, count(*) as rows, cast(sum(quantity) as bigint) as quantity,
+       cast(sum(total_cost) as double) as total_cost
+from droprows where "drop" = 'medium' group by 1
+"""
+
+ORACLE["total_cost_check"] = _with(_DROPROWS) + """
+select store_id, count(*) as rows,
+       count(case when total_cost <> price * quantity then 1 end) as mismatched,
+       count(case when total_cost is null or price is null or quantity is null then 1 end)
+         as incomplete
+from droprows group by 1
+"""

@@ -143,7 +143,8 @@ def sales_drop_rows(t: Tables) -> DataFrame:
                     money("p_retailprice").alias("price"),
                     F.col("l_quantity").cast("int").alias("quantity"),
                     money("l_extendedprice").alias("total_cost"),
-                    *[F.col(c) for c in EXTRA_SOURCE_COLUMNS]))
+                    *[F.col(c) for c in EXTRA_SOURCE_COLUMNS],
+                    F.col("o_orderpriority").alias("priority")))
 
 
 def manifest_log(t: Tables) -> DataFrame:
@@ -156,3 +157,58 @@ def manifest_log(t: Tables) -> DataFrame:
         F.col("ts").alias("event_ts"),
         F.col("event_id").cast("string").alias("run_id"),
         F.col("event_id"))
+
+
+# --------------------------------------------------------------------------
+# Sales file drops written by Spark from the tables (ingestion fixtures).
+# --------------------------------------------------------------------------
+
+# One drop folder per order priority, each with its own shape.
+#   urgent      - CSV without the price column        -> quarantined (missing)
+#   high        - CSV with extras; dates dd/MM/yyyy on returned lines -> bad rows
+#   medium      - CSV with exactly the contract columns
+#   unspecified - CSV, columns reversed, header upper-case, with extras
+#   low         - JSON lines, not CSV                  -> quarantined (extension)
+DROP_BY_PRIORITY = {
+    "1-URGENT": "urgent",
+    "2-HIGH": "high",
+    "3-MEDIUM": "medium",
+    "4-NOT SPECIFIED": "unspecified",
+    "5-LOW": "low",
+}
+
+_DROP_CACHE: dict[tuple[str, str], str] = {}
+
+
+def write_sales_drop(t: Tables, root: str) -> str:
+    """Write the five drop folders under ``root``; returns ``root``."""
+    from martflow.contracts import MANDATORY_COLUMNS
+    rows = sales_drop_rows(t)
+    contract = list(MANDATORY_COLUMNS)
+
+    def out(priority: str):
+        return rows.where(F.col("priority") == priority).drop("priority")
+
+    def csv(df: DataFrame, folder: str):
+        df.write.mode("overwrite").option("header", "true").csv(f"{root}/{folder}")
+
+    csv(out("1-URGENT").select(*[c for c in contract if c != "price"]), "urgent")
+    high = out("2-HIGH").withColumn(
+        "sales_date", F.when(F.col("l_returnflag") == "R", F.date_format("sales_date", "dd/MM/yyyy"))
+        .otherwise(F.col("sales_date").cast("string")))
+    csv(high.select(*contract, *EXTRA_SOURCE_COLUMNS), "high")
+    csv(out("3-MEDIUM").select(*contract), "medium")
+    rev = list(reversed(contract + EXTRA_SOURCE_COLUMNS))
+    csv(out("4-NOT SPECIFIED").select(*[F.col(c).alias(c.upper()) for c in rev]), "unspecified")
+    out("5-LOW").select(*contract).write.mode("overwrite").json(f"{root}/low")
+    return root
+
+
+def sales_drop(t: Tables) -> str:
+    """The drop for these tables, written once per session under the shared
+    work folder (``spark.checkpoint.dir``)."""
+    from martflow.session import work_dir
+    key = (t.spark.sparkContext.applicationId, t.root)
+    if key not in _DROP_CACHE:
+        _DROP_CACHE[key] = write_sales_drop(t, work_dir(t.spark, "drop"))
+    return _DROP_CACHE[key]

@@ -16,6 +16,9 @@ from martflow.contracts import SALES_FACT
 from martflow.functions import columns as fn
 from martflow.operators import conform as C
 from martflow.operators import validate as V
+from martflow.session import work_dir
+from martflow.sinks import files as SK
+from martflow.sinks import jdbc as SJ
 from martflow.sources import files as FS
 from martflow.operators import enrich as E
 from martflow.operators import manifest as MF
@@ -390,3 +393,89 @@ def total_cost_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """total_cost against list price * quantity, per store (report only)."""
     rows = tb.sales_drop_rows(Tables(spark, sf_dir))
     return V.total_cost_check(rows, ["store_id"])
+
+
+# ------------------------------------------------------- sinks
+
+def _sales_mart_out(df: DataFrame) -> DataFrame:
+    return df.select("store_id", "sales_person_id", "full_name", "sales_month",
+                     _dbl("total_sales"), _dbl("incentive"))
+
+
+@query
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer mart written as Parquet (overwrite) and read back."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    path = work_dir(spark, "customer_mart")
+    SK.write_parquet(M.customer_mart(fact, cust, store, team), path)
+    back = spark.read.parquet(path)
+    return back.select("customer_id", "full_name", "address", "phone_number",
+                       "sales_date_month", _dbl("total_sales"))
+
+
+@query
+def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales detail mart partitioned by (sales_month, store_id), read back
+    through a partition filter (PartitionFilters prune folders)."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    path = work_dir(spark, "sales_partitioned")
+    SK.write_partitioned(M.sales_detail(M.star_enrich(fact, cust, store, team)), path,
+                         ["sales_month", "store_id"])
+    back = (spark.read.parquet(path)
+            .where((F.col("store_id") <= 5) & (F.col("sales_month") >= "1998-01")))
+    return (back.groupBy("sales_month", F.col("store_id").cast("long").alias("store_id"))
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum("total_cost").cast("double").alias("total_cost")))
+
+
+@query
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer detail and customer attributes as 10-bucket tables on
+    customer_id; the grouped join of the two reads them without a shuffle."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    tag = work_dir(spark, "bucketed").rsplit("-", 1)[-1]
+    detail_t, attrs_t = f"customer_detail_b{tag}", f"customer_attrs_b{tag}"
+    detail = M.customer_detail(M.star_enrich(fact, cust, store, team))
+    SK.write_bucketed(detail.select("customer_id", "sales_date", "total_cost"), detail_t,
+                      work_dir(spark, detail_t), 10, "customer_id")
+    SK.write_bucketed(M.customer_attributes(cust).withColumnRenamed("attr_customer_id",
+                                                                    "customer_id"),
+                      attrs_t, work_dir(spark, attrs_t), 10, "customer_id")
+    totals = (spark.table(detail_t).groupBy("customer_id")
+              .agg(F.sum("total_cost").alias("total_sales"), F.count(F.lit(1)).alias("lines")))
+    out = totals.join(spark.table(attrs_t), "customer_id", "inner")
+    return out.select("customer_id", "full_name", _dbl("total_sales"), "lines")
+
+
+@query
+def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the sales mart: the first commits, the second dies after
+    writing part of its files. The reader returns the committed run only."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    root = work_dir(spark, "sales_mart_runs")
+    mart = M.sales_mart(fact, cust, store, team)
+    SK.publish_run(spark, mart, root, "00000001")
+    SK.write_parquet(mart.where(F.col("store_id") == 0), SK.run_path(root, "00000002"))
+    return _sales_mart_out(SK.latest_run(spark, root))
+
+
+@query
+def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales mart appended to a JDBC table with its run id, read back in
+    parallel ranges of sales_person_id, filtered to the run (pushed down).
+
+    Uses embedded Derby, which only this JVM sees: on a cluster point the
+    URL at a shared database."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    url = f"jdbc:derby:{work_dir(spark, 'derby')}/db;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
+             "createTableColumnTypes": "run_id VARCHAR(32), full_name VARCHAR(128), "
+                                       "sales_month VARCHAR(16)"}
+    mart = M.sales_mart(fact, cust, store, team).withColumn("run_id", F.lit("00000001"))
+    SJ.write_jdbc(mart, url, "SALES_TEAM_DATA_MART", props)
+    read_props = {"driver": props["driver"]}
+    lo, hi = SJ.key_bounds(mart.select("sales_person_id"), "sales_person_id")
+    back = SJ.read_jdbc(spark, url, "SALES_TEAM_DATA_MART", read_props,
+                        "SALES_PERSON_ID", lo, hi + 1, 8)
+    back = back.toDF(*[c.lower() for c in back.columns]).where(F.col("run_id") == "00000001")
+    return _sales_mart_out(back)

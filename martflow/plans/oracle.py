@@ -348,3 +348,23 @@ select store_id, count(*) as rows,
          as incomplete
 from droprows group by 1
 """
+
+# ---------------------------------------------------------------- sinks
+ORACLE["parquet_roundtrip"] = ORACLE["customer_mart"]
+ORACLE["latest_run"] = ORACLE["sales_mart"]
+ORACLE["jdbc_roundtrip"] = ORACLE["sales_mart"]
+
+ORACLE["partition_pruned_read"] = _with(_LINES, _DIMS, _ENRICHED) + """
+select substring(cast(sales_date as varchar), 1, 7) as sales_month, store_id,
+       count(*) as rows, cast(sum(total_cost) as double) as total_cost
+from enriched
+where store_id <= 5 and substring(cast(sales_date as varchar), 1, 7) >= '1998-01'
+group by 1, 2
+"""
+
+ORACLE["bucketed_join"] = _with(_LINES, _DIMS, _ENRICHED) + """
+select e.customer_id, c.first_name || ' ' || c.last_name as full_name,
+       cast(sum(e.total_cost) as double) as total_sales, count(*) as lines
+from enriched e join cust c on e.customer_id = c.customer_id
+group by e.customer_id, c.first_name, c.last_name
+"""

@@ -23,7 +23,7 @@ from martflow.contracts import MANIFEST, STATUS_ACTIVE, STATUS_INACTIVE
 
 
 def latest(log: DataFrame, key: str = "file_name",
-           order: tuple[str, ...] = ("event_ts", "run_id"),
+           order: tuple[str, ...] = ("event_ts", "run_id", "status"),
            carry: tuple[str, ...] = ("status", "file_location", "event_ts", "run_id")) -> DataFrame:
     """Current state per key: the carried columns of its latest event."""
     state = F.max_by(F.struct(*[F.col(c) for c in carry]), F.struct(*[F.col(c) for c in order]))
@@ -37,13 +37,15 @@ def active(log: DataFrame, **kw) -> DataFrame:
     return latest(log, **kw).where(F.col("status") == STATUS_ACTIVE)
 
 
+
 def completed(log: DataFrame, **kw) -> DataFrame:
     return latest(log, **kw).where(F.col("status") == STATUS_INACTIVE)
 
 
-def pending(candidates: DataFrame, log: DataFrame, key: str = "file_name", **kw) -> DataFrame:
+def pending(candidates: DataFrame, log: DataFrame, key: str = "file_name",
+            log_key: str = "file_name", **kw) -> DataFrame:
     """Candidate files not yet committed: a rerun of the same drop selects nothing."""
-    done = completed(log, key=key, **kw).select(F.col(key).alias("__done"))
+    done = completed(log, key=log_key, **kw).select(F.col(log_key).alias("__done"))
     return candidates.join(done, candidates[key] == done["__done"], "left_anti")
 
 

@@ -16,7 +16,9 @@ from martflow.contracts import SALES_FACT
 from martflow.functions import columns as fn
 from martflow.operators import conform as C
 from martflow.operators import validate as V
+from martflow.plans import batch_job as BJ
 from martflow.session import work_dir
+from martflow.streaming import ingest as ST
 from martflow.sinks import files as SK
 from martflow.sinks import jdbc as SJ
 from martflow.sources import files as FS
@@ -263,6 +265,7 @@ def distinct_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------- manifest
 
 _MANIFEST_ORDER = {"order": ("event_ts", "event_id")}
+_PENDING_ORDER = {"order": ("event_ts", "event_id")}
 
 
 @query
@@ -284,7 +287,7 @@ def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate drops (one per customer) minus files already committed."""
     t = Tables(spark, sf_dir)
     candidates = t.customer.select(F.col("c_custkey").cast("string").alias("file_name"))
-    return MF.pending(candidates, tb.manifest_log(t), **_MANIFEST_ORDER)
+    return MF.pending(candidates, tb.manifest_log(t), **_PENDING_ORDER)
 
 
 # ------------------------------------------------------- ingestion
@@ -479,3 +482,40 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "SALES_PERSON_ID", lo, hi + 1, 8)
     back = back.toDF(*[c.lower() for c in back.columns]).where(F.col("run_id") == "00000001")
     return _sales_mart_out(back)
+
+
+# ------------------------------------------------------- streaming (K7) and the whole job
+
+def _dims(t: Tables) -> BJ.Dimensions:
+    return BJ.Dimensions(tb.customer_dim(t), tb.store_dim(t), tb.sales_team_dim(t))
+
+
+@query
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drop ingested by a file stream (AvailableNow), started twice on the
+    same checkpoint: the second start finds no new file, so nothing is
+    ingested twice. Returns the staged fact of all runs, per drop."""
+    t = Tables(spark, sf_dir)
+    landing = tb.write_sales_drop(t, work_dir(spark, "landing"))
+    layout = BJ.Layout(work_dir(spark, "stream_out"))
+    ckpt = work_dir(spark, "stream_ckpt")
+    for _ in range(2):
+        ST.start_ingest(spark, landing, _dims(t), layout, ckpt).awaitTermination()
+    staged = spark.read.parquet(layout.staged)
+    return (staged.groupBy("drop")
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum("total_cost").cast("double").alias("total_cost"),
+                 F.count("additional_column").alias("with_extras")))
+
+
+@query
+def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job over the drop, run twice (the rerun finds every
+    file committed and adds nothing); returns the published sales mart."""
+    t = Tables(spark, sf_dir)
+    landing = tb.write_sales_drop(t, work_dir(spark, "landing"))
+    layout = BJ.Layout(work_dir(spark, "job_out"))
+    BJ.run_folder(spark, landing, _dims(t), layout, "run-1")
+    second = BJ.run_folder(spark, landing, _dims(t), layout, "run-2")
+    assert second["files"] == 0, second
+    return _sales_mart_out(SK.latest_run(spark, layout.sales_mart))

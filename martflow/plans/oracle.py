@@ -368,3 +368,29 @@ select e.customer_id, c.first_name || ' ' || c.last_name as full_name,
 from enriched e join cust c on e.customer_id = c.customer_id
 group by e.customer_id, c.first_name, c.last_name
 """
+
+# ---------------------------------------------------------------- stream and job
+ORACLE["stream_ingest"] = ORACLE["conform_union"]
+
+ORACLE["batch_marts"] = _with(_DROPROWS, _GOOD, _DIMS, """
+genriched as (
+  select g.* from good g
+  join team t on g.sales_person_id = t.id
+  join store s on g.store_id = s.id
+  join cust c on g.customer_id = c.customer_id
+),
+gtot as (
+  select store_id, sales_person_id, substring(cast(sales_date as varchar), 1, 7) as sales_month,
+         sum(total_cost) as total_sales
+  from genriched group by 1, 2, 3
+),
+granked as (
+  select *, rank() over (partition by store_id, sales_month order by total_sales desc nulls last) as rnk
+  from gtot
+)""") + """
+select r.store_id, r.sales_person_id, t.first_name || ' ' || t.last_name as full_name,
+       r.sales_month, cast(r.total_sales as double) as total_sales,
+       cast(round(case when rnk = 1 then total_sales * cast(0.01 as decimal(3,2)) else 0 end, 2)
+            as double) as incentive
+from granked r join team t on r.sales_person_id = t.id
+"""

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martflow.functions.columns import full_name, month_key, rate_of
+from martflow.operators import ranking
 from martflow.operators.enrich import DimSpec, star_join
 
 # The incentive paid to each (store, month) leader.
@@ -91,13 +92,19 @@ def top_sellers(totals: DataFrame, group: list[str], value: str = "total_sales")
     return with_leader(totals, group, value).where(is_leader(value)).drop("leader_total")
 
 
-def rank_within(totals: DataFrame, group: list[str], value: str = "total_sales",
+def rank_window(totals: DataFrame, group: list[str], value: str = "total_sales",
                 out: str = "rnk") -> DataFrame:
-    """rank() over (group ORDER BY value DESC NULLS LAST)."""
+    """rank() over (group ORDER BY value DESC NULLS LAST), the plain window."""
     w = Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last())
     return totals.withColumn(out, F.rank().over(w))
 
 
+def rank_within(totals: DataFrame, group: list[str], value: str = "total_sales",
+                out: str = "rnk", **kw) -> DataFrame:
+    """The same rank, with hot groups split into value ranges (see ``ranking``)."""
+    return ranking.rank_within(totals, group, value, out, **kw)
+
+
 # --------------------------------------------------------------------------
 # The marts, over a contract fact and contract dimensions.
 # --------------------------------------------------------------------------

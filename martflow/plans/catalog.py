@@ -22,6 +22,7 @@ from martflow.streaming import ingest as ST
 from martflow.sinks import files as SK
 from martflow.sinks import jdbc as SJ
 from martflow.sources import files as FS
+from martflow.sources import synth as SY
 from martflow.operators import enrich as E
 from martflow.operators import manifest as MF
 from martflow.operators import marts as M
@@ -519,3 +520,14 @@ def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = BJ.run_folder(spark, landing, _dims(t), layout, "run-2")
     assert second["files"] == 0, second
     return _sales_mart_out(SK.latest_run(spark, layout.sales_mart))
+
+
+# ------------------------------------------------------- generator
+
+@query
+def synth_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded synthetic sales, one per lineitem row (rows-only check: the
+    draws are Spark hashes)."""
+    out = SY.synth_sales(Tables(spark, sf_dir))
+    return out.select("customer_id", "store_id", "product_name", _str("sales_date"),
+                      "sales_person_id", _dbl("price"), "quantity", _dbl("total_cost"))

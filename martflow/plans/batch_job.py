@@ -57,6 +57,10 @@ class Layout:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def selections(self) -> str:
+        return f"{self.root}/selections"
+
     @property
     def customer_mart(self) -> str:
         return f"{self.root}/customers_data_mart"
@@ -74,31 +78,37 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
     listing = MF.pending(listing, log, key="path")
     checked = (V.check_headers(FS.read_headers(listing.where("accepted")))
                .join(listing.select("path", "drop"), "path", "inner"))
-    checked = checked.persist()
-    try:
-        report = V.quarantine_report(listing, checked)
-        report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
-            .parquet(SK.run_path(layout.quarantine, run_id))
-        valid = checked.where("valid").select(F.col("path").alias("file_name"),
-                                              F.col("path").alias("file_location"))
-        if valid.isEmpty():
-            return {"run_id": run_id, "files": 0}
-        MF.record(spark, layout.manifest, valid, STATUS_ACTIVE, run_id)
-
-        good, bad = C.conform(spark, checked)
-        bad.write.mode("overwrite").parquet(SK.run_path(layout.bad_rows, run_id))
-        staged_path = SK.run_path(layout.staged, run_id)
-        good.write.mode("overwrite").parquet(staged_path)
-        fact = spark.read.parquet(staged_path)
-
-        SK.publish_run(spark, M.customer_mart(fact, dims.customer, dims.store, dims.team),
-                       layout.customer_mart, run_id)
-        SK.publish_run(spark, M.sales_mart(fact, dims.customer, dims.store, dims.team),
-                       layout.sales_mart, run_id, partition_by=["sales_month"])
-        MF.record(spark, layout.manifest, valid, STATUS_INACTIVE, run_id)
-        return {"run_id": run_id, "files": valid.count()}
-    finally:
-        checked.unpersist()
+    # Freeze this run's selection: later writes to the manifest must not change
+    # which files the run is about (Spark re-reads a plan whose input path was
+    # written), and a lost executor recomputes from the snapshot.
+    snap = SK.run_path(layout.selections, run_id)
+    checked.write.mode("overwrite").parquet(f"{snap}/checked")
+    listing.write.mode("overwrite").parquet(f"{snap}/listing")
+    checked = spark.read.parquet(f"{snap}/checked")
+    listing = spark.read.parquet(f"{snap}/listing")
+
+    report = V.quarantine_report(listing, checked)
+    report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
+        .parquet(SK.run_path(layout.quarantine, run_id))
+    valid = checked.where("valid").select(F.col("path").alias("file_name"),
+                                          F.col("path").alias("file_location"))
+    n_valid = valid.count()
+    if n_valid == 0:
+        return {"run_id": run_id, "files": 0}
+    MF.record(spark, layout.manifest, valid, STATUS_ACTIVE, run_id)
+
+    good, bad = C.conform(spark, checked)
+    bad.write.mode("overwrite").parquet(SK.run_path(layout.bad_rows, run_id))
+    staged_path = SK.run_path(layout.staged, run_id)
+    good.write.mode("overwrite").parquet(staged_path)
+    fact = spark.read.parquet(staged_path)
+
+    SK.publish_run(spark, M.customer_mart(fact, dims.customer, dims.store, dims.team),
+                   layout.customer_mart, run_id)
+    SK.publish_run(spark, M.sales_mart(fact, dims.customer, dims.store, dims.team),
+                   layout.sales_mart, run_id, partition_by=["sales_month"])
+    MF.record(spark, layout.manifest, valid, STATUS_INACTIVE, run_id)
+    return {"run_id": run_id, "files": n_valid}
 
 
 def run_folder(spark: SparkSession, landing: str, dims: Dimensions, layout: Layout,

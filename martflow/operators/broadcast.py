@@ -16,6 +16,8 @@ partitions of it.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,9 +42,26 @@ def max_rows_for(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int
     return max(1, max_bytes // row_width(df))
 
 
+# Proofs are kept per session for a short while, keyed by the plan's semantic
+# hash (same tables, same derivation): a query built again soon after does not
+# pay the check again; a table that grows is re-checked after the TTL.
+PROOF_TTL_SECONDS = 600.0
+_PROOFS: dict[tuple, tuple[float, bool]] = {}
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    except Exception:  # noqa: BLE001 - no hash: always check
+        key = None
+    now = time.monotonic()
+    if key is not None and key in _PROOFS and now - _PROOFS[key][0] < PROOF_TTL_SECONDS:
+        return _PROOFS[key][1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROOFS[key] = (now, ok)
+    return ok
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,

@@ -45,7 +45,7 @@ def _dbl(c: str) -> F.Column:
 
 
 def _star(spark: SparkSession, sf_dir: str):
-    t = Tables(spark, sf_dir)
+    t = Tables.open(spark, sf_dir)
     return (t, tb.sales_lines(t), tb.customer_dim(t), tb.store_dim(t), tb.sales_team_dim(t))
 
 
@@ -243,13 +243,13 @@ def sales_mart_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def month_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = Tables(spark, sf_dir).orders
+    o = Tables.open(spark, sf_dir).orders
     return o.select("o_orderkey", fn.month_key(F.to_date("o_orderdate")).alias("sales_month"))
 
 
 @query
 def full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = tb.customer_dim(Tables(spark, sf_dir))
+    c = tb.customer_dim(Tables.open(spark, sf_dir))
     return c.select("customer_id", fn.full_name("first_name", "last_name").alias("full_name"))
 
 
@@ -271,7 +271,7 @@ _PENDING_ORDER = {"order": ("event_ts", "event_id")}
 
 @query
 def manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = tb.manifest_log(Tables(spark, sf_dir))
+    log = tb.manifest_log(Tables.open(spark, sf_dir))
     out = MF.latest(log, **_MANIFEST_ORDER)
     return out.select("file_name", "status", _str("event_ts"))
 
@@ -279,14 +279,14 @@ def manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def active_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files left in state 'A' (a run picked them up and never committed)."""
-    log = tb.manifest_log(Tables(spark, sf_dir))
+    log = tb.manifest_log(Tables.open(spark, sf_dir))
     return MF.active(log, **_MANIFEST_ORDER).select("file_name").distinct()
 
 
 @query
 def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate drops (one per customer) minus files already committed."""
-    t = Tables(spark, sf_dir)
+    t = Tables.open(spark, sf_dir)
     candidates = t.customer.select(F.col("c_custkey").cast("string").alias("file_name"))
     return MF.pending(candidates, tb.manifest_log(t), **_PENDING_ORDER)
 
@@ -295,7 +295,7 @@ def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _drop(spark: SparkSession, sf_dir: str):
     """(drop root, listing with ``accepted``, header check of accepted files)."""
-    t = Tables(spark, sf_dir)
+    t = Tables.open(spark, sf_dir)
     root = tb.sales_drop(t)
     listing = V.split_by_extension(FS.list_files(spark, root))
     headers = FS.read_headers(listing.where("accepted"))
@@ -395,7 +395,7 @@ def csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def total_cost_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """total_cost against list price * quantity, per store (report only)."""
-    rows = tb.sales_drop_rows(Tables(spark, sf_dir))
+    rows = tb.sales_drop_rows(Tables.open(spark, sf_dir))
     return V.total_cost_check(rows, ["store_id"])
 
 
@@ -496,7 +496,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drop ingested by a file stream (AvailableNow), started twice on the
     same checkpoint: the second start finds no new file, so nothing is
     ingested twice. Returns the staged fact of all runs, per drop."""
-    t = Tables(spark, sf_dir)
+    t = Tables.open(spark, sf_dir)
     landing = tb.write_sales_drop(t, work_dir(spark, "landing"))
     layout = BJ.Layout(work_dir(spark, "stream_out"))
     ckpt = work_dir(spark, "stream_ckpt")
@@ -513,7 +513,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch job over the drop, run twice (the rerun finds every
     file committed and adds nothing); returns the published sales mart."""
-    t = Tables(spark, sf_dir)
+    t = Tables.open(spark, sf_dir)
     landing = tb.write_sales_drop(t, work_dir(spark, "landing"))
     layout = BJ.Layout(work_dir(spark, "job_out"))
     BJ.run_folder(spark, landing, _dims(t), layout, "run-1")
@@ -528,6 +528,6 @@ def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def synth_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded synthetic sales, one per lineitem row (rows-only check: the
     draws are Spark hashes)."""
-    out = SY.synth_sales(Tables(spark, sf_dir))
+    out = SY.synth_sales(Tables.open(spark, sf_dir))
     return out.select("customer_id", "store_id", "product_name", _str("sales_date"),
                       "sales_person_id", _dbl("price"), "quantity", _dbl("total_cost"))

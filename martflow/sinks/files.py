@@ -27,11 +27,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
-    """Hive-style partition folders; with ``partitionOverwriteMode=dynamic``
-    an overwrite replaces only the partitions present in ``df``."""
-    (df.hint("rebalance", *by).write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite",
+                      dynamic: bool = False) -> None:
+    """Hive-style partition folders. ``dynamic=True`` overwrites only the
+    partitions present in ``df`` (Spark stages every folder and renames it on
+    commit, so it costs a rename per folder); a run writes a fresh folder and
+    does not need it."""
+    writer = df.hint("rebalance", *by).write.mode(mode)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, by: str,

@@ -37,6 +37,10 @@ def _nation_names(t: Tables) -> DataFrame:
 
 
 def customer_dim(t: Tables) -> DataFrame:
+    return t.memo("customer_dim", lambda: _customer_dim(t))
+
+
+def _customer_dim(t: Tables) -> DataFrame:
     c, n = t.customer, _nation_names(t)
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(F.col("c_custkey").alias("customer_id"),
@@ -49,6 +53,10 @@ def customer_dim(t: Tables) -> DataFrame:
 
 
 def store_dim(t: Tables) -> DataFrame:
+    return t.memo("store_dim", lambda: _store_dim(t))
+
+
+def _store_dim(t: Tables) -> DataFrame:
     n, r = t.nation, checked_broadcast(t.region)
     return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
             .select(F.col("n_nationkey").cast("long").alias("id"),
@@ -60,6 +68,10 @@ def store_dim(t: Tables) -> DataFrame:
 
 
 def sales_team_dim(t: Tables) -> DataFrame:
+    return t.memo("sales_team_dim", lambda: _sales_team_dim(t))
+
+
+def _sales_team_dim(t: Tables) -> DataFrame:
     """Suppliers as sellers; the manager of a nation's team is its lowest key.
 
     The manager table is a grouped minimum (one row per nation, partial
@@ -85,6 +97,10 @@ def sales_team_dim(t: Tables) -> DataFrame:
 
 
 def product_dim(t: Tables) -> DataFrame:
+    return t.memo("product_dim", lambda: _product_dim(t))
+
+
+def _product_dim(t: Tables) -> DataFrame:
     return t.part.select(
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("name"),
@@ -104,6 +120,10 @@ def seller_stores(t: Tables) -> DataFrame:
 
 
 def sales_lines(t: Tables) -> DataFrame:
+    return t.memo("sales_lines", lambda: _sales_lines(t))
+
+
+def _sales_lines(t: Tables) -> DataFrame:
     """One row per lineitem: the canonical sales fact over the test tables.
 
     lineitem x orders is the one fact-sized join (sort-merge on the order key,
@@ -128,6 +148,10 @@ def sales_lines(t: Tables) -> DataFrame:
 
 
 def sales_drop_rows(t: Tables) -> DataFrame:
+    return t.memo("sales_drop_rows", lambda: _sales_drop_rows(t))
+
+
+def _sales_drop_rows(t: Tables) -> DataFrame:
     """Rows of a sales file drop: the eight contract columns plus the two
     extra source columns (with product name and list price from ``part``)."""
     li, o, p = t.lineitem, t.orders, t.part
@@ -148,6 +172,10 @@ def sales_drop_rows(t: Tables) -> DataFrame:
 
 
 def manifest_log(t: Tables) -> DataFrame:
+    return t.memo("manifest_log", lambda: _manifest_log(t))
+
+
+def _manifest_log(t: Tables) -> DataFrame:
     """events as an append-only manifest log (one state event per row)."""
     return t.events.select(
         F.col("user_id").cast("string").alias("file_name"),

@@ -29,6 +29,10 @@ from martflow.sinks import files as SK
 from martflow.sources import files as FS
 
 
+class NoInputError(ValueError):
+    """The drop holds no file, or no file of an accepted kind."""
+
+
 @dataclass(frozen=True)
 class Dimensions:
     customer: DataFrame
@@ -89,7 +93,11 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
 
     report = V.quarantine_report(listing, checked)
     report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
-        .parquet(SK.run_path(layout.quarantine, run_id))
+        .parquet(SK.run_path(layout.quarantine, run_id) + "/report")
+    rejected = [r.path for r in report.select("path").collect()]
+    if rejected:
+        V.quarantine_lines(spark, report, rejected).write.mode("overwrite") \
+            .parquet(SK.run_path(layout.quarantine, run_id) + "/lines")
     valid = checked.where("valid").select(F.col("path").alias("file_name"),
                                           F.col("path").alias("file_location"))
     n_valid = valid.count()
@@ -111,8 +119,26 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
     return {"run_id": run_id, "files": n_valid}
 
 
+def require_input(files: DataFrame) -> None:
+    """Fail fast on an empty drop or one without a single CSV file."""
+    kinds = V.split_by_extension(files).groupBy("accepted").count().collect()
+    counts = {r["accepted"]: r["count"] for r in kinds}
+    if not counts:
+        raise NoInputError("no file in the drop")
+    if not counts.get(True):
+        raise NoInputError("no CSV file in the drop")
+
+
 def run_folder(spark: SparkSession, landing: str, dims: Dimensions, layout: Layout,
-               run_id: str | None = None) -> dict:
-    """Batch entry point: every file under ``landing`` not yet committed."""
-    return run_files(spark, FS.list_files(spark, landing), dims, layout,
-                     run_id or SK.new_run_id())
+               run_id: str | None = None, preview: int = 0) -> dict:
+    """Batch entry point: every file under ``landing`` not yet committed.
+
+    ``preview > 0`` prints that many rows of the published sales mart (an
+    opt-in action; off by default so the job runs no extra query).
+    """
+    files = FS.list_files(spark, landing)
+    require_input(files)
+    out = run_files(spark, files, dims, layout, run_id or SK.new_run_id())
+    if preview and out.get("files"):
+        SK.latest_run(spark, layout.sales_mart).show(preview, truncate=False)
+    return out

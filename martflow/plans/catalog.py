@@ -500,8 +500,10 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = tb.write_sales_drop(t, work_dir(spark, "landing"))
     layout = BJ.Layout(work_dir(spark, "stream_out"))
     ckpt = work_dir(spark, "stream_ckpt")
+    archive = work_dir(spark, "stream_archive")
     for _ in range(2):
-        ST.start_ingest(spark, landing, _dims(t), layout, ckpt).awaitTermination()
+        ST.start_ingest(spark, landing, _dims(t), layout, ckpt,
+                        archive_dir=archive).awaitTermination()
     staged = spark.read.parquet(layout.staged)
     return (staged.groupBy("drop")
             .agg(F.count(F.lit(1)).alias("rows"),

@@ -119,3 +119,32 @@ def test_failure_before_commit_leaves_files_active(spark, tmp_dir):
     assert [r["status"] for r in MF.latest(log).collect()] == ["A"]
     assert BJ.run_folder(spark, land, _dims(spark), layout, "r2")["files"] == 1
     assert MF.active(MF.read_log(spark, layout.manifest)).count() == 0
+
+
+def test_empty_or_csv_free_drop_fails_fast(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(os.path.join(land, "d"))
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    with pytest.raises(BJ.NoInputError):
+        BJ.run_folder(spark, land, _dims(spark), layout, "r1")
+    write(os.path.join(land, "d"), "note.txt", "x\n")
+    with pytest.raises(BJ.NoInputError):
+        BJ.run_folder(spark, land, _dims(spark), layout, "r1")
+
+
+def test_quarantined_lines_are_kept_with_reason(spark, tmp_dir):
+    root = fixture_drop(tmp_dir)
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    BJ.run_folder(spark, root, _dims(spark), layout, "r1")
+    lines = spark.read.parquet(layout.quarantine + "/run_id=r1/lines")
+    reasons = {(os.path.basename(r["path"]), r["reason"]) for r in lines.collect()}
+    assert reasons == {("note.txt", "extension"), ("missing.csv", "missing columns")}
+
+
+def test_read_dim_conforms_by_name(spark, tmp_dir):
+    from martflow.sources.dims import read_dim
+    path = os.path.join(tmp_dir, "store")
+    spark.createDataFrame([(7, "Mgr", "x")], "ID int, store_manager_name string, junk string") \
+        .write.parquet(path)
+    (r,) = read_dim(spark, path, STORE).collect()
+    assert r["id"] == 7 and r["store_manager_name"] == "Mgr" and r["reviews"] is None

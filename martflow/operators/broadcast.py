@@ -64,8 +64,22 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return ok
 
 
-def checked_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+BUDGET_CONF = "spark.martflow.broadcastMaxBytes"
+
+
+def budget(df: DataFrame, max_bytes: int | None = None) -> int:
+    """The byte budget: explicit, else the session's setting, else the default."""
+    if max_bytes is not None:
+        return max_bytes
+    return int(df.sparkSession.conf.get(BUDGET_CONF, str(DEFAULT_BROADCAST_BYTES)))
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None,
                       max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its size is proven under the budget, else ``df``."""
-    bound = max_rows if max_rows is not None else max_rows_for(df, max_bytes)
-    return F.broadcast(df) if is_bounded(df, bound) else df
+    if max_rows is None:
+        limit = budget(df, max_bytes)
+        if limit <= 0:
+            return df
+        max_rows = max_rows_for(df, limit)
+    return F.broadcast(df) if is_bounded(df, max_rows) else df

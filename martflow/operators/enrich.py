@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.operators.broadcast import DEFAULT_BROADCAST_BYTES, checked_broadcast
+from martflow.operators.broadcast import checked_broadcast
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class DimSpec:
     columns: dict = field(default_factory=dict)
     how: str = "inner"
     broadcast: object = "auto"
-    max_bytes: int = DEFAULT_BROADCAST_BYTES
+    max_bytes: int | None = None
 
 
 def _dim_side(spec: DimSpec) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from martflow.functions.columns import full_name, month_key, rate_of
 from martflow.operators import ranking
-from martflow.operators.enrich import DimSpec, star_join
+from martflow.operators.enrich import DimSpec, join_dim, star_join
 
 # The incentive paid to each (store, month) leader.
 INCENTIVE_RATE = "0.01"
@@ -219,3 +219,75 @@ def manager_rollup(fact: DataFrame, team: DataFrame) -> DataFrame:
             .groupBy("manager_id")
             .agg(F.sum("seller_total").alias("team_total"),
                  F.countDistinct("sales_person_id").alias("members")))
+
+
+# --------------------------------------------------------------------------
+# The same marts over a header/line fact (orders + order lines), where the
+# seller's store is an attribute of the seller.
+#
+# The join order is chosen for the fact's size, not the dimensions':
+# * the customer check runs on the headers (one row per order, a fraction of
+#   the lines), and the lines meet the checked headers in the one join that
+#   shuffles line-sized data;
+# * the sales mart is aggregated per (seller, month) before the seller and
+#   store lookups, which then see one row per seller and month instead of one
+#   per line. Totals are summed again after those joins, so a duplicated
+#   seller or store key multiplies the total exactly as a join of every line
+#   would (sum is decomposable).
+# --------------------------------------------------------------------------
+
+def _keys(df: DataFrame, key: str, alias: str) -> DataFrame:
+    return df.select(F.col(key).alias(alias))
+
+
+def checked_headers(headers: DataFrame, customer: DataFrame,
+                    month_col: str = "sales_month") -> DataFrame:
+    """Headers whose customer exists (key-only inner join), with their month."""
+    h = join_dim(headers, DimSpec("customer", customer, "customer_id", "customer_id"))
+    return h.select("order_id", "customer_id", month_key("sales_date").alias(month_col))
+
+
+def valid_sellers(team: DataFrame, store: DataFrame) -> DataFrame:
+    """Seller id -> store id, for sellers whose store exists (dimension-sized)."""
+    t = team.select(F.col("id").alias("seller_id"), "store_id")
+    return join_dim(t, DimSpec("store", store, "store_id", "id"))
+
+
+def sales_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
+                    store: DataFrame, team: DataFrame) -> DataFrame:
+    """store_id, sales_person_id, sales_month, total_sales."""
+    h = checked_headers(headers, customer)
+    lines = items.select("order_id", "sales_person_id", "total_cost").join(h, "order_id")
+    per_seller = period_total(lines, ["sales_person_id", "sales_month"], out="seller_total")
+    sellers = valid_sellers(team, store)
+    joined = join_dim(per_seller, DimSpec("seller", sellers, "sales_person_id", "seller_id",
+                                          {"store_id": "store_id"}))
+    return period_total(joined, ["store_id", "sales_person_id", "sales_month"],
+                        amount="seller_total")
+
+
+def customer_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
+                       store: DataFrame, team: DataFrame) -> DataFrame:
+    """customer_id, sales_date_month, total_sales."""
+    h = checked_headers(headers, customer, "sales_date_month")
+    ok = join_dim(items.select("order_id", "sales_person_id", "total_cost"),
+                  DimSpec("seller", valid_sellers(team, store), "sales_person_id", "seller_id"))
+    lines = ok.join(h, "order_id")
+    return period_total(lines, ["customer_id", "sales_date_month"])
+
+
+def sales_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
+                  store: DataFrame, team: DataFrame) -> DataFrame:
+    totals = sales_totals_hl(headers, items, customer, store, team)
+    paid = top_incentive(totals, ["store_id", "sales_month"])
+    return (attach(paid, seller_attributes(team), "sales_person_id", "attr_seller_id")
+            .select("store_id", "sales_person_id", "full_name", "sales_month",
+                    "total_sales", "incentive"))
+
+
+def customer_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
+                     store: DataFrame, team: DataFrame) -> DataFrame:
+    totals = customer_totals_hl(headers, items, customer, store, team)
+    return (attach(totals, customer_attributes(customer), "customer_id", "attr_customer_id")
+            .select("customer_id", "full_name", "address", "phone_number",
+                    "sales_date_month", "total_sales"))

@@ -147,6 +147,25 @@ def _sales_lines(t: Tables) -> DataFrame:
                     F.col("l_linenumber").alias("line_number")))
 
 
+def sales_headers(t: Tables) -> DataFrame:
+    """The order level of the fact: one row per order (who, when)."""
+    return t.memo("sales_headers", lambda: t.orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.to_date("o_orderdate").alias("sales_date")))
+
+
+def sales_items(t: Tables) -> DataFrame:
+    """The line level of the fact: one row per lineitem (who sold, how much)."""
+    return t.memo("sales_items", lambda: t.lineitem.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_suppkey").alias("sales_person_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        money("l_extendedprice").alias("total_cost")))
+
+
 def sales_drop_rows(t: Tables) -> DataFrame:
     return t.memo("sales_drop_rows", lambda: _sales_drop_rows(t))
 

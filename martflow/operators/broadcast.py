@@ -49,8 +49,25 @@ PROOF_TTL_SECONDS = 600.0
 _PROOFS: dict[tuple, tuple[float, bool]] = {}
 
 
+# A plan whose *estimated* size (Spark's statistics: file sizes, scaled by
+# column pruning; products for joins) exceeds this many budgets is refused
+# without running the exact count. Estimates only ever refuse a broadcast,
+# never grant one: the exact count below decides every broadcast that happens.
+REFUSE_ESTIMATE_FACTOR = 1000
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no statistics: no shortcut
+        return None
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
+    est = estimated_bytes(df)
+    if est is not None and est > REFUSE_ESTIMATE_FACTOR * max_rows * row_width(df):
+        return False
     try:
         key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     except Exception:  # noqa: BLE001 - no hash: always check

@@ -24,10 +24,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martflow.contracts import CUSTOMER_MART, SALES_TEAM_MART
 from martflow.functions.columns import full_name, month_key, rate_of
 from martflow.operators import ranking
 from martflow.operators.enrich import DimSpec, join_dim, star_join
 
+def as_contract(df: DataFrame, contract) -> DataFrame:
+    """The contract's columns, in order, cast to its types (money is
+    decimal(18,2): a total that does not fit fails the cast under ANSI)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
+
+
 # The incentive paid to each (store, month) leader.
 INCENTIVE_RATE = "0.01"
 INCENTIVE_PLACES = 2
@@ -151,9 +158,8 @@ def customer_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
                   team: DataFrame) -> DataFrame:
     """customer_id, full_name, address, phone_number, sales_date_month, total_sales."""
     totals = customer_month_totals(enriched_keys(fact, customer, store, team))
-    return (attach(totals, customer_attributes(customer), "customer_id", "attr_customer_id")
-            .select("customer_id", "full_name", "address", "phone_number",
-                    "sales_date_month", "total_sales"))
+    return as_contract(attach(totals, customer_attributes(customer), "customer_id",
+                              "attr_customer_id"), CUSTOMER_MART)
 
 
 def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
@@ -161,9 +167,8 @@ def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
     """store_id, sales_person_id, full_name, sales_month, total_sales, incentive."""
     totals = sales_month_totals(enriched_keys(fact, customer, store, team))
     paid = top_incentive(totals, ["store_id", "sales_month"])
-    return (attach(paid, seller_attributes(team), "sales_person_id", "attr_seller_id")
-            .select("store_id", "sales_person_id", "full_name", "sales_month",
-                    "total_sales", "incentive"))
+    return as_contract(attach(paid, seller_attributes(team), "sales_person_id",
+                              "attr_seller_id"), SALES_TEAM_MART)
 
 
 def customer_detail(enriched: DataFrame) -> DataFrame:
@@ -280,14 +285,37 @@ def sales_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
                   store: DataFrame, team: DataFrame) -> DataFrame:
     totals = sales_totals_hl(headers, items, customer, store, team)
     paid = top_incentive(totals, ["store_id", "sales_month"])
-    return (attach(paid, seller_attributes(team), "sales_person_id", "attr_seller_id")
-            .select("store_id", "sales_person_id", "full_name", "sales_month",
-                    "total_sales", "incentive"))
+    return as_contract(attach(paid, seller_attributes(team), "sales_person_id",
+                              "attr_seller_id"), SALES_TEAM_MART)
 
 
 def customer_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
                      store: DataFrame, team: DataFrame) -> DataFrame:
     totals = customer_totals_hl(headers, items, customer, store, team)
-    return (attach(totals, customer_attributes(customer), "customer_id", "attr_customer_id")
-            .select("customer_id", "full_name", "address", "phone_number",
-                    "sales_date_month", "total_sales"))
+    return as_contract(attach(totals, customer_attributes(customer), "customer_id",
+                              "attr_customer_id"), CUSTOMER_MART)
+
+
+def star_enrich_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
+                   store: DataFrame, team: DataFrame) -> DataFrame:
+    """Every line with its customer, seller and store attributes (inner
+    joins, the names of ``full_specs``).
+
+    Customer attributes join the headers (order-sized); the seller and its
+    store are joined to each other first (dimension-sized), so the lines meet
+    one seller-keyed join and one order-keyed join.
+    """
+    cust = [s for s in full_specs(customer, store, team) if s.name == "customer"][0]
+    h = join_dim(headers, cust)
+    sellers = join_dim(
+        team.select(F.col("id").alias("seller_id"), "store_id",
+                    F.col("first_name").alias("sales_person_first_name"),
+                    F.col("last_name").alias("sales_person_last_name"),
+                    "manager_id", "is_manager",
+                    F.col("address").alias("sales_person_address"),
+                    F.col("pincode").alias("sales_person_pincode")),
+        DimSpec("store", store, "store_id", "id", {"store_manager_name": "store_manager_name"}))
+    seller_cols = [c for c in sellers.columns if c != "seller_id"]
+    lines = items.join(h, "order_id")
+    return join_dim(lines, DimSpec("seller", sellers, "sales_person_id", "seller_id",
+                                   {c: c for c in seller_cols}))

@@ -176,8 +176,7 @@ def join_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fact, cust, store, team = _star(spark, sf_dir)
-    e = M.star_enrich(fact, cust, store, team)
+    e = M.star_enrich_hl(*_hl(spark, sf_dir))
     return e.select(*_fact_cols(), "sales_person_first_name", "sales_person_last_name",
                     "manager_id", "is_manager", "sales_person_address", "sales_person_pincode",
                     "store_manager_name", "customer_first_name", "customer_last_name",
@@ -226,16 +225,14 @@ def dim_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def customer_mart_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fact, cust, store, team = _star(spark, sf_dir)
-    out = M.customer_detail(M.star_enrich(fact, cust, store, team))
+    out = M.customer_detail(M.star_enrich_hl(*_hl(spark, sf_dir)))
     return out.select(*[c for c in out.columns if c not in ("sales_date", "total_cost")],
                       _str("sales_date"), _dbl("total_cost"))
 
 
 @query
 def sales_mart_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fact, cust, store, team = _star(spark, sf_dir)
-    out = M.sales_detail(M.star_enrich(fact, cust, store, team))
+    out = M.sales_detail(M.star_enrich_hl(*_hl(spark, sf_dir)))
     return out.select(*[c for c in out.columns if c not in ("sales_date", "total_cost")],
                       _str("sales_date"), _dbl("total_cost"))
 
@@ -257,8 +254,7 @@ def full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def distinct_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DISTINCT over the projected seller attributes of every enriched row."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
-    e = M.with_month(M.star_enrich(fact, cust, store, team))
+    e = M.with_month(M.star_enrich_hl(*_hl(spark, sf_dir)))
     return e.select("store_id", "sales_person_id",
                     fn.full_name("sales_person_first_name", "sales_person_last_name")
                     .alias("full_name"), "sales_month").distinct()
@@ -410,9 +406,8 @@ def _sales_mart_out(df: DataFrame) -> DataFrame:
 @query
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer mart written as Parquet (overwrite) and read back."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
     path = work_dir(spark, "customer_mart")
-    SK.write_parquet(M.customer_mart(fact, cust, store, team), path)
+    SK.write_parquet(M.customer_mart_hl(*_hl(spark, sf_dir)), path)
     back = spark.read.parquet(path)
     return back.select("customer_id", "full_name", "address", "phone_number",
                        "sales_date_month", _dbl("total_sales"))
@@ -422,9 +417,8 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales detail mart partitioned by (sales_month, store_id), read back
     through a partition filter (PartitionFilters prune folders)."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
     path = work_dir(spark, "sales_partitioned")
-    SK.write_partitioned(M.sales_detail(M.star_enrich(fact, cust, store, team)), path,
+    SK.write_partitioned(M.sales_detail(M.star_enrich_hl(*_hl(spark, sf_dir))), path,
                          ["sales_month", "store_id"])
     back = (spark.read.parquet(path)
             .where((F.col("store_id") <= 5) & (F.col("sales_month") >= "1998-01")))
@@ -437,10 +431,11 @@ def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer detail and customer attributes as 10-bucket tables on
     customer_id; the grouped join of the two reads them without a shuffle."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
+    hl = _hl(spark, sf_dir)
+    cust = hl[2]
     tag = work_dir(spark, "bucketed").rsplit("-", 1)[-1]
     detail_t, attrs_t = f"customer_detail_b{tag}", f"customer_attrs_b{tag}"
-    detail = M.customer_detail(M.star_enrich(fact, cust, store, team))
+    detail = M.customer_detail(M.star_enrich_hl(*hl))
     SK.write_bucketed(detail.select("customer_id", "sales_date", "total_cost"), detail_t,
                       work_dir(spark, detail_t), 10, "customer_id")
     SK.write_bucketed(M.customer_attributes(cust).withColumnRenamed("attr_customer_id",
@@ -456,9 +451,8 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the sales mart: the first commits, the second dies after
     writing part of its files. The reader returns the committed run only."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
     root = work_dir(spark, "sales_mart_runs")
-    SK.publish_run(spark, M.sales_mart(fact, cust, store, team), root, "00000001")
+    SK.publish_run(spark, M.sales_mart_hl(*_hl(spark, sf_dir)), root, "00000001")
     # the second run dies after writing one store's rows and before its commit
     partial = spark.read.parquet(SK.run_path(root, "00000001")).where(F.col("store_id") == 0)
     SK.write_parquet(partial, SK.run_path(root, "00000002"))
@@ -472,12 +466,11 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Uses embedded Derby, which only this JVM sees: on a cluster point the
     URL at a shared database."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
     url = f"jdbc:derby:{work_dir(spark, 'derby')}/db;create=true"
     props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
              "createTableColumnTypes": "run_id VARCHAR(32), full_name VARCHAR(128), "
                                        "sales_month VARCHAR(16)"}
-    mart = M.sales_mart(fact, cust, store, team).withColumn("run_id", F.lit("00000001"))
+    mart = M.sales_mart_hl(*_hl(spark, sf_dir)).withColumn("run_id", F.lit("00000001"))
     SJ.write_jdbc(mart, url, "SALES_TEAM_DATA_MART", props)
     read_props = {"driver": props["driver"]}
     lo, hi = SJ.key_bounds(mart.select("sales_person_id"), "sales_person_id")

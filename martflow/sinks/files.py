@@ -9,8 +9,8 @@ Layouts:
 * partitioned writes go through AQE's ``rebalance`` so each partition folder
   gets a few well-sized files, and a hot partition is split across tasks
   instead of landing in one writer;
-* bucketed writes hash-partition by the bucket key into exactly the bucket
-  count first, so each bucket is one file per run, not one per task.
+* bucketed writes are rebalanced by the bucket key first, so each writer
+  holds few buckets and a hot key is split across writers.
 """
 
 from __future__ import annotations
@@ -43,8 +43,14 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, by: str,
                    mode: str = "overwrite") -> None:
     """A bucketed, sorted Parquet table at an explicit path (joins and
     aggregations on ``by`` with the same bucket count read it without a
-    shuffle)."""
-    (df.repartition(buckets, F.col(by)).write.mode(mode)
+    shuffle).
+
+    The rows are rebalanced by the bucket key first: the shuffle hashes like
+    the buckets do, so a writer task holds few buckets (few files per bucket),
+    and AQE splits a hot key's partition over several writers instead of one
+    task writing a third of the table (a bucket may then have several files,
+    which readers handle)."""
+    (df.hint("rebalance", by).write.mode(mode)
      .bucketBy(buckets, by).sortBy(by).option("path", path).saveAsTable(table))
 
 

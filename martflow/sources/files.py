@@ -56,9 +56,15 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 
 
 def _open(path: str):
+    """Open a Spark-listed path with pyarrow's filesystem layer (local, HDFS,
+    S3; Hadoop's s3a/s3n spellings map to s3)."""
     from pyarrow import fs as pafs
-    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and \
-        not path.startswith("file:///") else path
+    uri = path
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = uri.replace("file:/", "file:///", 1)
+    for hadoop_scheme in ("s3a://", "s3n://"):
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     filesystem, inner = pafs.FileSystem.from_uri(uri)
     return filesystem.open_input_stream(inner)
 

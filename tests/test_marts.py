@@ -147,3 +147,76 @@ def test_manager_rollup_sums_team(spark):
     out = by_key(M.manager_rollup(f, t), "manager_id")
     assert out[(1,)]["team_total"] == D("11.00") and out[(1,)]["members"] == 2
     assert out[(3,)]["team_total"] == D("7.00")
+
+
+def _hl_fixture(spark, team_rows):
+    c, s, t = dims(spark, team=team_rows)
+    headers = spark.createDataFrame(
+        [(10, 1, date(2024, 5, 1)), (11, 2, date(2024, 5, 2)), (12, 1, date(2024, 6, 3)),
+         (13, 99, date(2024, 6, 4))],
+        "order_id long, customer_id long, sales_date date")
+    items = spark.createDataFrame(
+        [(10, 1, D("5.00")), (10, 2, D("4.00")), (11, 1, D("5.00")), (12, 3, D("7.50")),
+         (13, 1, D("100.00")), (12, 9, D("1.00"))],
+        "order_id long, sales_person_id long, total_cost decimal(18,2)")
+    return headers, items, c, s, t
+
+
+def test_header_line_plan_equals_original_semantics(spark):
+    team = [(1, "Sam", "Lee", 1, "Y", "Delhi", "1", None),
+            (1, "Samuel", "Lee", 1, "Y", "Delhi", "1", None),
+            (2, "Kim", "Park", 1, "N", "Delhi", "1", None),
+            (3, "Ola", "Nord", 3, "Y", "Pune", "2", None)]
+    h, i, c, s, t = _hl_fixture(spark, team)
+    stores = {1: 121, 2: 121, 3: 122}
+    t = t.withColumn("store_id", F.when(F.col("id") == 3, 122).otherwise(121).cast("long"))
+    flat = (i.join(h, "order_id")
+            .withColumn("store_id", F.when(F.col("sales_person_id") == 3, 122)
+                        .otherwise(121).cast("long")))
+    ours = M.sales_mart_hl(h, i, c, s, t)
+    ref = _reference_form(M.star_enrich(flat, c, s, t))
+    ref = M.as_contract(ref, ours.schema)
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+    assert stores and ours.count() == 4  # orphan customer 99 and seller 9 dropped
+
+    cm = M.customer_mart_hl(h, i, c, s, t)
+    cm_flat = M.customer_mart(flat, c, s, t)
+    assert cm.exceptAll(cm_flat).count() == 0 and cm_flat.exceptAll(cm).count() == 0
+    e_hl = M.star_enrich_hl(h, i, c, s, t).select(sorted(M.star_enrich(flat, c, s, t).columns))
+    e_flat = M.star_enrich(flat, c, s, t).select(sorted(e_hl.columns))
+    assert e_hl.exceptAll(e_flat).count() == 0 and e_flat.exceptAll(e_hl).count() == 0
+
+
+def test_hot_order_key_is_split_by_the_skew_join(spark):
+    """One order holding most lines: AQE splits its partition of the
+    order-key join (thresholds scaled down to the fixture)."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.martflow.broadcastMaxBytes": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        headers = spark.range(200).selectExpr("id as order_id", "id % 2 as customer_id",
+                                              "date'2024-05-01' as sales_date")
+        items = spark.range(20000).selectExpr(
+            "case when id % 3 = 0 then id % 200 else 7 end as order_id",
+            "id % 3 + 1 as sales_person_id", "cast(1.00 as decimal(18,2)) as total_cost")
+        c, s, t = dims(spark, customers=[(0, "A", "B", "x", "1", "9", None),
+                                         (1, "C", "D", "y", "2", "8", None)])
+        t = t.withColumn("store_id", F.lit(121).cast("long"))
+        df = M.sales_totals_hl(headers, items, c, s, t)
+        total = sum(r["total_sales"] for r in df.collect())
+        assert total == D("20000.00")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -4,20 +4,24 @@
 into one task and sorts it there. Here a group larger than ``max_group_rows``
 is cut into value ranges first:
 
-1. per-group row counts (an aggregate); groups above the limit are *hot*;
-2. for hot groups only, ``percentile_approx`` gives ``buckets - 1`` cut
-   points; a row's bucket is the number of cut points below its value, so
-   equal values always share a bucket (NULLs get their own, lowest bucket);
-3. the rank inside (group, bucket) is an ordinary window over a slice of the
-   group, and its offset is the number of rows in the higher buckets of the
-   same group: a running sum over the small (group, bucket) count table.
+1. the input (an aggregate, far smaller than the facts) is checkpointed into
+   the shared checkpoint folder, so what follows reads it back instead of
+   recomputing it, and a lost executor cannot change it;
+2. per-group row counts; groups above the limit are *hot*. They are few by
+   construction (at most rows / limit), so they and their ``buckets - 1`` cut
+   points (``percentile_approx``) come back to the driver as a small literal
+   table. Inlined, the cut points make the bucket of a row a fixed function
+   of its value: every branch of the plan, and every recomputation, agrees
+   (an approximate percentile merges its sketches in arrival order, so it is
+   not safe to compute twice);
+3. a row's bucket is the number of cut points below its value, so equal
+   values share a bucket (NULLs get their own, lowest bucket); the rank inside
+   (group, bucket) is an ordinary window over a slice of the group, and its
+   offset is the number of rows in the higher buckets of the same group, a
+   running sum over the small (group, bucket) count table.
 
 rank = local rank + offset, exactly, because the buckets are value ranges.
-Groups under the limit have one bucket and an offset of 0, i.e. the plain
-window. Everything is lazy and runs as one job: the hot-group and cut-point
-tables are only known at run time, so they are not size-checked up front
-(that would run the input twice); AQE measures them and broadcasts them when
-small, or splits the hot side of the join when not.
+With no hot group this is the plain window over the checkpointed input.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 MAX_GROUP_ROWS = 4_000_000
 BUCKETS = 64
 ACCURACY = 10_000
+MAX_HOT_GROUPS = 100_000
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -37,17 +42,37 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    from martflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rnk",
-                max_group_rows: int = MAX_GROUP_ROWS, buckets: int = BUCKETS) -> DataFrame:
+                max_group_rows: int = MAX_GROUP_ROWS, buckets: int = BUCKETS,
+                materialize: bool = True) -> DataFrame:
     """``df`` with ``out`` = rank() over (group ORDER BY value DESC NULLS LAST)."""
+    if materialize:
+        df = _materialize(df)
+    v = F.col(value)
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
     hot = counts.where(F.col("__n") > max_group_rows).select(*group)
     fractions = [i / buckets for i in range(1, buckets)]
-    bounds = (_null_safe(df, hot, group, "left_semi")
-              .groupBy(*group)
-              .agg(F.percentile_approx(value, fractions, ACCURACY).alias("__bounds")))
-    tagged = _null_safe(df, bounds, group, "left")
-    v = F.col(value)
+    cuts = (_null_safe(df, hot, group, "left_semi").groupBy(*group)
+            .agg(F.percentile_approx(value, fractions, ACCURACY).alias("__bounds"))
+            .limit(MAX_HOT_GROUPS + 1).collect())
+    if len(cuts) > MAX_HOT_GROUPS:
+        raise ValueError(f"more than {MAX_HOT_GROUPS} groups above {max_group_rows} rows; "
+                         "raise max_group_rows")
+    if not cuts:
+        w = Window.partitionBy(*group).orderBy(v.desc_nulls_last())
+        return df.withColumn(out, F.rank().over(w))
+
+    spark = df.sparkSession
+    bounds = spark.createDataFrame(
+        [tuple(r[g] for g in group) + (list(r["__bounds"]),) for r in cuts],
+        df.select(*group, F.array(v).alias("__bounds")).schema)
+    tagged = _null_safe(df, F.broadcast(bounds), group, "left")
     bucket = (F.when(F.col("__bounds").isNull(), F.lit(0))
               .when(v.isNull(), F.lit(-1))
               .otherwise(F.size(F.filter("__bounds", lambda b: b < v))))

@@ -230,7 +230,12 @@ _DROP_CACHE: dict[tuple[str, str], str] = {}
 def write_sales_drop(t: Tables, root: str) -> str:
     """Write the five drop folders under ``root``; returns ``root``."""
     from martflow.contracts import MANDATORY_COLUMNS
-    rows = sales_drop_rows(t)
+    # one pass over the joined tables, staged by priority; each folder then
+    # reads only its own partition
+    from martflow.session import work_dir
+    staged = work_dir(t.spark, "drop_rows")
+    sales_drop_rows(t).write.mode("overwrite").partitionBy("priority").parquet(staged)
+    rows = t.spark.read.parquet(staged)
     contract = list(MANDATORY_COLUMNS)
 
     def out(priority: str):

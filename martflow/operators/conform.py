@@ -60,16 +60,30 @@ def conform_text(spark: SparkSession, checked: DataFrame,
     return out
 
 
-def conform(spark: SparkSession, checked: DataFrame,
-            contract: list[str] = MANDATORY_COLUMNS) -> tuple[DataFrame, DataFrame]:
-    """(good rows in the contract types, bad rows with the failing columns)."""
+def conform_typed(spark: SparkSession, checked: DataFrame,
+                  contract: list[str] = MANDATORY_COLUMNS) -> DataFrame:
+    """Every row once: the text columns, their typed values and ``is_bad``."""
     text = conform_text(spark, checked, contract)
     if text is None:
         raise ValueError("no valid file to process")
-    t = typed(text)
+    return typed(text)
+
+
+def split_typed(t: DataFrame, contract: list[str] = MANDATORY_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """(good rows in the contract types, bad rows with the failing columns).
+
+    ``is_bad`` may come back from a partitioned folder as text; it is cast."""
+    t = t.withColumn("is_bad", F.col("is_bad").cast("boolean"))
     good = (t.where(~F.col("is_bad"))
             .select(*[F.col(f"typed_{c}").alias(c) for c in contract],
                     EXTRA_COLUMN, "source_file", "drop"))
     bad = t.where(F.col("is_bad")).select(*contract, EXTRA_COLUMN, "bad_columns",
                                           F.col(CORRUPT).alias("raw_line"), "source_file", "drop")
     return good, bad
+
+
+def conform(spark: SparkSession, checked: DataFrame,
+            contract: list[str] = MANDATORY_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """(good rows, bad rows); each use re-reads the CSVs, so a job that needs
+    both stages ``conform_typed`` once (see ``plans.batch_job``)."""
+    return split_typed(conform_typed(spark, checked, contract), contract)

@@ -49,15 +49,23 @@ def quarantine_report(listing: DataFrame, checked: DataFrame) -> DataFrame:
     return by_ext.unionByName(by_cols)
 
 
-def quarantine_lines(spark: SparkSession, report: DataFrame, paths: list[str]) -> DataFrame:
-    """The raw lines of rejected files, tagged with the reason (to write
-    under an error folder); one text read of just those files."""
-    if not paths:
+def quarantine_lines(spark: SparkSession, report: DataFrame) -> DataFrame:
+    """The raw lines of rejected files, tagged with the reason (to keep under
+    an error folder). One text read per reason, the reason a literal: no join
+    of lines to files, so one huge rejected file is read by many tasks."""
+    by_reason: dict[str, list[str]] = {}
+    for r in report.select("path", "reason").collect():
+        by_reason.setdefault(r["reason"], []).append(r["path"])
+    parts = [spark.read.text(sorted(paths))
+             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"),
+                     F.lit(reason).alias("reason"))
+             for reason, paths in sorted(by_reason.items())]
+    if not parts:
         return spark.createDataFrame([], "path string, line string, reason string")
-    lines = (spark.read.text(paths)
-             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line")))
-    reasons = report.select("path", "reason")
-    return lines.join(F.broadcast(reasons) if len(paths) <= 100_000 else reasons, "path", "inner")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def typed(df: DataFrame, schema=SALES_FACT, columns: list[str] = MANDATORY_COLUMNS) -> DataFrame:

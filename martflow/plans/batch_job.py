@@ -53,6 +53,10 @@ class Layout:
     def staged(self) -> str:
         return f"{self.root}/staged"
 
+    @property
+    def typed(self) -> str:
+        return f"{self.root}/typed"
+
     @property
     def bad_rows(self) -> str:
         return f"{self.root}/bad_rows"
@@ -94,10 +98,8 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
     report = V.quarantine_report(listing, checked)
     report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
         .parquet(SK.run_path(layout.quarantine, run_id) + "/report")
-    rejected = [r.path for r in report.select("path").collect()]
-    if rejected:
-        V.quarantine_lines(spark, report, rejected).write.mode("overwrite") \
-            .parquet(SK.run_path(layout.quarantine, run_id) + "/lines")
+    V.quarantine_lines(spark, report).write.mode("overwrite") \
+        .parquet(SK.run_path(layout.quarantine, run_id) + "/lines")
     valid = checked.where("valid").select(F.col("path").alias("file_name"),
                                           F.col("path").alias("file_location"))
     n_valid = valid.count()
@@ -105,7 +107,12 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
         return {"run_id": run_id, "files": 0}
     MF.record(spark, layout.manifest, valid, STATUS_ACTIVE, run_id)
 
-    good, bad = C.conform(spark, checked)
+    # parse every CSV once: typed rows are staged by is_bad, then good and bad
+    # rows are read back from the staged files (partition-pruned)
+    typed_path = SK.run_path(layout.typed, run_id)
+    C.conform_typed(spark, checked).write.mode("overwrite").partitionBy("is_bad") \
+        .parquet(typed_path)
+    good, bad = C.split_typed(spark.read.parquet(typed_path))
     bad.write.mode("overwrite").parquet(SK.run_path(layout.bad_rows, run_id))
     staged_path = SK.run_path(layout.staged, run_id)
     good.write.mode("overwrite").parquet(staged_path)

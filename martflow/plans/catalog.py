@@ -330,15 +330,15 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected files by reason, with their data lines counted (header lines
     excluded)."""
     _, listing, checked = _drop(spark, sf_dir)
-    report = V.quarantine_report(listing, checked)
-    paths = [r.path for r in report.select("path").collect()]
-    lines = V.quarantine_lines(spark, report, paths)
-    heads = checked.select("path", "header")
-    data = (lines.join(heads, "path", "left")
-            .where(F.col("header").isNull() | (F.col("line") != F.col("header"))))
-    per_drop = report.select("path", "drop", "missing").join(data, "path", "inner")
-    return (per_drop.groupBy("drop", "reason", _array_text("missing"))
-            .agg(F.count(F.lit(1)).alias("data_rows")))
+    report = V.quarantine_report(listing, checked).join(listing.select("path", "extension"), "path")
+    lines = V.quarantine_lines(spark, report)
+    per_reason = (lines.withColumn("drop", F.regexp_extract("path", r"/([^/]+)/[^/]+$", 1))
+                  .groupBy("drop", "reason").agg(F.count(F.lit(1)).alias("lines")))
+    files = (report.groupBy("drop", "reason", _array_text("missing"))
+             .agg(F.count(F.when(F.col("extension") == ".csv", 1)).alias("header_lines")))
+    return (files.join(per_reason, ["drop", "reason"], "inner")
+            .select("drop", "reason", "missing",
+                    (F.col("lines") - F.col("header_lines")).alias("data_rows")))
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 # Shared building blocks (CTEs). Money: decimal(18,2) sums, double at the edge.
 _LINES = """
 lines as (
-  select o_custkey as customer_id, s_nationkey as store_id, l_partkey as product_id,
+  select o_custkey as customer_id, cast(s_nationkey as bigint) as store_id, l_partkey as product_id,
          cast(o_orderdate as date) as sales_date, l_suppkey as sales_person_id,
          cast(l_quantity as integer) as quantity,
          cast(l_extendedprice as decimal(18,2)) as total_cost,

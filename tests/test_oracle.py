@@ -33,5 +33,11 @@ def test_query_matches_oracle(spark, duck, name):
     o_cols = [d[0] for d in cur.description]
     o_rows = cur.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    names = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+             "boolean": "BOOLEAN"}
+    s_types = {f.name: names.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    o_types = {r[0]: r[1] for r in duck.execute(f"describe {sql}").fetchall()}
+    assert s_types == o_types
     assert len(s_rows) == len(o_rows)
     assert digest(df.columns, s_rows)[0] == digest(o_cols, o_rows)[0]

@@ -198,8 +198,11 @@ def orphan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def manager_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, fact, _c, _s, team = _star(spark, sf_dir)
-    out = M.manager_rollup(fact, team)
+    """Sales per manager: lines of existing orders, totalled per seller, then
+    rolled up through the team's manager reference."""
+    headers, items, _c, _s, team = _hl(spark, sf_dir)
+    lines = items.join(headers.select("order_id"), "order_id")
+    out = M.manager_rollup(lines, team)
     return out.select("manager_id", _dbl("team_total"), "members")
 
 

@@ -16,12 +16,18 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The header reader runs in Python workers: ship this module's functions by
+# value, so executors need pandas/pyarrow but not this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HEADER_BYTES = 1 << 16
 CORRUPT = "_corrupt_record"
 

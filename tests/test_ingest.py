@@ -148,3 +148,9 @@ def test_read_dim_conforms_by_name(spark, tmp_dir):
         .write.parquet(path)
     (r,) = read_dim(spark, path, STORE).collect()
     assert r["id"] == 7 and r["store_manager_name"] == "Mgr" and r["reviews"] is None
+
+
+def test_header_reader_ships_by_value():
+    """Executors must not need this package installed to read headers."""
+    from pyspark import cloudpickle
+    assert FS.__name__ in cloudpickle.cloudpickle._PICKLE_BY_VALUE_MODULES

@@ -82,6 +82,7 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 
 
 BUDGET_CONF = "spark.martflow.broadcastMaxBytes"
+ROWS_CONF = "spark.martflow.broadcastMaxRows"
 
 
 def budget(df: DataFrame, max_bytes: int | None = None) -> int:
@@ -99,4 +100,7 @@ def checked_broadcast(df: DataFrame, max_bytes: int | None = None,
         if limit <= 0:
             return df
         max_rows = max_rows_for(df, limit)
+        cap = df.sparkSession.conf.get(ROWS_CONF, None)
+        if cap is not None:
+            max_rows = min(max_rows, int(cap))
     return F.broadcast(df) if is_bounded(df, max_rows) else df

@@ -76,9 +76,25 @@ def orphans(fact: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def orphan_report(fact: DataFrame, specs: list[DimSpec]) -> DataFrame:
-    """Per dimension: how many fact rows an inner join with it would drop."""
-    parts = [orphans(fact, s).agg(F.count(F.lit(1)).alias("orphan_rows"))
-             .select(F.lit(s.name).alias("dimension"), "orphan_rows") for s in specs]
+    """Per dimension: how many fact rows an inner join with it would drop.
+
+    One pass over the fact: GROUPING SETS count the rows per value of every
+    join key at once (partial aggregation first), and each small count table
+    is anti-joined with its dimension's keys. NULL keys count as orphans (an
+    anti join keeps them; ``grouping()`` tells a NULL key from a rolled-up one).
+    """
+    keys = list(dict.fromkeys(s.fact_key for s in specs))
+    counts = (fact.groupingSets([[k] for k in keys], *keys)
+              .agg(F.count(F.lit(1)).alias("__n"),
+                   *[F.grouping(k).alias(f"__g_{k}") for k in keys]))
+    parts = []
+    for s in specs:
+        per_key = (counts.where(F.col(f"__g_{s.fact_key}") == 0)
+                   .select(F.col(s.fact_key).alias("__key"), "__n"))
+        dim_keys = s.df.select(F.col(s.dim_key).alias("__k"))
+        lost = per_key.join(dim_keys, per_key["__key"] == dim_keys["__k"], "left_anti")
+        parts.append(lost.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"))
+                     .select(F.lit(s.name).alias("dimension"), "orphan_rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 from martflow.contracts import SALES_FACT
 from martflow.functions import columns as fn
 from martflow.operators import conform as C
+from martflow.operators import enrich as E
+from martflow.operators import manifest as MF
+from martflow.operators import marts as M
 from martflow.operators import validate as V
 from martflow.plans import batch_job as BJ
 from martflow.session import work_dir
-from martflow.streaming import ingest as ST
 from martflow.sinks import files as SK
 from martflow.sinks import jdbc as SJ
 from martflow.sources import files as FS
 from martflow.sources import synth as SY
-from martflow.operators import enrich as E
-from martflow.operators import manifest as MF
-from martflow.operators import marts as M
 from martflow.sources import testbed as tb
 from martflow.sources.tables import Tables
+from martflow.streaming import ingest as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,7 +44,13 @@ def _dbl(c: str) -> F.Column:
     return F.col(c).cast("double").alias(c)
 
 
+def _str(c: str) -> F.Column:
+    return F.col(c).cast("string").alias(c)
+
+
 def _star(spark: SparkSession, sf_dir: str):
+    """Flat view: the line-level fact (lines x orders x seller store) and the
+    three dimensions; used where each line's attributes are the output."""
     t = Tables.open(spark, sf_dir)
     return (t, tb.sales_lines(t), tb.customer_dim(t), tb.store_dim(t), tb.sales_team_dim(t))
 
@@ -72,10 +78,6 @@ def customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "sales_date_month", _dbl("total_sales"))
 
 
-def _str(c: str) -> F.Column:
-    return F.col(c).cast("string").alias(c)
-
-
 # ------------------------------------------------------- totals
 
 @query

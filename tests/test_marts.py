@@ -220,3 +220,17 @@ def test_hot_order_key_is_split_by_the_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_orphan_report_counts_null_and_unmatched_keys(spark):
+    from martflow.operators.enrich import DimSpec, orphan_report
+    c, s, t = dims(spark)
+    f = fact(spark, [(None, 121, date(2024, 5, 1), 1, D("1.00")),
+                     (99, 121, date(2024, 5, 1), 1, D("1.00")),
+                     (99, 555, date(2024, 5, 1), 7, D("1.00")),
+                     (1, 121, date(2024, 5, 1), 2, D("1.00"))])
+    out = {r["dimension"]: r["orphan_rows"] for r in orphan_report(f, [
+        DimSpec("customer", c, "customer_id", "customer_id"),
+        DimSpec("store", s, "store_id", "id"),
+        DimSpec("team", t, "sales_person_id", "id")]).collect()}
+    assert out == {"customer": 3, "store": 1, "team": 1}

@@ -47,17 +47,32 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only in local mode, and only when the setting is absent, a fresh
+    temporary folder is used instead (``spark.checkpoint.dir`` cannot be set
+    on a running session, so the choice is remembered per application).
+    """
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if sc.applicationId in _LOCAL_FALLBACK:
+        return _LOCAL_FALLBACK[sc.applicationId]
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, name a shared "
+                           "folder (HDFS/object store) that every executor can reach")
     local = tempfile.mkdtemp(prefix="martflow-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
+    _LOCAL_FALLBACK[sc.applicationId] = local
     return local
 
 

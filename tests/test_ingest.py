@@ -154,3 +154,21 @@ def test_header_reader_ships_by_value():
     """Executors must not need this package installed to read headers."""
     from pyspark import cloudpickle
     assert FS.__name__ in cloudpickle.cloudpickle._PICKLE_BY_VALUE_MODULES
+
+
+def test_replayed_run_overwrites_instead_of_duplicating(spark, tmp_dir):
+    """A run (or stream batch) that died after staging rows but before its
+    commit is replayed under the same run id: its outputs are rewritten."""
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n"
+                                            f"2,121,sugar,2024-03-04,2,50,1,50\n")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    broken = BJ.Dimensions(_dims(spark).customer.drop("first_name"), _dims(spark).store,
+                           _dims(spark).team)
+    with pytest.raises(Exception):
+        BJ.run_folder(spark, land, broken, layout, "batch-000000000007")
+    assert spark.read.parquet(layout.staged).count() == 2      # staged before the failure
+    BJ.run_folder(spark, land, _dims(spark), layout, "batch-000000000007")
+    assert spark.read.parquet(layout.staged).count() == 2      # rewritten, not appended
+    from martflow.sinks.files import latest_run
+    assert latest_run(spark, layout.customer_mart).count() == 2

@@ -86,8 +86,10 @@ def committed_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_run(spark: SparkSession, root: str) -> DataFrame:
-    """The newest committed run's rows (partition-pruned to that run)."""
-    last = committed_runs(spark, root).agg(F.max("run_id").alias("r")).first()["r"]
+    """The rows of the run committed last (partition-pruned to that run)."""
+    last = (committed_runs(spark, root)
+            .agg(F.max_by("run_id", F.struct("committed_at", "run_id")).alias("r"))
+            .first()["r"])
     if last is None:
         raise ValueError(f"no committed run under {root}")
     return (spark.read.option("basePath", root).parquet(run_path(root, last))

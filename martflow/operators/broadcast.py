@@ -65,9 +65,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (one bounded job)."""
-    est = estimated_bytes(df)
-    if est is not None and est > REFUSE_ESTIMATE_FACTOR * max_rows * row_width(df):
-        return False
     try:
         key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     except Exception:  # noqa: BLE001 - no hash: always check
@@ -75,7 +72,11 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     now = time.monotonic()
     if key is not None and key in _PROOFS and now - _PROOFS[key][0] < PROOF_TTL_SECONDS:
         return _PROOFS[key][1]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    est = estimated_bytes(df)
+    if est is not None and est > REFUSE_ESTIMATE_FACTOR * max_rows * row_width(df):
+        ok = False
+    else:
+        ok = df.limit(max_rows + 1).count() <= max_rows
     if key is not None:
         _PROOFS[key] = (now, ok)
     return ok

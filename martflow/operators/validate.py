@@ -14,6 +14,11 @@ from martflow.contracts import MANDATORY_COLUMNS, SALES_FACT
 from martflow.sources.files import CORRUPT, normalized
 
 
+# The rejected file list is a planning input (the paths of one text read per
+# reason), bounded like the file list of a run.
+MAX_REJECTED_FILES = 2_000_000
+
+
 def split_by_extension(files: DataFrame, accepted: tuple[str, ...] = (".csv",)) -> DataFrame:
     """Adds ``accepted``: the file's extension is one of ``accepted``."""
     return files.withColumn("accepted", F.col("extension").isin(*accepted))
@@ -53,8 +58,11 @@ def quarantine_lines(spark: SparkSession, report: DataFrame) -> DataFrame:
     """The raw lines of rejected files, tagged with the reason (to keep under
     an error folder). One text read per reason, the reason a literal: no join
     of lines to files, so one huge rejected file is read by many tasks."""
+    rows = report.select("path", "reason").limit(MAX_REJECTED_FILES + 1).collect()
+    if len(rows) > MAX_REJECTED_FILES:
+        raise ValueError(f"more than {MAX_REJECTED_FILES} rejected files in one run")
     by_reason: dict[str, list[str]] = {}
-    for r in report.select("path", "reason").collect():
+    for r in rows:
         by_reason.setdefault(r["reason"], []).append(r["path"])
     parts = [spark.read.text(sorted(paths))
              .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"),

@@ -154,21 +154,31 @@ def seller_attributes(team: DataFrame) -> DataFrame:
                        full_name("first_name", "last_name").alias("full_name"))
 
 
+def customer_mart_of(enriched: DataFrame, customer: DataFrame) -> DataFrame:
+    """The customer mart of an already key-checked fact (``enriched_keys``)."""
+    totals = customer_month_totals(enriched)
+    return as_contract(attach(totals, customer_attributes(customer), "customer_id",
+                              "attr_customer_id"), CUSTOMER_MART)
+
+
+def sales_mart_of(enriched: DataFrame, team: DataFrame) -> DataFrame:
+    """The sales-team mart of an already key-checked fact (``enriched_keys``)."""
+    totals = sales_month_totals(enriched)
+    paid = top_incentive(totals, ["store_id", "sales_month"])
+    return as_contract(attach(paid, seller_attributes(team), "sales_person_id",
+                              "attr_seller_id"), SALES_TEAM_MART)
+
+
 def customer_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
                   team: DataFrame) -> DataFrame:
     """customer_id, full_name, address, phone_number, sales_date_month, total_sales."""
-    totals = customer_month_totals(enriched_keys(fact, customer, store, team))
-    return as_contract(attach(totals, customer_attributes(customer), "customer_id",
-                              "attr_customer_id"), CUSTOMER_MART)
+    return customer_mart_of(enriched_keys(fact, customer, store, team), customer)
 
 
 def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
                team: DataFrame) -> DataFrame:
     """store_id, sales_person_id, full_name, sales_month, total_sales, incentive."""
-    totals = sales_month_totals(enriched_keys(fact, customer, store, team))
-    paid = top_incentive(totals, ["store_id", "sales_month"])
-    return as_contract(attach(paid, seller_attributes(team), "sales_person_id",
-                              "attr_seller_id"), SALES_TEAM_MART)
+    return sales_mart_of(enriched_keys(fact, customer, store, team), team)
 
 
 def customer_detail(enriched: DataFrame) -> DataFrame:

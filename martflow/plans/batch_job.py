@@ -4,7 +4,8 @@
     -> quarantine report -> manifest 'A' -> conform (text -> typed, bad rows)
     -> stage the typed fact (a written table cuts lineage; a lost executor
        recomputes from the staged files, not from the CSVs)
-    -> star join -> customer mart, sales mart -> publish (run-stamped)
+    -> key-checked star join, staged once -> customer mart, sales mart (one
+       aggregation each) -> publish (run-stamped)
     -> manifest 'I' (only after every sink committed)
 
 A failure before the last step leaves the files in state 'A': the next run
@@ -57,6 +58,10 @@ class Layout:
     def typed(self) -> str:
         return f"{self.root}/typed"
 
+    @property
+    def enriched(self) -> str:
+        return f"{self.root}/enriched"
+
     @property
     def bad_rows(self) -> str:
         return f"{self.root}/bad_rows"
@@ -118,9 +123,15 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
     good.write.mode("overwrite").parquet(staged_path)
     fact = spark.read.parquet(staged_path)
 
-    SK.publish_run(spark, M.customer_mart(fact, dims.customer, dims.store, dims.team),
+    # the dimension checks run once for both marts: the key-checked fact is
+    # staged, and each mart is one aggregation of it
+    checked_path = SK.run_path(layout.enriched, run_id)
+    M.enriched_keys(fact, dims.customer, dims.store, dims.team).write.mode("overwrite") \
+        .parquet(checked_path)
+    enriched = spark.read.parquet(checked_path)
+    SK.publish_run(spark, M.customer_mart_of(enriched, dims.customer),
                    layout.customer_mart, run_id)
-    SK.publish_run(spark, M.sales_mart(fact, dims.customer, dims.store, dims.team),
+    SK.publish_run(spark, M.sales_mart_of(enriched, dims.team),
                    layout.sales_mart, run_id, partition_by=["sales_month"])
     MF.record(spark, layout.manifest, valid, STATUS_INACTIVE, run_id)
     return {"run_id": run_id, "files": n_valid}

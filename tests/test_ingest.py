@@ -172,3 +172,18 @@ def test_replayed_run_overwrites_instead_of_duplicating(spark, tmp_dir):
     assert spark.read.parquet(layout.staged).count() == 2      # rewritten, not appended
     from martflow.sinks.files import latest_run
     assert latest_run(spark, layout.customer_mart).count() == 2
+
+
+def test_run_writes_detail_marts_in_their_layouts(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n"
+                                            f"2,121,oats,2024-04-04,2,50,1,50\n")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    BJ.run_folder(spark, land, _dims(spark), layout, "r1")
+    detail = spark.table(BJ.bucketed_table("r1"))
+    grouped = detail.groupBy("customer_id").count()
+    assert grouped.count() == 2
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    sales = spark.read.parquet(layout.sales_detail + "/run_id=r1")
+    assert sorted(r["sales_month"] for r in sales.collect()) == ["2024-03", "2024-04"]
+    assert {"store_id", "sales_person_first_name", "store_manager_name"} <= set(sales.columns)

@@ -46,3 +46,26 @@ def test_checked_broadcast_only_below_bound(spark):
                               .logical()).lower()
     assert "broadcast" not in str(checked_broadcast(big, max_rows=100)._jdf.queryExecution()
                                   .logical()).lower()
+
+
+def test_line_sized_shuffles_at_scale(spark):
+    """With only fixed-size tables broadcast (as at 100 TB), the flagship
+    moves the lines once and the customer mart at most twice."""
+    from tools.plan_report import exchanges
+    conf = {"spark.martflow.broadcastMaxRows": "50", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name, most in (("sales_mart", 1), ("sales_month_total", 1), ("customer_mart", 2),
+                           ("star_enrich", 2), ("manager_rollup", 1)):
+            p = plan(E.queries()[name](spark, SMALL))
+            lines = [e for e in exchanges(p) if "LINE-SIZED" in e]
+            assert len(lines) <= most, (name, lines)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -291,12 +291,35 @@ def customer_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame
     return period_total(lines, ["customer_id", "sales_date_month"])
 
 
+def seller_info(team: DataFrame, store: DataFrame) -> DataFrame:
+    """seller_id, store_id, full_name, copies (dimension-sized).
+
+    One row per distinct (seller, store, name); ``copies`` is how many
+    (team row, store row) pairs join a line of that seller and store, i.e.
+    the factor by which joining every line would multiply its amount.
+    """
+    t = join_dim(team.select(F.col("id").alias("seller_id"), "store_id",
+                             full_name("first_name", "last_name").alias("full_name")),
+                 DimSpec("store", store, "store_id", "id"))
+    copies = t.groupBy("seller_id", "store_id").agg(F.count(F.lit(1)).alias("copies"))
+    names = t.select("seller_id", "store_id", "full_name").distinct()
+    return names.join(copies, ["seller_id", "store_id"], "inner")
+
+
 def sales_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
                   store: DataFrame, team: DataFrame) -> DataFrame:
-    totals = sales_totals_hl(headers, items, customer, store, team)
+    """The sales-team mart: per-(seller, month) totals meet the seller table
+    once, which brings the store, the names and the key fan-out together."""
+    h = checked_headers(headers, customer)
+    lines = items.select("order_id", "sales_person_id", "total_cost").join(h, "order_id")
+    per_seller = period_total(lines, ["sales_person_id", "sales_month"], out="seller_total")
+    info = seller_info(team, store)
+    named = join_dim(per_seller, DimSpec("seller", info, "sales_person_id", "seller_id",
+                                         {"store_id": "store_id", "full_name": "full_name",
+                                          "copies": "copies"}))
+    totals = named.withColumn("total_sales", F.col("seller_total") * F.col("copies"))
     paid = top_incentive(totals, ["store_id", "sales_month"])
-    return as_contract(attach(paid, seller_attributes(team), "sales_person_id",
-                              "attr_seller_id"), SALES_TEAM_MART)
+    return as_contract(paid, SALES_TEAM_MART)
 
 
 def customer_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,

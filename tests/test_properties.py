@@ -37,3 +37,21 @@ def test_every_store_month_pays_a_leader_and_money_is_conserved(spark):
     a = mart.agg(F.sum("total_sales")).first()[0]
     b = cm.agg(F.sum("total_sales")).first()[0]
     assert abs(a - b) < 1e-6 * max(1.0, abs(a))
+
+
+def test_synthetic_sales_follow_the_generator_rules(spark):
+    from martflow.sources.synth import synth_sales
+    from martflow.sources.tables import Tables
+    t = Tables.open(spark, SMALL)
+    s = synth_sales(t, seed=7)
+    assert s.count() == t.lineitem.count()
+    assert s.where(F.col("total_cost") != F.col("price") * F.col("quantity")).count() == 0
+    assert s.where((F.col("quantity") < 1) | (F.col("quantity") > 10)).count() == 0
+    lo, hi = t.orders.agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    assert s.where((F.col("sales_date") < lo) | (F.col("sales_date") > hi)).count() == 0
+    stores = t.supplier.select(F.col("s_suppkey").alias("sales_person_id"),
+                               F.col("s_nationkey").cast("long").alias("expected"))
+    assert s.join(stores, "sales_person_id").where(F.col("store_id") != F.col("expected")).count() == 0
+    assert s.join(t.customer, s.customer_id == t.customer.c_custkey, "left_anti").count() == 0
+    again = synth_sales(t, seed=7)
+    assert s.exceptAll(again).count() == 0           # seeded: the same rows every run

@@ -280,9 +280,12 @@ def manifest_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def active_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files left in state 'A' (a run picked them up and never committed)."""
-    log = tb.manifest_log(Tables.open(spark, sf_dir))
-    return MF.active(log, **_MANIFEST_ORDER).select("file_name").distinct()
+    """Which candidate drops (one per customer) were picked up and never
+    committed: a membership test (semi join) plus the latest status 'A'."""
+    t = Tables.open(spark, sf_dir)
+    candidates = t.customer.select(F.col("c_custkey").cast("string").alias("file_name"))
+    active = MF.active(tb.manifest_log(t), **_MANIFEST_ORDER).select("file_name")
+    return candidates.join(active, "file_name", "left_semi").distinct()
 
 
 @query

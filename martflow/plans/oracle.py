@@ -246,7 +246,8 @@ select file_name, status, cast(event_ts as varchar) as event_ts from mlatest
 """
 
 ORACLE["active_files"] = _with(_MANIFEST) + """
-select distinct file_name from mlatest where status = 'A'
+select distinct cast(c_custkey as varchar) as file_name from customer
+where cast(c_custkey as varchar) in (select file_name from mlatest where status = 'A')
 """
 
 ORACLE["new_files_only"] = _with(_MANIFEST) + """

@@ -481,9 +481,10 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = M.sales_mart_hl(*_hl(spark, sf_dir)).withColumn("run_id", F.lit("00000001"))
     SJ.write_jdbc(mart, url, "SALES_TEAM_DATA_MART", props)
     read_props = {"driver": props["driver"]}
-    lo, hi = SJ.key_bounds(mart.select("sales_person_id"), "sales_person_id")
+    lo, hi = SJ.table_key_bounds(spark, url, "SALES_TEAM_DATA_MART", '"sales_person_id"',
+                                 read_props)
     back = SJ.read_jdbc(spark, url, "SALES_TEAM_DATA_MART", read_props,
-                        "SALES_PERSON_ID", lo, hi + 1, 8)
+                        "sales_person_id", lo, hi + 1, 8)
     back = back.toDF(*[c.lower() for c in back.columns]).where(F.col("run_id") == "00000001")
     return _sales_mart_out(back)
 

@@ -181,6 +181,32 @@ def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
     return sales_mart_of(enriched_keys(fact, customer, store, team), team)
 
 
+def customer_mart_window(enriched: DataFrame) -> DataFrame:
+    """The customer mart in the original job's shape, for comparison: window
+    sum per (customer, month) on every enriched row, then DISTINCT. The whole
+    (customer, month) group is one window partition (one task)."""
+    e = with_month(enriched, out="sales_date_month")
+    out = period_total_window(
+        e, ["customer_id", "sales_date_month"],
+        [full_name("customer_first_name", "customer_last_name").alias("full_name"),
+         F.col("customer_address").alias("address"),
+         F.col("customer_phone_number").alias("phone_number")])
+    return as_contract(out, CUSTOMER_MART)
+
+
+def sales_mart_window(enriched: DataFrame) -> DataFrame:
+    """The sales-team mart in the original job's shape, for comparison: window
+    sum per (store, seller, month), DISTINCT, then rank() per (store, month)
+    and the incentive for rank 1. Both windows hold whole groups in one task."""
+    e = with_month(enriched)
+    totals = period_total_window(
+        e, ["store_id", "sales_person_id", "sales_month"],
+        [full_name("sales_person_first_name", "sales_person_last_name").alias("full_name")])
+    ranked = rank_window(totals, ["store_id", "sales_month"])
+    pay = F.when(F.col("rnk") == 1, rate_of("total_sales", INCENTIVE_RATE, INCENTIVE_PLACES))
+    return as_contract(ranked.withColumn("incentive", pay.otherwise(F.lit(0))), SALES_TEAM_MART)
+
+
 def customer_detail(enriched: DataFrame) -> DataFrame:
     """The customer detail mart: 8 columns per enriched row."""
     return enriched.select("customer_id",

@@ -83,6 +83,9 @@ select t.customer_id, c.first_name || ' ' || c.last_name as full_name, c.address
 from totals t join cust c on t.customer_id = c.customer_id
 """
 
+ORACLE["sales_mart_window"] = ORACLE["sales_mart"]
+ORACLE["customer_mart_window"] = ORACLE["customer_mart"]
+
 _TOTALS_C = """
 ctot as (
   select customer_id, substring(cast(sales_date as varchar), 1, 7) as sales_date_month,

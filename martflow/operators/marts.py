@@ -327,9 +327,10 @@ def seller_info(team: DataFrame, store: DataFrame) -> DataFrame:
     t = join_dim(team.select(F.col("id").alias("seller_id"), "store_id",
                              full_name("first_name", "last_name").alias("full_name")),
                  DimSpec("store", store, "store_id", "id"))
-    copies = t.groupBy("seller_id", "store_id").agg(F.count(F.lit(1)).alias("copies"))
-    names = t.select("seller_id", "store_id", "full_name").distinct()
-    return names.join(copies, ["seller_id", "store_id"], "inner")
+    per_name = t.groupBy("seller_id", "store_id", "full_name").agg(F.count(F.lit(1)).alias("n"))
+    # a seller's copies across its names: a window over one seller's few rows
+    return per_name.withColumn(
+        "copies", F.sum("n").over(Window.partitionBy("seller_id", "store_id"))).drop("n")
 
 
 def sales_mart_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,

@@ -234,3 +234,26 @@ def test_orphan_report_counts_null_and_unmatched_keys(spark):
         DimSpec("store", s, "store_id", "id"),
         DimSpec("team", t, "sales_person_id", "id")]).collect()}
     assert out == {"customer": 3, "store": 1, "team": 1}
+
+
+def test_header_line_nulls_match_original_form(spark):
+    c, s, t = dims(spark)
+    t = t.withColumn("store_id", F.when(F.col("id") == 3, 122).otherwise(121).cast("long"))
+    h = spark.createDataFrame(
+        [(10, 1, None), (11, None, date(2024, 5, 2)), (12, 2, date(2024, 5, 3)),
+         (13, 1, date(2024, 5, 4))],
+        "order_id long, customer_id long, sales_date date")
+    i = spark.createDataFrame(
+        [(10, 1, D("5.00")), (10, 2, D("3.00")), (11, 1, D("9.00")), (12, None, D("8.00")),
+         (12, 2, None), (13, 3, None), (13, 1, D("2.00"))],
+        "order_id long, sales_person_id long, total_cost decimal(18,2)")
+    flat = (i.join(h, "order_id")
+            .withColumn("store_id", F.when(F.col("sales_person_id") == 3, 122)
+                        .otherwise(121).cast("long")))
+    ours = M.sales_mart_hl(h, i, c, s, t)
+    ref = M.as_contract(_reference_form(M.star_enrich(flat, c, s, t)), ours.schema)
+    assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+    null_month = [r for r in ours.collect() if r["sales_month"] is None]
+    assert {r["sales_person_id"] for r in null_month} == {1, 2}
+    (seller3,) = [r for r in ours.collect() if r["sales_person_id"] == 3]
+    assert seller3["total_sales"] is None and seller3["incentive"] is None

@@ -75,11 +75,23 @@ def _open(path: str):
     return filesystem.open_input_stream(inner)
 
 
-def first_line(path: str, limit: int = HEADER_BYTES) -> str:
+MAX_HEADER_BYTES = 16 << 20
+
+
+def first_line(path: str, chunk: int = HEADER_BYTES) -> str:
+    """The file's first line, read in chunks up to the first newline (a very
+    wide header is read whole; one longer than 16 MB is an error, not cut)."""
+    buf = b""
     with _open(path) as f:
-        head = f.read(limit)
-    text = head.decode("utf-8-sig", errors="replace")
-    return text.splitlines()[0] if text else ""
+        while b"\n" not in buf:
+            part = f.read(chunk)
+            if not part:
+                break
+            buf += part
+            if len(buf) > MAX_HEADER_BYTES:
+                raise ValueError(f"{path}: no line end in the first {MAX_HEADER_BYTES} bytes")
+    text = buf.split(b"\n", 1)[0].decode("utf-8-sig", errors="replace")
+    return text.rstrip("\r")
 
 
 def parse_header(line: str) -> list[str]:

@@ -187,3 +187,10 @@ def test_run_writes_detail_marts_in_their_layouts(spark, tmp_dir):
     sales = spark.read.parquet(layout.sales_detail + "/run_id=r1")
     assert sorted(r["sales_month"] for r in sales.collect()) == ["2024-03", "2024-04"]
     assert {"store_id", "sales_person_first_name", "store_manager_name"} <= set(sales.columns)
+
+
+def test_wide_header_is_read_whole(tmp_dir):
+    cols = [f"c{i:05d}" for i in range(20000)]          # ~130 KB header line
+    path = write(tmp_dir, "wide.csv", ",".join(cols) + "\r\n" + ",".join("1" * 1) + "\n")
+    line = FS.first_line("file:" + path)
+    assert FS.parse_header(line) == cols

@@ -21,6 +21,8 @@ EXTRA_SEPARATOR = ", "
 # Manifest states (active = picked up, inactive = committed).
 STATUS_ACTIVE = "A"
 STATUS_INACTIVE = "I"
+# Our addition: a rejected file is settled too (the original moved it away).
+STATUS_QUARANTINED = "Q"
 
 MONEY = T.DecimalType(18, 2)
 PRICE = T.DecimalType(10, 2)

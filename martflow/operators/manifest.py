@@ -19,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.contracts import MANIFEST, STATUS_ACTIVE, STATUS_INACTIVE
+from martflow.contracts import MANIFEST, STATUS_ACTIVE, STATUS_INACTIVE, STATUS_QUARANTINED
 
 
 def latest(log: DataFrame, key: str = "file_name",
@@ -42,10 +42,15 @@ def completed(log: DataFrame, **kw) -> DataFrame:
     return latest(log, **kw).where(F.col("status") == STATUS_INACTIVE)
 
 
+def settled(log: DataFrame, **kw) -> DataFrame:
+    """Files whose latest state is final: committed or quarantined."""
+    return latest(log, **kw).where(F.col("status").isin(STATUS_INACTIVE, STATUS_QUARANTINED))
+
+
 def pending(candidates: DataFrame, log: DataFrame, key: str = "file_name",
             log_key: str = "file_name", **kw) -> DataFrame:
-    """Candidate files not yet committed: a rerun of the same drop selects nothing."""
-    done = completed(log, key=log_key, **kw).select(F.col(log_key).alias("__done"))
+    """Candidate files not yet settled: a rerun of the same drop selects nothing."""
+    done = settled(log, key=log_key, **kw).select(F.col(log_key).alias("__done"))
     return candidates.join(done, candidates[key] == done["__done"], "left_anti")
 
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.contracts import STATUS_ACTIVE, STATUS_INACTIVE
+from martflow.contracts import STATUS_ACTIVE, STATUS_INACTIVE, STATUS_QUARANTINED
 from martflow.operators import conform as C
 from martflow.operators import manifest as MF
 from martflow.operators import marts as M
@@ -115,14 +115,17 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
     snap = SK.run_path(layout.selections, run_id)
     checked.write.mode("overwrite").parquet(f"{snap}/checked")
     listing.write.mode("overwrite").parquet(f"{snap}/listing")
-    checked = spark.read.parquet(f"{snap}/checked")
-    listing = spark.read.parquet(f"{snap}/listing")
+    checked = spark.read.schema(checked.schema).parquet(f"{snap}/checked")
+    listing = spark.read.schema(listing.schema).parquet(f"{snap}/listing")
 
     report = V.quarantine_report(listing, checked)
     report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
         .parquet(SK.run_path(layout.quarantine, run_id) + "/report")
     V.quarantine_lines(spark, report).write.mode("overwrite") \
         .parquet(SK.run_path(layout.quarantine, run_id) + "/lines")
+    MF.record(spark, layout.manifest,
+              report.select(F.col("path").alias("file_name"), F.col("path").alias("file_location")),
+              STATUS_QUARANTINED, run_id)
     valid = checked.where("valid").select(F.col("path").alias("file_name"),
                                           F.col("path").alias("file_location"))
     n_valid = valid.count()

@@ -194,3 +194,15 @@ def test_wide_header_is_read_whole(tmp_dir):
     path = write(tmp_dir, "wide.csv", ",".join(cols) + "\r\n" + ",".join("1" * 1) + "\n")
     line = FS.first_line("file:" + path)
     assert FS.parse_header(line) == cols
+
+
+def test_quarantined_files_are_settled(spark, tmp_dir):
+    root = fixture_drop(tmp_dir)
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    assert BJ.run_folder(spark, root, _dims(spark), layout, "r1")["files"] == 5
+    log = MF.read_log(spark, layout.manifest)
+    states = {os.path.basename(r["file_name"]): r["status"] for r in MF.latest(log).collect()}
+    assert states["note.txt"] == "Q" and states["missing.csv"] == "Q"
+    assert states["plain.csv"] == "I"
+    assert BJ.run_folder(spark, root, _dims(spark), layout, "r2")["files"] == 0
+    assert spark.read.parquet(layout.quarantine + "/run_id=r2/report").count() == 0

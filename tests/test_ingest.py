@@ -206,3 +206,25 @@ def test_quarantined_files_are_settled(spark, tmp_dir):
     assert states["plain.csv"] == "I"
     assert BJ.run_folder(spark, root, _dims(spark), layout, "r2")["files"] == 0
     assert spark.read.parquet(layout.quarantine + "/run_id=r2/report").count() == 0
+
+
+def test_command_line_job(spark, tmp_dir):
+    from martflow.__main__ import main
+    from martflow.sources import testbed as tb
+    from martflow.sources.tables import Tables
+    from conftest import SMALL
+    t = Tables.open(spark, SMALL)
+    dims = {}
+    for name, df in (("customer", tb.customer_dim(t)), ("store", tb.store_dim(t)),
+                     ("team", tb.sales_team_dim(t))):
+        dims[name] = os.path.join(tmp_dir, name)
+        df.write.parquet(dims[name])
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,0,sugar,2024-03-03,1,50,2,100\n")
+    out = os.path.join(tmp_dir, "out")
+    res = main(["--landing", land, "--out", out, "--customer", dims["customer"],
+                "--store", dims["store"], "--team", dims["team"], "--run-id", "cli-1"])
+    assert res["files"] == 1
+    from martflow.sinks.files import latest_run
+    (row,) = latest_run(spark, out + "/sales_team_data_mart").collect()
+    assert row["total_sales"] == D("100.00") and row["incentive"] == D("1.00")

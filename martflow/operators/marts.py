@@ -17,6 +17,18 @@ Plan choices (all declarative; Catalyst/AQE pick the physical operators):
   it once measured), and the join splits a hot group across tasks.
   ``rank() = 1`` is equivalent: all tied leaders qualify, NULL totals sort
   last, and an all-NULL group's leaders get a NULL incentive.
+
+Two families of the same marts:
+
+* over a flat fact (one row per sale with its store, as a CSV drop gives it):
+  ``customer_mart`` / ``sales_mart``, and ``*_of`` over an already enriched
+  fact, as the batch job uses them;
+* over an order/line fact (``*_hl``), where the join order follows the
+  fact's size: the customer check on the orders, one line-sized join, and
+  for the sales mart a per-(seller, month) aggregate that meets one
+  dimension-sized seller table (store, name, key fan-out).
+
+``*_window`` reproduce the original job's window shapes for comparison.
 """
 
 from __future__ import annotations

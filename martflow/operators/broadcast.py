@@ -57,10 +57,19 @@ REFUSE_ESTIMATE_FACTOR = 1000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate of a plain scan (projections and filters over
+    files), or None. Joins are estimated as products of their inputs and a
+    checkpointed plan carries its origin's estimate, so those get no
+    shortcut: they are counted."""
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        text = plan.toString()
+        if "Join" in text or "LogicalRDD" in text:
+            return None
+        est = int(str(plan.stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no statistics: no shortcut
         return None
+    return None if est >= 1 << 62 else est
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -93,15 +102,22 @@ def budget(df: DataFrame, max_bytes: int | None = None) -> int:
     return int(df.sparkSession.conf.get(BUDGET_CONF, str(DEFAULT_BROADCAST_BYTES)))
 
 
+def row_bound(df: DataFrame, max_bytes: int | None = None) -> int:
+    """Rows ``df`` may have to be broadcast: the byte budget over the row
+    width, capped by ``spark.martflow.broadcastMaxRows``; -1 when disabled."""
+    limit = budget(df, max_bytes)
+    if limit <= 0:
+        return -1
+    rows = max_rows_for(df, limit)
+    cap = df.sparkSession.conf.get(ROWS_CONF, None)
+    return min(rows, int(cap)) if cap is not None else rows
+
+
 def checked_broadcast(df: DataFrame, max_bytes: int | None = None,
                       max_rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` when its size is proven under the budget, else ``df``."""
     if max_rows is None:
-        limit = budget(df, max_bytes)
-        if limit <= 0:
+        max_rows = row_bound(df, max_bytes)
+        if max_rows < 0:
             return df
-        max_rows = max_rows_for(df, limit)
-        cap = df.sparkSession.conf.get(ROWS_CONF, None)
-        if cap is not None:
-            max_rows = min(max_rows, int(cap))
     return F.broadcast(df) if is_bounded(df, max_rows) else df

@@ -253,7 +253,30 @@ def test_header_line_nulls_match_original_form(spark):
     ours = M.sales_mart_hl(h, i, c, s, t)
     ref = M.as_contract(_reference_form(M.star_enrich(flat, c, s, t)), ours.schema)
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
+    cm = M.customer_mart_hl(h, i, c, s, t)
+    cm_flat = M.customer_mart(flat, c, s, t)
+    assert cm.exceptAll(cm_flat).count() == 0 and cm_flat.exceptAll(cm).count() == 0
     null_month = [r for r in ours.collect() if r["sales_month"] is None]
     assert {r["sales_person_id"] for r in null_month} == {1, 2}
     (seller3,) = [r for r in ours.collect() if r["sales_person_id"] == 3]
     assert seller3["total_sales"] is None and seller3["incentive"] is None
+
+
+def test_seller_check_fallback_when_exceptions_do_not_fit(spark):
+    team = [(1, "Sam", "Lee", 1, "Y", "Delhi", "1", None),
+            (1, "Samuel", "Lee", 1, "Y", "Delhi", "1", None),
+            (2, "Kim", "Park", 1, "N", "Delhi", "1", None),
+            (3, "Ola", "Nord", 3, "Y", "Pune", "2", None)]
+    h, i, c, s, t = _hl_fixture(spark, team)
+    t = t.withColumn("store_id", F.when(F.col("id") == 3, 122).otherwise(121).cast("long"))
+    flat = (i.join(h, "order_id")
+            .withColumn("store_id", F.when(F.col("sales_person_id") == 3, 122)
+                        .otherwise(121).cast("long")))
+    expected = M.customer_mart(flat, c, s, t)
+    spark.conf.set("spark.martflow.broadcastMaxRows", "0")
+    try:
+        plan_rows = M.customer_mart_hl(h, i, c, s, t)
+        assert plan_rows.exceptAll(expected).count() == 0
+        assert expected.exceptAll(plan_rows).count() == 0
+    finally:
+        spark.conf.unset("spark.martflow.broadcastMaxRows")

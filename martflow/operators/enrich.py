@@ -106,3 +106,40 @@ def dim_key_uniqueness(dim: DataFrame, key: str) -> DataFrame:
     return (dim.groupBy(F.col(key).alias("key"))
             .agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
+
+
+def key_checked(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
+                amount: str) -> DataFrame:
+    """``facts`` whose key finds ``dim`` rows, ``amount`` multiplied by the
+    number of matches: what an inner join does to a sum, without shuffling
+    the facts when the exceptions are few.
+
+    Most keys match exactly one dimension row (factor 1). The exceptions,
+    keys seen in the facts with factor 0 (no match) or > 1 (duplicated
+    dimension key), come from an aggregate over the facts, are checkpointed
+    into the shared folder and broadcast behind a size proof; a NULL key never
+    matches. If the exceptions do not fit, the facts are joined with the
+    dimension's keys (a shuffle join, same result).
+    """
+    from martflow.operators.broadcast import is_bounded, row_bound
+    from martflow.operators.ranking import _materialize
+
+    fanout = dim.groupBy(F.col(dim_key).alias("__dk")).agg(F.count(F.lit(1)).alias("__fan"))
+    seen = facts.where(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("__seen")).distinct()
+    exceptions = (seen.join(fanout, seen["__seen"] == fanout["__dk"], "left")
+                  .select(F.col("__seen").alias("__exc_key"),
+                          F.coalesce(F.col("__fan"), F.lit(0)).alias("__factor"))
+                  .where(F.col("__factor") != 1))
+    bound = row_bound(exceptions)
+    if bound >= 0:
+        exceptions = _materialize(exceptions)
+        if is_bounded(exceptions, bound):
+            e = F.broadcast(exceptions)
+            factor = (F.when(F.col(fact_key).isNull(), F.lit(0))
+                      .otherwise(F.coalesce(F.col("__factor"), F.lit(1))))
+            return (facts.join(e, facts[fact_key] == e["__exc_key"], "left")
+                    .withColumn("__f", factor).where(F.col("__f") > 0)
+                    .withColumn(amount, F.col(amount) * F.col("__f"))
+                    .drop("__exc_key", "__factor", "__f"))
+    keys = dim.select(F.col(dim_key).alias("__k"))
+    return facts.join(keys, facts[fact_key] == keys["__k"], "inner").drop("__k")

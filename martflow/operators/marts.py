@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from martflow.contracts import CUSTOMER_MART, SALES_TEAM_MART
 from martflow.functions.columns import full_name, month_key, rate_of
 from martflow.operators import ranking
-from martflow.operators.enrich import DimSpec, join_dim, star_join
+from martflow.operators.enrich import DimSpec, join_dim, key_checked, star_join
 
 def as_contract(df: DataFrame, contract) -> DataFrame:
     """The contract's columns, in order, cast to its types (money is
@@ -320,40 +320,12 @@ def sales_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
 
 
 def seller_checked_lines(items: DataFrame, team: DataFrame, store: DataFrame) -> DataFrame:
-    """Lines whose seller is valid, with ``total_cost`` multiplied by the
-    seller key's fan-out (what an inner join with the sellers would do).
-
-    Nearly every seller joins exactly one valid team row (factor 1); only
-    the exceptions matter: sellers seen in the lines with factor 0 (orphans)
-    or > 1 (duplicated keys). They come from an aggregate over the lines,
-    checkpointed once, and are broadcast behind a size proof, so the lines
-    are not shuffled for the check. If the exceptions do not fit, the lines
-    are joined with the sellers (a line-sized shuffle join).
-    """
-    from martflow.operators.broadcast import is_bounded, row_bound
-    from martflow.operators.ranking import _materialize
-
+    """Lines whose seller is valid, ``total_cost`` multiplied by the seller
+    key's fan-out (an inner join's effect on a sum), via ``key_checked``: the
+    lines are not shuffled for the check when the exceptions are few."""
     lines = items.select("order_id", "sales_person_id", "total_cost")
-    fanout = (valid_sellers(team, store).groupBy("seller_id")
-              .agg(F.count(F.lit(1)).alias("factor")))
-    seen = lines.where(F.col("sales_person_id").isNotNull()).select("sales_person_id").distinct()
-    exceptions = (seen.join(fanout, seen.sales_person_id == fanout.seller_id, "left")
-                  .select(F.col("sales_person_id").alias("__exc_seller"),
-                          F.coalesce(F.col("factor"), F.lit(0)).alias("__factor"))
-                  .where(F.col("__factor") != 1))
-    bound = row_bound(exceptions)
-    if bound >= 0:
-        exceptions = _materialize(exceptions)
-        if is_bounded(exceptions, bound):
-            e = F.broadcast(exceptions)
-            tagged = lines.join(e, lines.sales_person_id == e["__exc_seller"], "left")
-            factor = (F.when(F.col("sales_person_id").isNull(), F.lit(0))
-                      .otherwise(F.coalesce(F.col("__factor"), F.lit(1))))
-            return (tagged.withColumn("__f", factor).where(F.col("__f") > 0)
-                    .withColumn("total_cost", F.col("total_cost") * F.col("__f"))
-                    .select("order_id", "sales_person_id", "total_cost"))
-    return join_dim(lines, DimSpec("seller", valid_sellers(team, store), "sales_person_id",
-                                   "seller_id"))
+    return key_checked(lines, "sales_person_id", valid_sellers(team, store), "seller_id",
+                       "total_cost")
 
 
 def customer_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,

@@ -221,7 +221,7 @@ def manager_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales per manager: lines of existing orders, totalled per seller, then
     rolled up through the team's manager reference."""
     headers, items, _c, _s, team = _hl(spark, sf_dir)
-    lines = items.join(headers.select("order_id"), "order_id")
+    lines = E.key_checked(items, "order_id", headers, "order_id", "total_cost")
     out = M.manager_rollup(lines, team)
     return out.select("manager_id", _dbl("team_total"), "members")
 

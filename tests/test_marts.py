@@ -280,3 +280,26 @@ def test_seller_check_fallback_when_exceptions_do_not_fit(spark):
         assert expected.exceptAll(plan_rows).count() == 0
     finally:
         spark.conf.unset("spark.martflow.broadcastMaxRows")
+
+
+def test_key_checked_equals_inner_join_both_paths(spark):
+    from martflow.operators.enrich import key_checked
+    facts = spark.createDataFrame(
+        [(1, D("1.00")), (1, D("2.00")), (2, D("4.00")), (3, D("8.00")), (None, D("16.00")),
+         (9, D("32.00"))], "k long, amount decimal(18,2)")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b2"), (3, "c")], "id long, v string")
+    expected = (facts.join(dim, facts.k == dim.id, "inner").groupBy("k")
+                .agg(F.sum("amount").alias("s")))
+
+    def sums():
+        out = key_checked(facts, "k", dim, "id", "amount")
+        return {r["k"]: r["s"] for r in out.groupBy("k").agg(F.sum("amount").alias("s")).collect()}
+
+    want = {r["k"]: r["s"] for r in expected.collect()}
+    assert want == {1: D("3.00"), 2: D("8.00"), 3: D("8.00")}
+    assert sums() == want                                   # exceptions broadcast
+    spark.conf.set("spark.martflow.broadcastMaxRows", "0")
+    try:
+        assert sums() == want                               # shuffle-join fallback
+    finally:
+        spark.conf.unset("spark.martflow.broadcastMaxRows")

@@ -228,3 +228,21 @@ def test_command_line_job(spark, tmp_dir):
     from martflow.sinks.files import latest_run
     (row,) = latest_run(spark, out + "/sales_team_data_mart").collect()
     assert row["total_sales"] == D("100.00") and row["incentive"] == D("1.00")
+
+
+def test_stream_picks_up_only_new_files(spark, tmp_dir):
+    from martflow.streaming.ingest import start_ingest
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    start_ingest(spark, land, _dims(spark), layout, ckpt).awaitTermination()
+    assert spark.read.parquet(layout.staged).count() == 1
+    write(os.path.join(land, "d"), "b.csv", f"{HEAD}\n2,121,oats,2024-03-05,2,50,3,150\n"
+                                            f"1,121,oats,2024-03-06,1,50,1,50\n")
+    start_ingest(spark, land, _dims(spark), layout, ckpt).awaitTermination()
+    staged = spark.read.parquet(layout.staged)
+    assert staged.count() == 3
+    assert staged.select("run_id").distinct().count() == 2      # one run per micro-batch
+    start_ingest(spark, land, _dims(spark), layout, ckpt).awaitTermination()
+    assert spark.read.parquet(layout.staged).count() == 3        # nothing new, nothing added

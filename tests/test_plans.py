@@ -69,3 +69,27 @@ def test_line_sized_shuffles_at_scale(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_no_local_checkpoint_folder_on_a_cluster():
+    """Without spark.checkpoint.dir, only local mode may use a temp folder."""
+    import pytest
+    from martflow.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Ctx:
+        master = "yarn"
+        applicationId = "app-cluster-test"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Ctx()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

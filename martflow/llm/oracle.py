@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martflow.llm.licences import ENOUGH, TEMPLATES
+from martflow.llm.lm import BACKOFF, VOCABULARY
 from martflow.llm.secretscan import BASE_RULES, RULES
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -48,6 +50,30 @@ def _secrets() -> str:
     from d left join a using (row_id)"""
 
 
+def _licences() -> str:
+    postings = ", ".join(f"({i}, '{w}', {at}, {int(key)})"
+                         for i, t in enumerate(TEMPLATES) for at, w, key in t.words())
+    sizes = ", ".join(f"({i}, '{t.label}', {str(t.base).lower()}, {len(t.words())}, "
+                      f"{sum(k for _, _, k in t.words())})" for i, t in enumerate(TEMPLATES))
+    return f"""
+    with p(template, word, place, is_key) as (values {postings}),
+    z(template, label, base, size, n_keys) as (values {sizes}),
+    d as (select row_number() over () as row_id, doc_id, {ALNUM_WORDS} as w from documents),
+    u as (select row_id, unnest(w) as word, unnest(generate_series(0, len(w) - 1)) as pos from d),
+    v as (select row_id, template, pos - place as st, count(*) as met, sum(is_key) as keys_met
+          from u join p using (word) group by all),
+    f as (select * from v join z using (template) where keys_met = n_keys and met >= {ENOUGH} * size),
+    g as (select row_id, count(*) filter (where base) as n_base,
+            min(st) filter (where base) as first_word, max(st) filter (where base) as last_word,
+            string_agg(distinct label, ',' order by label) filter (where base) as base_labels,
+            string_agg(distinct label, ',' order by label) as labels,
+            max(met::double / size) as score from f group by row_id)
+    select doc_id, len(w) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word,
+        coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+        coalesce(score, 0) as score
+    from d left join g using (row_id)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_secret_scan": _secrets(),
     "op2_near_duplicates": f"""
@@ -70,4 +96,33 @@ ORACLE: dict[str, str] = {
     c as (select doc_id, item_id, count(*) as n_shared from d join i using (s) group by all)
     select doc_id, item_id, n_item, n_shared, n_shared / n_item as containment
     from c join n using (item_id) where n_shared >= 0.8 * n_item""",
+    "op3_lm_scores": f"""
+    with d as (select row_number() over () as row_id, doc_id, {SPACED_WORDS} as w from documents),
+    t as (select row_id, unnest(w) as word, unnest(generate_series(1, len(w))) as i from d),
+    n as (select count(*) as total from t),
+    f as (select word, count(*) as n from t group by word),
+    k as (select t.row_id, t.i, case when f.n >= {VOCABULARY} * n.total then word else '' end as word
+          from t join f using (word), n),
+    c as (select word, count(*) as n from k group by word),
+    b as (select row_id, i, lag(word) over (partition by row_id order by i) as v, word from k),
+    bc as (select v, word, count(*) as n from b where v is not null group by all),
+    s as (select row_id, case when b.v is null then ln(c.n) - ln(total)
+            when bc.n >= 2 then ln(bc.n) - ln(cv.n)
+            else ln({BACKOFF}) + ln(c.n) - ln(total) end as s
+          from b join c using (word) left join c cv on cv.word = b.v
+          left join bc on bc.v = b.v and bc.word = b.word, n),
+    a as (select row_id, sum(s) as s from s group by row_id)
+    select doc_id, len(w) as n_words, round(coalesce(s, 0), 6) as log_score,
+        case when len(w) > 0 then round(s / len(w), 6) end as mean_log_score
+    from d left join a using (row_id)""",
+    "op8_neighbours": """
+    with e as (select distinct vec_id, embedding::double[] as v from embeddings
+               where embedding is not null
+                 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    s as (select q.vec_id as query_id, e.vec_id, list_inner_product(q.v, e.v) as score
+          from e q join e on q.vec_id % 20 = 0 and q.vec_id <> e.vec_id),
+    r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
+    select query_id, n::integer as rank, vec_id, score from r where n <= 20""",
+    "op9_licences": _licences(),
 }

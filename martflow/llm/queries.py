@@ -10,10 +10,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from martflow.llm import bpe, decontam, langid, neardup, secretscan
+from martflow.llm import (ann, bpe, counts, decontam, idfile, langid, licences, lm, neardup,
+                          secretscan)
 from martflow.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER_IDS = 50257
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,6 +36,11 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+@query
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"),
@@ -45,6 +53,28 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.PATTERN)
 
 
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return idfile.read_ids(idfile.write_ids(read_table(spark, sf_dir, "documents"), TOKENIZER,
+                                            TOKENIZER_IDS, end_id=2))
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.counted_edits(read_table(spark, sf_dir, "documents"), RANKS,
+                                public_tokenizers.PATTERN, edits=counts.tidy_edits)
+
+
+@query
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.license_scan(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))

@@ -6,20 +6,19 @@ never compared. Of each node's set the k smallest hashes are kept.
 
 Candidates come from inverted lists of kept values. Two sets of similarity s
 have about k*s of the union's k smallest values in common, so a linked pair
-shares at least ``least`` kept values but for a chance of ``MISS`` (small sets
-are kept whole: for them the bound is exact). Values are ordered by how many
-nodes keep them; a node is listed only under its rarest ones, all but its
-``least - 1`` most frequent, which any such pair must meet in (prefix filter).
-Frequent shingles hence make no long lists.
-
-Links are found in two rounds, so that a list of n near copies does not make
-n*n pairs: first each member of a list is held against the list's smallest
-node; then only members that the first round left in different components are
-held against each other: lists up to ``SMALL`` members by a join, longer ones
-in blocks (tiles) that are compared whole inside tasks and emit a spanning
-forest of their links. Pairs are first filtered by the union sketch's estimate
-and then verified by the exact similarity of the full sets; tiles compare full
-sets right away.
+shares at least ``least`` kept values but for a chance of ``MISS`` (sets of up
+to k shingles are kept whole: for them the bound is exact). Values are ordered
+by how many nodes keep them; a node is listed under its rarest ones, all but
+its ``least - MEET`` most frequent, so such a pair meets in ``MEET`` lists at
+least (prefix filter). Frequent shingles hence make no long lists.
+
+Pairs that meet often enough in lists of up to ``SMALL`` members, and each
+member of a longer list with the list's first, are filtered by the union
+sketch's estimate. The connected components of what is left are the clusters
+that can hold links. Every cluster, and every longer list whose members are
+in several clusters, is verified by the exact similarities of the full sets,
+in tiles of up to ``TILE`` by ``TILE`` documents that emit a spanning forest
+of their links: no group of n near copies makes n*n pairs, and none is cut.
 """
 
 from __future__ import annotations
@@ -33,14 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martflow.llm.components import components
-from martflow.llm.shipping import map_arrow
+from martflow.llm.shipping import map_arrow, ship
 from martflow.llm.textcore import SPACED, mix, shingles, stored, text_words
 
 K = 32            # values kept of each set
 MISS = 1e-6       # largest chance that a linked pair shares too few kept values
+MEET = 3          # lists that a linked pair meets in
 SMALL = 64        # members of a list whose pairs are made by a join
-TILE = 1024       # members of a block of a longer list
-COLUMNS = 1 << 14  # shingles of a tile compared at once
+TILE = 2560       # members of a block of a cluster or longer list
+COLUMNS = 1 << 12  # shingles of a tile compared at once
 
 
 def least_shared(k: int, percent: int, miss: float = MISS) -> int:
@@ -59,10 +59,9 @@ def _signature(found: np.ndarray) -> tuple[int, int]:
             int(mix(wide * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)).sum().view(np.int64)))
 
 
-def sets_of(docs: DataFrame, words: int, id_col: str, text_col: str, keep: int | None,
-            extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: id, n, s1, s2 (the set's signature), hashes (the ``keep``
-    smallest, or all), and the columns in extra; n is 0 without words."""
+def sketches(docs: DataFrame, words: int, id_col: str, text_col: str, k: int) -> DataFrame:
+    """Per row: id, n, s1, s2 (the set's signature), hashes (its k smallest);
+    n is 0 without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, s1, s2, kept = [], [], [], []
@@ -72,70 +71,102 @@ def sets_of(docs: DataFrame, words: int, id_col: str, text_col: str, keep: int |
                 n.append(len(found))
                 s1.append(a)
                 s2.append(b)
-                kept.append(found[:keep])
+                kept.append(found[:k])
             made = [pa.array(n, type=pa.int64()), pa.array(s1, type=pa.int64()),
                     pa.array(s2, type=pa.int64()), pa.array(kept, type=pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in columns), *made],
-                names=[*columns, "n", "s1", "s2", "hashes"])
+                [batch.column(id_col), *made], names=[id_col, "n", "s1", "s2", "hashes"])
 
-    columns = [id_col, *extra]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return map_arrow(docs.select(*columns, text_col), run,
-                     f"{kinds}, n bigint, s1 bigint, s2 bigint, hashes array<bigint>")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return map_arrow(docs.select(id_col, text_col), run,
+                     f"`{id_col}` {kind}, n bigint, s1 bigint, s2 bigint, hashes array<bigint>")
 
 
 def _similar_sizes(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _linked(shared: Column, n_a: str, n_b: str, percent: int) -> Column:
-    return shared * 100 >= (F.col(n_a) + F.col(n_b) - shared) * percent
+def _own_least(n: Column, percent: int, least: int) -> Column:
+    """The kept values that a set of n shingles shares with a linked one."""
+    return F.least(F.lit(least), F.ceil(n * percent / 100)).cast("int")
 
 
-def _postings(nodes: DataFrame, k: int, percent: int, least: int) -> DataFrame:
-    """(value, node, n): the inverted lists with two members or more."""
+def _postings(nodes: DataFrame, percent: int, least: int) -> DataFrame:
+    """(value, node, n): the inverted lists."""
     kept = nodes.select("node", "n", F.explode("hashes").alias("value"))
     shared = kept.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     # values of one node alone come first in its order and list nobody else, so
-    # of its shared values all but the least - 1 most frequent are listed
-    own_least = F.least(F.lit(least), F.ceil(F.col("n") * percent / 100)).cast("int")
+    # the most frequent ones are left out of its shared values
+    left_out = _own_least(F.col("n"), percent, least)
+    left_out = left_out - F.least(F.lit(MEET), left_out)
     listed = (kept.join(shared, "value").groupBy("node", "n")
               .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("order"))
-              .where(F.size("order") >= own_least)
+              .where(F.size("order") > left_out)
               .select("node", "n", F.explode(F.slice(
-                  "order", F.lit(1), F.size("order") - own_least + 1)).alias("kept")))
+                  "order", F.lit(1), F.size("order") - left_out)).alias("kept")))
     return listed.select(F.col("kept.value").alias("value"), "node", "n")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, k: int, percent: int,
-              least: int) -> DataFrame:
-    """The linked ones of pairs (a, b): estimate on sketches, then full sets."""
-    def both(p: DataFrame, table: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            p = p.join(table.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
-                                    F.col("hashes").alias(f"h_{side}")), side)
-        return p
-
+def _pairs(lists: DataFrame, percent: int, least: int) -> DataFrame:
+    """(a, b): pairs of similar size that meet in as many short lists as a
+    linked pair must, and the members of long ones with their first."""
+    short = lists.where((F.col("members") > 1) & (F.col("members") <= SMALL))
+    left, right = (short.select("value", F.col("node").alias(s), F.col("n").alias(f"n_{s}"))
+                   for s in ("a", "b"))
+    must = F.least(F.lit(MEET), _own_least(F.col("n_a"), percent, least),
+                   _own_least(F.col("n_b"), percent, least))
+    met = (left.join(right, "value")
+           .where((F.col("a") < F.col("b")) & _similar_sizes("n_a", "n_b", percent))
+           .groupBy("a", "b").agg(F.count("*").alias("met"), F.first(must).alias("must"))
+           .where("met >= must").select("a", "b"))
+    long = lists.where(F.col("members") > SMALL)
+    star = (long.where(F.col("node") != F.col("first"))
+            .select(F.col("first").alias("a"), F.col("node").alias("b")))
+    return met.unionByName(star).distinct()
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame, k: int, percent: int, least: int) -> DataFrame:
+    """The pairs whose union sketch lets them be linked: of its k smallest
+    values, those kept by both are counted (exact if the union has no more)."""
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("hashes").alias(f"h_{side}")), side)
     union = F.slice(F.array_sort(F.array_union("h_a", "h_b")), 1, k)
-    met = F.size(F.array_intersect(F.array_intersect("h_a", "h_b"), union))
-    likely = both(pairs, nodes).where(
-        met >= F.least(F.lit(least), F.ceil(F.size(union) * percent / 100))).select("a", "b")
-    return (both(likely, sets)
-            .where(_linked(F.size(F.array_intersect("h_a", "h_b")), "n_a", "n_b", percent))
-            .select("a", "b"))
-
-
-def _tile_links(tiles: DataFrame, percent: int) -> DataFrame:
-    """Links of each tile (value, i, j): a spanning forest of the pairs within
-    it whose full sets are similar enough."""
-    def link(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        node = table.column("node").to_numpy()
-        hashes = table.column("hashes").combine_chunks()
-        flat = hashes.flatten().to_numpy()
-        size = np.diff(hashes.offsets.to_numpy())
+    both = F.size(F.array_intersect(F.array_intersect("h_a", "h_b"), union))
+    enough = F.least(F.lit(least), F.ceil(F.size(union) * percent / 100))
+    return pairs.where(both >= enough).select("a", "b")
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """(kind, name, i, j, node) for members (kind, name, node, members): each
+    pair of a group's blocks is one tile."""
+    blocks = F.ceil(F.col("members") / TILE).cast("int")
+    return (members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("kind", "name", F.least("block", "other").alias("i"),
+                    F.greatest("block", "other").alias("j"), "node"))
+
+
+def _tile_links(tiles: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of each tile of (node, text, n, s1, s2): a spanning forest of the
+    pairs within it whose full sets are similar enough."""
+    def sets(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+        nodes, found = [], []
+        for batch in table.to_batches():
+            node, n, s1, s2 = (batch.column(c).to_pylist() for c in ("node", "n", "s1", "s2"))
+            for row, hashes in text_words(batch, "text", SPACED):
+                own = np.unique(shingles(hashes, words))
+                # a row of the same id with another text is not the node's
+                if len(own) == n[row] and _signature(own) == (s1[row], s2[row]):
+                    nodes.append(node[row])
+                    found.append(own)
+        nodes, first = np.unique(np.array(nodes, dtype=np.int64), return_index=True)
+        return nodes, [found[i] for i in first]
+
+    def link(table: pa.Table) -> pa.Table:
+        node, found = sets(table)
+        size = np.array([len(f) for f in found], dtype=np.int64)
         row = np.repeat(np.arange(len(node)), size)
+        flat = np.concatenate(found) if found else np.empty(0, dtype=np.int64)
         _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
         common = count[column] > 1
         place = np.cumsum(count > 1) - 1
@@ -145,12 +176,12 @@ def _tile_links(tiles: DataFrame, percent: int) -> DataFrame:
         shared = np.zeros((len(node), len(node)), dtype=np.float32)
         for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
             at, to = np.searchsorted(column, [low, low + COLUMNS])
-            part = np.zeros((len(node), COLUMNS), dtype=np.float32)
+            part = np.zeros((len(node), min(COLUMNS, int(column[to - 1]) - low + 1)), dtype=np.float32)
             part[row[at:to], column[at:to] - low] = 1
             shared += part @ part.T
         linked = shared * 100 >= (size[:, None] + size[None, :] - shared) * percent
         a, b, left = [], [], np.ones(len(node), dtype=bool)
-        for start in range(len(node)):  # breadth first; each node is reached once
+        for start in range(len(node)):  # each node is reached once
             if left[start]:
                 left[start] = False
                 front = [start]
@@ -163,7 +194,8 @@ def _tile_links(tiles: DataFrame, percent: int) -> DataFrame:
                     b.extend(node[near].tolist())
         return pa.table({"a": pa.array(a, type=pa.int64()), "b": pa.array(b, type=pa.int64())})
 
-    return tiles.groupBy("value", "i", "j").applyInArrow(link, "a bigint, b bigint")
+    ship(tiles.sparkSession)
+    return tiles.groupBy("kind", "name", "i", "j").applyInArrow(link, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K,
@@ -181,65 +213,40 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     least = least_shared(k, percent)
     read = docs.select(F.col(id_col).cast("bigint").alias("node"),
                        F.col(text_col).cast("string").alias("text"))
-    rows = stored(sets_of(read, words, "node", "text", k), "sketches")
-    own = (rows.where("node is not null and n > 0").groupBy("node")
-           .agg(F.max(F.struct("n", "s1", "s2", "hashes")).alias("own")).select("node", "own.*"))
-    classes = stored(own.groupBy("n", "s1", "s2").agg(
-        F.min("node").alias("node"), F.min_by("hashes", "node").alias("hashes")), "classes")
-    nodes = classes.select("node", "n", "hashes")
-    postings = stored(_postings(nodes, k, percent, least), "postings")
-
-    # the full sets of the listed nodes, made again from their texts
-    listed = (postings.select("node").distinct().join(classes.drop("hashes"), "node")
-              .select("node", *(F.col(c).alias(f"c_{c}") for c in ("n", "s1", "s2"))))
-    texts = read.join(listed, "node")
-    sets = (sets_of(texts, words, "node", "text", None, ("c_n", "c_s1", "c_s2"))
-            .where("n = c_n and s1 = c_s1 and s2 = c_s2").select("node", "n", "hashes"))
-    sets = stored(sets, "sets").dropDuplicates(["node"])
-
-    # round 1: each member against the smallest node of its list
-    first = postings.groupBy("value").agg(F.min(F.struct("node", "n")).alias("first"),
-                                          F.count("*").alias("members"))
-    star = stored(
-        postings.join(first, "value")
-        .select(F.col("first.node").alias("a"), F.col("node").alias("b"),
-                F.col("first.n").alias("n_a"), F.col("n").alias("n_b"))
-        .where(F.col("a") != F.col("b")).where(_similar_sizes("n_a", "n_b", percent))
-        .select("a", "b").distinct(), "star")
-    links = stored(_verified(star, nodes, sets, k, percent, least), "links")
-    comps = components(links)
-
-    # round 2: members of a list that are in different components
-    placed = (postings.join(first.select("value", "members"), "value").join(comps, "node", "left")
-              .withColumn("comp", F.coalesce("comp", "node")))
-    apart = (placed.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    rows = stored(sketches(read, words, "node", "text", k), "sketches")
+    own = stored(rows.where("node is not null and n > 0").groupBy("node")
+                 .agg(F.max(F.struct("n", "s1", "s2")).alias("own")).select("node", "own.*"), "own")
+    signature = ["n", "s1", "s2"]
+    classes = own.groupBy(*signature).agg(F.min("node").alias("node"))
+    nodes = stored(rows.join(classes, ["node", *signature]).dropDuplicates(["node", *signature]), "nodes")
+    postings = stored(_postings(nodes, percent, least), "postings")
+    sizes = postings.groupBy("value").agg(F.count("*").alias("members"), F.min("node").alias("first"))
+    lists = postings.join(sizes, "value")
+    likely = _likely(_pairs(lists, percent, least), nodes, k, percent, least)
+    clusters = components(likely)
+
+    # tiles: every cluster, and every long list with members of several clusters
+    of_cluster = clusters.join(clusters.groupBy("comp").agg(F.count("*").alias("members")), "comp").select(
+        F.lit(0).alias("kind"), F.col("comp").alias("name"), "node", "members")
+    long = (lists.where(F.col("members") > SMALL).join(clusters, "node", "left")
+            .withColumn("comp", F.coalesce("comp", "node")))
+    mixed = (long.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
              .where("low < high").select("value"))
-    placed = stored(placed.join(apart, "value"), "placed")
-    few = placed.where(F.col("members") <= SMALL)
-    left, right = (few.select("value", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "comp")))
-                   for s in ("a", "b"))
-    pairs = (left.join(right, "value")
-             .where((F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b"))
-                    & _similar_sizes("n_a", "n_b", percent))
-             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
-    tiles = (placed.where(F.col("members") > SMALL)
-             .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("value", F.least("block", "other").alias("i"),
-                     F.greatest("block", "other").alias("j"), "node")
-             .join(sets, "node"))
-    more = (_verified(pairs, nodes, sets, k, percent, least)
-            .unionByName(_tile_links(tiles, percent)))
-    comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-                       .unionByName(more))
+    of_list = long.join(mixed, "value").select(
+        F.lit(1).alias("kind"), F.col("value").alias("name"), "node", "members")
+    tiles = stored(_tiles(of_cluster.unionByName(of_list)), "tiles")
+
+    # the full sets are made again, in the tiles, from the texts of their nodes
+    wanted = tiles.select("node").distinct().join(nodes.select("node", *signature), "node")
+    texts = (read.join(wanted, "node").withColumn("h", F.xxhash64("text"))
+             .dropDuplicates(["node", "h"]).drop("h"))
+    links = _tile_links(tiles.join(texts, "node"), words, percent)
+    comps = components(links)
 
     # every id: by its set's class, by the class's component
-    of_class = (classes.join(comps, "node", "left")
-                .select("n", "s1", "s2", F.coalesce("comp", "node").alias("comp")))
-    of_id = own.select("node", "n", "s1", "s2").join(of_class, ["n", "s1", "s2"]).select(
-        "node", F.col("n").alias("own_n"), "comp")
+    of_class = (nodes.join(comps, "node", "left")
+                .select(*signature, F.coalesce("comp", "node").alias("comp")))
+    of_id = own.join(of_class, signature).select("node", F.col("n").alias("own_n"), "comp")
     out = rows.select("node", "n").join(of_id, "node", "left")
     return out.select(F.col("node").alias(id_col),
                       F.coalesce("own_n", "n").alias("n_shingles"),

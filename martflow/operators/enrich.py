@@ -15,37 +15,25 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.operators.broadcast import checked_broadcast
-
 
 @dataclass(frozen=True)
 class DimSpec:
-    """How one dimension joins the fact.
-
-    ``columns`` maps output name -> dimension column; ``broadcast`` is
-    ``"auto"`` (size-checked), ``True`` (caller guarantees a bound) or
-    ``False`` (always a shuffle join).
-    """
+    """How one dimension joins the fact; ``columns`` maps output name ->
+    dimension column. The join strategy is Spark's: from table sizes when it
+    plans, from measured shuffle sizes when it runs (AQE)."""
     name: str
     df: DataFrame
     fact_key: str
     dim_key: str
     columns: dict = field(default_factory=dict)
     how: str = "inner"
-    broadcast: object = "auto"
-    max_bytes: int | None = None
 
 
 def _dim_side(spec: DimSpec) -> DataFrame:
     key_alias = f"__{spec.name}_key"
     cols = [F.col(spec.dim_key).alias(key_alias)]
     cols += [F.col(src).alias(out) for out, src in spec.columns.items()]
-    dim = spec.df.select(*cols)
-    if spec.broadcast == "auto":
-        dim = checked_broadcast(dim, spec.max_bytes)
-    elif spec.broadcast is True:
-        dim = F.broadcast(dim)
-    return dim
+    return spec.df.select(*cols)
 
 
 def join_dim(fact: DataFrame, spec: DimSpec) -> DataFrame:
@@ -56,8 +44,8 @@ def join_dim(fact: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def star_join(fact: DataFrame, specs: list[DimSpec]) -> DataFrame:
-    """Join dimensions in the given order (put same-key and broadcast joins
-    next to each other so a shuffle's partitioning is reused)."""
+    """Join dimensions in the given order (put same-key joins next to each
+    other so a shuffle's partitioning is reused)."""
     out = fact
     for spec in specs:
         out = join_dim(out, spec)
@@ -70,35 +58,28 @@ def orphans(fact: DataFrame, spec: DimSpec) -> DataFrame:
     NULL keys are orphans too: they never match.
     """
     keys = spec.df.select(F.col(spec.dim_key).alias("__k"))
-    if spec.broadcast == "auto":
-        keys = checked_broadcast(keys, spec.max_bytes)
     return fact.join(keys, fact[spec.fact_key] == keys["__k"], "left_anti")
 
 
 def orphan_report(fact: DataFrame, specs: list[DimSpec]) -> DataFrame:
     """Per dimension: how many fact rows an inner join with it would drop.
 
-    One pass over the fact: GROUPING SETS count the rows per value of every
-    join key at once (partial aggregation first), and each small count table
-    is anti-joined with its dimension's keys. NULL keys count as orphans (an
-    anti join keeps them; ``grouping()`` tells a NULL key from a rolled-up one).
+    One pass over the fact: it is counted per distinct combination of the join
+    keys (partial aggregation first), each dimension's distinct keys mark the
+    combinations they match, and one aggregate adds up what is unmarked. NULL
+    keys never match, so they count as orphans.
     """
     keys = list(dict.fromkeys(s.fact_key for s in specs))
-    counts = (fact.groupingSets([[k] for k in keys], *keys)
-              .agg(F.count(F.lit(1)).alias("__n"),
-                   *[F.grouping(k).alias(f"__g_{k}") for k in keys]))
-    parts = []
-    for s in specs:
-        per_key = (counts.where(F.col(f"__g_{s.fact_key}") == 0)
-                   .select(F.col(s.fact_key).alias("__key"), "__n"))
-        dim_keys = s.df.select(F.col(s.dim_key).alias("__k"))
-        lost = per_key.join(dim_keys, per_key["__key"] == dim_keys["__k"], "left_anti")
-        parts.append(lost.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("orphan_rows"))
-                     .select(F.lit(s.name).alias("dimension"), "orphan_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    for i, s in enumerate(specs):
+        known = s.df.select(F.col(s.dim_key).alias(f"__k{i}")).distinct()
+        counts = counts.join(known, counts[s.fact_key] == known[f"__k{i}"], "left")
+    lost = [F.sum(F.when(F.col(f"__k{i}").isNull(), F.col("__n")).otherwise(0)).alias(f"__lost{i}")
+            for i in range(len(specs))]
+    rows = [F.struct(F.lit(s.name).alias("dimension"),
+                     F.coalesce(f"__lost{i}", F.lit(0)).cast("bigint").alias("orphan_rows"))
+            for i, s in enumerate(specs)]
+    return counts.agg(*lost).select(F.inline(F.array(*rows)))
 
 
 def dim_key_uniqueness(dim: DataFrame, key: str) -> DataFrame:
@@ -106,40 +87,3 @@ def dim_key_uniqueness(dim: DataFrame, key: str) -> DataFrame:
     return (dim.groupBy(F.col(key).alias("key"))
             .agg(F.count(F.lit(1)).alias("copies"))
             .where(F.col("copies") > 1))
-
-
-def key_checked(facts: DataFrame, fact_key: str, dim: DataFrame, dim_key: str,
-                amount: str) -> DataFrame:
-    """``facts`` whose key finds ``dim`` rows, ``amount`` multiplied by the
-    number of matches: what an inner join does to a sum, without shuffling
-    the facts when the exceptions are few.
-
-    Most keys match exactly one dimension row (factor 1). The exceptions,
-    keys seen in the facts with factor 0 (no match) or > 1 (duplicated
-    dimension key), come from an aggregate over the facts, are checkpointed
-    into the shared folder and broadcast behind a size proof; a NULL key never
-    matches. If the exceptions do not fit, the facts are joined with the
-    dimension's keys (a shuffle join, same result).
-    """
-    from martflow.operators.broadcast import is_bounded, row_bound
-    from martflow.operators.ranking import _materialize
-
-    fanout = dim.groupBy(F.col(dim_key).alias("__dk")).agg(F.count(F.lit(1)).alias("__fan"))
-    seen = facts.where(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("__seen")).distinct()
-    exceptions = (seen.join(fanout, seen["__seen"] == fanout["__dk"], "left")
-                  .select(F.col("__seen").alias("__exc_key"),
-                          F.coalesce(F.col("__fan"), F.lit(0)).alias("__factor"))
-                  .where(F.col("__factor") != 1))
-    bound = row_bound(exceptions)
-    if bound >= 0:
-        exceptions = _materialize(exceptions)
-        if is_bounded(exceptions, bound):
-            e = F.broadcast(exceptions)
-            factor = (F.when(F.col(fact_key).isNull(), F.lit(0))
-                      .otherwise(F.coalesce(F.col("__factor"), F.lit(1))))
-            return (facts.join(e, facts[fact_key] == e["__exc_key"], "left")
-                    .withColumn("__f", factor).where(F.col("__f") > 0)
-                    .withColumn(amount, F.col(amount) * F.col("__f"))
-                    .drop("__exc_key", "__factor", "__f"))
-    keys = dim.select(F.col(dim_key).alias("__k"))
-    return facts.join(keys, facts[fact_key] == keys["__k"], "inner").drop("__k")

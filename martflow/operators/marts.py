@@ -28,7 +28,6 @@ Two families of the same marts:
   for the sales mart a per-(seller, month) aggregate that meets one
   dimension-sized seller table (store, name, key fan-out).
 
-``*_window`` reproduce the original job's window shapes for comparison.
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ from pyspark.sql import functions as F
 from martflow.contracts import CUSTOMER_MART, SALES_TEAM_MART
 from martflow.functions.columns import full_name, month_key, rate_of
 from martflow.operators import ranking
-from martflow.operators.enrich import DimSpec, join_dim, key_checked, star_join
+from martflow.operators.enrich import DimSpec, join_dim, star_join
 
 def as_contract(df: DataFrame, contract) -> DataFrame:
     """The contract's columns, in order, cast to its types (money is
@@ -62,15 +61,6 @@ def period_total(df: DataFrame, keys: list[str], amount: str = "total_cost",
     return df.groupBy(*keys).agg(F.sum(amount).alias(out))
 
 
-def period_total_window(df: DataFrame, keys: list[str], carry: list[Column | str],
-                        amount: str = "total_cost", out: str = "total_sales") -> DataFrame:
-    """The window form: sum over the key on every row, then DISTINCT over
-    the key, carried attributes and the total."""
-    w = Window.partitionBy(*keys)
-    return (df.withColumn(out, F.sum(amount).over(w))
-            .select(*keys, *carry, out).distinct())
-
-
 def attach(totals: DataFrame, attrs: DataFrame, key: str, attr_key: str) -> DataFrame:
     """Totals x distinct attribute rows of their key (inner)."""
     a = attrs.distinct()
@@ -119,9 +109,9 @@ def rank_window(totals: DataFrame, group: list[str], value: str = "total_sales",
 
 
 def rank_within(totals: DataFrame, group: list[str], value: str = "total_sales",
-                out: str = "rnk", **kw) -> DataFrame:
-    """The same rank, with hot groups split into value ranges (see ``ranking``)."""
-    return ranking.rank_within(totals, group, value, out, **kw)
+                out: str = "rnk") -> DataFrame:
+    """The same rank, from the counts of the distinct values (see ``ranking``)."""
+    return ranking.rank_within(totals, group, value, out)
 
 
 # --------------------------------------------------------------------------
@@ -193,30 +183,43 @@ def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
     return sales_mart_of(enriched_keys(fact, customer, store, team), team)
 
 
-def customer_mart_window(enriched: DataFrame) -> DataFrame:
-    """The customer mart in the original job's shape, for comparison: window
-    sum per (customer, month) on every enriched row, then DISTINCT. The whole
-    (customer, month) group is one window partition (one task)."""
+def _window_total(totals: DataFrame, keys: list[str], amount: str, out: str) -> DataFrame:
+    """sum(sum(amount)) over keys, one row per key: a window over rows that are
+    already totalled, so no fact row enters it."""
+    w = Window.partitionBy(*keys)
+    return totals.withColumn(out, F.sum(amount).over(w)).select(*keys, out).distinct()
+
+
+def customer_totals_window(enriched: DataFrame) -> DataFrame:
+    """customer_month_totals by a window: totals per (customer, month, seller)
+    summed over each (customer, month)."""
     e = with_month(enriched, out="sales_date_month")
-    out = period_total_window(
-        e, ["customer_id", "sales_date_month"],
-        [full_name("customer_first_name", "customer_last_name").alias("full_name"),
-         F.col("customer_address").alias("address"),
-         F.col("customer_phone_number").alias("phone_number")])
-    return as_contract(out, CUSTOMER_MART)
-
-
-def sales_mart_window(enriched: DataFrame) -> DataFrame:
-    """The sales-team mart in the original job's shape, for comparison: window
-    sum per (store, seller, month), DISTINCT, then rank() per (store, month)
-    and the incentive for rank 1. Both windows hold whole groups in one task."""
-    e = with_month(enriched)
-    totals = period_total_window(
-        e, ["store_id", "sales_person_id", "sales_month"],
-        [full_name("sales_person_first_name", "sales_person_last_name").alias("full_name")])
-    ranked = rank_window(totals, ["store_id", "sales_month"])
+    part = period_total(e, ["customer_id", "sales_date_month", "sales_person_id"], out="part")
+    return _window_total(part, ["customer_id", "sales_date_month"], "part", "total_sales")
+
+
+def sales_totals_window(enriched: DataFrame) -> DataFrame:
+    """sales_month_totals by a window: totals per (store, seller, day) summed
+    over each (store, seller, month)."""
+    part = period_total(enriched, ["store_id", "sales_person_id", "sales_date"], out="part")
+    return _window_total(with_month(part), ["store_id", "sales_person_id", "sales_month"],
+                         "part", "total_sales")
+
+
+def customer_mart_window(enriched: DataFrame, customer: DataFrame) -> DataFrame:
+    """The customer mart with its totals from a window, for comparison."""
+    return as_contract(attach(customer_totals_window(enriched), customer_attributes(customer),
+                              "customer_id", "attr_customer_id"), CUSTOMER_MART)
+
+
+def sales_mart_window(enriched: DataFrame, team: DataFrame) -> DataFrame:
+    """The sales-team mart with totals and rank from windows, for comparison:
+    rank 1 of each (store, month) gets the incentive."""
+    ranked = rank_window(sales_totals_window(enriched), ["store_id", "sales_month"])
     pay = F.when(F.col("rnk") == 1, rate_of("total_sales", INCENTIVE_RATE, INCENTIVE_PLACES))
-    return as_contract(ranked.withColumn("incentive", pay.otherwise(F.lit(0))), SALES_TEAM_MART)
+    paid = ranked.withColumn("incentive", pay.otherwise(F.lit(0)))
+    return as_contract(attach(paid, seller_attributes(team), "sales_person_id", "attr_seller_id"),
+                       SALES_TEAM_MART)
 
 
 def customer_detail(enriched: DataFrame) -> DataFrame:
@@ -319,21 +322,28 @@ def sales_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
                         amount="seller_total")
 
 
-def seller_checked_lines(items: DataFrame, team: DataFrame, store: DataFrame) -> DataFrame:
-    """Lines whose seller is valid, ``total_cost`` multiplied by the seller
-    key's fan-out (an inner join's effect on a sum), via ``key_checked``: the
-    lines are not shuffled for the check when the exceptions are few."""
-    lines = items.select("order_id", "sales_person_id", "total_cost")
-    return key_checked(lines, "sales_person_id", valid_sellers(team, store), "seller_id",
-                       "total_cost")
+def seller_copies(team: DataFrame, store: DataFrame) -> DataFrame:
+    """seller_id, copies: the (team row, store row) pairs that a line of that
+    seller joins, i.e. how often an inner join would repeat its amount."""
+    return (valid_sellers(team, store).groupBy("seller_id")
+            .agg(F.count(F.lit(1)).alias("copies")))
 
 
 def customer_totals_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
                        store: DataFrame, team: DataFrame) -> DataFrame:
-    """customer_id, sales_date_month, total_sales."""
+    """customer_id, sales_date_month, total_sales.
+
+    The lines meet their orders once and are totalled per (customer, seller,
+    month); the sellers' copies join that aggregate, which is summed again.
+    """
     h = checked_headers(headers, customer, "sales_date_month")
-    lines = seller_checked_lines(items, team, store).join(h, "order_id")
-    return period_total(lines, ["customer_id", "sales_date_month"])
+    lines = items.select("order_id", "sales_person_id", "total_cost").join(h, "order_id")
+    per_seller = period_total(lines, ["customer_id", "sales_person_id", "sales_date_month"],
+                              out="seller_total")
+    checked = join_dim(per_seller, DimSpec("seller", seller_copies(team, store), "sales_person_id",
+                                           "seller_id", {"copies": "copies"}))
+    amount = checked.withColumn("seller_total", F.col("seller_total") * F.col("copies"))
+    return period_total(amount, ["customer_id", "sales_date_month"], amount="seller_total")
 
 
 def seller_info(team: DataFrame, store: DataFrame) -> DataFrame:
@@ -398,3 +408,15 @@ def star_enrich_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
     lines = items.join(h, "order_id")
     return join_dim(lines, DimSpec("seller", sellers, "sales_person_id", "seller_id",
                                    {c: c for c in seller_cols}))
+
+
+def seller_months_hl(headers: DataFrame, items: DataFrame, customer: DataFrame,
+                     store: DataFrame, team: DataFrame) -> DataFrame:
+    """The distinct (store, seller, name, month) of the enriched lines: the
+    distinct (seller, month) pairs first, then the seller table."""
+    h = checked_headers(headers, customer)
+    pairs = (items.select("order_id", "sales_person_id").join(h, "order_id")
+             .select("sales_person_id", "sales_month").distinct())
+    named = join_dim(pairs, DimSpec("seller", seller_info(team, store), "sales_person_id", "seller_id",
+                                    {"store_id": "store_id", "full_name": "full_name"}))
+    return named.select("store_id", "sales_person_id", "full_name", "sales_month").distinct()

@@ -1,27 +1,12 @@
-"""Exact ``rank()`` within groups, safe for a group holding most of the rows.
-
-``rank() over (partition by g order by v desc nulls last)`` puts a whole group
-into one task and sorts it there. Here a group larger than ``max_group_rows``
-is cut into value ranges first:
-
-1. the input (an aggregate, far smaller than the facts) is checkpointed into
-   the shared checkpoint folder, so what follows reads it back instead of
-   recomputing it, and a lost executor cannot change it;
-2. per-group row counts; groups above the limit are *hot*. They are few by
-   construction (at most rows / limit), so they and their ``buckets - 1`` cut
-   points (``percentile_approx``) come back to the driver as a small literal
-   table. Inlined, the cut points make the bucket of a row a fixed function
-   of its value: every branch of the plan, and every recomputation, agrees
-   (an approximate percentile merges its sketches in arrival order, so it is
-   not safe to compute twice);
-3. a row's bucket is the number of cut points below its value, so equal
-   values share a bucket (NULLs get their own, lowest bucket); the rank inside
-   (group, bucket) is an ordinary window over a slice of the group, and its
-   offset is the number of rows in the higher buckets of the same group, a
-   running sum over the small (group, bucket) count table.
-
-rank = local rank + offset, exactly, because the buckets are value ranges.
-With no hot group this is the plain window over the checkpointed input.
+"""Exact ``rank()`` within groups by counting values.
+
+``rank() over (partition by g order by v desc nulls last)`` moves and sorts
+every row of a group in one task. Here the rows are counted per (group, value)
+first, with partial aggregation, so equal values travel as one row however
+many there are; the rank of a value is one more than the rows of the greater
+values of its group, a running sum over the distinct values; the rows then get
+their value's rank by a join, which AQE splits when one value is hot. One
+lazy plan for any size.
 """
 
 from __future__ import annotations
@@ -29,63 +14,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 4_000_000
-BUCKETS = 64
-ACCURACY = 10_000
-MAX_HOT_GROUPS = 100_000
-
-
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = [left[k].eqNullSafe(r[f"__r_{k}"]) for k in keys]
-    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
-
 
-def _materialize(df: DataFrame) -> DataFrame:
-    from martflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rnk",
-                max_group_rows: int = MAX_GROUP_ROWS, buckets: int = BUCKETS,
-                materialize: bool = True) -> DataFrame:
+def rank_within(df: DataFrame, group: list[str], value: str, out: str = "rnk") -> DataFrame:
     """``df`` with ``out`` = rank() over (group ORDER BY value DESC NULLS LAST)."""
-    if materialize:
-        df = _materialize(df)
-    v = F.col(value)
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    hot = counts.where(F.col("__n") > max_group_rows).select(*group)
-    fractions = [i / buckets for i in range(1, buckets)]
-    cuts = (_null_safe(df, hot, group, "left_semi").groupBy(*group)
-            .agg(F.percentile_approx(value, fractions, ACCURACY).alias("__bounds"))
-            .limit(MAX_HOT_GROUPS + 1).collect())
-    if len(cuts) > MAX_HOT_GROUPS:
-        raise ValueError(f"more than {MAX_HOT_GROUPS} groups above {max_group_rows} rows; "
-                         "raise max_group_rows")
-    if not cuts:
-        w = Window.partitionBy(*group).orderBy(v.desc_nulls_last())
-        return df.withColumn(out, F.rank().over(w))
-
-    spark = df.sparkSession
-    bounds = spark.createDataFrame(
-        [tuple(r[g] for g in group) + (list(r["__bounds"]),) for r in cuts],
-        df.select(*group, F.array(v).alias("__bounds")).schema)
-    tagged = _null_safe(df, F.broadcast(bounds), group, "left")
-    bucket = (F.when(F.col("__bounds").isNull(), F.lit(0))
-              .when(v.isNull(), F.lit(-1))
-              .otherwise(F.size(F.filter("__bounds", lambda b: b < v))))
-    tagged = tagged.withColumn("__b", bucket).drop("__bounds")
-
-    local = Window.partitionBy(*group, "__b").orderBy(v.desc_nulls_last())
-    ranked = tagged.withColumn("__local", F.rank().over(local))
-
-    sizes = tagged.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__size"))
-    above = (Window.partitionBy(*group).orderBy(F.col("__b").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.withColumn("__off", F.coalesce(F.sum("__size").over(above), F.lit(0)))
-    offsets = offsets.drop("__size")
-    joined = _null_safe(ranked, offsets, group + ["__b"], "inner")
-    return (joined.withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
-            .drop("__local", "__off", "__b"))
+    keys = [*group, value]
+    greater = (Window.partitionBy(*group).orderBy(F.col(value).desc_nulls_last())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+             .withColumn("__rank", (F.coalesce(F.sum("__n").over(greater), F.lit(0)) + 1).cast("int"))
+             .select(*[F.col(k).alias(f"__r_{i}") for i, k in enumerate(keys)], "__rank"))
+    same = [df[k].eqNullSafe(ranks[f"__r_{i}"]) for i, k in enumerate(keys)]
+    return (df.join(ranks, same, "inner").withColumnRenamed("__rank", out)
+            .drop(*[f"__r_{i}" for i in range(len(keys))]))

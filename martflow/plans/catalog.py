@@ -80,18 +80,18 @@ def customer_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sales_mart_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales-team mart computed in the original job's shape (windows +
-    DISTINCT over the enriched lines); same result as ``sales_mart``."""
+    """The sales-team mart with totals and rank from windows; same result as
+    ``sales_mart``."""
     _, fact, cust, store, team = _star(spark, sf_dir)
-    return _sales_mart_out(M.sales_mart_window(M.star_enrich(fact, cust, store, team)))
+    return _sales_mart_out(M.sales_mart_window(M.enriched_keys(fact, cust, store, team), team))
 
 
 @query
 def customer_mart_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer mart in the original job's shape; same result as
+    """The customer mart with totals from a window; same result as
     ``customer_mart``."""
     _, fact, cust, store, team = _star(spark, sf_dir)
-    out = M.customer_mart_window(M.star_enrich(fact, cust, store, team))
+    out = M.customer_mart_window(M.enriched_keys(fact, cust, store, team), cust)
     return out.select("customer_id", "full_name", "address", "phone_number",
                       "sales_date_month", _dbl("total_sales"))
 
@@ -106,10 +106,9 @@ def customer_month_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def customer_month_total_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The original form: window sum per (customer, month) + DISTINCT."""
+    """The window form: window sum per (customer, month) + DISTINCT."""
     _, fact, cust, store, team = _star(spark, sf_dir)
-    e = M.with_month(M.enriched_keys(fact, cust, store, team), out="sales_date_month")
-    out = M.period_total_window(e, ["customer_id", "sales_date_month"], [])
+    out = M.customer_totals_window(M.enriched_keys(fact, cust, store, team))
     return out.select("customer_id", "sales_date_month", _dbl("total_sales"))
 
 
@@ -122,8 +121,7 @@ def sales_month_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sales_month_total_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, fact, cust, store, team = _star(spark, sf_dir)
-    e = M.with_month(M.enriched_keys(fact, cust, store, team))
-    out = M.period_total_window(e, ["store_id", "sales_person_id", "sales_month"], [])
+    out = M.sales_totals_window(M.enriched_keys(fact, cust, store, team))
     return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"))
 
 
@@ -153,10 +151,9 @@ def _fact_cols():
 
 @query
 def join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fact x customer (pre-filtered to one segment): unmatched facts drop."""
+    """fact x customer: unmatched facts drop."""
     _, fact, cust, _s, _t = _star(spark, sf_dir)
-    spec = E.DimSpec("customer", cust.where(F.col("phone_number") == "BUILDING"),
-                     "customer_id", "customer_id",
+    spec = E.DimSpec("customer", cust, "customer_id", "customer_id",
                      {"first_name": "first_name", "last_name": "last_name", "address": "address"})
     return E.join_dim(fact, spec).select(*_fact_cols(), "first_name", "last_name", "address")
 
@@ -164,16 +161,15 @@ def join_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, fact, _c, store, _t = _star(spark, sf_dir)
-    spec = E.DimSpec("store", store.where(F.col("store_manager_name") == "ASIA"),
-                     "store_id", "id", {"store_manager_name": "store_manager_name",
-                                        "store_address": "address"})
+    spec = E.DimSpec("store", store, "store_id", "id", {
+        "store_manager_name": "store_manager_name", "store_address": "address"})
     return E.join_dim(fact, spec).select(*_fact_cols(), "store_manager_name", "store_address")
 
 
 @query
 def join_sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, fact, _c, _s, team = _star(spark, sf_dir)
-    spec = E.DimSpec("team", team.where(F.col("is_manager") == "N"), "sales_person_id", "id",
+    spec = E.DimSpec("team", team, "sales_person_id", "id",
                      {"sales_person_first_name": "first_name",
                       "sales_person_last_name": "last_name", "manager_id": "manager_id"})
     return E.join_dim(fact, spec).select(*_fact_cols(), "sales_person_first_name",
@@ -183,15 +179,17 @@ def join_sales_team(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product join the original only promised: fact x part on the part
-    key (names repeat across parts), with the list value of the line."""
+    key (names repeat across parts), with the list value of the line and
+    whether the charged price is not the list price."""
     t, fact, _c, _s, _t = _star(spark, sf_dir)
-    prod = tb.product_dim(t).where(F.col("type") == "ECONOMY")
-    spec = E.DimSpec("product", prod, "product_id", "id",
+    spec = E.DimSpec("product", tb.product_dim(t), "product_id", "id",
                      {"product_name": "name", "current_price": "current_price"})
     out = E.join_dim(fact, spec)
     return out.select(*_fact_cols(), "product_id", "product_name", _dbl("current_price"),
                       F.col("quantity").cast("long").alias("quantity"),
-                      (F.col("current_price") * F.col("quantity")).cast("double").alias("list_total"))
+                      (F.col("current_price") * F.col("quantity")).cast("double").alias("list_total"),
+                      (F.col("current_price") * F.col("quantity") != F.col("total_cost"))
+                      .alias("price_mismatch"))
 
 
 @query
@@ -205,13 +203,14 @@ def star_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orphan_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per dimension, fact rows an inner join would silently drop."""
-    _, fact, cust, store, team = _star(spark, sf_dir)
+    """Per dimension, fact rows an inner join would silently drop (the last
+    one is the customers that have an event)."""
+    t, fact, cust, store, team = _star(spark, sf_dir)
     specs = [
-        E.DimSpec("customer", cust.where(F.col("phone_number") == "BUILDING"),
-                  "customer_id", "customer_id"),
-        E.DimSpec("store", store.where(F.col("store_manager_name") == "ASIA"), "store_id", "id"),
-        E.DimSpec("team", team.where(F.col("is_manager") == "N"), "sales_person_id", "id"),
+        E.DimSpec("customer", cust, "customer_id", "customer_id"),
+        E.DimSpec("store", store, "store_id", "id"),
+        E.DimSpec("team", team, "sales_person_id", "id"),
+        E.DimSpec("active_customer", t.events, "customer_id", "user_id"),
     ]
     return E.orphan_report(fact, specs)
 
@@ -221,7 +220,8 @@ def manager_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales per manager: lines of existing orders, totalled per seller, then
     rolled up through the team's manager reference."""
     headers, items, _c, _s, team = _hl(spark, sf_dir)
-    lines = E.key_checked(items, "order_id", headers, "order_id", "total_cost")
+    lines = E.join_dim(items.select("order_id", "sales_person_id", "total_cost"),
+                       E.DimSpec("order", headers, "order_id", "order_id"))
     out = M.manager_rollup(lines, team)
     return out.select("manager_id", _dbl("team_total"), "members")
 
@@ -277,10 +277,7 @@ def full_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def distinct_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DISTINCT over the projected seller attributes of every enriched row."""
-    e = M.with_month(M.star_enrich_hl(*_hl(spark, sf_dir)))
-    return e.select("store_id", "sales_person_id",
-                    fn.full_name("sales_person_first_name", "sales_person_last_name")
-                    .alias("full_name"), "sales_month").distinct()
+    return M.seller_months_hl(*_hl(spark, sf_dir))
 
 
 # ------------------------------------------------------- manifest
@@ -550,8 +547,7 @@ def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def synth_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded synthetic sales, one per lineitem row (rows-only check: the
-    draws are Spark hashes)."""
+    """Seeded synthetic sales, one per lineitem row."""
     out = SY.synth_sales(Tables.open(spark, sf_dir))
     return out.select("customer_id", "store_id", "product_name", _str("sales_date"),
                       "sales_person_id", _dbl("price"), "quantity", _dbl("total_cost"))

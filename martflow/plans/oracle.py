@@ -129,29 +129,26 @@ _FACT_COLS = """l.order_id, l.line_number, l.customer_id, l.store_id, l.sales_pe
 ORACLE["join_customer"] = _with(_LINES, _DIMS) + f"""
 select {_FACT_COLS}, c.first_name, c.last_name, c.address
 from lines l join cust c on l.customer_id = c.customer_id
-where c.phone_number = 'BUILDING'
 """
 
 ORACLE["join_store"] = _with(_LINES, _DIMS) + f"""
 select {_FACT_COLS}, s.store_manager_name, s.address as store_address
 from lines l join store s on l.store_id = s.id
-where s.store_manager_name = 'ASIA'
 """
 
 ORACLE["join_sales_team"] = _with(_LINES, _DIMS) + f"""
 select {_FACT_COLS}, t.first_name as sales_person_first_name,
        t.last_name as sales_person_last_name, t.manager_id
 from lines l join team t on l.sales_person_id = t.id
-where t.is_manager = 'N'
 """
 
 ORACLE["join_product"] = _with(_LINES) + f"""
 select {_FACT_COLS}, l.product_id, p.p_name as product_name,
        cast(cast(p.p_retailprice as decimal(10,2)) as double) as current_price,
        cast(l.quantity as bigint) as quantity,
-       cast(cast(p.p_retailprice as decimal(10,2)) * l.quantity as double) as list_total
+       cast(cast(p.p_retailprice as decimal(10,2)) * l.quantity as double) as list_total,
+       cast(p.p_retailprice as decimal(10,2)) * l.quantity <> l.total_cost as price_mismatch
 from lines l join part p on l.product_id = p.p_partkey
-where p.p_type = 'ECONOMY'
 """
 
 ORACLE["star_enrich"] = _with(_LINES, _DIMS) + f"""
@@ -169,13 +166,16 @@ from lines l join team t on l.sales_person_id = t.id
 
 ORACLE["orphan_facts"] = _with(_LINES, _DIMS) + """
 select 'customer' as dimension, count(*) as orphan_rows from lines l
-where not exists (select 1 from cust c where c.customer_id = l.customer_id and c.phone_number = 'BUILDING')
+where not exists (select 1 from cust c where c.customer_id = l.customer_id)
 union all
 select 'store', count(*) from lines l
-where not exists (select 1 from store s where s.id = l.store_id and s.store_manager_name = 'ASIA')
+where not exists (select 1 from store s where s.id = l.store_id)
 union all
 select 'team', count(*) from lines l
-where not exists (select 1 from team t where t.id = l.sales_person_id and t.is_manager = 'N')
+where not exists (select 1 from team t where t.id = l.sales_person_id)
+union all
+select 'active_customer', count(*) from lines l
+where not exists (select 1 from events e where e.user_id = l.customer_id)
 """
 
 ORACLE["manager_rollup"] = _with(_LINES, _DIMS) + """
@@ -398,3 +398,44 @@ select r.store_id, r.sales_person_id, t.first_name || ' ' || t.last_name as full
             as double) as incentive
 from granked r join team t on r.sales_person_id = t.id
 """
+
+# ---------------------------------------------------------------- generator
+# The draws restated: MD5 of seed|draw|keys, four 32-bit numbers each.
+
+
+def _number(draw: int, keys: str, i: int) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', 42, {draw}, {keys})), {1 + 8 * i}, 8))::bigint"
+
+
+def _numbered(name: str, select: str, table: str, key: str) -> str:
+    return f"""
+{name}_b as (select {select}, {_number(0, key, 0)} % 4096 as bucket from {table}),
+{name}_p as (select *, row_number() over (partition by bucket order by {key}) - 1 as place from {name}_b),
+{name}_s as (select bucket, count(*) as size, row_number() over (order by bucket) - 1 as nth,
+                    count(*) over () as filled from {name}_b group by bucket),
+{name}_slots as (select s.slot, bucket, size from {name}_s, generate_series(0, 4095) as s(slot)
+                 where s.slot % filled = nth)"""
+
+
+_LINE_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+
+ORACLE["synth_sales"] = _with(
+    _numbered("c", "c_custkey", "customer", "c_custkey"),
+    _numbered("s", "s_suppkey, s_nationkey", "supplier", "s_suppkey"),
+    _numbered("p", "p_partkey, p_name, p_retailprice", "part", "p_partkey"),
+    f"""
+d as (select {", ".join(f"{_number(1 + i // 4, _LINE_KEYS, i % 4)} as n{i}" for i in range(8))} from lineitem)
+""") + """
+select c.c_custkey as customer_id, cast(s.s_nationkey as bigint) as store_id, p.p_name as product_name,
+       cast(date '1995-01-01' + cast(n6 % 1000 as integer) as varchar) as sales_date,
+       s.s_suppkey as sales_person_id,
+       cast(cast(p.p_retailprice as decimal(18,2)) as double) as price,
+       cast(n7 % 10 + 1 as integer) as quantity,
+       cast(cast(p.p_retailprice as decimal(18,2)) * (n7 % 10 + 1) as double) as total_cost
+from d join c_slots cs on n0 % 4096 = cs.slot
+       join c_p c on c.bucket = cs.bucket and c.place = n1 % cs.size
+       join s_slots ss on n2 % 4096 = ss.slot
+       join s_p s on s.bucket = ss.bucket and s.place = n3 % ss.size
+       join p_slots ps on n4 % 4096 = ps.slot
+       join p_p p on p.bucket = ps.bucket and p.place = n5 % ps.size
+"""

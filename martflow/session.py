@@ -16,15 +16,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings that shape every plan: AQE re-plans joins and partition counts from
-# measured shuffle sizes, splits skewed join partitions, and only broadcasts at
-# run time what it has measured (the static, estimate-based broadcast is off so
-# that a dimension is broadcast only behind an explicit size check).
+# measured shuffle sizes, splits skewed join partitions, and turns a join into a
+# broadcast when a side it has measured is small. No query carries a hint.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",

@@ -14,8 +14,7 @@ Role mapping (the oracle SQL in ``martflow.plans.oracle`` uses the same one):
 * product     = part (keyed by p_partkey; p_name is not unique).
 * manifest    = events: file_name = user_id, status 'I' for a purchase else 'A'.
 
-Every builder is lazy; the only eager work is the size check of a
-broadcast (see ``operators.broadcast``).
+Every builder is lazy; only the CSV drops are written.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from pyspark.sql import functions as F
 
 from martflow.contracts import EXTRA_COLUMN, MONEY, PRICE, STATUS_ACTIVE, STATUS_INACTIVE
 from martflow.functions.columns import fold_columns, money, split_part
-from martflow.operators.broadcast import checked_broadcast
 from martflow.sources.tables import Tables
 
 # The lineitem columns that play the role of a drop's extra columns.
@@ -33,7 +31,7 @@ EXTRA_SOURCE_COLUMNS = ["l_linestatus", "l_returnflag"]
 
 
 def _nation_names(t: Tables) -> DataFrame:
-    return checked_broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
+    return t.nation.select("n_nationkey", "n_name", "n_regionkey")
 
 
 def customer_dim(t: Tables) -> DataFrame:
@@ -57,7 +55,7 @@ def store_dim(t: Tables) -> DataFrame:
 
 
 def _store_dim(t: Tables) -> DataFrame:
-    n, r = t.nation, checked_broadcast(t.region)
+    n, r = t.nation, t.region
     return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
             .select(F.col("n_nationkey").cast("long").alias("id"),
                     F.col("n_name").alias("address"),
@@ -79,9 +77,8 @@ def _sales_team_dim(t: Tables) -> DataFrame:
     would put a whole nation's suppliers into one task.
     """
     s, n = t.supplier, _nation_names(t)
-    managers = checked_broadcast(
-        s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("manager_id"))
-        .withColumnRenamed("s_nationkey", "m_nationkey"))
+    managers = (s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("manager_id"))
+                .withColumnRenamed("s_nationkey", "m_nationkey"))
     return (s.join(n, s.s_nationkey == n.n_nationkey, "left")
             .join(managers, s.s_nationkey == managers.m_nationkey, "left")
             .select(F.col("s_suppkey").alias("id"),
@@ -128,10 +125,10 @@ def _sales_lines(t: Tables) -> DataFrame:
 
     lineitem x orders is the one fact-sized join (sort-merge on the order key,
     or none if both sides are bucketed by it); the seller's store comes from a
-    supplier key lookup, broadcast when the supplier table is proven small.
+    supplier key lookup.
     """
     li, o = t.lineitem, t.orders
-    stores = checked_broadcast(seller_stores(t))
+    stores = seller_stores(t)
     return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
             .join(stores, li.l_suppkey == stores.ss_suppkey, "inner")
             .select(F.col("o_custkey").alias("customer_id"),
@@ -174,7 +171,7 @@ def _sales_drop_rows(t: Tables) -> DataFrame:
     """Rows of a sales file drop: the eight contract columns plus the two
     extra source columns (with product name and list price from ``part``)."""
     li, o, p = t.lineitem, t.orders, t.part
-    stores = checked_broadcast(seller_stores(t))
+    stores = seller_stores(t)
     return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
             .join(stores, li.l_suppkey == stores.ss_suppkey, "inner")
             .join(p, li.l_partkey == p.p_partkey, "inner")

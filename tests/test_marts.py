@@ -133,7 +133,9 @@ def test_window_form_equals_group_form(spark):
              D(random.randint(1, 9999)) / 100) for _ in range(300)]
     e = M.enriched_keys(fact(spark, rows), c, s, t)
     g = M.sales_month_totals(e)
-    w = M.period_total_window(M.with_month(e), ["store_id", "sales_person_id", "sales_month"], [])
+    w = M.sales_totals_window(e)
+    assert g.exceptAll(w).count() == 0 and w.exceptAll(g).count() == 0
+    g, w = M.customer_month_totals(e), M.customer_totals_window(e)
     assert g.exceptAll(w).count() == 0 and w.exceptAll(g).count() == 0
     assert (g.agg(F.sum("total_sales")).first()[0]
             == fact(spark, rows).agg(F.sum("total_cost")).first()[0])
@@ -195,8 +197,7 @@ def test_hot_order_key_is_split_by_the_skew_join(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            "spark.martflow.broadcastMaxBytes": "0"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
@@ -262,7 +263,8 @@ def test_header_line_nulls_match_original_form(spark):
     assert seller3["total_sales"] is None and seller3["incentive"] is None
 
 
-def test_seller_check_fallback_when_exceptions_do_not_fit(spark):
+def test_duplicated_seller_key_gives_one_result_whatever_is_broadcast(spark):
+    """Rows and types are the same with and without broadcast joins."""
     team = [(1, "Sam", "Lee", 1, "Y", "Delhi", "1", None),
             (1, "Samuel", "Lee", 1, "Y", "Delhi", "1", None),
             (2, "Kim", "Park", 1, "N", "Delhi", "1", None),
@@ -273,33 +275,12 @@ def test_seller_check_fallback_when_exceptions_do_not_fit(spark):
             .withColumn("store_id", F.when(F.col("sales_person_id") == 3, 122)
                         .otherwise(121).cast("long")))
     expected = M.customer_mart(flat, c, s, t)
-    spark.conf.set("spark.martflow.broadcastMaxRows", "0")
-    try:
-        plan_rows = M.customer_mart_hl(h, i, c, s, t)
-        assert plan_rows.exceptAll(expected).count() == 0
-        assert expected.exceptAll(plan_rows).count() == 0
-    finally:
-        spark.conf.unset("spark.martflow.broadcastMaxRows")
-
-
-def test_key_checked_equals_inner_join_both_paths(spark):
-    from martflow.operators.enrich import key_checked
-    facts = spark.createDataFrame(
-        [(1, D("1.00")), (1, D("2.00")), (2, D("4.00")), (3, D("8.00")), (None, D("16.00")),
-         (9, D("32.00"))], "k long, amount decimal(18,2)")
-    dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b2"), (3, "c")], "id long, v string")
-    expected = (facts.join(dim, facts.k == dim.id, "inner").groupBy("k")
-                .agg(F.sum("amount").alias("s")))
-
-    def sums():
-        out = key_checked(facts, "k", dim, "id", "amount")
-        return {r["k"]: r["s"] for r in out.groupBy("k").agg(F.sum("amount").alias("s")).collect()}
-
-    want = {r["k"]: r["s"] for r in expected.collect()}
-    assert want == {1: D("3.00"), 2: D("8.00"), 3: D("8.00")}
-    assert sums() == want                                   # exceptions broadcast
-    spark.conf.set("spark.martflow.broadcastMaxRows", "0")
-    try:
-        assert sums() == want                               # shuffle-join fallback
-    finally:
-        spark.conf.unset("spark.martflow.broadcastMaxRows")
+    for limit in ("-1", str(10 << 20)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = M.customer_mart_hl(h, i, c, s, t)
+            assert got.schema == expected.schema
+            assert got.exceptAll(expected).count() == 0
+            assert expected.exceptAll(got).count() == 0
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -2,7 +2,7 @@
 import re
 
 import __spark_entry__ as E
-from martflow.operators.broadcast import checked_broadcast
+from martflow.plans.catalog import QUERIES
 
 from conftest import SMALL
 
@@ -12,10 +12,8 @@ def plan(df):
 
 
 def test_no_cartesian_or_nested_loop_anywhere(spark):
-    skip = {"stream_ingest", "batch_marts", "jdbc_roundtrip", "latest_run", "parquet_roundtrip",
-            "bucketed_join", "partition_pruned_read"}
-    for name, q in E.queries().items():
-        if name in skip:
+    for name, q in QUERIES.items():
+        if name in WRITES:
             continue
         p = plan(q(spark, SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
@@ -39,27 +37,47 @@ def test_partitioned_read_prunes_folders(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*store_id", plan(df))
 
 
-def test_checked_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    big = spark.range(10_000)
-    assert "broadcast" in str(checked_broadcast(small, max_rows=100)._jdf.queryExecution()
-                              .logical()).lower()
-    assert "broadcast" not in str(checked_broadcast(big, max_rows=100)._jdf.queryExecution()
-                                  .logical()).lower()
+WRITES = {"stream_ingest", "batch_marts", "jdbc_roundtrip", "latest_run", "parquet_roundtrip",
+          "bucketed_join", "partition_pruned_read"}
+DROPS = {"file_listing", "header_inventory", "schema_check", "quarantine_split", "bad_rows",
+         "fold_extra_columns", "conform_union", "csv_roundtrip_scan"}
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Queries that neither write nor read written files are lazy."""
+    tracker = spark.sparkContext.statusTracker()
+    for name in sorted(set(QUERIES) - WRITES - DROPS):
+        QUERIES[name](spark, SMALL)  # file footers are read when a table is first opened
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, SMALL)
+        assert list(tracker.getJobIdsForGroup(f"build-{name}")) == [], name
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_windows_read_totals_not_facts(spark):
+    for name in ("sales_mart_window", "customer_mart_window", "sales_month_total_window",
+                 "customer_month_total_window"):
+        p = plan(QUERIES[name](spark, SMALL))
+        assert "partial_sum" in p[p.rindex("Window"):], name
+
+
+def test_orphan_report_reads_the_fact_once(spark):
+    p = plan(QUERIES["orphan_facts"](spark, SMALL))
+    assert "Expand" not in p and p.split("== Initial Plan ==")[0].count("l_extendedprice") == 0
+    assert len(re.findall(r"FileScan parquet [^\n]*l_orderkey", p.split("== Initial Plan ==")[0])) == 1
 
 
 def test_line_sized_shuffles_at_scale(spark):
-    """With only fixed-size tables broadcast (as at 100 TB), the flagship
-    and the customer mart move the lines once; the detail enrichment twice."""
+    """With no table broadcast (as at 100 TB), the flagship, the customer mart
+    and the roll-up move the lines once; the detail enrichment twice."""
     from tools.plan_report import exchanges
-    conf = {"spark.martflow.broadcastMaxRows": "50", "spark.sql.adaptive.enabled": "false",
-            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
         for name, most in (("sales_mart", 1), ("sales_month_total", 1), ("customer_mart", 1),
-                           ("star_enrich", 2), ("manager_rollup", 0)):
+                           ("star_enrich", 2), ("manager_rollup", 1)):
             p = plan(E.queries()[name](spark, SMALL))
             lines = [e for e in exchanges(p) if "LINE-SIZED" in e]
             assert len(lines) <= most, (name, lines)

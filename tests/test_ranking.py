@@ -1,4 +1,4 @@
-"""The skew-safe rank equals the plain window, hot groups included."""
+"""The rank by value counts equals the plain window, hot groups and values included."""
 import random
 
 from pyspark.sql import functions as F
@@ -17,18 +17,15 @@ def _frame(spark, n=4000, seed=11):
     return spark.createDataFrame(rows, "g string, m int, v int")
 
 
-def test_bucketed_rank_equals_window(spark):
+def test_rank_equals_window(spark):
     df = _frame(spark)
-    a = rank_within(df, ["g", "m"], "v", max_group_rows=50, buckets=8)
+    a = rank_within(df, ["g", "m"], "v")
     b = M.rank_window(df, ["g", "m"], "v")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_hot_group_is_split_into_buckets(spark):
-    df = _frame(spark)
-    hot = rank_within(df, ["g", "m"], "v", max_group_rows=50, buckets=8)
-    # every rank of the hot group is consistent with the count of greater values
-    rows = [r for r in hot.where(F.col("g") == "hot").collect()]
+def test_rank_counts_the_greater_values(spark):
+    rows = [r for r in rank_within(_frame(spark), ["g", "m"], "v").where(F.col("g") == "hot").collect()]
     vals = [r["v"] for r in rows if r["v"] is not None]
     for r in rows[:200]:
         if r["v"] is None:
@@ -37,7 +34,18 @@ def test_hot_group_is_split_into_buckets(spark):
             assert r["rnk"] == 1 + sum(1 for x in vals if x > r["v"])
 
 
-def test_small_groups_take_the_plain_path(spark):
+def test_one_value_in_most_of_a_group_travels_as_one_row(spark):
+    """Equal values are counted before the shuffle that the window needs."""
+    df = spark.range(20000).selectExpr("id % 2 as g", "case when id % 10 = 0 then id else 7 end as v")
+    a = rank_within(df, ["g"], "v")
+    b = M.rank_window(df, ["g"], "v")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert "partial_count" in window
+
+
+def test_small_groups(spark):
     df = _frame(spark, n=200)
     a = rank_within(df, ["g", "m"], "v")
     b = M.rank_window(df, ["g", "m"], "v")

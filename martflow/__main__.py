@@ -1,10 +1,13 @@
 """Run one ingestion: ``python -m martflow`` (or ``spark-submit`` this module).
 
     python -m martflow --landing DIR --out DIR --customer URI --store URI --team URI
+                       [--product URI] [--jdbc-url URL] [--jdbc-property KEY=VALUE ...]
                        [--stream --checkpoint DIR [--archive DIR]] [--preview N]
 
 Dimensions are Parquet folders (or JDBC URLs with ``--jdbc-table-*``) in the
-contract shapes of ``martflow.contracts``; the session is the one Spark
+contract shapes of ``martflow.contracts``; ``--jdbc-url`` names the database
+that the run's marts are appended to; ``--jdbc-property`` (user, password,
+driver, ...) holds for all JDBC connections. The session is the one Spark
 gives (``spark.checkpoint.dir`` must name a shared folder on a cluster).
 """
 
@@ -16,9 +19,10 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from martflow.contracts import CUSTOMER, SALES_TEAM, STORE
-from martflow.plans.batch_job import Dimensions, Layout, run_folder
+from martflow.contracts import CUSTOMER, PRODUCT, SALES_TEAM, STORE
+from martflow.plans.batch_job import CUSTOMER_BUCKETS, Dimensions, Layout, run_folder
 from martflow.session import ensure_checkpoint_dir
+from martflow.sinks.jdbc import JdbcTarget
 from martflow.sources.dims import read_dim
 
 
@@ -29,9 +33,14 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--customer", required=True)
     ap.add_argument("--store", required=True)
     ap.add_argument("--team", required=True, help="sales team, with a store_id column")
-    ap.add_argument("--jdbc-table-customer")
-    ap.add_argument("--jdbc-table-store")
-    ap.add_argument("--jdbc-table-team")
+    ap.add_argument("--product", help="adds a price check report")
+    for name in ("customer", "store", "team", "product"):
+        ap.add_argument(f"--jdbc-table-{name}")
+        ap.add_argument(f"--jdbc-key-{name}", help="numeric column to read the table in ranges of")
+    ap.add_argument("--jdbc-url", help="append the run's marts to this database")
+    ap.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
+    ap.add_argument("--buckets", type=int, default=CUSTOMER_BUCKETS,
+                    help="buckets of the customer detail (one reading task each)")
     ap.add_argument("--run-id")
     ap.add_argument("--stream", action="store_true", help="file stream, AvailableNow")
     ap.add_argument("--checkpoint", help="stream checkpoint folder (with --stream)")
@@ -41,20 +50,26 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = SparkSession.builder.appName("martflow").getOrCreate()
     ensure_checkpoint_dir(spark)
+    properties = dict(p.split("=", 1) for p in a.jdbc_property)
+    jdbc = JdbcTarget(a.jdbc_url, properties) if a.jdbc_url else None
     team_contract = T.StructType(SALES_TEAM.fields + [T.StructField("store_id", T.LongType())])
-    dims = Dimensions(read_dim(spark, a.customer, CUSTOMER, {}, a.jdbc_table_customer),
-                      read_dim(spark, a.store, STORE, {}, a.jdbc_table_store),
-                      read_dim(spark, a.team, team_contract, {}, a.jdbc_table_team))
+
+    def dim(name: str, contract: T.StructType):
+        return read_dim(spark, getattr(a, name), contract, properties,
+                        getattr(a, f"jdbc_table_{name}"), getattr(a, f"jdbc_key_{name}"))
+
+    dims = Dimensions(dim("customer", CUSTOMER), dim("store", STORE), dim("team", team_contract),
+                      dim("product", PRODUCT) if a.product else None)
     layout = Layout(a.out.rstrip("/"))
     if a.stream:
         from martflow.streaming.ingest import start_ingest
         if not a.checkpoint:
             ap.error("--stream needs --checkpoint")
-        start_ingest(spark, a.landing, dims, layout, a.checkpoint,
-                     archive_dir=a.archive).awaitTermination()
+        start_ingest(spark, a.landing, dims, layout, a.checkpoint, archive_dir=a.archive,
+                     jdbc=jdbc).awaitTermination()
         result = {"stream": "done"}
     else:
-        result = run_folder(spark, a.landing, dims, layout, a.run_id, preview=a.preview)
+        result = run_folder(spark, a.landing, dims, layout, a.run_id, a.preview, jdbc, a.buckets)
     print(json.dumps(result))
     return result
 

@@ -39,10 +39,6 @@ SALES_FACT = T.StructType([
     T.StructField(EXTRA_COLUMN, T.StringType()),
 ])
 
-# The CSV read schema: every contract column as text, so that a bad value is
-# visible (and quarantinable) instead of silently changing a column's type.
-SALES_CSV_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in MANDATORY_COLUMNS])
-
 CUSTOMER = T.StructType([
     T.StructField("customer_id", T.LongType()),
     T.StructField("first_name", T.StringType()),

@@ -34,9 +34,14 @@ def fold_columns(names: list[str]) -> Column:
 
     No extras gives NULL; extras that are all NULL give ''.
     """
-    if not names:
+    return fold_values([F.col(f"`{n}`") for n in sorted(names)])
+
+
+def fold_values(values: list[Column]) -> Column:
+    """The same for columns in the given order."""
+    if not values:
         return F.lit(None).cast("string")
-    return F.concat_ws(EXTRA_SEPARATOR, *[F.col(f"`{n}`").cast("string") for n in sorted(names)])
+    return F.concat_ws(EXTRA_SEPARATOR, *[v.cast("string") for v in values])
 
 
 def rate_of(amount: str | Column, rate: str, places: int = 2) -> Column:

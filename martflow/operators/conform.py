@@ -14,44 +14,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martflow.contracts import EXTRA_COLUMN, MANDATORY_COLUMNS
-from martflow.functions.columns import fold_columns
+from martflow.functions.columns import fold_values
 from martflow.operators.validate import typed
 from martflow.sources.files import CORRUPT, read_variant
 
-MAX_VARIANTS = 10_000
-MAX_FILES = 2_000_000
-
-
-def fold_extras(df: DataFrame, extras: list[str], out: str = EXTRA_COLUMN) -> DataFrame:
-    return df.withColumn(out, fold_columns(list(extras)))
-
 
 def _variants(checked: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """header -> files, for the valid files (the planning input of the reads)."""
-    rows = (checked.where("valid").select("norm_columns", "path")
-            .limit(MAX_FILES + 1).collect())
-    if len(rows) > MAX_FILES:
-        raise ValueError(f"more than {MAX_FILES} files in one run; split the drop")
+    """header -> files, for the valid files: the planning input of the reads
+    (Spark's file index of those reads holds the same paths)."""
     out: dict[tuple[str, ...], list[str]] = {}
-    for r in rows:
+    for r in checked.where("valid").select("norm_columns", "path").toLocalIterator():
         out.setdefault(tuple(r["norm_columns"]), []).append(r["path"])
-    if len(out) > MAX_VARIANTS:
-        raise ValueError(f"{len(out)} distinct headers; expected at most {MAX_VARIANTS}")
     return out
 
 
 def conform_text(spark: SparkSession, checked: DataFrame,
                  contract: list[str] = MANDATORY_COLUMNS) -> DataFrame | None:
     """Union (by name) of every valid file: contract columns as text,
-    additional_column, source_file, drop, and the parse-error column."""
+    additional_column, source_file, drop, and the parse-error column.
+
+    Columns are bound by their position in the header, so an extra column may
+    have any name."""
     parts = []
     for columns, paths in sorted(_variants(checked).items()):
-        extras = sorted(set(columns) - set(contract))
-        df = read_variant(spark, sorted(paths), list(columns))
-        df = fold_extras(df, extras)
-        parts.append(df.select(*contract, EXTRA_COLUMN, CORRUPT, "source_file",
-                               F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1)
-                               .alias("drop")))
+        at = {name: F.col(f"c{i}") for i, name in enumerate(columns)}
+        extras = fold_values([at[name] for name in sorted(set(columns) - set(contract))])
+        df = read_variant(spark, sorted(paths), len(columns))
+        parts.append(df.select(*[at[c].alias(c) for c in contract], extras.alias(EXTRA_COLUMN),
+                               CORRUPT, "source_file",
+                               F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1).alias("drop")))
     if not parts:
         return None
     out = parts[0]

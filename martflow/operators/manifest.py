@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,10 @@ def record(spark: SparkSession, log_path: str, files: DataFrame, status: str,
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The log, empty before the first event (any other failure is raised)."""
     try:
         return spark.read.schema(MANIFEST).parquet(log_path)
-    except Exception:  # noqa: BLE001 - no log yet: empty manifest
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], MANIFEST)

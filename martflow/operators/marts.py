@@ -21,8 +21,8 @@ Plan choices (all declarative; Catalyst/AQE pick the physical operators):
 Two families of the same marts:
 
 * over a flat fact (one row per sale with its store, as a CSV drop gives it):
-  ``customer_mart`` / ``sales_mart``, and ``*_of`` over an already enriched
-  fact, as the batch job uses them;
+  ``customer_mart`` / ``sales_mart``, and ``*_from`` totals, as the batch job
+  uses them;
 * over an order/line fact (``*_hl``), where the join order follows the
   fact's size: the customer check on the orders, one line-sized join, and
   for the sales mart a per-(seller, month) aggregate that meets one
@@ -156,16 +156,14 @@ def seller_attributes(team: DataFrame) -> DataFrame:
                        full_name("first_name", "last_name").alias("full_name"))
 
 
-def customer_mart_of(enriched: DataFrame, customer: DataFrame) -> DataFrame:
-    """The customer mart of an already key-checked fact (``enriched_keys``)."""
-    totals = customer_month_totals(enriched)
+def customer_mart_from(totals: DataFrame, customer: DataFrame) -> DataFrame:
+    """The customer mart of (customer, month) totals."""
     return as_contract(attach(totals, customer_attributes(customer), "customer_id",
                               "attr_customer_id"), CUSTOMER_MART)
 
 
-def sales_mart_of(enriched: DataFrame, team: DataFrame) -> DataFrame:
-    """The sales-team mart of an already key-checked fact (``enriched_keys``)."""
-    totals = sales_month_totals(enriched)
+def sales_mart_from(totals: DataFrame, team: DataFrame) -> DataFrame:
+    """The sales-team mart of (store, seller, month) totals."""
     paid = top_incentive(totals, ["store_id", "sales_month"])
     return as_contract(attach(paid, seller_attributes(team), "sales_person_id",
                               "attr_seller_id"), SALES_TEAM_MART)
@@ -174,13 +172,14 @@ def sales_mart_of(enriched: DataFrame, team: DataFrame) -> DataFrame:
 def customer_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
                   team: DataFrame) -> DataFrame:
     """customer_id, full_name, address, phone_number, sales_date_month, total_sales."""
-    return customer_mart_of(enriched_keys(fact, customer, store, team), customer)
+    return customer_mart_from(customer_month_totals(enriched_keys(fact, customer, store, team)),
+                              customer)
 
 
 def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame,
                team: DataFrame) -> DataFrame:
     """store_id, sales_person_id, full_name, sales_month, total_sales, incentive."""
-    return sales_mart_of(enriched_keys(fact, customer, store, team), team)
+    return sales_mart_from(sales_month_totals(enriched_keys(fact, customer, store, team)), team)
 
 
 def _window_total(totals: DataFrame, keys: list[str], amount: str, out: str) -> DataFrame:

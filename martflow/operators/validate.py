@@ -9,14 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martflow.contracts import MANDATORY_COLUMNS, SALES_FACT
-from martflow.sources.files import CORRUPT, normalized
-
-
-# The rejected file list is a planning input (the paths of one text read per
-# reason), bounded like the file list of a run.
-MAX_REJECTED_FILES = 2_000_000
+from martflow.sources.files import CORRUPT, literal_path, normalized, plain_path
 
 
 def split_by_extension(files: DataFrame, accepted: tuple[str, ...] = (".csv",)) -> DataFrame:
@@ -28,10 +24,11 @@ def check_headers(headers: DataFrame, contract: list[str] = MANDATORY_COLUMNS) -
     """Per file: normalised columns, missing contract columns, extras, duplicates, valid.
 
     Names are compared after lower(trim()); a name that appears twice after
-    normalising (``Price`` and ``price``) makes the file ambiguous.
+    normalising (``Price`` and ``price``) makes the file ambiguous. A file
+    without a header (a first line that does not end) misses every column.
     """
     want = F.array(*[F.lit(c) for c in contract])
-    cols = normalized(F.col("columns"))
+    cols = F.coalesce(normalized(F.col("columns")), F.expr("cast(array() as array<string>)"))
     return (headers
             .withColumn("norm_columns", cols)
             .withColumn("missing", F.array_sort(F.array_except(want, F.col("norm_columns"))))
@@ -48,7 +45,8 @@ def quarantine_report(listing: DataFrame, checked: DataFrame) -> DataFrame:
                       F.lit(None).cast("array<string>").alias("missing")))
     by_cols = (checked.where(~F.col("valid"))
                .select("path", "drop",
-                       F.when(F.col("duplicated"), F.lit("ambiguous columns"))
+                       F.when(F.col("header").isNull(), F.lit("no header"))
+                        .when(F.col("duplicated"), F.lit("ambiguous columns"))
                         .otherwise(F.lit("missing columns")).alias("reason"),
                        "missing"))
     return by_ext.unionByName(by_cols)
@@ -58,14 +56,11 @@ def quarantine_lines(spark: SparkSession, report: DataFrame) -> DataFrame:
     """The raw lines of rejected files, tagged with the reason (to keep under
     an error folder). One text read per reason, the reason a literal: no join
     of lines to files, so one huge rejected file is read by many tasks."""
-    rows = report.select("path", "reason").limit(MAX_REJECTED_FILES + 1).collect()
-    if len(rows) > MAX_REJECTED_FILES:
-        raise ValueError(f"more than {MAX_REJECTED_FILES} rejected files in one run")
     by_reason: dict[str, list[str]] = {}
-    for r in rows:
+    for r in report.select("path", "reason").toLocalIterator():
         by_reason.setdefault(r["reason"], []).append(r["path"])
-    parts = [spark.read.text(sorted(paths))
-             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"),
+    parts = [spark.read.text([literal_path(p) for p in sorted(paths)])
+             .select(plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line"),
                      F.lit(reason).alias("reason"))
              for reason, paths in sorted(by_reason.items())]
     if not parts:
@@ -78,10 +73,19 @@ def quarantine_lines(spark: SparkSession, report: DataFrame) -> DataFrame:
 
 def typed(df: DataFrame, schema=SALES_FACT, columns: list[str] = MANDATORY_COLUMNS) -> DataFrame:
     """Cast text columns to the contract with ``try_cast`` and flag the rows
-    where a non-empty value did not cast (or the line did not parse)."""
+    where a non-empty value did not cast, would be rounded (money with a third
+    decimal), or the line did not parse."""
     types = {f.name: f.dataType for f in schema.fields}
-    failed = [F.when(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull(), F.lit(c))
-              for c in columns]
+
+    def fails(c: str) -> F.Column:
+        value = F.col(c).try_cast(types[c])
+        bad = value.isNull()
+        if isinstance(types[c], T.DecimalType):
+            exact = F.col(c).try_cast(T.DecimalType(38, 18))
+            bad = bad | exact.isNull() | (exact != value)
+        return F.col(c).isNotNull() & bad
+
+    failed = [F.when(fails(c), F.lit(c)) for c in columns]
     bad_cols = F.array_compact(F.array(*failed))
     parse_err = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     out = df.withColumn("bad_columns", bad_cols).withColumn("is_bad",
@@ -99,3 +103,15 @@ def total_cost_check(fact: DataFrame, by: list[str]) -> DataFrame:
                  F.count(F.when(differs, 1)).alias("mismatched"),
                  F.count(F.when(F.col("total_cost").isNull() | F.col("price").isNull()
                                 | F.col("quantity").isNull(), 1)).alias("incomplete")))
+
+
+def price_check(fact: DataFrame, product: DataFrame) -> DataFrame:
+    """Per product name: sales, and those at a price that no product of that
+    name lists (report only; names may repeat, and an unknown name lists none)."""
+    sold = fact.groupBy("product_name", "price").agg(F.count(F.lit(1)).alias("n"))
+    listed = product.select(F.col("name").alias("product_name"),
+                            F.col("current_price").cast("decimal(18,2)").alias("price")).distinct()
+    known = sold.join(listed.withColumn("known", F.lit(True)), ["product_name", "price"], "left")
+    return known.groupBy("product_name").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("known"), 0).otherwise(F.col("n"))).alias("off_list"))

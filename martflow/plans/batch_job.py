@@ -1,22 +1,26 @@
 """One ingestion run over a set of dropped files, end to end.
 
-    listing -> extension split -> headers -> contract check -> skip committed
+    listing -> extension split -> headers -> contract check -> skip settled
+    -> selection written and recorded (a replay of the run reuses it)
     -> quarantine report -> manifest 'A' -> conform (text -> typed, bad rows)
-    -> stage the typed fact (a written table cuts lineage; a lost executor
-       recomputes from the staged files, not from the CSVs)
+    -> stage the typed rows, good and bad apart (a written table cuts lineage;
+       a lost executor recomputes from the staged files, not from the CSVs)
     -> star join with attributes, staged once -> customer detail (bucketed by
-       customer), sales detail (partitioned by month and store), customer
-       mart, sales mart (one aggregation each) -> publish (run-stamped)
-    -> manifest 'I' (only after every sink committed)
-
-A failure before the last step leaves the files in state 'A': the next run
-sees them as interrupted (``manifest.active``) and, since they are not
-committed, picks them up again; outputs of a run are only read once the run
-is recorded, so a half-written run is never visible.
+       customer), sales detail (partitioned by month and store) -> the run's
+       totals added to those of the run before -> customer mart, sales mart
+       over all runs (one incentive per store and month) -> JDBC append of the
+       run's own marts, if a target is given
+    -> manifest 'I' and 'Q' (only after every sink committed)
+
+A failure before the last step leaves the files unsettled: the next run picks
+them up again, and a replay under the same run id works on the same selection
+and overwrites that run's outputs. Readers take recorded runs only, so a
+half-written run is never visible.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +32,15 @@ from martflow.operators import manifest as MF
 from martflow.operators import marts as M
 from martflow.operators import validate as V
 from martflow.sinks import files as SK
+from martflow.sinks import jdbc as SJ
 from martflow.sources import files as FS
 
 
-# The customer detail mart's bucket count (on customer_id).
+# The customer detail mart's bucket count (on customer_id): the contract's
+# default, for small tables; a bucket is one reading task, so choose it by size.
 CUSTOMER_BUCKETS = 10
 
 
-def bucketed_table(run_id: str) -> str:
-    """Catalog name of a run's bucketed customer detail table."""
-    return "customer_detail_bucketed_" + "".join(c if c.isalnum() else "_" for c in run_id)
-
-
 class NoInputError(ValueError):
     """The drop holds no file, or no file of an accepted kind."""
 
@@ -49,6 +50,7 @@ class Dimensions:
     customer: DataFrame
     store: DataFrame
     team: DataFrame
+    product: DataFrame | None = None  # given: a price check report per run
 
 
 @dataclass(frozen=True)
@@ -61,8 +63,21 @@ class Layout:
         return f"{self.root}/manifest"
 
     @property
-    def staged(self) -> str:
-        return f"{self.root}/staged"
+    def bucketed_table(self) -> str:
+        """Catalog name of the bucketed customer detail (a partition a run)."""
+        return "customer_detail_" + hashlib.md5(self.root.encode()).hexdigest()[:12]
+
+    @property
+    def price_check(self) -> str:
+        return f"{self.root}/price_check"
+
+    @property
+    def customer_totals(self) -> str:
+        return f"{self.root}/customer_totals"
+
+    @property
+    def sales_totals(self) -> str:
+        return f"{self.root}/sales_totals"
 
     @property
     def typed(self) -> str:
@@ -101,67 +116,100 @@ class Layout:
         return f"{self.root}/sales_team_data_mart"
 
 
-def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: Layout,
-              run_id: str) -> dict:
-    """Process the files of ``files`` (a ``list_files`` listing) as run ``run_id``."""
-    listing = V.split_by_extension(files)
-    log = MF.read_log(spark, layout.manifest)
-    listing = MF.pending(listing, log, key="path")
+def _selection(spark: SparkSession, files: DataFrame, layout: Layout, run_id: str
+               ) -> tuple[DataFrame, DataFrame]:
+    """(listing, checked headers) of the run's files, from its snapshot.
+
+    The selection is written and recorded first: later writes to the manifest
+    must not change which files the run is about, neither while it runs nor
+    when it is replayed."""
+    snap = SK.run_path(layout.selections, run_id)
+    listing = MF.pending(V.split_by_extension(files), MF.read_log(spark, layout.manifest), key="path")
     checked = (V.check_headers(FS.read_headers(listing.where("accepted")))
                .join(listing.select("path", "drop"), "path", "inner"))
-    # Freeze this run's selection: later writes to the manifest must not change
-    # which files the run is about (Spark re-reads a plan whose input path was
-    # written), and a lost executor recomputes from the snapshot.
-    snap = SK.run_path(layout.selections, run_id)
-    checked.write.mode("overwrite").parquet(f"{snap}/checked")
-    listing.write.mode("overwrite").parquet(f"{snap}/listing")
-    checked = spark.read.schema(checked.schema).parquet(f"{snap}/checked")
-    listing = spark.read.schema(listing.schema).parquet(f"{snap}/listing")
+    if not SK.is_committed(spark, layout.selections, run_id):
+        checked.write.mode("overwrite").parquet(f"{snap}/checked")
+        listing.write.mode("overwrite").parquet(f"{snap}/listing")
+        SK.commit_run(spark, layout.selections, run_id)
+    return (spark.read.schema(listing.schema).parquet(f"{snap}/listing"),
+            spark.read.schema(checked.schema).parquet(f"{snap}/checked"))
+
+
+def _all_totals(spark: SparkSession, own: DataFrame, root: str, run_id: str, keys: list[str]
+                ) -> DataFrame:
+    """The totals of all runs so far: those published by the run before plus
+    this run's; published as this run's."""
+    before = SK.run_before(spark, root, run_id)
+    totals = own if before is None else M.period_total(
+        own.unionByName(before.select(own.columns)), keys, amount="total_sales")
+    totals = totals.select(*keys, F.col("total_sales").cast("decimal(38,2)").alias("total_sales"))
+    SK.publish_run(spark, totals, root, run_id)
+    return spark.read.schema(totals.schema).parquet(SK.run_path(root, run_id))
 
+
+def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: Layout,
+              run_id: str, jdbc: SJ.JdbcTarget | None = None,
+              buckets: int = CUSTOMER_BUCKETS) -> dict:
+    """Process the files of ``files`` (a ``list_files`` listing) as run ``run_id``."""
+    listing, checked = _selection(spark, files, layout, run_id)
     report = V.quarantine_report(listing, checked)
-    report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
-        .parquet(SK.run_path(layout.quarantine, run_id) + "/report")
-    V.quarantine_lines(spark, report).write.mode("overwrite") \
-        .parquet(SK.run_path(layout.quarantine, run_id) + "/lines")
-    MF.record(spark, layout.manifest,
-              report.select(F.col("path").alias("file_name"), F.col("path").alias("file_location")),
-              STATUS_QUARANTINED, run_id)
+    quarantine = SK.run_path(layout.quarantine, run_id)
+    report.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").parquet(f"{quarantine}/report")
+    V.quarantine_lines(spark, report).write.mode("overwrite").parquet(f"{quarantine}/lines")
+    rejected = report.select(F.col("path").alias("file_name"), F.col("path").alias("file_location"))
     valid = checked.where("valid").select(F.col("path").alias("file_name"),
                                           F.col("path").alias("file_location"))
-    n_valid = valid.count()
-    if n_valid == 0:
-        return {"run_id": run_id, "files": 0}
-    MF.record(spark, layout.manifest, valid, STATUS_ACTIVE, run_id)
+    result = {"run_id": run_id, "files": valid.count(), "rejected": rejected.count()}
+    if result["files"]:
+        MF.record(spark, layout.manifest, valid, STATUS_ACTIVE, run_id)
+        _load(spark, checked, dims, layout, run_id, jdbc, buckets)
+        MF.record(spark, layout.manifest, valid, STATUS_INACTIVE, run_id)
+    MF.record(spark, layout.manifest, rejected, STATUS_QUARANTINED, run_id)
+    return result
+
 
+def _load(spark: SparkSession, checked: DataFrame, dims: Dimensions, layout: Layout, run_id: str,
+          jdbc: SJ.JdbcTarget | None, buckets: int) -> None:
     # parse every CSV once: typed rows are staged by is_bad, then good and bad
     # rows are read back from the staged files (partition-pruned)
+    typed = C.conform_typed(spark, checked)
     typed_path = SK.run_path(layout.typed, run_id)
-    C.conform_typed(spark, checked).write.mode("overwrite").partitionBy("is_bad") \
-        .parquet(typed_path)
-    good, bad = C.split_typed(spark.read.parquet(typed_path))
-    bad.write.mode("overwrite").parquet(SK.run_path(layout.bad_rows, run_id))
-    staged_path = SK.run_path(layout.staged, run_id)
-    good.write.mode("overwrite").parquet(staged_path)
-    fact = spark.read.parquet(staged_path)
+    typed.write.mode("overwrite").partitionBy("is_bad").parquet(typed_path)
+    fact, bad = C.split_typed(spark.read.parquet(typed_path))
+    SK.publish_run(spark, bad, layout.bad_rows, run_id)
 
     # the dimension joins run once for every output: the enriched fact (with
-    # attributes) is staged; the marts aggregate it (reading only their
+    # attributes) is staged; the totals aggregate it (reading only their
     # columns) and the detail marts are projections of it
     enriched_path = SK.run_path(layout.enriched, run_id)
-    M.star_enrich(fact, dims.customer, dims.store, dims.team).write.mode("overwrite") \
-        .parquet(enriched_path)
+    SK.write_parquet(M.star_enrich(fact, dims.customer, dims.store, dims.team), enriched_path)
     enriched = spark.read.parquet(enriched_path)
-    SK.write_bucketed(M.customer_detail(enriched), bucketed_table(run_id),
-                      SK.run_path(layout.customer_detail, run_id), CUSTOMER_BUCKETS,
-                      "customer_id")
-    SK.write_partitioned(M.sales_detail(enriched), SK.run_path(layout.sales_detail, run_id),
-                         ["sales_month", "store_id"])
-    SK.publish_run(spark, M.customer_mart_of(enriched, dims.customer),
-                   layout.customer_mart, run_id)
-    SK.publish_run(spark, M.sales_mart_of(enriched, dims.team),
-                   layout.sales_mart, run_id, partition_by=["sales_month"])
-    MF.record(spark, layout.manifest, valid, STATUS_INACTIVE, run_id)
-    return {"run_id": run_id, "files": n_valid}
+    SK.append_bucketed(spark, M.customer_detail(enriched), layout.bucketed_table,
+                       layout.customer_detail, buckets, "customer_id", run_id)
+    SK.commit_run(spark, layout.customer_detail, run_id)
+    SK.publish_run(spark, M.sales_detail(enriched), layout.sales_detail, run_id,
+                   partition_by=["sales_month", "store_id"])
+    if dims.product is not None:
+        SK.publish_run(spark, V.price_check(fact, dims.product), layout.price_check, run_id)
+
+    customer = M.customer_month_totals(enriched)
+    sales = M.sales_month_totals(enriched)
+    customer_all = _all_totals(spark, customer, layout.customer_totals, run_id,
+                               ["customer_id", "sales_date_month"])
+    sales_all = _all_totals(spark, sales, layout.sales_totals, run_id,
+                            ["store_id", "sales_person_id", "sales_month"])
+    SK.publish_run(spark, M.customer_mart_from(customer_all, dims.customer), layout.customer_mart, run_id)
+    SK.publish_run(spark, M.sales_mart_from(sales_all, dims.team), layout.sales_mart, run_id,
+                   partition_by=["sales_month"])
+    if jdbc is not None:
+        SJ.append_run(M.customer_mart_from(customer, dims.customer), jdbc, jdbc.customer_table, run_id)
+        SJ.append_run(M.sales_mart_from(sales, dims.team), jdbc, jdbc.sales_table, run_id)
+    SK.commit_run(spark, layout.typed, run_id)  # last: the run's rows count as ingested
+
+
+def ingested(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The good rows of every run that reached its end."""
+    return C.split_typed(SK.all_runs(spark, layout.typed))[0]
 
 
 def require_input(files: DataFrame) -> None:
@@ -175,15 +223,19 @@ def require_input(files: DataFrame) -> None:
 
 
 def run_folder(spark: SparkSession, landing: str, dims: Dimensions, layout: Layout,
-               run_id: str | None = None, preview: int = 0) -> dict:
-    """Batch entry point: every file under ``landing`` not yet committed.
+               run_id: str | None = None, preview: int = 0,
+               jdbc: SJ.JdbcTarget | None = None, buckets: int = CUSTOMER_BUCKETS) -> dict:
+    """Batch entry point: every file under ``landing`` not yet settled. New
+    files of which none is valid are quarantined, then reported as an error.
 
     ``preview > 0`` prints that many rows of the published sales mart (an
     opt-in action; off by default so the job runs no extra query).
     """
     files = FS.list_files(spark, landing)
     require_input(files)
-    out = run_files(spark, files, dims, layout, run_id or SK.new_run_id())
+    out = run_files(spark, files, dims, layout, run_id or SK.new_run_id(), jdbc, buckets)
+    if out["rejected"] and not out["files"]:
+        raise NoInputError(f"no valid file among {out['rejected']} new ones (quarantined)")
     if preview and out.get("files"):
         SK.latest_run(spark, layout.sales_mart).show(preview, truncate=False)
     return out

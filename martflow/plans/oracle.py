@@ -269,7 +269,7 @@ droprows as (
          cast(l_extendedprice as decimal(18,2)) as total_cost,
          l_linestatus, l_returnflag,
          case o_orderpriority when '1-URGENT' then 'urgent' when '2-HIGH' then 'high'
-              when '3-MEDIUM' then 'medium' when '4-NOT SPECIFIED' then 'unspecified'
+              when '3-MEDIUM' then 'medium 50% [a] #1' when '4-NOT SPECIFIED' then 'unspecified'
               when '5-LOW' then 'low' end as "drop"
   from lineitem join orders on l_orderkey = o_orderkey
                 join supplier on l_suppkey = s_suppkey
@@ -290,18 +290,18 @@ select distinct "drop",
   case "drop"
     when 'urgent' then 'customer_id,store_id,product_name,sales_date,sales_person_id,quantity,total_cost'
     when 'high' then '{_CONTRACT},l_linestatus,l_returnflag'
-    when 'medium' then '{_CONTRACT}'
-    when 'unspecified' then 'L_RETURNFLAG,L_LINESTATUS,TOTAL_COST,QUANTITY,PRICE,SALES_PERSON_ID,SALES_DATE,PRODUCT_NAME,STORE_ID,CUSTOMER_ID'
+    when 'medium 50% [a] #1' then '{_CONTRACT}'
+    when 'unspecified' then 'SOURCE_FILE,L_LINESTATUS,TOTAL_COST,QUANTITY,PRICE,SALES_PERSON_ID,SALES_DATE,PRODUCT_NAME,STORE_ID,CUSTOMER_ID'
   end as header,
-  case "drop" when 'urgent' then 7 when 'medium' then 8 else 10 end as n_columns
+  case "drop" when 'urgent' then 7 when 'medium 50% [a] #1' then 8 else 10 end as n_columns
 from droprows where "drop" <> 'low'
 """
 
 ORACLE["schema_check"] = _with(_DROPROWS) + """
 select distinct "drop", "drop" <> 'urgent' as valid,
        case when "drop" = 'urgent' then 'price' else '' end as missing,
-       case when "drop" in ('high', 'unspecified') then 'l_linestatus,l_returnflag' else '' end
-         as extras
+       case "drop" when 'high' then 'l_linestatus,l_returnflag'
+                   when 'unspecified' then 'l_linestatus,source_file' else '' end as extras
 from droprows where "drop" <> 'low'
 """
 
@@ -322,7 +322,7 @@ good as (
   select *, case when "drop" in ('high', 'unspecified')
                  then l_linestatus || ', ' || l_returnflag end as additional_column
   from droprows
-  where "drop" in ('high', 'medium', 'unspecified')
+  where "drop" in ('high', 'medium 50% [a] #1', 'unspecified')
     and not ("drop" = 'high' and l_returnflag = 'R')
 )"""
 
@@ -342,7 +342,7 @@ from good group by 1
 ORACLE["csv_roundtrip_scan"] = _with(_DROPROWS) + """
 select store_id, count(*) as rows, cast(sum(quantity) as bigint) as quantity,
        cast(sum(total_cost) as double) as total_cost
-from droprows where "drop" = 'medium' group by 1
+from droprows where "drop" = 'medium 50% [a] #1' group by 1
 """
 
 ORACLE["total_cost_check"] = _with(_DROPROWS) + """
@@ -374,7 +374,7 @@ group by e.customer_id, c.first_name, c.last_name
 """
 
 # ---------------------------------------------------------------- stream and job
-ORACLE["stream_ingest"] = ORACLE["conform_union"]
+
 
 ORACLE["batch_marts"] = _with(_DROPROWS, _GOOD, _DIMS, """
 genriched as (
@@ -399,6 +399,8 @@ select r.store_id, r.sales_person_id, t.first_name || ' ' || t.last_name as full
 from granked r join team t on r.sales_person_id = t.id
 """
 
+ORACLE["stream_ingest"] = ORACLE["batch_marts"]
+
 # ---------------------------------------------------------------- generator
 # The draws restated: MD5 of seed|draw|keys, four 32-bit numbers each.
 

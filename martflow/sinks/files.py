@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,16 +28,9 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite",
-                      dynamic: bool = False) -> None:
-    """Hive-style partition folders. ``dynamic=True`` overwrites only the
-    partitions present in ``df`` (Spark stages every folder and renames it on
-    commit, so it costs a rename per folder); a run writes a fresh folder and
-    does not need it."""
-    writer = df.hint("rebalance", *by).write.mode(mode)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*by).parquet(path)
+def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "overwrite") -> None:
+    """Hive-style partition folders."""
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, by: str,
@@ -54,6 +48,18 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, by: str,
      .bucketBy(buckets, by).sortBy(by).option("path", path).saveAsTable(table))
 
 
+def append_bucketed(spark: SparkSession, df: DataFrame, table: str, path: str, buckets: int,
+                    by: str, run_id: str) -> None:
+    """The rows as partition ``run_id`` of one bucketed table for all runs; a
+    replay of the run replaces its partition."""
+    rows = df.withColumn("run_id", F.lit(run_id))
+    if not spark.catalog.tableExists(table):
+        (rows.limit(0).write.partitionBy("run_id").bucketBy(buckets, by).sortBy(by)
+         .option("path", path).saveAsTable(table))
+    (rows.hint("rebalance", by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+
+
 def new_run_id(at: _dt.datetime | None = None) -> str:
     ts = at or _dt.datetime.now(_dt.timezone.utc)
     return ts.strftime("%Y%m%dT%H%M%S%fZ")
@@ -82,15 +88,52 @@ def commit_run(spark: SparkSession, root: str, run_id: str) -> None:
 
 
 def committed_runs(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{RUNS}")
+    """run_id, committed_at of every commit, empty before the first."""
+    schema = "run_id string, committed_at timestamp"
+    try:
+        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{RUNS}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def is_committed(spark: SparkSession, root: str, run_id: str) -> bool:
+    return not committed_runs(spark, root).where(F.col("run_id") == run_id).isEmpty()
+
+
+def _last(runs: DataFrame) -> str | None:
+    return runs.agg(F.max_by("run_id", F.struct("committed_at", "run_id")).alias("r")).first()["r"]
+
+
+def _read_run(spark: SparkSession, root: str, run_id: str) -> DataFrame:
+    return spark.read.option("basePath", root).parquet(run_path(root, run_id)).drop("run_id")
 
 
 def latest_run(spark: SparkSession, root: str) -> DataFrame:
     """The rows of the run committed last (partition-pruned to that run)."""
-    last = (committed_runs(spark, root)
-            .agg(F.max_by("run_id", F.struct("committed_at", "run_id")).alias("r"))
-            .first()["r"])
+    last = _last(committed_runs(spark, root))
     if last is None:
         raise ValueError(f"no committed run under {root}")
-    return (spark.read.option("basePath", root).parquet(run_path(root, last))
+    return _read_run(spark, root, last)
+
+
+def run_before(spark: SparkSession, root: str, run_id: str) -> DataFrame | None:
+    """The rows of the run committed before ``run_id`` (the last one if that
+    is not committed); None if there is none. A replay reads what the first
+    attempt read."""
+    runs = committed_runs(spark, root)
+    own = runs.where(F.col("run_id") == run_id).agg(F.min("committed_at")).first()[0]
+    others = runs.where(F.col("run_id") != run_id)
+    last = _last(others if own is None else others.where(F.col("committed_at") < F.lit(own)))
+    return None if last is None else _read_run(spark, root, last)
+
+
+def all_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of every committed run of ``root``, each run once."""
+    ids = sorted({r["run_id"] for r in committed_runs(spark, root).select("run_id").distinct()
+                  .toLocalIterator()})
+    if not ids:
+        raise ValueError(f"no committed run under {root}")
+    return (spark.read.option("basePath", root).parquet(*[run_path(root, i) for i in ids])
             .drop("run_id"))

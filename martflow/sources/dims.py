@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martflow.sinks.jdbc import read_jdbc, table_key_bounds
+
 
 def conform_to(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Select the contract's columns by (case-insensitive) name and cast them;
@@ -17,10 +19,17 @@ def conform_to(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 
 def read_dim(spark: SparkSession, uri: str, contract: T.StructType,
-             jdbc_properties: dict | None = None, table: str | None = None) -> DataFrame:
-    """A dimension at ``uri``: a Parquet folder, or a JDBC URL plus ``table``."""
+             jdbc_properties: dict | None = None, table: str | None = None,
+             partition_column: str | None = None, num_partitions: int = 8) -> DataFrame:
+    """A dimension at ``uri``: a Parquet folder, or a JDBC URL plus ``table``
+    (read in ranges of ``partition_column``, by several tasks, if one is named)."""
     if uri.startswith("jdbc:"):
-        df = spark.read.jdbc(uri, table, properties=dict(jdbc_properties or {}))
+        properties = dict(jdbc_properties or {})
+        if partition_column:
+            low, high = table_key_bounds(spark, uri, table, partition_column, properties)
+            df = read_jdbc(spark, uri, table, properties, partition_column, low, high + 1, num_partitions)
+        else:
+            df = read_jdbc(spark, uri, table, properties)
     else:
         df = spark.read.parquet(uri)
     return conform_to(df, contract)

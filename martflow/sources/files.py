@@ -5,17 +5,21 @@
   and ``_``-prefixed files are skipped as for any Spark source.
 * ``read_headers``: the first line of every file, read on the executors
   (``mapInPandas`` over the listing, a bounded number of bytes per file). A
-  ``spark.read.text`` of the drop would scan every byte to keep one line.
-* ``read_variant``: one CSV read per distinct header, with that header's own
-  column order as an all-text schema, so columns bind by name even when files
-  order them differently (a multi-file CSV read applies one file's header to
-  every file, by position).
+  ``spark.read.text`` of the drop would scan every byte to keep one line. The
+  files are opened with pyarrow, so its credentials must reach the store.
+* ``read_variant``: one CSV read per distinct header, as text columns numbered
+  by position, so a header may hold any name and files may order their columns
+  differently (a multi-file CSV read applies one file's header to every file).
+
+A file is known by its listed path; ``plain_path`` brings the encoded path of
+``_metadata`` into that form, ``literal_path`` quotes a path's glob characters.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import re
 import sys
 
 import pandas as pd
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HEADER_BYTES = 1 << 16
-CORRUPT = "_corrupt_record"
+CORRUPT = "corrupt_line"  # beside columns named c0, c1, ...: no header's name clashes
 
 LISTING = T.StructType([
     T.StructField("path", T.StringType()),
@@ -61,26 +65,37 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         "length", F.col("modificationTime").alias("modified"))
 
 
+def plain_path(path: F.Column) -> F.Column:
+    """An encoded ``_metadata.file_path`` as a listing writes it."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def literal_path(path: str) -> str:
+    """path for a reader that takes globs, its glob characters quoted."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _open(path: str):
-    """Open a Spark-listed path with pyarrow's filesystem layer (local, HDFS,
-    S3; Hadoop's s3a/s3n spellings map to s3)."""
+    """Open a Spark-listed path (not encoded) with pyarrow's filesystem layer
+    (local, HDFS, S3; Hadoop's s3a/s3n spellings map to s3)."""
     from pyarrow import fs as pafs
-    uri = path
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = uri.replace("file:/", "file:///", 1)
-    for hadoop_scheme in ("s3a://", "s3n://"):
-        if uri.startswith(hadoop_scheme):
-            uri = "s3://" + uri[len(hadoop_scheme):]
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(inner)
+    scheme, _, rest = path.partition(":")
+    if scheme == "file" or path.startswith("/"):
+        return pafs.LocalFileSystem().open_input_stream("/" + path.removeprefix("file:").lstrip("/"))
+    authority, _, inner = rest.lstrip("/").partition("/")
+    scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+    filesystem, base = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return filesystem.open_input_stream(f"{base.rstrip('/')}/{inner}")
 
 
 MAX_HEADER_BYTES = 16 << 20
 
 
-def first_line(path: str, chunk: int = HEADER_BYTES) -> str:
+def first_line(path: str, chunk: int = HEADER_BYTES) -> str | None:
     """The file's first line, read in chunks up to the first newline (a very
-    wide header is read whole; one longer than 16 MB is an error, not cut)."""
+    wide header is read whole); None if it does not end within 16 MB: such a
+    file has no header and is quarantined."""
     buf = b""
     with _open(path) as f:
         while b"\n" not in buf:
@@ -89,7 +104,7 @@ def first_line(path: str, chunk: int = HEADER_BYTES) -> str:
                 break
             buf += part
             if len(buf) > MAX_HEADER_BYTES:
-                raise ValueError(f"{path}: no line end in the first {MAX_HEADER_BYTES} bytes")
+                return None
     text = buf.split(b"\n", 1)[0].decode("utf-8-sig", errors="replace")
     return text.rstrip("\r")
 
@@ -103,7 +118,7 @@ def _headers_batch(batches):
     for pdf in batches:
         lines = [first_line(p) for p in pdf["path"]]
         yield pd.DataFrame({"path": pdf["path"].values, "header": lines,
-                            "columns": [parse_header(x) for x in lines]})
+                            "columns": [None if x is None else parse_header(x) for x in lines]})
 
 
 def read_headers(files: DataFrame) -> DataFrame:
@@ -116,13 +131,13 @@ def normalized(columns: F.Column) -> F.Column:
     return F.transform(columns, lambda c: F.lower(F.trim(c)))
 
 
-def read_variant(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    """All files sharing one header, read as text in that header's order,
-    plus the source path and any unparseable line."""
-    fields = [T.StructField(c, T.StringType()) for c in columns]
+def read_variant(spark: SparkSession, paths: list[str], n_columns: int) -> DataFrame:
+    """All files sharing one header, read as text columns c0, c1, ... in that
+    header's order, plus any unparseable line and the path (source_file)."""
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(n_columns)]
     schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(schema)
             .option("header", "true").option("enforceSchema", "true")
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(paths)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+            .csv([literal_path(p) for p in paths])
+            .withColumn("source_file", plain_path(F.col("_metadata.file_path"))))

@@ -210,13 +210,14 @@ def _manifest_log(t: Tables) -> DataFrame:
 # One drop folder per order priority, each with its own shape.
 #   urgent      - CSV without the price column        -> quarantined (missing)
 #   high        - CSV with extras; dates dd/MM/yyyy on returned lines -> bad rows
-#   medium      - CSV with exactly the contract columns
-#   unspecified - CSV, columns reversed, header upper-case, with extras
+#   medium ...  - CSV with exactly the contract columns; a folder name that needs quoting
+#   unspecified - CSV, columns reversed, header upper-case, with extras, one of
+#                 them named like the library's own source_file column
 #   low         - JSON lines, not CSV                  -> quarantined (extension)
 DROP_BY_PRIORITY = {
     "1-URGENT": "urgent",
     "2-HIGH": "high",
-    "3-MEDIUM": "medium",
+    "3-MEDIUM": "medium 50% [a] #1",
     "4-NOT SPECIFIED": "unspecified",
     "5-LOW": "low",
 }
@@ -246,9 +247,11 @@ def write_sales_drop(t: Tables, root: str) -> str:
         "sales_date", F.when(F.col("l_returnflag") == "R", F.date_format("sales_date", "dd/MM/yyyy"))
         .otherwise(F.col("sales_date").cast("string")))
     csv(high.select(*contract, *EXTRA_SOURCE_COLUMNS), "high")
-    csv(out("3-MEDIUM").select(*contract), "medium")
+    csv(out("3-MEDIUM").select(*contract), DROP_BY_PRIORITY["3-MEDIUM"])
     rev = list(reversed(contract + EXTRA_SOURCE_COLUMNS))
-    csv(out("4-NOT SPECIFIED").select(*[F.col(c).alias(c.upper()) for c in rev]), "unspecified")
+    names = {"l_returnflag": "SOURCE_FILE"}
+    csv(out("4-NOT SPECIFIED").select(*[F.col(c).alias(names.get(c, c.upper())) for c in rev]),
+        "unspecified")
     out("5-LOW").select(*contract).write.mode("overwrite").json(f"{root}/low")
     return root
 

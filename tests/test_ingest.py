@@ -101,8 +101,7 @@ def test_rerun_adds_nothing_and_exact_names(spark, tmp_dir):
     assert second["files"] == 1
     third = BJ.run_folder(spark, land, _dims(spark), layout, "r3")
     assert third["files"] == 0
-    staged = spark.read.parquet(layout.staged)
-    assert staged.count() == 2
+    assert BJ.ingested(spark, layout).count() == 2
     log = MF.read_log(spark, layout.manifest)
     assert MF.active(log).count() == 0 and MF.completed(log).count() == 2
 
@@ -158,20 +157,142 @@ def test_header_reader_ships_by_value():
 
 def test_replayed_run_overwrites_instead_of_duplicating(spark, tmp_dir):
     """A run (or stream batch) that died after staging rows but before its
-    commit is replayed under the same run id: its outputs are rewritten."""
+    commit is replayed under the same run id: its outputs are rewritten, and
+    what it had rejected is still quarantined."""
     land = os.path.join(tmp_dir, "landing")
     write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n"
                                             f"2,121,sugar,2024-03-04,2,50,1,50\n")
+    write(os.path.join(land, "d"), "note.txt", "two\nlines\n")
     layout = BJ.Layout(os.path.join(tmp_dir, "out"))
     broken = BJ.Dimensions(_dims(spark).customer.drop("first_name"), _dims(spark).store,
                            _dims(spark).team)
+    run = "batch-000000000007"
+
+    def quarantined():
+        return spark.read.parquet(f"{layout.quarantine}/run_id={run}/lines").count()
     with pytest.raises(Exception):
-        BJ.run_folder(spark, land, broken, layout, "batch-000000000007")
-    assert spark.read.parquet(layout.staged).count() == 2      # staged before the failure
-    BJ.run_folder(spark, land, _dims(spark), layout, "batch-000000000007")
-    assert spark.read.parquet(layout.staged).count() == 2      # rewritten, not appended
+        BJ.run_folder(spark, land, broken, layout, run)
+    assert spark.read.parquet(layout.typed).count() == 2      # staged before the failure
+    with pytest.raises(ValueError):
+        BJ.ingested(spark, layout)                             # but not recorded
+    assert quarantined() == 2
+    for _ in range(2):
+        BJ.run_folder(spark, land, _dims(spark), layout, run)
+        assert BJ.ingested(spark, layout).count() == 2         # rewritten, not appended
+        assert quarantined() == 2
     from martflow.sinks.files import latest_run
     assert latest_run(spark, layout.customer_mart).count() == 2
+    assert spark.table(layout.bucketed_table).count() == 2
+    assert latest_run(spark, layout.sales_totals).agg(F.sum("total_sales")).first()[0] == D("150.00")
+
+
+def test_marts_hold_all_runs_and_pay_one_incentive_a_month(spark, tmp_dir):
+    from martflow.sinks.files import latest_run
+    land = os.path.join(tmp_dir, "landing")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n")
+    BJ.run_folder(spark, land, _dims(spark), layout, "r1")
+    write(os.path.join(land, "d"), "b.csv", f"{HEAD}\n1,121,sugar,2024-03-05,2,50,1,50\n")
+    BJ.run_folder(spark, land, _dims(spark), layout, "r2")
+    rows = {r["sales_person_id"]: (r["total_sales"], r["incentive"])
+            for r in latest_run(spark, layout.sales_mart).collect()}
+    assert rows == {1: (D("100.00"), D("1.00")), 2: (D("50.00"), D("0.00"))}
+    (c,) = latest_run(spark, layout.customer_mart).collect()
+    assert c["total_sales"] == D("150.00")
+
+
+def test_names_that_need_quoting(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "land ing")
+    names = ["a b.csv", "c#d.csv", "e[1].csv", "f%20g+h.csv", "i{j}*k?.csv", "plain.csv"]
+    for i, name in enumerate(names):
+        write(os.path.join(land, "d [x]") if i else land, name, f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n")
+    write(land, "no#te [1].txt", "one line\n")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    out = BJ.run_folder(spark, land, _dims(spark), layout, "r1")
+    assert (out["files"], out["rejected"]) == (len(names), 1)
+    got = {os.path.basename(r["source_file"]) for r in BJ.ingested(spark, layout).collect()}
+    assert got == set(names)
+    lines = spark.read.parquet(layout.quarantine + "/run_id=r1/lines").collect()
+    assert [os.path.basename(r["path"]) for r in lines] == ["no#te [1].txt"]
+    assert BJ.run_folder(spark, land, _dims(spark), layout, "r2")["files"] == 0
+
+
+def test_extra_columns_may_have_any_name(spark, tmp_dir):
+    extras = "source_file,corrupt_line,_corrupt_record,c0,a`b,drop,is_bad"
+    write(tmp_dir, "d/a.csv", f"{HEAD},{extras}\n1,121,sugar,2024-03-03,1,50,2,100,S,C,R,Z,T,D,B\n")
+    _, checked = _conformed(spark, tmp_dir)
+    good, bad = C.conform(spark, checked)
+    (r,) = good.collect()
+    assert r["additional_column"] == ", ".join("RTZCDBS") and r["source_file"].endswith("a.csv")
+    assert bad.count() == 0
+
+
+def test_money_that_would_be_rounded_is_a_bad_row(spark, tmp_dir):
+    write(tmp_dir, "d/a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,12.345,2,100\n"
+                              f"1,121,sugar,2024-03-03,1,12.340,2,100\n")
+    _, checked = _conformed(spark, tmp_dir)
+    good, bad = C.conform(spark, checked)
+    assert [r["price"] for r in good.collect()] == [D("12.34")]
+    assert [list(r["bad_columns"]) for r in bad.collect()] == [["price"]]
+
+
+def test_a_first_line_without_end_is_quarantined(spark, tmp_dir, monkeypatch):
+    write(tmp_dir, "d/a.csv", "x" * (FS.MAX_HEADER_BYTES + 10))
+    write(tmp_dir, "d/b.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n")
+    listing, checked = _conformed(spark, tmp_dir)
+    report = V.quarantine_report(listing, checked).collect()
+    assert [(os.path.basename(r["path"]), r["reason"]) for r in report] == [("a.csv", "no header")]
+    assert checked.where("valid").count() == 1
+
+
+def test_no_valid_file_is_an_error(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", "customer_id\n1\n")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    with pytest.raises(BJ.NoInputError, match="no valid file"):
+        BJ.run_folder(spark, land, _dims(spark), layout, "r1")
+    assert [r["status"] for r in MF.latest(MF.read_log(spark, layout.manifest)).collect()] == ["Q"]
+
+
+def test_price_check_and_database_append(spark, tmp_dir):
+    """The run's marts in embedded Derby (a database only this process sees)."""
+    from martflow.contracts import PRODUCT
+    from martflow.sinks.files import latest_run
+    from martflow.sinks.jdbc import JdbcTarget
+    from martflow.sources.dims import read_dim
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n"
+                                            f"1,121,sugar,2024-03-03,1,40,2,80\n"
+                                            f"1,121,oats,2024-03-03,1,40,2,80\n")
+    product = spark.createDataFrame([(1, "sugar", D("50.00"), None, None, None, None),
+                                     (2, "sugar", D("55.00"), None, None, None, None)], PRODUCT)
+    d = _dims(spark)
+    dims = BJ.Dimensions(d.customer, d.store, d.team, product)
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    url = f"jdbc:derby:{tmp_dir}/db;create=true"
+    target = JdbcTarget(url, driver)
+    BJ.run_folder(spark, land, dims, layout, "r1", jdbc=target)
+    write(os.path.join(land, "d"), "b.csv", f"{HEAD}\n2,121,sugar,2024-03-05,2,50,1,50\n")
+    BJ.run_folder(spark, land, dims, layout, "r2", jdbc=target)
+    checks = {r["product_name"]: (r["rows"], r["off_list"])
+              for r in spark.read.parquet(layout.price_check + "/run_id=r1").collect()}
+    assert checks == {"sugar": (2, 1), "oats": (1, 1)}
+    sales = spark.read.jdbc(url, target.sales_table, properties=driver)
+    assert {(r["run_id"], r["sales_person_id"], r["total_sales"]) for r in sales.collect()} == {
+        ("r1", 1, D("260.00")), ("r2", 2, D("50.00"))}
+    assert latest_run(spark, layout.sales_mart).count() == 2
+    spark.createDataFrame([(i, f"m{i}") for i in range(40)], "id int, store_manager_name string") \
+        .write.jdbc(url, "STORES", properties=driver)
+    stores = read_dim(spark, url, STORE, driver, "STORES", '"id"', 4)
+    assert stores.count() == 40 and stores.rdd.getNumPartitions() == 4
+
+
+def test_a_broken_manifest_is_not_an_empty_one(spark, tmp_dir):
+    write(tmp_dir, "log/part-0.parquet", "this is no parquet file")
+    with pytest.raises(Exception):
+        MF.read_log(spark, os.path.join(tmp_dir, "log")).count()
+    assert MF.read_log(spark, os.path.join(tmp_dir, "none")).count() == 0
 
 
 def test_run_writes_detail_marts_in_their_layouts(spark, tmp_dir):
@@ -180,7 +301,7 @@ def test_run_writes_detail_marts_in_their_layouts(spark, tmp_dir):
                                             f"2,121,oats,2024-04-04,2,50,1,50\n")
     layout = BJ.Layout(os.path.join(tmp_dir, "out"))
     BJ.run_folder(spark, land, _dims(spark), layout, "r1")
-    detail = spark.table(BJ.bucketed_table("r1"))
+    detail = spark.table(layout.bucketed_table)
     grouped = detail.groupBy("customer_id").count()
     assert grouped.count() == 2
     assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
@@ -236,13 +357,24 @@ def test_stream_picks_up_only_new_files(spark, tmp_dir):
     write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n")
     layout = BJ.Layout(os.path.join(tmp_dir, "out"))
     ckpt = os.path.join(tmp_dir, "ckpt")
-    start_ingest(spark, land, _dims(spark), layout, ckpt).awaitTermination()
-    assert spark.read.parquet(layout.staged).count() == 1
-    write(os.path.join(land, "d"), "b.csv", f"{HEAD}\n2,121,oats,2024-03-05,2,50,3,150\n"
-                                            f"1,121,oats,2024-03-06,1,50,1,50\n")
-    start_ingest(spark, land, _dims(spark), layout, ckpt).awaitTermination()
-    staged = spark.read.parquet(layout.staged)
-    assert staged.count() == 3
-    assert staged.select("run_id").distinct().count() == 2      # one run per micro-batch
-    start_ingest(spark, land, _dims(spark), layout, ckpt).awaitTermination()
-    assert spark.read.parquet(layout.staged).count() == 3        # nothing new, nothing added
+    archive = os.path.join(tmp_dir, "archive")
+
+    def start():
+        start_ingest(spark, land, _dims(spark), layout, ckpt, archive_dir=archive,
+                     max_files_per_trigger=1).awaitTermination()
+    start()
+    assert BJ.ingested(spark, layout).count() == 1
+    write(land, "b.csv", f"{HEAD}\n2,121,oats,2024-03-05,2,50,3,150\n"     # no folder of its own
+                         f"1,121,oats,2024-03-06,1,50,1,50\n")
+    write(os.path.join(land, "d", "e"), "c.csv", f"{HEAD}\n2,121,oats,2024-03-05,2,50,3,150\n")
+    start()
+    assert BJ.ingested(spark, layout).count() == 4
+    from martflow.sinks.files import committed_runs, latest_run
+    assert committed_runs(spark, layout.typed).count() == 3     # one run per micro-batch
+    rows = {r["sales_person_id"]: (r["total_sales"], r["incentive"])
+            for r in latest_run(spark, layout.sales_mart).collect()}
+    assert rows == {1: (D("150.00"), D("0.00")), 2: (D("300.00"), D("3.00"))}
+    start()
+    assert BJ.ingested(spark, layout).count() == 4               # nothing new, nothing added
+    moved = [f for _, _, names in os.walk(archive) for f in names if f.endswith(".csv")]
+    assert "a.csv" in moved and not os.path.exists(os.path.join(land, "d", "a.csv"))

@@ -22,6 +22,7 @@ ids do not depend on its neighbours, and recent chunks' ids are kept.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import uuid
@@ -40,7 +41,8 @@ from martflow.llm.textcore import stored
 from martflow.session import work_dir
 
 READ_DOCS = 4096      # documents of a reader's block
-RECENT = 150_000      # chunks kept in each of two generations
+RECENT = 400_000      # chunks kept in each of two generations, but for those of one text
+LONG = 1 << 20        # characters from which a text is encoded in pieces
 ENCODE_AT_ONCE = 4096
 
 # Unicode's White_Space characters
@@ -62,28 +64,32 @@ class ChunkEncoder:
         self.old: dict[str, bytes] = {}
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.new) + len(chunks) > RECENT:
+        """Have the ids of all these chunks in ``new``."""
+        wanted = set(chunks)
+        if len(self.new) + len(wanted) > RECENT:
             self.old, self.new = self.new, {}
-        for at in range(0, len(chunks), ENCODE_AT_ONCE):
-            some = chunks[at:at + ENCODE_AT_ONCE]
+        unknown = []
+        for chunk in wanted.difference(self.new):
+            if chunk in self.old:
+                self.new[chunk] = self.old[chunk]
+            else:
+                unknown.append(chunk)
+        for at in range(0, len(unknown), ENCODE_AT_ONCE):
+            some = unknown[at:at + ENCODE_AT_ONCE]
             for chunk, made in zip(some, self.tokenizer.encode_batch_fast(
                     some, add_special_tokens=False), strict=True):
                 self.new[chunk] = np.array(made.ids, dtype=self.dtype).tobytes()
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of text as bytes, in pieces of bounded size."""
-        found = _CHUNK.finditer(text) if len(text) > 1 << 20 else iter(())
-        chunks = [m.group() for _, m in zip(range(1 << 17), found)] if len(text) > 1 << 20 \
-            else _CHUNK.findall(text)
-        while chunks:
-            missing = [c for c in set(chunks) if c not in self.new]
-            known = {c: self.old[c] for c in missing if c in self.old}
-            unknown = [c for c in missing if c not in known]
-            if unknown or known:
-                self._learn(unknown)
-                self.new.update(known)
+        if len(text) <= LONG:
+            pieces = iter([_CHUNK.findall(text)])
+        else:
+            found = (m.group() for m in _CHUNK.finditer(text))
+            pieces = iter(lambda: list(itertools.islice(found, LONG // 8)), [])
+        for chunks in pieces:
+            self._learn(chunks)
             yield b"".join(map(self.new.__getitem__, chunks))
-            chunks = [m.group() for _, m in zip(range(1 << 17), found)]
 
 
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}

@@ -141,3 +141,14 @@ def test_chunks_encode_as_the_whole(texts):
     for text in texts:
         ids = np.frombuffer(b"".join(encoder.encode(text)), dtype="<u2").tolist()
         assert [*ids, 2] == library_ids(text)
+
+
+def test_encoder_forgets_and_takes_long_texts_in_pieces(monkeypatch):
+    monkeypatch.setattr(idfile, "RECENT", 8)
+    monkeypatch.setattr(idfile, "LONG", 64)
+    encoder = idfile.ChunkEncoder(JSON, "<u2")
+    rng = random.Random(1)
+    for _ in range(60):
+        text = "".join(rng.choice([" of%%%", " a", "\n", "  the", "b!", " 12"]) for _ in range(rng.randrange(40)))
+        ids = np.frombuffer(b"".join(encoder.encode(text)), dtype="<u2").tolist()
+        assert [*ids, 2] == library_ids(text)

@@ -452,18 +452,20 @@ def partition_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer detail and customer attributes as 10-bucket tables on
-    customer_id; the grouped join of the two reads them without a shuffle."""
+    """Customer detail and customer attributes as bucketed tables on
+    customer_id, one bucket per shuffle partition of the session; the grouped
+    join of the two reads them without a shuffle."""
+    buckets = max(BJ.CUSTOMER_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     hl = _hl(spark, sf_dir)
     cust = hl[2]
     tag = work_dir(spark, "bucketed").rsplit("-", 1)[-1]
     detail_t, attrs_t = f"customer_detail_b{tag}", f"customer_attrs_b{tag}"
     detail = M.customer_detail(M.star_enrich_hl(*hl))
     SK.write_bucketed(detail.select("customer_id", "sales_date", "total_cost"), detail_t,
-                      work_dir(spark, detail_t), 10, "customer_id")
+                      work_dir(spark, detail_t), buckets, "customer_id")
     SK.write_bucketed(M.customer_attributes(cust).withColumnRenamed("attr_customer_id",
                                                                     "customer_id"),
-                      attrs_t, work_dir(spark, attrs_t), 10, "customer_id")
+                      attrs_t, work_dir(spark, attrs_t), buckets, "customer_id")
     totals = (spark.table(detail_t).groupBy("customer_id")
               .agg(F.sum("total_cost").alias("total_sales"), F.count(F.lit(1)).alias("lines")))
     out = totals.join(spark.table(attrs_t), "customer_id", "inner")

@@ -28,8 +28,12 @@ def test_sales_mart_prunes_columns_and_aggregates_partially(spark):
 
 
 def test_bucketed_join_reads_without_shuffle(spark):
-    df = E.queries()["bucketed_join"](spark, SMALL)
-    assert "Exchange" not in plan(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = E.queries()["bucketed_join"](spark, SMALL)
+        assert "Exchange" not in plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_partitioned_read_prunes_folders(spark):

@@ -20,7 +20,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.contracts import MANIFEST, STATUS_ACTIVE, STATUS_INACTIVE, STATUS_QUARANTINED
+from martflow.contracts import (MANIFEST, STATUS_ACTIVE, STATUS_INACTIVE, STATUS_QUARANTINED,
+                                empty)
 
 
 def latest(log: DataFrame, key: str = "file_name",
@@ -80,4 +81,4 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], MANIFEST)
+        return empty(spark, MANIFEST)

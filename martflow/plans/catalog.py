@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.contracts import SALES_FACT
+from martflow.contracts import SALES_FACT, STORE
 from martflow.functions import columns as fn
 from martflow.operators import conform as C
 from martflow.operators import enrich as E
@@ -26,6 +26,7 @@ from martflow.sinks import jdbc as SJ
 from martflow.sources import files as FS
 from martflow.sources import synth as SY
 from martflow.sources import testbed as tb
+from martflow.sources.dims import read_dim
 from martflow.sources.tables import Tables
 from martflow.streaming import ingest as ST
 
@@ -226,6 +227,18 @@ def manager_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("manager_id", _dbl("team_total"), "members")
 
 
+@query
+def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store dimension written and read back by its contract: columns by
+    name whatever their case, missing ones NULL of their type."""
+    path = work_dir(spark, "dim_store")
+    store = tb.store_dim(Tables.open(spark, sf_dir)).drop("reviews")
+    SK.write_parquet(store.withColumnRenamed("id", "ID").withColumn("other", F.lit(1)), path)
+    return read_dim(spark, path, STORE).select(
+        "id", "address", "store_pincode", "store_manager_name",
+        F.col("store_opening_date").cast("string").alias("store_opening_date"), "reviews")
+
+
 @query
 def dim_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicated dimension keys (would fan facts out); part names are not

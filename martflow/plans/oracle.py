@@ -185,6 +185,13 @@ from lines l join team t on l.sales_person_id = t.id
 group by t.manager_id
 """
 
+ORACLE["dim_store"] = """
+select cast(n_nationkey as bigint) as id, n_name as address, cast(n_regionkey as varchar) as store_pincode,
+       r_name as store_manager_name, cast(null as varchar) as store_opening_date,
+       cast(null as varchar) as reviews
+from nation left join region on n_regionkey = r_regionkey
+"""
+
 ORACLE["dim_key_uniqueness"] = _with(_DIMS) + """
 select 'customer.customer_id' as dimension, cast(customer_id as varchar) as key, count(*) as copies
 from cust group by customer_id having count(*) > 1

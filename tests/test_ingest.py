@@ -288,6 +288,23 @@ def test_price_check_and_database_append(spark, tmp_dir):
     assert stores.count() == 40 and stores.rdd.getNumPartitions() == 4
 
 
+def test_preview_shows_as_many_rows_as_asked(spark, tmp_dir, capsys):
+    land = os.path.join(tmp_dir, "landing")
+    write(os.path.join(land, "d"), "a.csv", f"{HEAD}\n1,121,sugar,2024-03-03,1,50,2,100\n"
+                                            f"2,121,oats,2024-03-04,2,50,1,50\n")
+    layout = BJ.Layout(os.path.join(tmp_dir, "out"))
+    BJ.run_folder(spark, land, _dims(spark), layout, "r1", preview=1)
+    shown = capsys.readouterr().out
+    assert shown.count("|121 ") == 1 and "only showing top 1 row" in shown
+
+
+def test_empty_relations_have_their_types(spark):
+    from martflow.contracts import MANIFEST, SALES_FACT, empty
+    for contract in (MANIFEST, SALES_FACT):
+        e = empty(spark, contract)
+        assert e.schema == contract and e.count() == 0
+
+
 def test_a_broken_manifest_is_not_an_empty_one(spark, tmp_dir):
     write(tmp_dir, "log/part-0.parquet", "this is no parquet file")
     with pytest.raises(Exception):

@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martflow.llm import bpe, decontam, langid, neardup, secretscan
 from martflow.llm.textcore import stored
@@ -38,9 +37,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its secrets (operator 1) replaced by a mark; n_chars
-    follows the text, source and language stay."""
-    return secretscan.redact(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    """Every document, its secrets (operator 1) replaced by a mark, n_chars
+    following the text; documents without secrets stay as they are."""
+    return secretscan.redact(docs, length_col="n_chars")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,9 +164,10 @@ def secret_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int =
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
-           text_col: str = "text", mark: str = MARK) -> DataFrame:
+           text_col: str = "text", mark: str = MARK, length_col: str | None = None) -> DataFrame:
     """docs, all columns, with each stretch of overlapping spans replaced by
-    mark. Rows without a span are unchanged."""
+    mark, and length_col, if named, set to the new length in code points.
+    Rows without a span are unchanged."""
     _, spans = secret_spans(docs, rules, id_col, text_col)
     by_start = Window.partitionBy(*KEY).orderBy("start", "end", "place")
     earlier = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
@@ -183,4 +184,8 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
     last = lambda i: F.when(i < size, F.get("__cuts", i)["start"]).otherwise(F.length(text))
     clean = F.array_join(F.transform(F.sequence(F.lit(0), size), lambda i: F.substr(
         text, (first(i) + 1).cast("int"), (last(i) - first(i)).cast("int"))), mark)
-    return joined.withColumn(text_col, F.when(size > 0, clean).otherwise(F.col(text_col))).select(*docs.columns)
+    out = joined.withColumn(text_col, F.when(size > 0, clean).otherwise(F.col(text_col)))
+    if length_col is not None:
+        out = out.withColumn(length_col, F.when(size > 0, F.length(text)).otherwise(F.col(length_col))
+                             .cast(docs.schema[length_col].dataType))
+    return out.select(*docs.columns)

@@ -75,5 +75,7 @@ def test_stages_keep_the_columns_and_take_effect(spark, small):
         assert stages[name](spark, docs, SMALL).columns == docs.columns
     clean = {r["doc_id"]: r for r in stages["secrets"](spark, docs, SMALL).collect()}
     assert clean[903]["text"].startswith(secretscan.MARK) and clean[903]["n_chars"] == len(clean[903]["text"])
-    assert clean[901]["text"] == "12345 67890"
+    assert clean[901]["text"] == "12345 67890" and clean[900]["n_chars"] is None
+    before = {r["doc_id"]: r for r in docs.collect()}
+    assert all(r == before[i] for i, r in clean.items() if i not in (903,) and not spans_of(before[i]["text"]))
     assert 902 not in {r["doc_id"] for r in stages["near_duplicates"](spark, docs, SMALL).collect()}

@@ -5,10 +5,15 @@ A document is cut at safe places (see ``bpe.parts``) into leaves of about
 tree holds the sums of characters and tokens, so a place is found and a count
 is updated in logarithmic steps. An edit re-encodes the leaves it touches and,
 where it disturbs a leaf's edge, the neighbour that the edge belongs to.
+
+``token_trees`` counts documents once and returns their trees' leaves as
+columns, which can be stored; ``edited`` takes them, applies edits without
+encoding what they leave alone, and returns the new texts and leaves.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Callable, Iterator
 
@@ -31,20 +36,35 @@ def _cut_between(before: str, after: str) -> bool:
 class TokenTree:
     """Counts of one text; ``apply`` keeps them right."""
 
-    def __init__(self, text: str, count, leaf: int = LEAF):
-        self.count, self.leaf = count, leaf
-        self.encoded = 0
-        self.texts = list(parts(text, leaf)) or [""]
+    def __init__(self, texts: list[str], tokens: list[int] | None, count):
+        """texts are the leaves; tokens their counts, encoded now if None."""
+        self.count, self.encoded = count, 0
+        self.texts = texts or [""]
+        tokens = [self._counted(t) for t in self.texts] if tokens is None else tokens or [0]
         self.width = 1 << max(0, len(self.texts) - 1).bit_length()
         self.chars = [0] * (2 * self.width)
         self.tokens = [0] * (2 * self.width)
-        for i, part in enumerate(self.texts):
-            self.chars[self.width + i] = len(part)
-            self.tokens[self.width + i] = self._counted(part)
+        self.chars[self.width:self.width + len(self.texts)] = map(len, self.texts)
+        self.tokens[self.width:self.width + len(self.texts)] = tokens
         for node in range(self.width - 1, 0, -1):
             self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
             self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
+    @classmethod
+    def build(cls, text: str, count, leaf: int = LEAF) -> TokenTree:
+        return cls(list(parts(text, leaf)), None, count)
+
+    @classmethod
+    def restore(cls, text: str, chars: list[int], tokens: list[int], count) -> TokenTree:
+        """The tree of stored leaves: nothing is encoded."""
+        ends = list(itertools.accumulate(chars))
+        return cls([text[e - n:e] for e, n in zip(ends, chars, strict=True)], list(tokens), count)
+
+    def leaves(self) -> tuple[list[int], list[int]]:
+        """(characters, tokens) of the leaves that hold text."""
+        at = [self.width + i for i, t in enumerate(self.texts) if t]
+        return [self.chars[i] for i in at], [self.tokens[i] for i in at]
+
     def _counted(self, text: str) -> int:
         self.encoded += len(text)
         return sum(self.count(part) for part in parts(text)) if text else 0
@@ -121,11 +141,37 @@ class TokenTree:
 EDITS = "array<struct<start:bigint,end:bigint,new:string>>"
 
 
-def counted_edits(docs: DataFrame, rank_file: str, pattern: str,
-                  edits: str | Callable[[str], list[tuple[int, int, str]]] = "edits",
-                  id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
-    """Per row: id, n_tokens before its edits, n_tokens_after them, n_edits,
-    chars_again (characters encoded for the edits).
+def _counter(rank_file: str, pattern: str) -> Callable[[str], int]:
+    enc = encoding(rank_file, pattern)
+    return lambda text: len(enc.encode_ordinary(text))
+
+
+def token_trees(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
+                text_col: str = "text", keep: tuple[str, ...] = (), leaf: int = LEAF) -> DataFrame:
+    """Per row: id, text, the columns in keep, leaf_chars and leaf_tokens (the
+    leaves of its tree, whose tokens add up to the text's). A null text is
+    empty and has no leaf."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = _counter(rank_file, pattern)
+        for batch in batches:
+            leaves = [TokenTree.build(t or "", count, leaf).leaves()
+                      for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array([c for c, _ in leaves], type=pa.list_(pa.int32())),
+                 pa.array([t for _, t in leaves], type=pa.list_(pa.int32()))],
+                names=[*batch.schema.names, "leaf_chars", "leaf_tokens"])
+
+    read = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), *keep)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields)
+    return map_arrow(read, run, f"{kinds}, leaf_chars array<int>, leaf_tokens array<int>")
+
+
+def edited(trees: DataFrame, rank_file: str, pattern: str,
+           edits: str | Callable[[str], list[tuple[int, int, str]]] = "edits",
+           id_col: str = "doc_id", with_trees: bool = True) -> DataFrame:
+    """Per row of ``token_trees``: id, n_tokens before its edits,
+    n_tokens_after them, n_edits, chars_again (characters encoded for the
+    edits) and, if asked, the new text, leaf_chars and leaf_tokens.
 
     edits names a column of array<struct<start,end,new>> or is a function of
     the text that lists such edits. Places are code points of the unedited
@@ -138,27 +184,43 @@ def counted_edits(docs: DataFrame, rank_file: str, pattern: str,
                 if e and e["start"] is not None and e["end"] is not None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(rank_file, pattern)
-        count = lambda text: len(enc.encode_ordinary(text))
+        count = _counter(rank_file, pattern)
         for batch in batches:
-            out: list[list[int]] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             given = None if callable(edits) else batch.column("edits").to_pylist()
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                tree = TokenTree(text or "", count, leaf)
+            for row, (text, chars, tokens) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("text", "leaf_chars", "leaf_tokens")),
+                    strict=True)):
+                tree = TokenTree.restore(text or "", chars, tokens, count)
                 own = edits(text or "") if given is None else listed(given[row])
-                n, done = tree.total, tree.encoded
+                before = tree.total
                 tree.apply(own)
-                for values, v in zip(out, (n, tree.total, len(own), tree.encoded - done), strict=True):
+                made = (tree.text, *tree.leaves()) if with_trees else (None, None, None)
+                for values, v in zip(out, (before, tree.total, len(own), tree.encoded, *made), strict=True):
                     values.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), *(pa.array(v, type=pa.int64()) for v in out)],
-                names=[id_col, "n_tokens", "n_tokens_after", "n_edits", "chars_again"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
+            kinds = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int32())] * 2
+            made = [pa.array(v, type=k) for v, k in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *made[:7 if with_trees else 4]],
+                                             names=names)
+
+    names = [id_col, "n_tokens", "n_tokens_after", "n_edits", "chars_again"]
+    kind = trees.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, " + ", ".join(f"{n} bigint" for n in names[1:])
+    if with_trees:
+        names += ["text", "leaf_chars", "leaf_tokens"]
+        schema += ", text string, leaf_chars array<int>, leaf_tokens array<int>"
     column = [] if callable(edits) else [F.col(edits).cast(EDITS).alias("edits")]
-    return map_arrow(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *column),
-        run, f"`{id_col}` {kind}, n_tokens bigint, n_tokens_after bigint, n_edits bigint, chars_again bigint")
+    return map_arrow(trees.select(F.col(id_col).alias("id"), "text", "leaf_chars", "leaf_tokens", *column),
+                     run, schema)
+
+
+def counted_edits(docs: DataFrame, rank_file: str, pattern: str,
+                  edits: str | Callable[[str], list[tuple[int, int, str]]] = "edits",
+                  id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF) -> DataFrame:
+    """``edited`` right after ``token_trees``: the counts alone."""
+    keep = () if callable(edits) else (edits,)
+    trees = token_trees(docs, rank_file, pattern, id_col, text_col, keep, leaf)
+    return edited(trees, rank_file, pattern, edits, id_col, with_trees=False)
 
 
 _REPEATED = re.compile(r"([^\w\s])\1+")

@@ -54,7 +54,7 @@ def test_parts_encode_as_the_whole(text, size):
 @given(AWKWARD, st.lists(st.tuples(st.integers(0, 90), st.integers(0, 90), AWKWARD.map(lambda t: t[:5])),
                          max_size=6), st.integers(1, 16))
 def test_tree_counts_after_edits(text, edits, leaf):
-    tree = counts.TokenTree(text, lambda t: len(ENC.encode_ordinary(t)), leaf)
+    tree = counts.TokenTree.build(text, lambda t: len(ENC.encode_ordinary(t)), leaf)
     assert tree.total == len(ENC.encode_ordinary(text))
     at, last, made = 0, 0, []
     for start, end, new in sorted(edits, key=lambda e: e[0]):
@@ -70,7 +70,7 @@ def test_tree_counts_after_edits(text, edits, leaf):
 def test_edits_encode_only_what_they_touch():
     rng = random.Random(5)
     text = " ".join("".join(rng.choices("abcdefg", k=5)) for _ in range(20000))
-    tree = counts.TokenTree(text, lambda t: len(ENC.encode_ordinary(t)))
+    tree = counts.TokenTree.build(text, lambda t: len(ENC.encode_ordinary(t)))
     before = tree.encoded
     tree.apply([(60000, 60004, "new words, here"), (90001, 90001, "!")])
     assert tree.encoded - before < 8 * counts.LEAF
@@ -90,6 +90,21 @@ def test_counted_edits_of_a_column(spark):
                    3: (0, n("made up"), 1), None: (n("gone"), 0, 1), 4: (n("kept"), n("kept"), 0)}
 
 
+def test_stored_trees_take_further_edits(spark, edge):
+    """Trees kept as a table: a second round of edits encodes only its places."""
+    trees = counts.token_trees(edge, RANKS, PATTERN, leaf=64)
+    once = counts.edited(trees, RANKS, PATTERN, counts.tidy_edits)
+    twice = counts.edited(once, RANKS, PATTERN, lambda text: [(3, 5, "!"), (10, 10, " more")])
+    n = lambda t: len(ENC.encode_ordinary(t))
+    rows = {}
+    for r in twice.collect():
+        assert r["n_tokens_after"] == n(r["text"]) == sum(r["leaf_tokens"])
+        assert sum(r["leaf_chars"]) == len(r["text"])
+        rows.setdefault(r["doc_id"], []).append(r)
+    (long,) = rows[15]
+    assert long["chars_again"] < 1000 < len(long["text"])
+
+
 def test_tidy_counts_equal_encoding_the_edited_texts(edge):
     got = sorted((r["doc_id"] or 0, r["n_tokens"], r["n_tokens_after"]) for r in counts.counted_edits(
         edge, RANKS, PATTERN, edits=counts.tidy_edits).collect())

@@ -27,7 +27,7 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,13 +41,14 @@ from martflow.llm.textcore import stored
 from martflow.session import work_dir
 
 READ_DOCS = 4096      # documents of a reader's block
-RECENT = 400_000      # chunks kept in each of two generations, but for those of one text
-LONG = 1 << 20        # characters from which a text is encoded in pieces
-ENCODE_AT_ONCE = 4096
+RECENT = 400_000      # chunks kept in each of two generations, but for those of one block
+TOGETHER = 32         # words encoded as one text
+LONG = 1 << 20        # characters of a block of texts; a longer text is encoded in pieces
 
 # Unicode's White_Space characters
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_WORD = re.compile(f" ?[^{_SPACE}]+")
 
 
 class ChunkEncoder:
@@ -60,12 +61,13 @@ class ChunkEncoder:
         # their strings in a text are ordinary text
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype(dtype)
+        line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_feed = line_feed[0] if len(line_feed) == 1 else None
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, wanted: set[str]) -> None:
         """Have the ids of all these chunks in ``new``."""
-        wanted = set(chunks)
         if len(self.new) + len(wanted) > RECENT:
             self.old, self.new = self.new, {}
         unknown = []
@@ -74,22 +76,59 @@ class ChunkEncoder:
                 self.new[chunk] = self.old[chunk]
             else:
                 unknown.append(chunk)
-        for at in range(0, len(unknown), ENCODE_AT_ONCE):
-            some = unknown[at:at + ENCODE_AT_ONCE]
-            for chunk, made in zip(some, self.tokenizer.encode_batch_fast(
-                    some, add_special_tokens=False), strict=True):
-                self.new[chunk] = np.array(made.ids, dtype=self.dtype).tobytes()
-
-    def encode(self, text: str) -> Iterator[bytes]:
-        """The ids of text as bytes, in pieces of bounded size."""
-        if len(text) <= LONG:
-            pieces = iter([_CHUNK.findall(text)])
-        else:
-            found = (m.group() for m in _CHUNK.finditer(text))
-            pieces = iter(lambda: list(itertools.islice(found, LONG // 8)), [])
-        for chunks in pieces:
-            self._learn(chunks)
-            yield b"".join(map(self.new.__getitem__, chunks))
+        self.new.update(zip(unknown, self._encoded(unknown), strict=True))
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(
+            texts, add_special_tokens=False)]
+
+    def _encoded(self, chunks: list[str]) -> Iterator[bytes]:
+        """The ids of each chunk. Most chunks are a word behind a space at most:
+        these are encoded ``TOGETHER`` to a text, each followed by a line feed,
+        whose id ends it (a call and a text have costs of their own)."""
+        alone = {c for c in chunks if self.line_feed is None or not _WORD.fullmatch(c)}
+        words = [c for c in chunks if c not in alone]
+        made = dict(zip(alone, (i.tobytes() for i in self._ids(list(alone))), strict=True))
+        groups = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        for group, ids in zip(groups, self._ids(["\n".join([*g, ""]) for g in groups]), strict=True):
+            ends = np.flatnonzero(ids == self.line_feed)
+            if len(ends) == len(group):
+                raw, width, last = ids.tobytes(), self.dtype.itemsize, 0
+                for chunk, end in zip(group, (ends * width).tolist(), strict=True):
+                    made[chunk] = raw[last:end]
+                    last = end + width
+            else:
+                made.update(zip(group, (i.tobytes() for i in self._ids(group)), strict=True))
+        return (made[c] for c in chunks)
+
+    def encode(self, texts: Iterable[str]) -> Iterator[Iterable[bytes]]:
+        """Of each text in order its ids as bytes, in pieces of bounded size.
+
+        Texts are taken together up to ``LONG`` characters; a longer one is
+        taken in pieces and must be consumed before the next is asked for."""
+        block: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if size + len(text) > LONG:
+                yield from self._joined(block)
+                block, size = [], 0
+            if len(text) > LONG:
+                yield self._pieces(text)
+            else:
+                block.append(_CHUNK.findall(text))
+                size += len(text)
+        yield from self._joined(block)
+
+    def _joined(self, block: list[list[str]]) -> Iterator[list[bytes]]:
+        self._learn(set().union(*block))
+        ids = self.new.__getitem__
+        for chunks in block:
+            yield [b"".join(map(ids, chunks))]
+
+    def _pieces(self, text: str) -> Iterator[bytes]:
+        found = (m.group() for m in _CHUNK.finditer(text))
+        while chunks := list(itertools.islice(found, LONG // 8)):
+            yield from next(self._joined([chunks]))
 
 
 _encoders: dict[tuple[str, str], ChunkEncoder] = {}
@@ -144,9 +183,10 @@ def write_ids(docs: DataFrame, tokenizer_file: str, vocabulary: int, end_id: int
               store.open_output_stream(f"{path}.docs") as names):
             while first is not None:
                 lengths = np.zeros(first.num_rows, dtype="<u8")
-                for row, text in enumerate(first.column("text").to_pylist()):
+                texts = (text or "" for text in first.column("text").to_pylist())
+                for row, pieces in enumerate(encoder.encode(texts)):
                     size = len(end)
-                    for piece in encoder.encode(text or ""):
+                    for piece in pieces:
                         ids.write(piece)
                         size += len(piece)
                     ids.write(end)

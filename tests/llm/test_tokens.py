@@ -152,10 +152,8 @@ def test_wide_vocabularies_use_four_bytes(spark):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(AWKWARD, max_size=3))
 def test_chunks_encode_as_the_whole(texts):
-    encoder = idfile._encoder(JSON, "<u2")
-    for text in texts:
-        ids = np.frombuffer(b"".join(encoder.encode(text)), dtype="<u2").tolist()
-        assert [*ids, 2] == library_ids(text)
+    made = [b"".join(pieces) for pieces in idfile._encoder(JSON, "<u2").encode(texts)]
+    assert [[*np.frombuffer(m, dtype="<u2").tolist(), 2] for m in made] == list(map(library_ids, texts))
 
 
 def test_encoder_forgets_and_takes_long_texts_in_pieces(monkeypatch):
@@ -163,7 +161,7 @@ def test_encoder_forgets_and_takes_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(idfile, "LONG", 64)
     encoder = idfile.ChunkEncoder(JSON, "<u2")
     rng = random.Random(1)
-    for _ in range(60):
-        text = "".join(rng.choice([" of%%%", " a", "\n", "  the", "b!", " 12"]) for _ in range(rng.randrange(40)))
-        ids = np.frombuffer(b"".join(encoder.encode(text)), dtype="<u2").tolist()
-        assert [*ids, 2] == library_ids(text)
+    parts = [" of%%%", " a", "\n", "  the", "b!", " 12"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(80)]
+    made = [b"".join(pieces) for pieces in encoder.encode(texts)]
+    assert [[*np.frombuffer(m, dtype="<u2").tolist(), 2] for m in made] == list(map(library_ids, texts))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martflow.llm.shipping import map_arrow
-from martflow.llm.textcore import ALNUM, shingles, text_words
+from martflow.llm.textcore import ALNUM, arrow_type, shingles, text_words
 
 BLOCK = 1 << 20      # shingles of the items broadcast at once
 WHOLE = 32           # items up to this size are their own sketch
@@ -131,6 +131,7 @@ def contamination(docs: DataFrame, items: DataFrame, words: int = 5, threshold:
     spark = docs.sparkSession
     id_kind = docs.schema[id_col].dataType
     item_kind = items.schema[item_id].dataType
+    kind = arrow_type(items, item_id)
     schema = (f"`{id_col}` {id_kind.simpleString()}, `{item_id}` {item_kind.simpleString()}, "
               "n_item bigint, n_shared bigint, containment double")
     out = None
@@ -139,7 +140,6 @@ def contamination(docs: DataFrame, items: DataFrame, words: int = 5, threshold:
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             index = index.value
-            kind = pa.array(index.ids[:0] or [index.ids[0]]).type
             for batch in batches:
                 rows, hits = [], []
                 for row, hashes in text_words(batch, text_col, ALNUM):

@@ -42,7 +42,7 @@ def _letter_map() -> np.ndarray:
     return _letters
 
 
-def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Blocks of (row of each piece, code points of each piece, padded).
 
     A text longer than a block is cut into pieces that overlap by the longest
@@ -70,9 +70,9 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, codes
 
 
-def _ngrams(codes: list[np.ndarray], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(piece, bucket) of every n-gram that has a letter at its start or, for
-    longer ones, a space followed by a letter; piece numbers ascend per order."""
+def _ngrams(codes: list[np.ndarray], buckets: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per order the (pieces, buckets) of every n-gram that has a letter at its
+    start or, for longer ones, a space followed by a letter; pieces ascend."""
     flat = np.concatenate(codes)
     reach = max(ORDERS) - 1
     lengths = np.array([len(c) for c in codes])

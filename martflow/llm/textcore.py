@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from martflow.session import work_dir
 
@@ -125,6 +126,10 @@ def text_words(batch: pa.RecordBatch, column: str, is_word: np.ndarray
             low = int(high)
 
 
+def arrow_type(df: DataFrame, column: str) -> pa.DataType:
+    return to_arrow_type(df.schema[column].dataType)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of df written as Parquet into the shared work folder and read
     back: a lineage cut that survives lost executors."""

@@ -141,6 +141,13 @@ def test_contamination_does_not_depend_on_the_blocks(small, items, monkeypatch,
         r for r in want if r[1] in ids}
 
 
+def test_an_item_without_a_number(spark):
+    items = spark.createDataFrame([(None, "the only item has no number at all")], "item_id bigint, text string")
+    docs = table(spark, [(1, "Here the only item has no number at all, as said")])
+    (r,) = decontam.contamination(docs, items).collect()
+    assert (r["doc_id"], r["item_id"], r["n_item"], r["n_shared"]) == (1, None, 4, 4)
+
+
 def test_contamination_without_documents_or_items(spark, small, nothing, items):
     none = spark.createDataFrame([], items.schema)
     assert decontam.contamination(nothing, items).count() == 0

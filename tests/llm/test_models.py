@@ -95,3 +95,12 @@ def test_scores_of_edge_rows(edge, nothing):
     assert len(rows) == len(EDGE_TEXTS)
     assert all((r["mean_log_score"] is None) == (r["n_words"] == 0) for r in rows)
     assert lm.scores(nothing).collect() == []
+
+
+def test_rare_words_keep_their_own_counts(spark):
+    """Beyond a million tokens a word met once is still itself: no pooled counts."""
+    texts = [" ".join(["a b"] * 260_000)] * 2 + ["rare1 rare2", "rare3 rare4", "rare5 rare6 a"]
+    docs = table(spark, list(enumerate(texts))).repartition(3)
+    got = {r["doc_id"]: r["log_score"] for r in lm.scores(docs).collect()}
+    want = [s for _, s in brute_scores(texts, 2, 0)]
+    assert all(abs(got[i] - s) < 1e-4 for i, s in enumerate(want))

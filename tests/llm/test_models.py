@@ -104,3 +104,25 @@ def test_rare_words_keep_their_own_counts(spark):
     got = {r["doc_id"]: r["log_score"] for r in lm.scores(docs).collect()}
     want = [s for _, s in brute_scores(texts, 2, 0)]
     assert all(abs(got[i] - s) < 1e-4 for i, s in enumerate(want))
+
+
+def brute_backoff(texts, order, least):
+    docs = [(t or "").encode().lower().split() for t in texts]
+    n = Counter(tuple(d[i:i + k]) for d in docs for k in range(1, order + 1) for i in range(len(d) - k + 1))
+    total = sum(map(len, docs))
+
+    def score(gram):
+        if len(gram) == 1:
+            return math.log(n[gram] / total)
+        return (math.log(n[gram] / n[gram[:-1]]) if n[gram] >= least
+                else math.log(lm.BACKOFF) + score(gram[1:]))
+    return [sum(score(tuple(d[max(0, i - order + 1):i + 1])) for i in range(len(d))) for d in docs]
+
+
+@pytest.mark.parametrize("order,least", [(1, 1), (2, 1), (3, 1), (3, 2), (4, 3)])
+def test_every_order_backs_off_step_by_step(spark, order, least):
+    texts = [t for _, t in EDGE_TEXTS] + ["a b c a b d", "a b", "x b c", "b c a b", "a a a a"] * 3
+    docs = table(spark, list(enumerate(texts))).repartition(3)
+    got = {r["doc_id"]: r["log_score"] for r in lm.scores(docs, order=order, least=least, bucket=500).collect()}
+    want = brute_backoff(texts, order, least)
+    assert len(got) == len(want) and all(abs(got[i] - s) < 1e-4 for i, s in enumerate(want))

@@ -17,7 +17,9 @@ the ranges) in blocks of documents, many tasks to a part.
 The tokenizer's file must be openable on every executor. Texts are encoded
 with the tokenizers library, one chunk (white space and what follows it up to
 the next white space) at a time: no pre-token crosses a chunk, so a chunk's
-ids do not depend on its neighbours, and recent chunks' ids are kept.
+ids do not depend on its neighbours, and recent chunks' ids are kept. The same
+holds for an added token's string without white space, which cuts its chunk;
+with added tokens that hold or take in white space, texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -54,12 +56,15 @@ _WORD = re.compile(f" ?[^{_SPACE}]+")
 class ChunkEncoder:
     """Ids of texts as bytes, with the two last generations of chunks kept."""
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, added_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        # their strings in a text are ordinary text
-        self.tokenizer.encode_special_tokens = True
+        # if not added_tokens, the special ones' strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens
+        self.whole = any(t.lstrip or t.rstrip or re.search(f"[{_SPACE}]", t.content)
+                         for t in self.tokenizer.get_added_tokens_decoder().values()
+                         if added_tokens or not t.special)
         self.dtype = np.dtype(dtype)
         line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_feed = line_feed[0] if len(line_feed) == 1 else None
@@ -109,6 +114,9 @@ class ChunkEncoder:
         block: list[list[str]] = []
         size = 0
         for text in texts:
+            if self.whole:
+                yield [i.tobytes() for i in self._ids([text])]
+                continue
             if size + len(text) > LONG:
                 yield from self._joined(block)
                 block, size = [], 0
@@ -131,13 +139,14 @@ class ChunkEncoder:
             yield from next(self._joined([chunks]))
 
 
-_encoders: dict[tuple[str, str], ChunkEncoder] = {}
+_encoders: dict[tuple[str, str, bool], ChunkEncoder] = {}
 
 
-def _encoder(path: str, dtype: str) -> ChunkEncoder:
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = ChunkEncoder(path, dtype)
-    return _encoders[path, dtype]
+def _encoder(path: str, dtype: str, added_tokens: bool = False) -> ChunkEncoder:
+    key = path, dtype, added_tokens
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(*key)
+    return _encoders[key]
 
 
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -153,13 +162,16 @@ def id_type(vocabulary: int, end_id: int | None) -> str:
 
 
 def write_ids(docs: DataFrame, tokenizer_file: str, vocabulary: int, end_id: int | None = 2,
-              folder: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+              folder: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+              added_tokens: bool = False) -> DataFrame:
     """Write docs as id files into folder (a fresh one in the shared work
     folder by default); returns the manifest: part, name (path without
     ending), dtype, n_docs, n_nulls, n_ids, base_docs, base_ids.
 
     Every row is one document, in ascending id order (null ids first, equal
-    ids by their text's hash); a null or empty text has only the end id.
+    ids by their text's hash); a null or empty text has only the end id. With
+    added_tokens the string of a special token in a text is that token, as the
+    library has it by default; without, it is ordinary text.
     """
     spark = docs.sparkSession
     folder = folder or work_dir(spark, "ids")
@@ -173,7 +185,7 @@ def write_ids(docs: DataFrame, tokenizer_file: str, vocabulary: int, end_id: int
             return
         part = TaskContext.get().partitionId()
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}"
-        encoder = _encoder(tokenizer_file, dtype)
+        encoder = _encoder(tokenizer_file, dtype, added_tokens)
         end = b"" if end_id is None else np.array([end_id], dtype=dtype).tobytes()
         store, path = _store(name)
         store.create_dir(os.path.dirname(path), recursive=True)

@@ -56,7 +56,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.read_ids(idfile.write_ids(read_table(spark, sf_dir, "documents"), TOKENIZER,
-                                            TOKENIZER_IDS, end_id=2))
+                                            TOKENIZER_IDS, end_id=2, added_tokens=True))
 
 
 @query

@@ -165,3 +165,41 @@ def test_encoder_forgets_and_takes_long_texts_in_pieces(monkeypatch):
     texts = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(80)]
     made = [b"".join(pieces) for pieces in encoder.encode(texts)]
     assert [[*np.frombuffer(m, dtype="<u2").tolist(), 2] for m in made] == list(map(library_ids, texts))
+
+
+END = "<|endoftext|>"
+WITH_END = st.lists(st.sampled_from([END, "a", "b1", " ", "  ", "\n", "\t", "é", "!", "<|", "日"]), max_size=25).map("".join)
+
+
+def plain_ids(text, tokenizer=Tokenizer.from_file(JSON)):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(WITH_END, max_size=4))
+def test_chunks_with_added_tokens_encode_as_the_whole(texts):
+    made = [b"".join(pieces) for pieces in idfile._encoder(JSON, "<u2", True).encode(texts)]
+    assert [np.frombuffer(m, dtype="<u2").tolist() for m in made] == list(map(plain_ids, texts))
+
+
+def test_added_tokens_with_white_space_are_not_cut(tmp_path):
+    from tokenizers import AddedToken
+    tokenizer = Tokenizer.from_file(JSON)
+    tokenizer.add_special_tokens([AddedToken("<| two words |>", special=True),
+                                  AddedToken("<left>", special=True, lstrip=True)])
+    tokenizer.save(path := str(tmp_path / "more.json"))
+    texts = ["a <| two words |> b", "a  \n <left> b", "", "no token"]
+    made = [b"".join(pieces) for pieces in idfile.ChunkEncoder(path, "<u2", True).encode(texts)]
+    assert [np.frombuffer(m, dtype="<u2").tolist() for m in made] == [plain_ids(t, tokenizer) for t in texts]
+
+
+def test_token_files_query_keeps_added_tokens(spark, tmp_path):
+    """The contract: the library with the given file, add_special_tokens=False."""
+    from martflow.llm.queries import QUERIES
+    texts = ["a " + END + " b", "plain", END + END, "x" + END + "\n\ny"]
+    table(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(QUERIES["op6_token_files"](spark, str(tmp_path)).collect(), key=lambda r: r["doc_id"])
+    want = [[*plain_ids(t), 2] for t in texts]
+    assert want[0] == [64, 220, 50256, 275, 2]
+    assert [(r["start"], r["n_tokens"], r["ids_crc32"]) for r in got] == [
+        (sum(map(len, want[:i])), len(w), zlib.crc32(np.array(w, dtype="<u4").tobytes())) for i, w in enumerate(want)]

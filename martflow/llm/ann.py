@@ -6,7 +6,9 @@ keys of all curves at once; a vector's position on a curve is its place in
 its partition plus the sizes of the partitions before. Positions are cut into
 blocks of ``BLOCK``; a query is held against the blocks within ``window``
 positions of its own on every curve, the blocks' best are merged, and the
-scores are the exact inner products of the original vectors.
+scores are the exact inner products of the original vectors. The queries of a
+curve are cut in their order into tiles of ``BLOCK``, too: a task holds one tile
+against one block, however wide the window is.
 
 Equal vectors are one point of the index with their k + 1 smallest ids (no
 more can be among a query's k nearest), so any number of copies costs one
@@ -155,7 +157,8 @@ def _exact(points: DataFrame, sample: list[tuple[int, np.ndarray]], k: int) -> l
 
 
 def _ordered(points: DataFrame, curves: _Curves, n_curves: int) -> DataFrame:
-    """(curve, pos, rep, is_query, v): every point and query on every curve."""
+    """(curve, pos, turn, rep, is_query, v): every point and query on every
+    curve; turn is the number of queries before it."""
     shared = points.sparkSession.sparkContext.broadcast(curves)
 
     def extent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,24 +201,43 @@ def _ordered(points: DataFrame, curves: _Curves, n_curves: int) -> DataFrame:
               .repartitionByRange("curve", "key", "rep").sortWithinPartitions("curve", "key", "rep"))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, done = TaskContext.get().partitionId(), 0
+        part, done, asked = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             n = batch.num_rows
+            queries = np.cumsum(batch.column("is_query").to_numpy(zero_copy_only=False).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("curve"), pa.array(np.full(n, part, dtype=np.int32)),
-                 pa.array(np.arange(done, done + n)), batch.column("rep"),
+                 pa.array(np.arange(done, done + n)),
+                 pa.array(asked + np.append(0, queries)[:-1]), batch.column("rep"),
                  batch.column("is_query"), batch.column("v")],
-                names=["curve", "part", "place", "rep", "is_query", "v"])
+                names=["curve", "part", "place", "turn", "rep", "is_query", "v"])
             done += n
+            asked += int(queries[-1]) if n else 0
 
     placed = stored(map_arrow(
-        ranged, number, f"curve int, part int, place bigint, rep bigint, is_query boolean, v {kind}"), "curves")
-    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
+        ranged, number, f"curve int, part int, place bigint, turn bigint, rep bigint, is_query boolean, v {kind}"),
+        "curves")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"), F.count_if("is_query").alias("asked"))
     # one row per partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),
+                         F.coalesce(F.sum("asked").over(before), F.lit(0)).alias("asked"))
     return placed.join(bases, "part").select(
-        "curve", (F.col("base") + F.col("place")).alias("pos"), "rep", "is_query", "v")
+        "curve", (F.col("base") + F.col("place")).alias("pos"),
+        (F.col("asked") + F.col("turn")).alias("turn"), "rep", "is_query", "v")
+
+
+def _tiled(ordered: DataFrame, window: int, block: int) -> DataFrame:
+    """(curve, block, tile, rep, is_query, v): a block's points with each tile of
+    queries whose windows touch it, at most block of either."""
+    seeking = (ordered.where("is_query").withColumn("tile", F.floor(F.col("turn") / block))
+               .withColumn("block", F.explode(F.sequence(
+                   F.floor((F.col("pos") - window) / block), F.floor((F.col("pos") + window) / block)))))
+    touched = seeking.select("curve", "block", "tile").distinct()  # a row for each group
+    points = (ordered.where("not is_query").withColumn("block", F.floor(F.col("pos") / block))
+              .join(touched, ["curve", "block"]))
+    columns = ["curve", "block", "tile", "rep", "is_query", "v"]
+    return points.select(columns).unionByName(seeking.select(columns))
 
 
 def _fitted_window(ordered: DataFrame, near: list[tuple[int, int]], recall: float) -> int:
@@ -262,11 +284,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURV
     ordered = _ordered(points, _Curves(dim, longest, curves, seed), curves)
     window = _fitted_window(ordered, near, recall)
 
-    # a query goes to every block that its window touches; points stay in theirs
-    seeking = ordered.where("is_query").withColumn("block", F.explode(F.sequence(
-        F.floor((F.col("pos") - window) / block), F.floor((F.col("pos") + window) / block))))
-    blocks = (ordered.where("not is_query").withColumn("block", F.floor(F.col("pos") / block))
-              .unionByName(seeking).select("curve", "block", "rep", "is_query", "v"))
+    blocks = _tiled(ordered, window, block)
 
     def search(table: pa.Table) -> pa.Table:
         is_query = table.column("is_query").to_numpy()
@@ -284,8 +302,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, curves: int = CURV
             out[2].append(inner_products(v[some[query]], v[at[point]]))
         return pa.table([pa.array(np.concatenate(o)) for o in out], names=["query", "rep", "score"])
 
-    found = (blocks.groupBy("curve", "block").applyInArrow(search, "query bigint, rep bigint, score double")
-             .distinct())  # a pair's score is the same in every block
+    found = (blocks.groupBy("curve", "block", "tile").applyInArrow(search, "query bigint, rep bigint, score double")
+             .distinct())  # a pair's score is the same on every curve
     best = (found.withColumn("n", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), "rep"))).where(F.col("n") <= k + 1))
     members = points.select("rep", "ids")

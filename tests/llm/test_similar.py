@@ -141,3 +141,22 @@ def test_hilbert_neighbours_differ_by_one_step():
     assert sorted(keys) == list(range(512))
     steps = np.abs(np.diff(cells[np.argsort(keys)], axis=0)).sum(axis=1)
     assert (steps == 1).all()
+
+
+def test_a_task_holds_bounded_points_and_queries(spark, monkeypatch):
+    """Every row a query, vectors that do not cluster: windows span all blocks."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    group, sizes = type(df).groupBy, []
+
+    def spy(self, *by):
+        if any(isinstance(b, str) and b == "block" for b in by):
+            sizes.extend(group(self, *by, "is_query").count().collect())
+        return group(self, *by)
+
+    monkeypatch.setattr(type(df), "groupBy", spy)
+    monkeypatch.setattr(ann, "_fitted_window", lambda *_: 1000)
+    got = {tuple(r) for r in ann.nearest(df, every=1, k=5, curves=2, block=16).collect()}
+    assert {r["is_query"] for r in sizes} == {True, False} and max(r["count"] for r in sizes) <= 16
+    assert got == brute(rows, 1, 5)

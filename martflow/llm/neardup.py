@@ -17,8 +17,9 @@ member of a longer list with the list's first, are filtered by the union
 sketch's estimate. The connected components of what is left are the clusters
 that can hold links. Every cluster, and every longer list whose members are
 in several clusters, is verified by the exact similarities of the full sets,
-in tiles of up to ``TILE`` by ``TILE`` documents that emit a spanning forest
-of their links: no group of n near copies makes n*n pairs, and none is cut.
+in tiles of up to about ``TILE`` by ``TILE`` documents and ``TILE_SHINGLES`` by
+``TILE_SHINGLES`` shingles (one longer text is taken whole) that emit a spanning
+forest of their links: no group of n near copies makes n*n pairs, and none is cut.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ MISS = 1e-6       # largest chance that a linked pair shares too few kept values
 MEET = 3          # lists that a linked pair meets in
 SMALL = 64        # members of a list whose pairs are made by a join
 TILE = 2560       # members of a block of a cluster or longer list
+TILE_SHINGLES = 1 << 21  # shingles of such a block
 COLUMNS = 1 << 12  # shingles of a tile compared at once
 
 
@@ -137,9 +139,10 @@ def _likely(pairs: DataFrame, nodes: DataFrame, k: int, percent: int, least: int
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """(kind, name, i, j, node) for members (kind, name, node, members): each
-    pair of a group's blocks is one tile."""
-    blocks = F.ceil(F.col("members") / TILE).cast("int")
+    """(kind, name, i, j, node) for members (kind, name, node, members, shingles:
+    the group's counts): each pair of a group's blocks is one tile."""
+    blocks = F.greatest(F.ceil(F.col("members") / TILE),
+                        F.least(F.col("members"), F.ceil(F.col("shingles") / TILE_SHINGLES))).cast("int")
     return (members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .select("kind", "name", F.least("block", "other").alias("i"),
@@ -220,20 +223,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     classes = own.groupBy(*signature).agg(F.min("node").alias("node"))
     nodes = stored(rows.join(classes, ["node", *signature]).dropDuplicates(["node", *signature]), "nodes")
     postings = stored(_postings(nodes, percent, least), "postings")
-    sizes = postings.groupBy("value").agg(F.count("*").alias("members"), F.min("node").alias("first"))
+    sizes = postings.groupBy("value").agg(F.count("*").alias("members"), F.min("node").alias("first"),
+                                             F.sum("n").alias("shingles"))
     lists = postings.join(sizes, "value")
     likely = _likely(_pairs(lists, percent, least), nodes, k, percent, least)
     clusters = components(likely)
 
     # tiles: every cluster, and every long list with members of several clusters
-    of_cluster = clusters.join(clusters.groupBy("comp").agg(F.count("*").alias("members")), "comp").select(
-        F.lit(0).alias("kind"), F.col("comp").alias("name"), "node", "members")
+    counts = clusters.join(nodes.select("node", "n"), "node").groupBy("comp").agg(
+        F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    of_cluster = clusters.join(counts, "comp").select(
+        F.lit(0).alias("kind"), F.col("comp").alias("name"), "node", "members", "shingles")
     long = (lists.where(F.col("members") > SMALL).join(clusters, "node", "left")
             .withColumn("comp", F.coalesce("comp", "node")))
     mixed = (long.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
              .where("low < high").select("value"))
     of_list = long.join(mixed, "value").select(
-        F.lit(1).alias("kind"), F.col("value").alias("name"), "node", "members")
+        F.lit(1).alias("kind"), F.col("value").alias("name"), "node", "members", "shingles")
     tiles = stored(_tiles(of_cluster.unionByName(of_list)), "tiles")
 
     # the full sets are made again, in the tiles, from the texts of their nodes

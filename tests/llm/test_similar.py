@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm.conftest import EDGE_TEXTS, table
 from martflow.llm import ann, neardup
@@ -160,3 +161,21 @@ def test_a_task_holds_bounded_points_and_queries(spark, monkeypatch):
     got = {tuple(r) for r in ann.nearest(df, every=1, k=5, curves=2, block=16).collect()}
     assert {r["is_query"] for r in sizes} == {True, False} and max(r["count"] for r in sizes) <= 16
     assert got == brute(rows, 1, 5)
+
+
+def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
+    """A cluster of few but long texts is cut into blocks, too."""
+    monkeypatch.setattr(neardup, "TILE_SHINGLES", 3000)
+    rows = list(enumerate(near_copies(60, 1, size=300, edits=14)))
+    df = table(spark, rows)
+    group, tiles = type(df).groupBy, []
+
+    def spy(self, *by):
+        if by[-1:] and isinstance(by[-1], str) and by[-1] == "j":
+            tiles.extend(group(self, *by).agg(F.sum("n").alias("shingles")).collect())
+        return group(self, *by)
+
+    monkeypatch.setattr(type(df), "groupBy", spy)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(df, words=2).collect()}
+    assert tiles and max(r["shingles"] for r in tiles) <= 2 * 2 * 3000
+    assert got == groups(rows, 2)

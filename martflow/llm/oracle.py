@@ -9,6 +9,7 @@ from martflow.llm.secretscan import BASE_RULES, RULES
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 ALNUM_WORDS = f"regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+TERMS = f"regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 SPACED_WORDS = f"regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+')"
 
 
@@ -125,4 +126,18 @@ ORACLE: dict[str, str] = {
     r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
     select query_id, n::integer as rank, vec_id, score from r where n <= 20""",
     "op9_licences": _licences(),
+    "op13_ranked_search": f"""
+    with d as (select row_number() over () as row_id, doc_id, {TERMS} as w from documents),
+    t as (select row_id, unnest(w) as term from d),
+    p as (select row_id, term, count(*) as tf from t group by all),
+    c as (select count(*) as n_docs, sum(len(w))::bigint as n_terms from d where len(w) > 0),
+    m as (select row_id, doc_id, 100 - 90 + ((90 * len(w) * n_docs) // n_terms) as m from d, c where len(w) > 0),
+    q as (select distinct item_id, unnest({TERMS}) as term from benchmark),
+    f as (select term, floor(1000 * ln((2.0::double * n_docs + 2) / (2 * count(*) + 1)))::bigint as weight
+          from p, c where term in (select term from q) group by term, n_docs),
+    s as (select item_id, row_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+          from q join f using (term) join p using (term) join m using (row_id) group by all),
+    r as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as n
+          from s where score > 0)
+    select item_id, n::integer as rank, doc_id, score from r where n <= 10""",
 }

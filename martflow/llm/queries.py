@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.llm import (ann, bpe, counts, decontam, idfile, langid, licences, lm, neardup,
-                          secretscan)
+                          ranked, secretscan)
 from martflow.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -78,3 +78,9 @@ def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "benchmark"), k=10)

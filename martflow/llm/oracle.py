@@ -126,6 +126,31 @@ ORACLE: dict[str, str] = {
     r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
     select query_id, n::integer as rank, vec_id, score from r where n <= 20""",
     "op9_licences": _licences(),
+    "op11_spelling_groups": f"""
+    with recursive crc as (select list_transform(range(256), lambda i: list_reduce(
+            [i, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda a, x: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) as steps),
+    t as (select doc_id, unnest(regexp_extract_all({LOWERED}, '[A-Za-z\u00C0-\u00FF]+')) as run from documents),
+    r as (select doc_id, run, count(*) as n from t where length(run) >= 5 group by all),
+    h as (select run, n, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
+            string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+            lambda c: case when ord(c) < 128 then [ord(c)::bigint] else [195, ord(c)::bigint - 64] end))),
+            lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1]))) as h from r, crc),
+    w as (select case when h % 97 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word,
+            sum(n)::bigint as n from h group by 1 having sum(n) >= 3),
+    v as (select word, n from w where length(word) >= 5),
+    d as (select word, n, i, word[:i - 1] || word[i + 1:] as rest
+          from (select word, n, unnest(generate_series(1, length(word))) as i from v)),
+    p as (select a.word, b.word as near, b.n as near_n from d a join d b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+          union select a.word, b.word, b.n from d a join v b on a.rest = b.word
+          union select b.word, a.word, a.n from d a join v b on a.rest = b.word),
+    k as (select word, count(*) as n_near, arg_min(near, row(-near_n, near)) as near, max(near_n) as near_n from p group by word),
+    f as (select v.word, n, coalesce(n_near, 0) as n_near, case when near_n >= 2 * n then near end as form,
+            case when near_n >= 2 * n then near_n end as form_n from v left join k on k.word = v.word),
+    g as (select word, form as so_far, 1 as step from f where form is not null
+          union all select g.word, f.form, step + 1 from g join f on f.word = g.so_far where f.form is not null),
+    e as (select word, arg_max(so_far, step) as root from g group by word)
+    select f.word, form, coalesce(root, f.word) as root, n, n_near, form_n from f left join e on e.word = f.word""",
     "op13_ranked_search": f"""
     with d as (select row_number() over () as row_id, doc_id, {TERMS} as w from documents),
     t as (select row_id, unnest(w) as term from d),

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from martflow.llm import (ann, bpe, counts, decontam, idfile, langid, licences, lm, neardup,
-                          ranked, secretscan)
+                          ranked, secretscan, spelling)
 from martflow.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,6 +80,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(read_table(spark, sf_dir, "documents"), least_letters=5,
+                                    least_count=3, spoil=97, ratio=2)
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(read_table(spark, sf_dir, "documents"),

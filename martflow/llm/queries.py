@@ -9,9 +9,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martflow.llm import (ann, bpe, counts, decontam, idfile, langid, licences, lm, neardup,
-                          ranked, secretscan, spelling)
+                          ranked, secretscan, spelling, toxicity)
 from martflow.sources.tables import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -86,6 +87,13 @@ def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     least_count=3, spoil=97, ratio=2)
 
 
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    spans = F.transform("spans", lambda x: F.concat_ws(":", x["start"], x["end"]))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.array_join(spans, ",").alias("spans"))
+
+
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(read_table(spark, sf_dir, "documents"),

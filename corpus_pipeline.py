@@ -21,8 +21,10 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language (operator 10); the others go."""
-    judged = langid.identify(docs, keep=tuple(docs.columns))
-    return judged.where(langid.accepted(LEAST_SCORE)).select(*docs.columns)
+    own = [f"c{i}" for i in range(len(docs.columns))]  # no name of the judgement
+    name, text, lang = (own[docs.columns.index(c)] for c in ("doc_id", "text", "lang"))
+    judged = langid.identify(docs.toDF(*own), name, text, lang, keep=tuple(own))
+    return judged.where(langid.accepted(LEAST_SCORE)).select(*own).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -175,13 +175,16 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_
     cuts = (spans.withColumn("earlier", earlier).withColumn("stretch", stretch)
             .groupBy(*KEY, "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"))
             .groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")))
-    cuts = cuts.select(F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("cuts").alias("__cuts"))
+    own = ["id", "h", "cuts"]
+    while set(own) & set(docs.columns):
+        own = [f"{c}_" for c in own]
+    key, hashed, found = own
+    cuts = cuts.toDF(*own)
     text = F.col(text_col).cast("string")
-    joined = docs.join(cuts, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__h")),
-                       "left")
-    size = F.size("__cuts")
-    first = lambda i: F.when(i > 0, F.get("__cuts", i - 1)["end"]).otherwise(0)
-    last = lambda i: F.when(i < size, F.get("__cuts", i)["start"]).otherwise(F.length(text))
+    joined = docs.join(cuts, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text) == F.col(hashed)), "left")
+    size = F.size(found)
+    first = lambda i: F.when(i > 0, F.get(found, i - 1)["end"]).otherwise(0)
+    last = lambda i: F.when(i < size, F.get(found, i)["start"]).otherwise(F.length(text))
     clean = F.array_join(F.transform(F.sequence(F.lit(0), size), lambda i: F.substr(
         text, (first(i) + 1).cast("int"), (last(i) - first(i)).cast("int"))), mark)
     out = joined.withColumn(text_col, F.when(size > 0, clean).otherwise(F.col(text_col)))

@@ -6,6 +6,11 @@ Long texts are cut in front of white space that follows a character which is
 none: no match of the split pattern runs across such a place and no match in
 front of it looks further, so the parts encode as the whole text would. Every
 text is encoded and decoded part by part, so memory holds the ids of one part.
+
+A run of white space that is longer than a part has no such place, and the
+pattern's look-ahead tries each of its lengths. All of it but the last
+character (all of it at the text's end) is one match of the pattern, so it is
+a part of its own, encoded as one piece without the pattern.
 """
 
 from __future__ import annotations
@@ -22,10 +27,14 @@ from pyspark.sql import DataFrame
 from martflow.llm.shipping import map_arrow
 
 PART_CHARS = 1 << 16
+SPACES_APART = 1 << 12  # white space parts beyond this are encoded as one piece
 
 # a white space character whose predecessor is none (Unicode white space, as a character class)
 _SAFE = regex.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[\t\n\r ])")
 
+_SPACES = regex.compile(r"\p{White_Space}++")
+_WHOLE = r"(?s:.+)"  # a pattern whose one match is the whole text
+
 _loaded: dict[tuple[str, str], tiktoken.Encoding] = {}
 
 
@@ -41,15 +50,38 @@ def encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 def parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
     """text cut at safe places into parts of about size characters; a run
-    without a safe place stays whole."""
+    without a safe place stays whole, but for runs of white space."""
     at = 0
     while len(text) - at > size:
         cut = _SAFE.search(text, at + size)
-        if cut is None:
-            break
-        yield text[at:cut.start()]
-        at = cut.start()
-    yield text[at:] if at else text
+        end = cut.start() if cut else len(text)
+        yield from _apart(text[at:end], end == len(text), size)
+        at = end
+    if at < len(text) or not text:
+        yield text[at:] if at else text
+
+
+def _apart(part: str, last: bool, size: int) -> Iterator[str]:
+    """part with its runs of white space of over size characters apart; last:
+    the text ends with it (else a space character follows, after none)."""
+    at = 0
+    if len(part) > 2 * size:
+        for run in _SPACES.finditer(part):
+            if run.end() - run.start() > size:
+                end = run.end() if last and run.end() == len(part) else run.end() - 1
+                if run.start() > at:
+                    yield part[at:run.start()]
+                yield part[run.start():end]
+                at = end
+    if at < len(part):
+        yield part[at:]
+
+
+def part_ids(part: str, rank_file: str, pattern: str) -> list[int]:
+    """The ids of one of a text's parts."""
+    if len(part) > SPACES_APART and _SPACES.fullmatch(part):
+        return encoding(rank_file, _WHOLE).encode_ordinary(part)
+    return encoding(rank_file, pattern).encode_ordinary(part)
 
 
 def _per_text(visit: Callable, columns: list[str], schema: pa.Schema, text_col: str):
@@ -75,7 +107,7 @@ def encode_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
         enc = encoding(rank_file, pattern)
         n, of_ids, of_bytes = 0, hashlib.sha256(), hashlib.sha256()
         for part in parts(text, part_chars):
-            ids = enc.encode_ordinary(part)
+            ids = part_ids(part, rank_file, pattern)
             if ids:
                 of_ids.update((" " * (n > 0) + " ".join(map(str, ids))).encode())
                 of_bytes.update(enc.decode_bytes(ids))
@@ -94,8 +126,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
            text_col: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
     """Per row: id and ids array<int>; a null text gives an empty array."""
     def visit(text: str) -> tuple[list[int]]:
-        enc = encoding(rank_file, pattern)
-        return ([i for part in parts(text, part_chars) for i in enc.encode_ordinary(part)],)
+        return ([i for part in parts(text, part_chars) for i in part_ids(part, rank_file, pattern)],)
 
     kind = docs.schema[id_col].dataType.simpleString()
     return map_arrow(

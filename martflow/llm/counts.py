@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martflow.llm.bpe import encoding, parts
+from martflow.llm.bpe import part_ids, parts
 from martflow.llm.shipping import map_arrow
 
 LEAF = 256
@@ -142,8 +142,7 @@ EDITS = "array<struct<start:bigint,end:bigint,new:string>>"
 
 
 def _counter(rank_file: str, pattern: str) -> Callable[[str], int]:
-    enc = encoding(rank_file, pattern)
-    return lambda text: len(enc.encode_ordinary(text))
+    return lambda text: len(part_ids(text, rank_file, pattern))
 
 
 def token_trees(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",

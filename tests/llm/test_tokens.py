@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -43,11 +44,31 @@ def test_nothing_to_encode(nothing):
     assert idfile.read_ids(idfile.write_ids(nothing, JSON, 50257)).collect() == []
 
 
+def test_runs_of_any_length(spark):
+    """Two million characters of one class: no run ends the job, and the ids
+    decode to the text. Runs that the library can take agree with it."""
+    n = 2_000_000
+    long = [" " * n + "y", "a" + "\n" * n, "x " + " \t" * (n // 2) + "! b", "a" * n, "7" * n, "!" * n, "é" * n]
+    docs = table(spark, list(enumerate(long))).repartition(4)
+    got = {r["doc_id"]: tuple(r)[1:] for r in bpe.encode_digests(docs, RANKS, PATTERN).collect()}
+    assert {i: d for i, (_, _, d) in got.items()} == {
+        i: hashlib.sha256(t.encode()).hexdigest() for i, t in enumerate(long)}
+    counted = {r["doc_id"]: r["n_tokens"] for r in counts.counted_edits(
+        docs, RANKS, PATTERN, edits=lambda text: [(5, 6, "")]).collect()}
+    assert counted == {i: c for i, (c, _, _) in got.items()}
+    for text in [" " * 200_000 + "y", "a" + "\n" * 200_000 + "b", "q" + "\t \n" * 60_000,
+                 " " * 200_000 + "\n\nzz" + " " * 200_000 + "!" + " " * 140_000]:
+        assert [i for p in bpe.parts(text) for i in bpe.part_ids(p, RANKS, PATTERN)] == ENC.encode_ordinary(text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(AWKWARD, st.integers(1, 12))
 def test_parts_encode_as_the_whole(text, size):
     assert "".join(bpe.parts(text, size)) == text
     assert [i for p in bpe.parts(text, size) for i in ENC.encode_ordinary(p)] == ENC.encode_ordinary(text)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(bpe, "SPACES_APART", 0)
+        assert [i for p in bpe.parts(text, size) for i in bpe.part_ids(p, RANKS, PATTERN)] == ENC.encode_ordinary(text)
 
 
 @settings(max_examples=300, deadline=None)

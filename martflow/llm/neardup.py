@@ -40,9 +40,10 @@ K = 32            # values kept of each set
 MISS = 1e-6       # largest chance that a linked pair shares too few kept values
 MEET = 3          # lists that a linked pair meets in
 SMALL = 64        # members of a list whose pairs are made by a join
-TILE = 2560       # members of a block of a cluster or longer list
-TILE_SHINGLES = 1 << 21  # shingles of such a block
+TILE = 1024       # members of a block of a cluster or longer list
+TILE_SHINGLES = 1 << 20  # shingles of such a block
 COLUMNS = 1 << 12  # shingles of a tile compared at once
+STRIP = 256       # rows of a tile compared at once
 
 
 def least_shared(k: int, percent: int, miss: float = MISS) -> int:
@@ -149,6 +150,25 @@ def _tiles(members: DataFrame) -> DataFrame:
                     F.greatest("block", "other").alias("j"), "node"))
 
 
+def linked_rows(row: np.ndarray, column: np.ndarray, size: np.ndarray, percent: int) -> np.ndarray:
+    """Whether any two sets are similar enough, from the (row, column) of their
+    shared values, by column. Counted in whole numbers; beside the result, one
+    whole-number matrix and strips of ``STRIP`` rows are held."""
+    n = len(size)
+    shared = np.zeros((n, n), dtype=np.int32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        at, to = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((n, int(column[to - 1]) - low + 1 if to > at else 0), dtype=np.float32)
+        part[row[at:to], column[at:to] - low] = 1
+        for top in range(0, n, STRIP):  # products of at most COLUMNS ones are exact
+            shared[top:top + STRIP] += (part[top:top + STRIP] @ part.T).astype(np.int32)
+    linked = np.empty((n, n), dtype=bool)
+    for top in range(0, n, STRIP):
+        both = shared[top:top + STRIP].astype(np.int64)
+        linked[top:top + STRIP] = both * 100 >= (size[top:top + STRIP, None] + size[None, :] - both) * percent
+    return linked
+
+
 def _tile_links(tiles: DataFrame, words: int, percent: int) -> DataFrame:
     """Links of each tile of (node, text, n, s1, s2): a spanning forest of the
     pairs within it whose full sets are similar enough."""
@@ -167,22 +187,18 @@ def _tile_links(tiles: DataFrame, words: int, percent: int) -> DataFrame:
 
     def link(table: pa.Table) -> pa.Table:
         node, found = sets(table)
+        del table
         size = np.array([len(f) for f in found], dtype=np.int64)
         row = np.repeat(np.arange(len(node)), size)
         flat = np.concatenate(found) if found else np.empty(0, dtype=np.int64)
+        del found
         _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
         common = count[column] > 1
         place = np.cumsum(count > 1) - 1
         row, column = row[common], place[column[common]]
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
-        shared = np.zeros((len(node), len(node)), dtype=np.float32)
-        for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            at, to = np.searchsorted(column, [low, low + COLUMNS])
-            part = np.zeros((len(node), min(COLUMNS, int(column[to - 1]) - low + 1)), dtype=np.float32)
-            part[row[at:to], column[at:to] - low] = 1
-            shared += part @ part.T
-        linked = shared * 100 >= (size[:, None] + size[None, :] - shared) * percent
+        linked = linked_rows(row, column, size, percent)
         a, b, left = [], [], np.ones(len(node), dtype=bool)
         for start in range(len(node)):  # each node is reached once
             if left[start]:
@@ -263,11 +279,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80, k: int = K,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, with one document of each group: the one
-    with the smallest id (of rows that repeat it, one). Rows with a null id stay."""
-    kept = (near_duplicates(docs, words, percent, k, id_col, text_col)
-            .where(F.col("kept") & F.col(id_col).isNotNull())
-            .select(F.col(id_col).alias("__kept_id")).distinct())
-    named = (docs.where(F.col(id_col).isNotNull())
-             .join(kept, F.col(id_col) == F.col("__kept_id"), "left_semi")
-             .dropDuplicates([id_col]))
+    with the smallest id (of several texts with that id, one by a hash of the
+    text). Texts are judged apart even if they share an id; of rows that repeat
+    both id and text one stays. Rows with a null id stay."""
+    node = F.xxhash64(F.col(id_col), F.col(text_col))
+    read = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("name"), node.alias("node"), F.col(text_col).alias("text"))
+    judged = near_duplicates(read, words, percent, k, "node", "text")
+    first = (judged.select("node", "component_id").distinct().join(read.select("name", "node").distinct(), "node")
+             .groupBy("component_id").agg(F.min(F.struct("name", "node")).alias("first")))
+    kept_col = "kept"
+    while kept_col in docs.columns:
+        kept_col += "_"
+    kept = first.select(F.col("first.node").alias(kept_col))
+    named = (docs.where(F.col(id_col).isNotNull()).join(kept, node == F.col(kept_col), "left_semi")
+             .dropDuplicates([id_col, text_col]))
     return named.unionByName(docs.where(F.col(id_col).isNull()))

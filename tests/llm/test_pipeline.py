@@ -3,6 +3,7 @@ import hashlib
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as pipeline
@@ -79,3 +80,32 @@ def test_stages_keep_the_columns_and_take_effect(spark, small):
     before = {r["doc_id"]: r for r in docs.collect()}
     assert all(r == before[i] for i, r in clean.items() if i not in (903,) and not spans_of(before[i]["text"]))
     assert 902 not in {r["doc_id"] for r in stages["near_duplicates"](spark, docs, SMALL).collect()}
+
+
+def test_stages_take_clashing_columns_and_empty_tables(spark, small, tmp_path):
+    names = ["score", "fit", "lang_pred", "held_out", "__kept_id", "__id", "__h", "__cuts", "cuts", "kept", "node",
+             "name", "row", "c0", "c1", "id", "h", "hashes", "n_tokens", "ids_sha256"]
+    docs = small.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    for folder, rows in (("full", docs.limit(40)), ("empty", docs.limit(0))):
+        rows.write.parquet(str(tmp_path / folder / "documents.parquet"))
+        spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(str(tmp_path / folder / "benchmark.parquet"))
+        sf_dir = str(tmp_path / folder)
+        docs_in = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in pipeline.STAGES[:-1]:
+            out = stage(spark, docs_in, sf_dir)
+            assert out.columns == docs.columns, name
+            assert {r["score"] for r in out.select("score").collect()} <= {"own score"}
+        got = pipeline.run(spark, sf_dir).collect()
+        assert (len(got) > 0) == (folder == "full")
+
+
+def test_run_on_repeated_ids(spark, small, tmp_path):
+    rows = small.limit(12)
+    again = rows.withColumn("text", F.concat(F.lit("an other beginning of quite some other words "), F.reverse("text")))
+    rows.unionByName(rows).unionByName(again).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SMALL}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = dict(pipeline.STAGES)["near_duplicates"](spark, docs, str(tmp_path))
+    texts = [r["text"] for r in kept.collect()]
+    assert len(texts) == len(set(texts)) >= 12
+    assert pipeline.run(spark, str(tmp_path)).count() <= len(texts)

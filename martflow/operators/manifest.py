@@ -49,6 +49,15 @@ def settled(log: DataFrame, **kw) -> DataFrame:
     return latest(log, **kw).where(F.col("status").isin(STATUS_INACTIVE, STATUS_QUARANTINED))
 
 
+def committed(log: DataFrame, runs: DataFrame) -> DataFrame:
+    """The events that hold: pick-ups, and final states of committed runs. A
+    run that died before its commit settled nothing, whatever it wrote."""
+    done = runs.select(F.col("run_id").alias("__run")).distinct()
+    final = log.where(F.col("status") != STATUS_ACTIVE)
+    return (log.where(F.col("status") == STATUS_ACTIVE)
+            .unionByName(final.join(done, final["run_id"] == done["__run"], "left_semi")))
+
+
 def pending(candidates: DataFrame, log: DataFrame, key: str = "file_name",
             log_key: str = "file_name", **kw) -> DataFrame:
     """Candidate files not yet settled: a rerun of the same drop selects nothing."""

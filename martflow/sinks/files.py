@@ -2,10 +2,11 @@
 
 Layouts:
 
-* every output of a run lives under ``<root>/run_id=<id>/`` and the run is
-  recorded in ``<root>/_runs`` (an append-only Parquet log) only after all
-  its files are committed; ``latest_run`` reads the newest *recorded* run, so
-  a run that died half way is never read;
+* every output of a run lives under ``<root>/run_id=<id>/``. An output of its
+  own (``publish_run``) is recorded in ``<root>/_runs`` only after all its files
+  are committed; the outputs of a store (see ``commits``) become visible
+  together by the store's one record a run. ``latest_run`` and ``all_runs``
+  read recorded runs only, so a run that died half way is never read;
 * partitioned writes go through AQE's ``rebalance`` so each partition folder
   gets a few well-sized files, and a hot partition is split across tasks
   instead of landing in one writer;
@@ -21,6 +22,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.sinks import commits
+
 RUNS = "_runs"
 
 
@@ -87,15 +90,25 @@ def commit_run(spark: SparkSession, root: str, run_id: str) -> None:
      .write.mode("append").parquet(f"{root.rstrip('/')}/{RUNS}"))
 
 
+def _store_of(root: str) -> tuple[str, str]:
+    """The store that an output at root would belong to, and its name there."""
+    store, _, output = root.rstrip("/").rpartition("/")
+    return store, output
+
+
 def committed_runs(spark: SparkSession, root: str) -> DataFrame:
-    """run_id, committed_at of every commit, empty before the first."""
+    """run_id, committed_at of every commit of root's own, or of its store with
+    a version of root; empty before the first."""
     schema = "run_id string, committed_at timestamp"
     try:
-        return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{RUNS}")
+        own = spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{RUNS}")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        own = spark.createDataFrame([], schema)
+    store, output = _store_of(root)
+    named = commits.log(spark, store).where((F.col("output") == output) & (F.col("version") == F.col("run_id")))
+    return own.unionByName(named.select("run_id", "committed_at").distinct())
 
 
 def is_committed(spark: SparkSession, root: str, run_id: str) -> bool:
@@ -111,24 +124,20 @@ def _read_run(spark: SparkSession, root: str, run_id: str) -> DataFrame:
 
 
 def latest_run(spark: SparkSession, root: str) -> DataFrame:
-    """The rows of the run committed last (partition-pruned to that run)."""
+    """The rows of root as of the run committed last: those folders alone."""
+    store, output = _store_of(root)
+    newest = commits.last(spark, store)
+    if newest is not None:
+        named = commits.parts(spark, store, newest, output)
+        if not named:
+            raise ValueError(f"no rows under {root} as of run {newest}")
+        return commits.read_parts(spark, store, named)
     last = _last(committed_runs(spark, root))
     if last is None:
         raise ValueError(f"no committed run under {root}")
     return _read_run(spark, root, last)
 
 
-def run_before(spark: SparkSession, root: str, run_id: str) -> DataFrame | None:
-    """The rows of the run committed before ``run_id`` (the last one if that
-    is not committed); None if there is none. A replay reads what the first
-    attempt read."""
-    runs = committed_runs(spark, root)
-    own = runs.where(F.col("run_id") == run_id).agg(F.min("committed_at")).first()[0]
-    others = runs.where(F.col("run_id") != run_id)
-    last = _last(others if own is None else others.where(F.col("committed_at") < F.lit(own)))
-    return None if last is None else _read_run(spark, root, last)
-
-
 def all_runs(spark: SparkSession, root: str) -> DataFrame:
     """The rows of every committed run of ``root``, each run once."""
     ids = sorted({r["run_id"] for r in committed_runs(spark, root).select("run_id").distinct()

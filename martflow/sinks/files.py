@@ -22,11 +22,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martflow.session import work_dir
 from martflow.sinks import commits
 
 RUNS = "_runs"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows of df, written to the shared work folder and read back: a
+    lineage cut that survives lost executors."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
@@ -55,12 +64,14 @@ def append_bucketed(spark: SparkSession, df: DataFrame, table: str, path: str, b
                     by: str, run_id: str) -> None:
     """The rows as partition ``run_id`` of one bucketed table for all runs; a
     replay of the run replaces its partition."""
-    rows = df.withColumn("run_id", F.lit(run_id))
     if not spark.catalog.tableExists(table):
-        (rows.limit(0).write.partitionBy("run_id").bucketBy(buckets, by).sortBy(by)
-         .option("path", path).saveAsTable(table))
-    (rows.hint("rebalance", by).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+        (df.withColumn("run_id", F.lit(run_id)).limit(0).write.partitionBy("run_id")
+         .bucketBy(buckets, by).sortBy(by).option("path", path).saveAsTable(table))
+    # one named partition is overwritten, so those of other runs stay
+    columns = ", ".join(f"`{c}`" for c in df.columns)
+    literal = run_id.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = '{literal}') "
+              f"SELECT {columns} FROM {{rows}}", rows=df.hint("rebalance", by))
 
 
 def new_run_id(at: _dt.datetime | None = None) -> str:

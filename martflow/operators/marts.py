@@ -101,6 +101,16 @@ def top_sellers(totals: DataFrame, group: list[str], value: str = "total_sales")
     return with_leader(totals, group, value).where(is_leader(value)).drop("leader_total")
 
 
+def top_k(totals: DataFrame, group: list[str], k: int, value: str = "total_sales", out: str = "rnk") -> DataFrame:
+    """The rows of rank() <= k in their group, with their rank: ties at the
+    k-th value all stay, null values come last. A filter on the rank lets every
+    task keep only its own rows up to rank k before the shuffle, so a hot group
+    sends k rows (and ties) a task."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    return rank_window(totals, group, value, out).where(F.col(out) <= k)
+
+
 def rank_window(totals: DataFrame, group: list[str], value: str = "total_sales",
                 out: str = "rnk") -> DataFrame:
     """rank() over (group ORDER BY value DESC NULLS LAST), the plain window."""
@@ -114,6 +124,12 @@ def rank_within(totals: DataFrame, group: list[str], value: str = "total_sales",
     return ranking.rank_within(totals, group, value, out)
 
 
+def rank_spread(totals: DataFrame, group: list[str], value: str = "total_sales",
+                out: str = "rnk") -> DataFrame:
+    """The same rank over range partitions, for hot groups (see ``ranking``)."""
+    return ranking.rank_spread(totals, group, value, out)
+
+
 # --------------------------------------------------------------------------
 # The marts, over a contract fact and contract dimensions.
 # --------------------------------------------------------------------------

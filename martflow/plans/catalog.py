@@ -16,6 +16,7 @@ from martflow.contracts import SALES_FACT, STORE
 from martflow.functions import columns as fn
 from martflow.operators import conform as C
 from martflow.operators import enrich as E
+from martflow.operators import hierarchy as H
 from martflow.operators import manifest as MF
 from martflow.operators import marts as M
 from martflow.operators import validate as V
@@ -131,7 +132,16 @@ def sales_month_total_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def seller_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = M.sales_totals_hl(*_hl(spark, sf_dir))
-    out = M.rank_within(totals, ["store_id", "sales_month"])
+    out = M.rank_spread(totals, ["store_id", "sales_month"])
+    return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"),
+                      F.col("rnk").cast("long").alias("rnk"))
+
+
+@query
+def top_k_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best sellers of each store and month, ties included."""
+    totals = M.sales_totals_hl(*_hl(spark, sf_dir))
+    out = M.top_k(totals, ["store_id", "sales_month"], k=3)
     return out.select("store_id", "sales_person_id", "sales_month", _dbl("total_sales"),
                       F.col("rnk").cast("long").alias("rnk"))
 
@@ -227,6 +237,16 @@ def manager_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("manager_id", _dbl("team_total"), "members")
 
 
+@query
+def manager_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales rolled up to every manager above a seller, at all levels. The test
+    team has one level, so here seller n reports to seller n div 3."""
+    t = Tables.open(spark, sf_dir)
+    team = tb.sales_team_dim(t).select("id", F.expr("id div 3").alias("manager_id"))
+    totals = M.period_total(tb.sales_items(t), ["sales_person_id"])
+    return H.rollup(totals, team).select("manager_id", _dbl("team_total"), "members", "levels")
+
+
 @query
 def dim_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The store dimension written and read back by its contract: columns by

@@ -123,6 +123,13 @@ from stot
 qualify rank() over (partition by store_id, sales_month order by total_sales desc nulls last) = 1
 """
 
+ORACLE["top_k_sellers"] = _with(_LINES, _DIMS, _ENRICHED, _TOTALS_S) + """
+select store_id, sales_person_id, sales_month, cast(total_sales as double) as total_sales,
+       cast(rank() over (partition by store_id, sales_month order by total_sales desc nulls last)
+            as bigint) as rnk
+from stot qualify rnk <= 3
+"""
+
 _FACT_COLS = """l.order_id, l.line_number, l.customer_id, l.store_id, l.sales_person_id,
        cast(l.sales_date as varchar) as sales_date, cast(l.total_cost as double) as total_cost"""
 
@@ -185,6 +192,20 @@ from lines l join team t on l.sales_person_id = t.id
 group by t.manager_id
 """
 
+ORACLE["manager_hierarchy"] = """
+with recursive up(member, ancestor, level) as (
+  select s_suppkey, s_suppkey // 3, 1 from supplier where s_suppkey // 3 <> s_suppkey
+  union all
+  select member, ancestor // 3, level + 1 from up where ancestor // 3 <> ancestor
+),
+own as (
+  select l_suppkey as member, sum(cast(l_extendedprice as decimal(18,2))) as amount from lineitem group by 1
+)
+select ancestor as manager_id, cast(sum(amount) as double) as team_total, count(*) as members,
+       cast(max(level) as bigint) as levels
+from up join own using (member) where ancestor in (select s_suppkey from supplier) group by ancestor
+"""
+
 ORACLE["dim_store"] = """
 select cast(n_nationkey as bigint) as id, n_name as address, cast(n_regionkey as varchar) as store_pincode,
        r_name as store_manager_name, cast(null as varchar) as store_opening_date,

@@ -196,13 +196,14 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
                                               F.col("path").alias("file_location"))
         result = {"run_id": run_id, "files": valid.count(), "rejected": rejected.count()}
         parent = CM.last(spark, layout.root)
+        carried = [p for p in CM.parts(spark, layout.root, parent) if p.output in layout.by_month]
         named = [CM.Part("manifest", None, run_id)]
         if result["files"]:
             steps.run("picked", lambda: MF.record(spark, layout.manifest, valid, STATUS_ACTIVE, run_id))
-            named += _load(spark, checked, dims, layout, steps, parent, buckets)
+            named += _load(spark, checked, dims, layout, steps, parent, carried, buckets)
             steps.run("settled", lambda: MF.record(spark, layout.manifest, valid, STATUS_INACTIVE, run_id))
         else:
-            named += [p for p in CM.parts(spark, layout.root, parent) if p.output in layout.by_month]
+            named += carried
         steps.run("rejected", lambda: MF.record(spark, layout.manifest, rejected, STATUS_QUARANTINED, run_id))
         CM.commit(spark, layout.root, run_id, named)
     if jdbc is not None:
@@ -211,7 +212,7 @@ def run_files(spark: SparkSession, files: DataFrame, dims: Dimensions, layout: L
 
 
 def _load(spark: SparkSession, checked: DataFrame, dims: Dimensions, layout: Layout, steps: CM.Steps,
-          parent: str | None, buckets: int) -> list[CM.Part]:
+          parent: str | None, carried: list[CM.Part], buckets: int) -> list[CM.Part]:
     """Write the run's outputs; what its record is to name."""
     run_id = steps.run_id
     # parse every CSV once: typed rows are staged by is_bad, then good and bad
@@ -244,16 +245,16 @@ def _load(spark: SparkSession, checked: DataFrame, dims: Dimensions, layout: Lay
 
     named += _months(spark, M.customer_month_totals(enriched), ["customer_id"], "sales_date_month",
                      layout.own_customer_totals, layout.customer_totals, layout.customer_mart,
-                     lambda totals: M.customer_mart_from(totals, dims.customer), layout, steps, parent)
+                     lambda totals: M.customer_mart_from(totals, dims.customer), layout, steps, parent, carried)
     named += _months(spark, M.sales_month_totals(enriched), ["store_id", "sales_person_id"], "sales_month",
                      layout.own_sales_totals, layout.sales_totals, layout.sales_mart,
-                     lambda totals: M.sales_mart_from(totals, dims.team), layout, steps, parent)
+                     lambda totals: M.sales_mart_from(totals, dims.team), layout, steps, parent, carried)
     return named
 
 
 def _months(spark: SparkSession, totals: DataFrame, keys: list[str], month: str, own_root: str,
             totals_root: str, mart_root: str, mart, layout: Layout, steps: CM.Steps,
-            parent: str | None) -> list[CM.Part]:
+            parent: str | None, carried: list[CM.Part]) -> list[CM.Part]:
     """The totals and the mart of the months that the run touches: its own
     totals added to those of the run before. The other months are carried."""
     run_id, store = steps.run_id, layout.root
@@ -264,7 +265,7 @@ def _months(spark: SparkSession, totals: DataFrame, keys: list[str], month: str,
     folders = {f"{month}={HIVE_NULL if m is None else m}" for m in touched}
 
     name = layout.name(totals_root)
-    before = [p for p in CM.parts(spark, store, parent, name) if p.part in folders]
+    before = [p for p in carried if p.output == name and p.part in folders]
     if before:
         was = CM.read_parts(spark, store, before).select(own.columns)
         merged = M.period_total(own.unionByName(was), [*keys, month], amount="total_sales")
@@ -281,7 +282,7 @@ def _months(spark: SparkSession, totals: DataFrame, keys: list[str], month: str,
     out = []
     for root in (totals_root, mart_root):
         name = layout.name(root)
-        out += [p for p in CM.parts(spark, store, parent, name) if p.part not in folders]
+        out += [p for p in carried if p.output == name and p.part not in folders]
         written = folders if root == totals_root else _written(spark, SK.run_path(root, run_id), month, folders)
         out += [CM.Part(name, f, run_id) for f in sorted(written)]
     return out

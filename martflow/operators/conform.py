@@ -1,54 +1,66 @@
 """Conform validated drops to the canonical sales fact.
 
-For each distinct header (a handful per drop, collected as a bounded control
-value) all files with that header are read in one CSV read; contract columns
-are selected by name, the extra columns are folded into ``additional_column``
-(names sorted, NULLs skipped; NULL when the file has no extras), and the
-variants are unioned by name. Values stay text until ``validate.typed``
-casts them, so a bad value marks its row instead of changing a column's type.
+One scan reads the lines of all valid files, however many different headers
+they have. A small table says for each file where its header has each contract
+column and where the others, by name; joined to the lines by path (Spark
+broadcasts it if it is under its size limit, else a hot file's lines are split
+by AQE), it puts every line's fields into the contract's order. Extra columns
+are folded into ``additional_column`` (names sorted, NULLs skipped; NULL when
+the file has no extras). The plan has one size for any number of headers.
+Values stay text until ``validate.typed`` casts them, so a bad value marks its
+row instead of changing a column's type.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.contracts import EXTRA_COLUMN, MANDATORY_COLUMNS
-from martflow.functions.columns import fold_values
+from martflow.contracts import EXTRA_COLUMN, EXTRA_SEPARATOR, MANDATORY_COLUMNS
 from martflow.operators.validate import typed
-from martflow.sources.files import CORRUPT, read_variant
-
-
-def _variants(checked: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """header -> files, for the valid files: the planning input of the reads
-    (Spark's file index of those reads holds the same paths)."""
-    out: dict[tuple[str, ...], list[str]] = {}
-    for r in checked.where("valid").select("norm_columns", "path").toLocalIterator():
-        out.setdefault(tuple(r["norm_columns"]), []).append(r["path"])
-    return out
+from martflow.sources.files import CORRUPT, read_lines, split_fields
+
+
+def _places(spark: SparkSession, checked: DataFrame, contract: list[str]
+            ) -> tuple[list[str], int, DataFrame]:
+    """(valid files, most columns of one, the table of places): per file its
+    width, the position of each contract column, and of the extra columns by
+    name (null if none). The driver holds the files' paths, as Spark's own
+    file index of the scan does."""
+    paths, widths, at, extras = [], [], [], []
+    for r in checked.where("valid").select("path", "norm_columns").toLocalIterator():
+        place = {name: i for i, name in enumerate(r["norm_columns"])}
+        paths.append(r["path"])
+        widths.append(len(place))
+        at.append([place[c] for c in contract])
+        extras.append([place[c] for c in sorted(place.keys() - set(contract))] or None)
+    table = pa.table({"source_file": pa.array(paths, pa.string()), "width": pa.array(widths, pa.int32()),
+                      "at": pa.array(at, pa.list_(pa.int32())),
+                      "extras": pa.array(extras, pa.list_(pa.int32()))})
+    # from Arrow, so that Spark knows the table's size
+    return paths, max(widths, default=0), spark.createDataFrame(table)
 
 
 def conform_text(spark: SparkSession, checked: DataFrame,
                  contract: list[str] = MANDATORY_COLUMNS) -> DataFrame | None:
-    """Union (by name) of every valid file: contract columns as text,
-    additional_column, source_file, drop, and the parse-error column.
+    """The lines of every valid file: contract columns as text,
+    additional_column, source_file, drop, and the parse-error column (the line,
+    if it has more or fewer fields than its header or an open quote).
 
     Columns are bound by their position in the header, so an extra column may
-    have any name."""
-    parts = []
-    for columns, paths in sorted(_variants(checked).items()):
-        at = {name: F.col(f"c{i}") for i, name in enumerate(columns)}
-        extras = fold_values([at[name] for name in sorted(set(columns) - set(contract))])
-        df = read_variant(spark, sorted(paths), len(columns))
-        parts.append(df.select(*[at[c].alias(c) for c in contract], extras.alias(EXTRA_COLUMN),
-                               CORRUPT, "source_file",
-                               F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1).alias("drop")))
-    if not parts:
+    have any name. A line of a file that is not in the table of places (it
+    cannot be, unless a path is spelt in two ways) ends the job."""
+    paths, widest, places = _places(spark, checked, contract)
+    if not paths:
         return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    lines = read_lines(spark, sorted(paths)).join(places, "source_file", "left")
+    width = F.coalesce("width", F.raise_error(F.concat(F.lit("no header known of "), "source_file")).cast("int"))
+    rows = split_fields(lines.withColumn("width", width), widest)
+    folded = F.array_join(F.transform("extras", lambda i: F.get("fields", i)), EXTRA_SEPARATOR)
+    return rows.select(*[F.get("fields", F.get("at", F.lit(i))).alias(c) for i, c in enumerate(contract)],
+                       folded.alias(EXTRA_COLUMN), CORRUPT, "source_file",
+                       F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1).alias("drop"))
 
 
 def conform_typed(spark: SparkSession, checked: DataFrame,

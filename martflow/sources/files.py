@@ -7,9 +7,8 @@
   (``mapInPandas`` over the listing, a bounded number of bytes per file). A
   ``spark.read.text`` of the drop would scan every byte to keep one line. The
   files are opened with pyarrow, so its credentials must reach the store.
-* ``read_variant``: one CSV read per distinct header, as text columns numbered
-  by position, so a header may hold any name and files may order their columns
-  differently (a multi-file CSV read applies one file's header to every file).
+* ``read_lines``: the data lines of any number of files as text in one scan,
+  whatever their headers; ``split_fields`` cuts a line into its fields.
 
 A file is known by its listed path; ``plain_path`` brings the encoded path of
 ``_metadata`` into that form, ``literal_path`` quotes a path's glob characters.
@@ -131,13 +130,37 @@ def normalized(columns: F.Column) -> F.Column:
     return F.transform(columns, lambda c: F.lower(F.trim(c)))
 
 
-def read_variant(spark: SparkSession, paths: list[str], n_columns: int) -> DataFrame:
-    """All files sharing one header, read as text columns c0, c1, ... in that
-    header's order, plus any unparseable line and the path (source_file)."""
-    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(n_columns)]
-    schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Every line of the files but their headers and blank lines: line, and
+    the path (source_file). One scan: the reader splits large files and packs
+    small ones. A separator that no text has leaves a line whole (a line that
+    does hold it comes from the corrupt column)."""
+    schema = T.StructType([T.StructField("line", T.StringType()), T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(schema)
             .option("header", "true").option("enforceSchema", "true")
+            .option("sep", "\u0001").option("quote", "")
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .csv([literal_path(p) for p in paths])
-            .withColumn("source_file", plain_path(F.col("_metadata.file_path"))))
+            .select(F.coalesce(CORRUPT, "line").alias("line"),
+                    plain_path(F.col("_metadata.file_path")).alias("source_file")))
+
+
+END = "\u0002end"  # put behind a line as one more field: where it is found, the line ends
+
+
+def split_fields(lines: DataFrame, widest: int) -> DataFrame:
+    """Adds ``fields`` (array, ``widest`` of them at least; null where the line
+    has none) and ``CORRUPT``: the line if it has not exactly ``width`` fields
+    or a quote that does not close, else null. Takes line and width.
+
+    The line is cut and its fields are put in an array by generators, since
+    the optimizer would repeat either for every column that is taken from it."""
+    n = widest + 2
+    cut = F.from_csv(F.concat("line", F.lit("," + END)), ", ".join(f"f{i} string" for i in range(n)),
+                     {"mode": "PERMISSIVE", "maxColumns": str(max(20480, n))})
+    rows = (lines.select("*", F.inline(F.array(cut)))
+            .select(*lines.columns, F.explode(F.array(F.array(*[f"f{i}" for i in range(n)]))).alias("cut")))
+    whole = F.coalesce((F.get("cut", "width") == END) & F.get("cut", F.col("width") + 1).isNull(), F.lit(False))
+    clean = F.transform("cut", lambda f: F.when(f != END, F.replace(f, F.lit("," + END))))
+    return rows.select(*lines.columns, F.when(~whole, F.col("line")).alias(CORRUPT),
+                       F.when(whole, F.col("cut")).otherwise(clean).alias("fields"))

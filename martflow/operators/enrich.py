@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,22 +64,35 @@ def orphans(fact: DataFrame, spec: DimSpec) -> DataFrame:
 def orphan_report(fact: DataFrame, specs: list[DimSpec]) -> DataFrame:
     """Per dimension: how many fact rows an inner join with it would drop.
 
-    One pass over the fact: it is counted per distinct combination of the join
-    keys (partial aggregation first), each dimension's distinct keys mark the
-    combinations they match, and one aggregate adds up what is unmarked. NULL
-    keys never match, so they count as orphans.
+    One pass over the fact makes a (key column, key) row of each of its join
+    keys, the dimensions add the keys they know, each as a bit, and one grouping
+    by (key column, key) meets both: what is shuffled has the size of the
+    distinct keys, a hot key is one row of a task, and the fact is never
+    joined. NULL keys never match, so they count as orphans.
     """
     keys = list(dict.fromkeys(s.fact_key for s in specs))
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    for i, s in enumerate(specs):
-        known = s.df.select(F.col(s.dim_key).alias(f"__k{i}")).distinct()
-        counts = counts.join(known, counts[s.fact_key] == known[f"__k{i}"], "left")
-    lost = [F.sum(F.when(F.col(f"__k{i}").isNull(), F.col("__n")).otherwise(0)).alias(f"__lost{i}")
-            for i in range(len(specs))]
-    rows = [F.struct(F.lit(s.name).alias("dimension"),
-                     F.coalesce(f"__lost{i}", F.lit(0)).cast("bigint").alias("orphan_rows"))
-            for i, s in enumerate(specs)]
-    return counts.agg(*lost).select(F.inline(F.array(*rows)))
+
+    def row(which: int, key: Column, n: int, known: int) -> Column:
+        typed = [(key if i == which else F.lit(None)).cast(fact.schema[k].dataType).alias(f"k{i}")
+                 for i, k in enumerate(keys)]
+        return F.struct(F.lit(which).alias("which"), *typed, F.lit(n).cast("bigint").alias("n"),
+                        F.lit(known).cast("bigint").alias("known"))
+
+    rows = fact.select(F.inline(F.array(*[row(i, F.col(k), 1, 0) for i, k in enumerate(keys)])))
+    for bit, s in enumerate(specs):
+        which = keys.index(s.fact_key)
+        same = F.col(s.dim_key).try_cast(fact.schema[s.fact_key].dataType)
+        known = s.df.where(same == F.col(s.dim_key)).select(row(which, same, 0, 1 << bit).alias("r"))
+        rows = rows.unionByName(known.select("r.*"))
+    met = rows.groupBy("which", *[f"k{i}" for i in range(len(keys))]).agg(
+        F.sum("n").alias("n"), F.bit_or("known").alias("known"))
+    lost = [F.sum(F.when((F.col("which") == keys.index(s.fact_key))
+                         & (F.col("known").bitwiseAND(1 << bit) == 0), F.col("n"))).alias(f"lost{bit}")
+            for bit, s in enumerate(specs)]
+    out = [F.struct(F.lit(s.name).alias("dimension"),
+                    F.coalesce(f"lost{bit}", F.lit(0)).cast("bigint").alias("orphan_rows"))
+           for bit, s in enumerate(specs)]
+    return met.agg(*lost).select(F.inline(F.array(*out)))
 
 
 def dim_key_uniqueness(dim: DataFrame, key: str) -> DataFrame:

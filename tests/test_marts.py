@@ -237,6 +237,24 @@ def test_orphan_report_counts_null_and_unmatched_keys(spark):
     assert out == {"customer": 3, "store": 1, "team": 1}
 
 
+def test_orphan_report_of_other_key_types_names_and_sizes(spark):
+    """Keys of other types meet as in a join; a dimension's NULL, repeated and
+    uncastable keys change nothing; an empty fact has no orphans."""
+    from martflow.operators.enrich import DimSpec, orphan_report
+    f = spark.createDataFrame([(1, "a", None), (2, "b", 1), (2, None, 2), (None, "a", 2)], "n int, known string, k0 long")
+    d = spark.createDataFrame([("1", 2.0), ("x", 1.5), (None, None), ("1", 2.0)], "which string, half double")
+    e = spark.createDataFrame([("a",), (None,)], "k string")
+    specs = [DimSpec("text", d, "n", "which"), DimSpec("double", d, "n", "half"),
+             DimSpec("names", e, "known", "k"), DimSpec("long", d, "k0", "half"),
+             DimSpec("none", e.limit(0), "known", "k")]
+    got = {r["dimension"]: r["orphan_rows"] for r in orphan_report(f, specs).collect()}
+    want = {s.name: f.count() - f.join(s.df.select(s.dim_key).distinct(), f[s.fact_key].eqNullSafe(F.col(s.dim_key).try_cast(
+        f.schema[s.fact_key].dataType)) & (f[s.fact_key].cast("double" if s.dim_key == "half" else "string")
+                                           == F.col(s.dim_key)), "left_semi").count() for s in specs}
+    assert got == want == {"text": 3, "double": 2, "names": 2, "long": 2, "none": 4}
+    assert {r["orphan_rows"] for r in orphan_report(f.limit(0), specs).collect()} == {0}
+
+
 def test_header_line_nulls_match_original_form(spark):
     c, s, t = dims(spark)
     t = t.withColumn("store_id", F.when(F.col("id") == 3, 122).otherwise(121).cast("long"))

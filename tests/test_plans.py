@@ -72,6 +72,13 @@ def test_orphan_report_reads_the_fact_once(spark):
     assert len(re.findall(r"FileScan parquet [^\n]*l_orderkey", p.split("== Initial Plan ==")[0])) == 1
 
 
+def test_orphan_report_groups_keys_and_joins_nothing(spark):
+    from martflow.operators.enrich import DimSpec, orphan_report
+    fact = spark.range(9).selectExpr("id as a", "id as b")
+    p = plan(orphan_report(fact, [DimSpec(c, spark.range(5), c, "id") for c in "ab"])).split("== Initial Plan ==")[0]
+    assert "Join" not in p and p.count("Exchange") == 2 and "partial_bit_or" in p
+
+
 def test_line_sized_shuffles_at_scale(spark):
     """With no table broadcast (as at 100 TB), the flagship, the customer mart
     and the roll-up move the lines once; the detail enrichment twice."""

@@ -62,12 +62,10 @@ def test_nothing_learned(spark, edge, nothing):
     assert {(r["lang_pred"], r["score"]) for r in langid.identify(unlabelled).collect()} == {("und", 0.0)}
 
 
-def brute_scores(texts, least, share):
+def brute_scores(texts, least):
     docs = [(t or "").encode().lower().split() for t in texts]
-    n = Counter(w for d in docs for w in d)
-    total = sum(n.values())
-    docs = [[w if n[w] >= share * total else None for w in d] for d in docs]
     one = Counter(w for d in docs for w in d)
+    total = sum(one.values())
     two = Counter(p for d in docs for p in zip(d, d[1:], strict=False))
     out = []
     for d in docs:
@@ -78,14 +76,14 @@ def brute_scores(texts, least, share):
     return out
 
 
-@pytest.mark.parametrize("share,hot,bucket", [(1e-6, 1e-4, 1 << 21), (1e-3, 1e-2, 50), (0.5, 0.5, 7)])
-def test_scores_equal_brute_force(spark, monkeypatch, share, hot, bucket):
+@pytest.mark.parametrize("least,bucket", [(1, 1 << 21), (2, 50), (3, 7)])
+def test_scores_equal_brute_force(spark, monkeypatch, least, bucket):
     monkeypatch.setattr(lm, "BLOCK_WORDS", 64)
     texts = [t for _, t in EDGE_TEXTS[:14]] + ["a b a b a c", "a b", "b a c", "a a a a"] * 5
     docs = table(spark, list(enumerate(texts))).repartition(3)
     got = {r["doc_id"]: (r["n_words"], round(r["log_score"], 5))
-           for r in lm.scores(docs, share=share, hot_share=hot, bucket=bucket).collect()}
-    want = dict(enumerate(brute_scores(texts, 2, share)))
+           for r in lm.scores(docs, least=least, bucket=bucket).collect()}
+    want = dict(enumerate(brute_scores(texts, least)))
     assert {i: n for i, (n, _) in got.items()} == {i: n for i, (n, _) in want.items()}
     assert all(abs(got[i][1] - want[i][1]) < 2e-5 for i in want)
 
@@ -102,7 +100,7 @@ def test_rare_words_keep_their_own_counts(spark):
     texts = [" ".join(["a b"] * 260_000)] * 2 + ["rare1 rare2", "rare3 rare4", "rare5 rare6 a"]
     docs = table(spark, list(enumerate(texts))).repartition(3)
     got = {r["doc_id"]: r["log_score"] for r in lm.scores(docs).collect()}
-    want = [s for _, s in brute_scores(texts, 2, 0)]
+    want = [s for _, s in brute_scores(texts, 1)]
     assert all(abs(got[i] - s) < 1e-4 for i, s in enumerate(want))
 
 

@@ -1,5 +1,7 @@
 """Language identification and language-model scores."""
 import math
+import unicodedata
+import zlib
 from collections import Counter
 
 import pytest
@@ -124,3 +126,50 @@ def test_every_order_backs_off_step_by_step(spark, order, least):
     got = {r["doc_id"]: r["log_score"] for r in lm.scores(docs, order=order, least=least, bucket=500).collect()}
     want = brute_backoff(texts, order, least)
     assert len(got) == len(want) and all(abs(got[i] - s) < 1e-4 for i, s in enumerate(want))
+
+
+def plain_bayes(rows, buckets, orders=langid.ORDERS, alpha=langid.ALPHA):
+    """Naive Bayes in plain Python: (doc_id, text, lang) -> (language, posterior)."""
+    two64 = (1 << 64) - 1
+
+    def cells(text):
+        chars = " " + "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text.lower()) + "  "
+        for i in range(len(chars) - 2):
+            code = 0
+            for n in range(1, max(orders) + 1):
+                code = (code * 0x9E3779B97F4A7C15 + ord(chars[i + n - 1]) + n) & two64
+                if n in orders and (chars[i] != " " or (n > 1 and chars[i + 1] != " ")):
+                    yield ((((code ^ (code >> 29)) * 0xBF58476D1CE4E5B9) & two64) >> 40) % buckets
+
+    bags = {i: Counter(cells(text or "")) for i, text, _ in rows}
+    learned = [(i, lang) for i, _, lang in rows if lang is not None and zlib.crc32(str(i).encode()) % 5]
+    priors, counts = Counter(lang for _, lang in learned), {lang: Counter() for _, lang in learned}
+    for i, lang in learned:
+        counts[lang].update(bags[i])
+    size = {lang: sum(c.values()) + alpha * buckets for lang, c in counts.items()}
+    out = {}
+    for i, bag in bags.items():
+        s = {lang: math.log(priors[lang] / len(learned))
+             + sum(n * math.log((counts[lang][c] + alpha) / size[lang]) for c, n in bag.items()) for lang in counts}
+        best = max(sorted(s), key=s.get)
+        out[i] = (best, 1 / sum(math.exp(v - s[best]) for v in s.values())) if bag else ("und", 0.0)
+    return out
+
+
+def test_language_equals_plain_naive_bayes(spark, small):
+    """Language, posterior and fold of every row, long, odd and mixed texts included."""
+    rows = [tuple(r) for r in small.select("doc_id", "text", "lang").orderBy("doc_id").limit(60).collect()]
+    first = max(r[0] for r in rows) + 1
+    langs = [r[2] for r in rows if r[2]]
+    rows += [(first + n, t, langs[n % len(langs)] if n % 3 else None) for n, (_, t) in enumerate(EDGE_TEXTS)
+             if t is None or len(t) < 20_000]
+    rows += [(first + 1000 + n, f"{a[:30]} {b[:30]}", None) for n, ((_, a, _), (_, b, _)) in
+             enumerate(zip(rows[:20], rows[20:40], strict=True)) if a and b]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    want = plain_bayes(rows, langid.BUCKETS)
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i]["lang_pred"] == lang, i
+        assert abs(got[i]["score"] - score) < 1e-6, i
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0), i

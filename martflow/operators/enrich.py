@@ -95,6 +95,51 @@ def orphan_report(fact: DataFrame, specs: list[DimSpec]) -> DataFrame:
     return met.agg(*lost).select(F.inline(F.array(*out)))
 
 
+MISSING = "missing"
+
+
+def with_missing(fact: DataFrame, specs: list[DimSpec]) -> DataFrame:
+    """Every fact row once, with ``missing``: the names of the dimensions that
+    do not hold its key (a null key is held by none). The dimensions come with
+    their distinct keys, so a duplicated key multiplies nothing here."""
+    out, marks = fact, []
+    for i, spec in enumerate(specs):
+        mark = f"__has_{i}"
+        keys = (spec.df.where(F.col(spec.dim_key).isNotNull())
+                .select(F.col(spec.dim_key).alias(f"__k_{i}")).distinct().withColumn(mark, F.lit(True)))
+        out = out.join(keys, out[spec.fact_key] == keys[f"__k_{i}"], "left").drop(f"__k_{i}")
+        marks.append(F.when(F.col(mark).isNull(), F.lit(spec.name)))
+    columns = [F.col(c) for c in fact.columns if c != MISSING]
+    return out.select(*columns, F.array_compact(F.array(*marks)).alias(MISSING))
+
+
+def settled_rows(marked: DataFrame) -> DataFrame:
+    """The rows of ``with_missing`` that every dimension knows."""
+    return marked.where(F.size(MISSING) == 0).drop(MISSING)
+
+
+def parked_rows(marked: DataFrame) -> DataFrame:
+    """The others, with what they miss: an inner join would lose them. Kept,
+    they can be settled when a later version of a dimension holds the key."""
+    return marked.where(F.size(MISSING) > 0)
+
+
+def retry_parked(parked: DataFrame, specs: list[DimSpec]) -> DataFrame:
+    """Parked rows marked anew by later dimensions: only the dimensions that a
+    row missed are asked, and rows with a null key there are passed on as they
+    are. Dimensions that knew a row's key are taken to know it still."""
+    out = parked
+    for i, spec in enumerate(specs):
+        mark = f"__has_{i}"
+        keys = (spec.df.where(F.col(spec.dim_key).isNotNull())
+                .select(F.col(spec.dim_key).alias(f"__k_{i}")).distinct().withColumn(mark, F.lit(True)))
+        asked = F.array_contains(MISSING, spec.name) & (out[spec.fact_key] == keys[f"__k_{i}"])
+        out = out.join(keys, asked, "left").drop(f"__k_{i}")
+        out = out.withColumn(MISSING, F.when(F.col(mark), F.array_remove(MISSING, spec.name))
+                             .otherwise(F.col(MISSING))).drop(mark)
+    return out
+
+
 def dim_key_uniqueness(dim: DataFrame, key: str) -> DataFrame:
     """Keys present more than once (each would multiply matching facts)."""
     return (dim.groupBy(F.col(key).alias("key"))

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martflow.contracts import SALES_FACT, STORE
+from martflow.contracts import MANDATORY_COLUMNS, SALES_FACT, STORE
 from martflow.functions import columns as fn
 from martflow.operators import conform as C
 from martflow.operators import enrich as E
@@ -21,6 +21,7 @@ from martflow.operators import manifest as MF
 from martflow.operators import marts as M
 from martflow.operators import validate as V
 from martflow.plans import batch_job as BJ
+from martflow.plans import mirror as MI
 from martflow.session import work_dir
 from martflow.sinks import files as SK
 from martflow.sinks import jdbc as SJ
@@ -520,7 +521,8 @@ def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales mart appended to a JDBC table with its run id, read back in
-    parallel ranges of sales_person_id, filtered to the run (pushed down).
+    parallel ranges of sales_person_id with about equal rows, filtered to the
+    run (pushed down).
 
     Uses embedded Derby, which only this JVM sees: on a cluster point the
     URL at a shared database."""
@@ -531,10 +533,7 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = M.sales_mart_hl(*_hl(spark, sf_dir)).withColumn("run_id", F.lit("00000001"))
     SJ.write_jdbc(mart, url, "SALES_TEAM_DATA_MART", props)
     read_props = {"driver": props["driver"]}
-    lo, hi = SJ.table_key_bounds(spark, url, "SALES_TEAM_DATA_MART", '"sales_person_id"',
-                                 read_props)
-    back = SJ.read_jdbc(spark, url, "SALES_TEAM_DATA_MART", read_props,
-                        "sales_person_id", lo, hi + 1, 8)
+    back = SJ.read_jdbc_balanced(spark, url, "SALES_TEAM_DATA_MART", '"sales_person_id"', 8, read_props)
     back = back.toDF(*[c.lower() for c in back.columns]).where(F.col("run_id") == "00000001")
     return _sales_mart_out(back)
 
@@ -579,6 +578,53 @@ def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sales_mart_out(SK.latest_run(spark, layout.sales_mart))
 
 
+@query
+def corrected_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop folder mirrored in two versions. The first holds wrong amounts, a
+    folder that is withdrawn and one that stays; the second holds the amounts put
+    right, the folder that stayed with a copy of each of its files, and a new
+    folder. Returns the sales mart as of the second version."""
+    t = Tables.open(spark, sf_dir)
+    root, store = work_dir(spark, "versions"), work_dir(spark, "mirror")
+    rows = SK.staged(tb.sales_drop_rows(t), "version_rows")
+
+    def drop(version: str, folder: str, priority: str, factor: int = 1) -> None:
+        # rows go to files by their customer, so a second write has files of the same contents
+        picked = (rows.where(F.col("priority") == priority).withColumn("total_cost", F.col("total_cost") * factor)
+                  .select(*MANDATORY_COLUMNS).repartition(8, "customer_id"))
+        picked.write.option("header", "true").csv(f"{root}/{version}/{folder}")
+
+    drop("v1", "corrected", "3-MEDIUM", factor=2)
+    drop("v1", "withdrawn", "4-NOT SPECIFIED")
+    drop("both", "stays", "2-HIGH")
+    drop("v2", "corrected", "3-MEDIUM")
+    drop("v2", "copy", "2-HIGH")
+    drop("v2", "new", "5-LOW")
+    for version in ("v1", "v2"):
+        files = FS.list_files(spark, f"{root}/{version}").unionByName(FS.list_files(spark, f"{root}/both"))
+        MI.sync(spark, files, _dims(t), store, version)
+    return _sales_mart_out(MI.sales_mart(spark, store, _dims(t)))
+
+
+@query
+def late_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer mart over two versions of the dimensions. The first lacks a
+    market segment's customers and the managers among the sellers; lines that
+    miss a key are parked, and settled by the second version, which has all."""
+    _, fact, cust, store, team = _star(spark, sf_dir)
+    early = M.key_specs(cust.where(F.col("phone_number") != "BUILDING"), store,
+                        team.where(F.col("is_manager") == "N"))
+    late = M.key_specs(cust, store, team)
+    first = SK.staged(E.with_missing(fact, early), "marked")
+    known = M.customer_month_totals(E.star_join(E.settled_rows(first), early))
+    then = SK.staged(E.retry_parked(E.parked_rows(first), late), "retried")
+    caught_up = M.customer_month_totals(E.star_join(E.settled_rows(then), late))
+    totals = M.period_total(known.unionByName(caught_up), ["customer_id", "sales_date_month"], amount="total_sales")
+    out = M.customer_mart_from(totals, cust)
+    return out.select("customer_id", "full_name", "address", "phone_number",
+                      "sales_date_month", _dbl("total_sales"))
+
+
 # ------------------------------------------------------- generator
 
 @query

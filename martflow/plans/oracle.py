@@ -429,6 +429,12 @@ from granked r join team t on r.sales_person_id = t.id
 
 ORACLE["stream_ingest"] = ORACLE["batch_marts"]
 
+# the second version of the drop alone: each content once
+ORACLE["corrected_drop"] = ORACLE["batch_marts"].replace(_GOOD.strip(), """good as (
+  select * from droprows where "drop" in ('high', 'medium 50% [a] #1', 'low')
+)""")
+ORACLE["late_dimensions"] = ORACLE["customer_mart"]
+
 # ---------------------------------------------------------------- generator
 # The draws restated: MD5 of seed|draw|keys, four 32-bit numbers each.
 

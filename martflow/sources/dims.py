@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martflow.sinks.jdbc import read_jdbc, table_key_bounds
+from martflow.sinks.jdbc import read_jdbc, read_jdbc_balanced
 
 
 def conform_to(df: DataFrame, contract: T.StructType) -> DataFrame:
@@ -22,12 +22,12 @@ def read_dim(spark: SparkSession, uri: str, contract: T.StructType,
              jdbc_properties: dict | None = None, table: str | None = None,
              partition_column: str | None = None, num_partitions: int = 8) -> DataFrame:
     """A dimension at ``uri``: a Parquet folder, or a JDBC URL plus ``table``
-    (read in ranges of ``partition_column``, by several tasks, if one is named)."""
+    (read by several tasks in ranges of ``partition_column``
+    with about equal rows, if one is named)."""
     if uri.startswith("jdbc:"):
         properties = dict(jdbc_properties or {})
         if partition_column:
-            low, high = table_key_bounds(spark, uri, table, partition_column, properties)
-            df = read_jdbc(spark, uri, table, properties, partition_column, low, high + 1, num_partitions)
+            df = read_jdbc_balanced(spark, uri, table, partition_column, num_partitions, properties)
         else:
             df = read_jdbc(spark, uri, table, properties)
     else:

@@ -43,6 +43,7 @@ def test_partitioned_read_prunes_folders(spark):
 
 WRITES = {"stream_ingest", "batch_marts", "jdbc_roundtrip", "latest_run", "parquet_roundtrip",
           "bucketed_join", "partition_pruned_read", "dim_store",
+          "corrected_drop", "late_dimensions",
           "seller_rank", "manager_hierarchy"}  # the last two stage their ranges and rounds
 DROPS = {"file_listing", "header_inventory", "schema_check", "quarantine_split", "bad_rows",
          "fold_extra_columns", "conform_union", "csv_roundtrip_scan"}

@@ -164,8 +164,8 @@ def scores(docs: DataFrame, least: int = 1, bucket: int = BUCKET, order: int = 2
         doc = np.repeat(np.arange(len(lengths)), lengths)
         return pa.table([pa.array(own["ids"], type=arrow.field("ids").type.value_type),
                          pa.array(lengths),
-                         pa.array(np.bincount(doc, score, minlength=len(lengths))),
-                         pa.array(np.bincount(doc, backed, minlength=len(lengths)))],
+                         pa.array(_summed(doc, score, len(lengths))),
+                         pa.array(_summed(doc, backed, len(lengths)))],
                         names=[id_col, "n_words", "total", "backed"])
 
     out = stored(counted.groupBy("block").applyInArrow(
@@ -183,6 +183,11 @@ def _added(same: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.add.reduceat(n[order], np.flatnonzero(np.diff(same[order], prepend=-1)))
 
 
+def _summed(group: np.ndarray, values: np.ndarray, groups: int) -> np.ndarray:
+    """The sums of values by group number, in doubles also of no value at all."""
+    return np.bincount(group, values, minlength=groups).astype(np.float64)
+
+
 def _packed(numbers: np.ndarray) -> bytes:
     """As many bytes a number as the greatest needs, first bytes first, compressed."""
     numbers = numbers.astype("<u8")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from martflow.llm.licences import ENOUGH, TEMPLATES
+from martflow.llm.lm import BACKOFF
 from martflow.llm.secretscan import BASE_RULES, RULES
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -103,7 +104,9 @@ ORACLE: dict[str, str] = {
     c as (select word, count(*) as n from t group by word),
     b as (select row_id, i, lag(word) over (partition by row_id order by i) as v, word from t),
     bc as (select v, word, count(*) as n from b where v is not null group by all),
-    s as (select row_id, case when b.v is null then ln(c.n) - ln(total) else ln(bc.n) - ln(cv.n) end as s
+    s as (select row_id, case when b.v is null then ln(c.n) - ln(total)
+            when bc.n >= 2 then ln(bc.n) - ln(cv.n)
+            else ln({BACKOFF}) + ln(c.n) - ln(total) end as s
           from b join c using (word) left join c cv on cv.word = b.v
           left join bc on bc.v = b.v and bc.word = b.word, n),
     a as (select row_id, sum(s) as s from s group by row_id)

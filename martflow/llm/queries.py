@@ -39,7 +39,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.scores(read_table(spark, sf_dir, "documents"))
+    return lm.scores(read_table(spark, sf_dir, "documents"), least=2)
 
 
 @query

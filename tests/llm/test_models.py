@@ -173,3 +173,22 @@ def test_language_equals_plain_naive_bayes(spark, small):
         assert got[i]["lang_pred"] == lang, i
         assert abs(got[i]["score"] - score) < 1e-6, i
         assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0), i
+
+
+def test_the_query_backs_off_from_bigrams_met_once(spark, tmp_dir):
+    """The registered query and its SQL: a bigram met once is scored by the
+    shorter context, and every word by its own count."""
+    import duckdb
+
+    from martflow.llm.oracle import ORACLE
+    from martflow.llm.queries import QUERIES
+    texts = ["a b c", "a b d", "x y", None, "", "a b c e"]
+    table(spark, list(enumerate(texts))).write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {r["doc_id"]: r["log_score"] for r in QUERIES["op3_lm_scores"](spark, tmp_dir).collect()}
+    want = dict(enumerate(s for _, s in brute_scores(texts, 2)))
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-4 for i in want)
+    assert abs(got[2] - (2 * math.log(1 / 12) + math.log(lm.BACKOFF))) < 1e-4
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_dir}/documents.parquet/*.parquet')")
+    sql = {r[0]: r[2] for r in con.execute(ORACLE["op3_lm_scores"]).fetchall()}
+    assert sql.keys() == got.keys() and all(abs(got[i] - sql[i]) < 1e-5 for i in sql)

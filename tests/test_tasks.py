@@ -1,0 +1,32 @@
+"""Steps whose tasks grow in number with the rows."""
+import datetime as dt
+from decimal import Decimal as D
+
+from martflow.operators import marts as M
+from martflow.plans import catalog as C
+from martflow.sources.tables import Tables
+
+
+def _enriched(spark):
+    rows = [(c, s, s % 2, dt.date(2024, 1 + (c + s) % 3, 1 + s), D(f"{c}.{s}0"))
+            for c in range(1, 6) for s in range(1, 5)]
+    rows += rows[:3] + [(1, None, None, None, D("4.00")), (2, 1, 1, dt.date(2024, 1, 1), None)]
+    return spark.createDataFrame(rows, "customer_id bigint, sales_person_id bigint, store_id bigint, "
+                                       "sales_date date, total_cost decimal(18,2)")
+
+
+def test_window_totals_dealt_to_tasks_equal_the_grouped_totals(spark):
+    e = _enriched(spark)
+    for tasks in (1, 7):
+        got = M.customer_totals_window(e, tasks)
+        assert got.rdd.getNumPartitions() == tasks  # not merged into few by their bytes
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, M.customer_month_totals(e).collect()), key=str)
+        got = M.sales_totals_window(e, tasks)
+        assert got.rdd.getNumPartitions() == tasks
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, M.sales_month_totals(e).collect()), key=str)
+
+
+def test_tasks_follow_the_lines(spark, tmp_dir, monkeypatch):
+    spark.range(25).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    monkeypatch.setattr(C, "ROWS_A_TASK", 10)
+    assert C._tasks(Tables(spark, tmp_dir)) == 3

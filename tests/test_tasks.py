@@ -1,9 +1,10 @@
-"""Steps whose tasks grow in number with the rows."""
+"""Steps whose tasks grow in number with the rows; predicates of JDBC reads."""
 import datetime as dt
 from decimal import Decimal as D
 
 from martflow.operators import marts as M
 from martflow.plans import catalog as C
+from martflow.sinks import jdbc as SJ
 from martflow.sources.tables import Tables
 
 
@@ -30,3 +31,11 @@ def test_tasks_follow_the_lines(spark, tmp_dir, monkeypatch):
     spark.range(25).write.parquet(f"{tmp_dir}/lineitem.parquet")
     monkeypatch.setattr(C, "ROWS_A_TASK", 10)
     assert C._tasks(Tables(spark, tmp_dir)) == 3
+
+
+def test_a_column_without_nulls_has_no_partition_for_them():
+    """No database: the predicates alone. Each value is in one range, a null too."""
+    ranges = [(0, 9, 10), (10, 19, 10), (20, 29, 10)]
+    assert SJ.range_predicates("k", ranges, False) == ["k < 10 OR k IS NULL", "k >= 10 AND k < 20", "k >= 20"]
+    assert SJ.range_predicates("k", ranges, True) == ["k < 10", "k >= 10 AND k < 20", "k >= 20", "k IS NULL"]
+    assert SJ.range_predicates("k", [], False) == ["k IS NOT NULL OR k IS NULL"]

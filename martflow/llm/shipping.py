@@ -8,11 +8,13 @@ installed on the machines.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 import martflow
@@ -36,7 +38,26 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def _release() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(function: Callable) -> Callable:
+    """function over batches, whose worker keeps no freed memory behind it: Spark
+    keeps a worker for later tasks, beside those of the executor's JVM."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _release()
+    return run
+
+
 def map_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with the package available to the function."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(releasing(function), schema)

@@ -54,13 +54,14 @@ def conform_text(spark: SparkSession, checked: DataFrame,
     paths, widest, places = _places(spark, checked, contract)
     if not paths:
         return None
+    # what follows from a file's path is worked out once a file, not once a line
+    places = places.withColumn("drop", F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1))
     lines = read_lines(spark, sorted(paths)).join(places, "source_file", "left")
     width = F.coalesce("width", F.raise_error(F.concat(F.lit("no header known of "), "source_file")).cast("int"))
     rows = split_fields(lines.withColumn("width", width), widest)
     folded = F.array_join(F.transform("extras", lambda i: F.get("fields", i)), EXTRA_SEPARATOR)
     return rows.select(*[F.get("fields", F.get("at", F.lit(i))).alias(c) for i, c in enumerate(contract)],
-                       folded.alias(EXTRA_COLUMN), CORRUPT, "source_file",
-                       F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1).alias("drop"))
+                       folded.alias(EXTRA_COLUMN), CORRUPT, "source_file", "drop")
 
 
 def conform_typed(spark: SparkSession, checked: DataFrame,

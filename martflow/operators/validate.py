@@ -76,23 +76,26 @@ def typed(df: DataFrame, schema=SALES_FACT, columns: list[str] = MANDATORY_COLUM
     where a non-empty value did not cast, would be rounded (money with a third
     decimal), or the line did not parse."""
     types = {f.name: f.dataType for f in schema.fields}
+    money = [c for c in columns if isinstance(types[c], T.DecimalType)]
+    # cast by a generator, so that the checks, the filters and the typed columns share one cast of each value
+    cast = F.struct(*[F.col(c).try_cast(types[c]).alias(f"typed_{c}") for c in columns],
+                    *[F.col(c).try_cast(T.DecimalType(38, 18)).alias(f"exact_{c}") for c in money])
+    rows = df.select("*", F.inline(F.array(cast)))
 
     def fails(c: str) -> F.Column:
-        value = F.col(c).try_cast(types[c])
+        value = F.col(f"typed_{c}")
         bad = value.isNull()
-        if isinstance(types[c], T.DecimalType):
-            exact = F.col(c).try_cast(T.DecimalType(38, 18))
+        if c in money:
+            exact = F.col(f"exact_{c}")
             bad = bad | exact.isNull() | (exact != value)
         return F.col(c).isNotNull() & bad
 
-    failed = [F.when(fails(c), F.lit(c)) for c in columns]
-    bad_cols = F.array_compact(F.array(*failed))
-    parse_err = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
-    out = df.withColumn("bad_columns", bad_cols).withColumn("is_bad",
-                                                            (F.size(bad_cols) > 0) | parse_err)
+    bad_cols = F.array_compact(F.array(*[F.when(fails(c), F.lit(c)) for c in columns]))
+    is_bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     for c in columns:
-        out = out.withColumn(f"typed_{c}", F.col(c).try_cast(types[c]))
-    return out
+        is_bad = is_bad | fails(c)
+    return rows.select(*df.columns, bad_cols.alias("bad_columns"), is_bad.alias("is_bad"),
+                       *[f"typed_{c}" for c in columns])
 
 
 def total_cost_check(fact: DataFrame, by: list[str]) -> DataFrame:

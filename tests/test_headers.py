@@ -87,3 +87,20 @@ def test_an_open_quote_is_a_bad_row(spark, tmp_dir):
     assert good.count() == 1
     assert sorted(r["raw_line"] for r in bad.collect()) == sorted(
         ['1,121,"x,2024-03-03,1,50,2,100', '1,121,x,2024-03-03,1,50,2,"100'])
+
+
+def test_a_value_is_cast_once_and_a_path_is_cut_once(spark, tmp_dir):
+    """The filter, the checks and the typed columns share the casts of a line's
+    values; what follows from a file's path is not worked out for every line."""
+    shuffled_drop(f"{tmp_dir}/d", 3, 4, 5)
+    write(f"{tmp_dir}/d", "drop/odd.csv", HEAD + "\n" + "\n".join([
+        "9,121,sugar,2024-03-03,1,50.001,2,100", "9,121,sugar,2024-03-03,1,50.010,2,100",
+        "9,121,sugar,2024-13-03,x,50,2,1e30", "9,121,sugar,,1,,2,100", "9,121,sugar,2024-03-03,1,50,2"]) + "\n")
+    _, checked = _conformed(spark, f"{tmp_dir}/d")
+    checked = checked.localCheckpoint()
+    good, bad = C.conform(spark, checked)
+    assert plan_of(good).count("try_cast(") == 9  # seven values that are no text, money also in full
+    assert "regexp_extract" not in plan_of(good)
+    assert good.count() == 14 and {r["drop"] for r in good.select("drop").collect()} == {"drop"}
+    assert sorted(tuple(r["bad_columns"]) for r in bad.collect()) == [
+        (), ("price",), ("sales_date", "sales_person_id", "total_cost")]

@@ -20,11 +20,17 @@ the next white space) at a time: no pre-token crosses a chunk, so a chunk's
 ids do not depend on its neighbours, and recent chunks' ids are kept. The same
 holds for an added token's string without white space, which cuts its chunk;
 with added tokens that hold or take in white space, texts are encoded whole.
+
+A block of texts is cut at its spaces and its different words are numbered by
+Arrow, so that each is looked up once a block. Of chunks not met before, a word
+of one class with punctuation behind it is two pre-tokens of the byte-level
+rule, known without its pattern: these go to the library's model as they are.
 """
 
 from __future__ import annotations
 
 import itertools
+import operator
 import os
 import re
 import uuid
@@ -33,6 +39,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -45,12 +52,30 @@ from martflow.session import work_dir
 READ_DOCS = 4096      # documents of a reader's block
 RECENT = 400_000      # chunks kept in each of two generations, but for those of one block
 TOGETHER = 32         # words encoded as one text
-LONG = 1 << 20        # characters of a block of texts; a longer text is encoded in pieces
+LONG = 1 << 20        # characters of a text; a longer one is encoded in pieces
+TEXTS = 8             # a block of texts has at most as many times LONG characters
 
 # Unicode's White_Space characters
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _WORD = re.compile(f" ?[^{_SPACE}]+")
+_BESIDE = f"[{_SPACE}] | [{_SPACE}]"
+
+# letters in every version of Unicode, and ASCII's punctuation but for the apostrophe of "it's"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f\u0410-\u044f"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _byte_letters() -> str:
+    """The byte-level rule's letter for each byte: itself where it can be
+    printed, else one from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = itertools.count(256)
+    return "".join(chr(b if b in own else next(others)) for b in range(256))
+
+
+_BYTES = _byte_letters()
+_BYTES_IN_LINES = _BYTES.replace(_BYTES[10], "\n")
 
 
 class ChunkEncoder:
@@ -68,20 +93,98 @@ class ChunkEncoder:
         self.dtype = np.dtype(dtype)
         line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line_feed = line_feed[0] if len(line_feed) == 1 else None
+        self.model, self.plain = self._of_plain_words()
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, wanted: set[str]) -> None:
-        """Have the ids of all these chunks in ``new``."""
-        if len(self.new) + len(wanted) > RECENT:
+    def _of_plain_words(self):
+        """The library's model behind a cut at line feeds, and the pattern of
+        plain words: at most a space, letters or digits or marks, and marks
+        behind. The byte-level rule makes a pre-token of each of the two parts.
+        None, None with another rule or if an added token can be in such a word."""
+        from tokenizers import Tokenizer, pre_tokenizers
+        rule = self.tokenizer.pre_tokenizer
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        marks = "".join(m for m in _MARKS if not any(m in content for content in added))
+        plain = re.compile(f"[ 0-9{_LETTERS}{re.escape(marks)}]*")
+        if (not isinstance(rule, pre_tokenizers.ByteLevel) or not rule.use_regex or rule.add_prefix_space
+                or self.tokenizer.normalizer is not None or self.line_feed is None
+                or not marks or any(plain.fullmatch(content) for content in added)):
+            return None, None
+        model = Tokenizer(self.tokenizer.model)
+        model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        of = f"[{re.escape(marks)}]"
+        return model, re.compile(f"( ?(?:[{_LETTERS}]+|[0-9]+|{of}+))({of}*)")
+
+    def _make_room(self, count: int) -> None:
+        """A new generation, if this one cannot take so many chunks more."""
+        if len(self.new) + count > RECENT:
             self.old, self.new = self.new, {}
+
+    def _learn(self, wanted: Iterable[str]) -> None:
+        """Have the ids of all these chunks in ``new``."""
+        unknown = self._not_kept(wanted)
+        if self.plain is not None:
+            unknown = self._learn_plain(unknown)
+        self.new.update(zip(unknown, self._encoded(unknown), strict=True))
+
+    def _not_kept(self, wanted: Iterable[str]) -> list[str]:
+        """Those of the chunks that are in neither generation; those of ``old``
+        are in ``new`` now."""
+        new, old = self.new, self.old
         unknown = []
-        for chunk in wanted.difference(self.new):
-            if chunk in self.old:
-                self.new[chunk] = self.old[chunk]
+        for chunk in wanted:
+            if chunk not in new:
+                ids = old.get(chunk)
+                if ids is None:
+                    unknown.append(chunk)
+                else:
+                    new[chunk] = ids
+        return unknown
+
+    def _learn_plain(self, chunks: list[str]) -> list[str]:
+        """Have the ids of plain words among the chunks, which are not kept, in
+        ``new``; the others."""
+        ends = [found and found.end(1) for found in map(self.plain.fullmatch, chunks)]
+        whole, joined, words, marks, others = [], [], [], [], []
+        for chunk, end in zip(chunks, ends, strict=True):
+            if end is None:
+                others.append(chunk)
+            elif end == len(chunk):
+                whole.append(chunk)
             else:
-                unknown.append(chunk)
-        self.new.update(zip(unknown, self._encoded(unknown), strict=True))
+                joined.append(chunk)
+                words.append(chunk[:end])
+                marks.append(chunk[end:])
+        self._encode_plain(whole)
+        self._encode_plain(self._not_kept({*words, *marks}))
+        ids = self.new.__getitem__
+        self.new.update(zip(joined, map(operator.add, map(ids, words), map(ids, marks)), strict=True))
+        return others
+
+    def _encode_plain(self, words: list[str]) -> None:
+        """Have the ids of these pre-tokens in ``new``."""
+        ascii_words = [w for w in words if w.isascii()]
+        words = [*ascii_words, *(w for w in words if not w.isascii())]
+        spelt = "\n".join(ascii_words).replace(" ", _BYTES[32]).split("\n") if ascii_words else []
+        if len(ascii_words) < len(words):
+            spelt += "\n".join(words[len(ascii_words):]).encode().decode("latin-1").translate(_BYTES_IN_LINES).split("\n")
+        between = f"\n{_BYTES[10]}\n"
+        texts = [between.join([*spelt[at:at + TOGETHER], ""]) for at in range(0, len(spelt), TOGETHER)]
+        made = itertools.chain.from_iterable(self._cut_at_line_feeds(texts, self.model))
+        self.new.update(zip(words, made, strict=True))
+
+    def _cut_at_line_feeds(self, texts: list[str], tokenizer) -> Iterator[list[bytes]]:
+        """Of each text the ids before each line feed in it."""
+        width = self.dtype.itemsize
+        for some in itertools.batched(texts, 1024):
+            for made in tokenizer.encode_batch_fast(list(some), add_special_tokens=False):
+                ids = np.array(made.ids, dtype=self.dtype)
+                raw, last, out = ids.tobytes(), 0, []
+                for end in (np.flatnonzero(ids == self.line_feed) * width).tolist():
+                    out.append(raw[last:end])
+                    last = end + width
+                yield out
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.dtype) for e in self.tokenizer.encode_batch_fast(
@@ -95,13 +198,10 @@ class ChunkEncoder:
         words = [c for c in chunks if c not in alone]
         made = dict(zip(alone, (i.tobytes() for i in self._ids(list(alone))), strict=True))
         groups = [words[at:at + TOGETHER] for at in range(0, len(words), TOGETHER)]
-        for group, ids in zip(groups, self._ids(["\n".join([*g, ""]) for g in groups]), strict=True):
-            ends = np.flatnonzero(ids == self.line_feed)
-            if len(ends) == len(group):
-                raw, width, last = ids.tobytes(), self.dtype.itemsize, 0
-                for chunk, end in zip(group, (ends * width).tolist(), strict=True):
-                    made[chunk] = raw[last:end]
-                    last = end + width
+        texts = ["\n".join([*g, ""]) for g in groups]
+        for group, ids in zip(groups, self._cut_at_line_feeds(texts, self.tokenizer), strict=True):
+            if len(ids) == len(group):
+                made.update(zip(group, ids, strict=True))
             else:
                 made.update(zip(group, (i.tobytes() for i in self._ids(group)), strict=True))
         return (made[c] for c in chunks)
@@ -109,34 +209,78 @@ class ChunkEncoder:
     def encode(self, texts: Iterable[str]) -> Iterator[Iterable[bytes]]:
         """Of each text in order its ids as bytes, in pieces of bounded size.
 
-        Texts are taken together up to ``LONG`` characters; a longer one is
+        Texts are taken together in blocks; one over ``LONG`` characters is
         taken in pieces and must be consumed before the next is asked for."""
-        block: list[list[str]] = []
+        block: list[str] = []
         size = 0
         for text in texts:
             if self.whole:
                 yield [i.tobytes() for i in self._ids([text])]
                 continue
-            if size + len(text) > LONG:
+            if len(text) > LONG or size + len(text) > TEXTS * LONG:
                 yield from self._joined(block)
                 block, size = [], 0
             if len(text) > LONG:
                 yield self._pieces(text)
             else:
-                block.append(_CHUNK.findall(text))
+                block.append(text)
                 size += len(text)
         yield from self._joined(block)
 
-    def _joined(self, block: list[list[str]]) -> Iterator[list[bytes]]:
-        self._learn(set().union(*block))
+    def _joined(self, block: list[str]) -> Iterator[list[bytes]]:
+        """The ids of each text of a block. A text is its first word (or, if a
+        space stands beside white space in it, the whole of it) and the words
+        behind a space each; Arrow numbers the different ones."""
+        if not block:
+            return
+        texts = pa.array(block, pa.string())
+        odd = pc.match_substring_regex(texts, _BESIDE)
+        cut = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        starts = cut.offsets.to_numpy()[:-1]
+        behind = np.ones(len(cut.values), dtype=bool)
+        behind[starts] = False
+        coded = cut.values.filter(pa.array(behind)).dictionary_encode()
+        words = [" " + w for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        # what holds other white space is more than one chunk
+        several = [(at, _CHUNK.findall(words[at])) for at in np.flatnonzero(pc.match_substring_regex(
+            coded.dictionary, f"[{_SPACE}]").to_numpy(zero_copy_only=False)).tolist()]
+        firsts = [_CHUNK.findall(text if whole else text.partition(" ")[0])
+                  for text, whole in zip(block, odd.to_pylist(), strict=True)]
+        chunks_of = [*firsts, *(chunks for _, chunks in several)]
+        self._make_room(len(words) + sum(map(len, chunks_of)))
+        made = list(map(self.new.get, words))
+        for at, _ in several:
+            made[at] = b""
+        missing = [at for at, ids in enumerate(made) if ids is None]
+        self._learn({words[at] for at in missing}.union(*chunks_of))
         ids = self.new.__getitem__
-        for chunks in block:
-            yield [b"".join(map(ids, chunks))]
+        for at in missing:
+            made[at] = ids(words[at])
+        for at, chunks in several:
+            made[at] = b"".join(map(ids, chunks))
+        made += [b"".join(map(ids, chunks)) for chunks in firsts]
+
+        numbers = np.empty(len(behind), dtype=np.int64)
+        numbers[behind] = coded.indices.to_numpy()
+        numbers[starts] = np.arange(len(words), len(made))
+        sizes = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(made), dtype=self.dtype)
+        counts = sizes[numbers]
+        ends = np.cumsum(counts)
+        # an id's place in flat: its place in the block, moved as its word is
+        moved = (np.cumsum(sizes) - sizes)[numbers] - (ends - counts)
+        raw = flat[np.repeat(moved, counts) + np.arange(ends[-1])].tobytes()
+        last = 0
+        for end in (ends[np.append(starts[1:], len(numbers)) - 1] * self.dtype.itemsize).tolist():
+            yield [raw[last:end]]
+            last = end
 
     def _pieces(self, text: str) -> Iterator[bytes]:
         found = (m.group() for m in _CHUNK.finditer(text))
         while chunks := list(itertools.islice(found, LONG // 8)):
-            yield from next(self._joined([chunks]))
+            self._make_room(len(chunks))
+            self._learn(set(chunks))
+            yield b"".join(map(self.new.__getitem__, chunks))
 
 
 _encoders: dict[tuple[str, str, bool], ChunkEncoder] = {}

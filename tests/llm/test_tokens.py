@@ -177,6 +177,43 @@ def test_chunks_encode_as_the_whole(texts):
     assert [[*np.frombuffer(m, dtype="<u2").tolist(), 2] for m in made] == list(map(library_ids, texts))
 
 
+PLAIN = st.text(alphabet="aZé×ſ٣²Жѐ1_,.'!-<|> \n\u3000ĊĠ", max_size=60)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PLAIN, max_size=6), st.booleans())
+def test_plain_words_encode_as_the_whole(texts, added):
+    made = [b"".join(pieces) for pieces in idfile._encoder(JSON, "<u2", added).encode(texts)]
+    assert [[*np.frombuffer(m, dtype="<u2").tolist(), 2] for m in made] == list(map(library_ids, texts))
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow(monkeypatch):
+    """Most of op6's time went into the pattern of the byte-level rule, for the
+    same words with other marks behind them."""
+    encoder, sent = idfile.ChunkEncoder(JSON, "<u2", True), []
+    cut = encoder._cut_at_line_feeds
+    monkeypatch.setattr(encoder, "_cut_at_line_feeds", lambda texts, tokenizer: (
+        sent.extend(w for t in texts for w in t.split("\n") if w), cut(texts, tokenizer))[1])
+    text = "x wörter wörter, wörter. wörter!!! wörter\nwörter?, x"
+    (made,) = (b"".join(pieces) for pieces in encoder.encode([text]))
+    assert np.frombuffer(made, dtype="<u2").tolist() == plain_ids(text)
+    assert sum("Ã¶rter" in w for w in sent) == 1  # that behind a line feed is a chunk by itself
+
+
+def test_other_rules_and_added_words_have_no_plain_words(tmp_path):
+    from tokenizers import AddedToken, normalizers
+    texts = ["see Foo, foo and foo! 12", "foo", "FOO.\nfoo foo"]
+    for at, change in enumerate([lambda t: t.add_tokens([AddedToken("foo", normalized=False)]),
+                                 lambda t: setattr(t, "normalizer", normalizers.Lowercase())]):
+        tokenizer = Tokenizer.from_file(JSON)
+        change(tokenizer)
+        tokenizer.save(path := str(tmp_path / f"{at}.json"))
+        encoder = idfile.ChunkEncoder(path, "<u2", True)
+        assert encoder.plain is None
+        made = [b"".join(pieces) for pieces in encoder.encode(texts)]
+        assert [np.frombuffer(m, dtype="<u2").tolist() for m in made] == [plain_ids(t, tokenizer) for t in texts]
+
+
 def test_encoder_forgets_and_takes_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(idfile, "RECENT", 8)
     monkeypatch.setattr(idfile, "LONG", 64)
